@@ -24,5 +24,36 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, trees).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules)}
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .common import shared_dir
+    from .token_store import read_tokens, write_tokens
+
+    files = write_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), shared_dir(spark, "ids"))
+    return read_tokens(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import fingerprint_documents
+
+    found = fingerprint_documents(documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_prefix")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import materialise, word_count
+    from .mixing import mix
+
+    sizes = documents(spark, sf_dir).select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count("text").alias("size"))
+    return mix(materialise(sizes, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op4_token_files, op5_fingerprints, op6_simhash, op8_mixing)}
 ORACLE_SQL: dict[str, str] = {}
