@@ -47,6 +47,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .archives import read_packages, write_packages
+    from .common import shared_dir
+
+    packages = write_packages(documents(spark, sf_dir, "pages"), shared_dir(spark, "packages"))
+    return read_packages(spark, [uri for uri, _ in packages]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import materialise, word_count
     from .mixing import mix
@@ -55,5 +63,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(materialise(sizes, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op4_token_files, op5_fingerprints, op6_simhash, op8_mixing)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_text
+
+    return extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op10_html_text)}
+ORACLE_SQL: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        q AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+        r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last_id FROM q)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+        FROM r
+    """,
+}
