@@ -24,6 +24,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, trees).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("score", 6).alias("score"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    done = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_near", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,8 +76,29 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_line_dedup, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op10_html_text)}
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": r"""
+        WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+        raw AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS raw FROM split),
+        all_lines AS (SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM raw),
+        firsts AS (SELECT line, min((doc_id, pos)) AS ord, length(line) AS n FROM all_lines WHERE line <> '' GROUP BY line),
+        long AS (SELECT * FROM firsts WHERE n >= 16),
+        keys AS (
+            SELECT line, ord, n, n AS m, 'p' || n || left(line, n // 2) AS key FROM long
+            UNION ALL SELECT line, ord, n, n, 's' || n || right(line, n - n // 2) FROM long
+            UNION ALL SELECT line, ord, n, n - 1, 'p' || (n - 1) || left(line, (n - 1) // 2) FROM long
+            UNION ALL SELECT line, ord, n, n - 1, 's' || (n - 1) || right(line, n - 1 - (n - 1) // 2) FROM long),
+        pairs AS (SELECT DISTINCT a.line AS a, b.line AS b, a.ord AS ord FROM keys a JOIN keys b ON a.key = b.key AND b.ord < a.ord AND abs(a.n - b.n) <= 1),
+        cut AS (SELECT *, coalesce(list_position(list_transform(range(1, greatest(length(a), length(b)) + 1), lambda i: substr(a, i, 1) <> substr(b, i, 1)), true), 0) AS spot FROM pairs),
+        near AS (SELECT DISTINCT ord FROM cut WHERE substr(a, spot + CAST(length(a) >= length(b) AS INT)) = substr(b, spot + CAST(length(b) >= length(a) AS INT))),
+        judged AS (
+            SELECT l.doc_id, l.pos, l.raw, l.line = '' OR (f.ord = (l.doc_id, l.pos) AND x.ord IS NULL) AS stays, l.line <> '' AND f.ord = (l.doc_id, l.pos) AND x.ord IS NOT NULL AS is_near
+            FROM all_lines l LEFT JOIN firsts f ON l.line = f.line LEFT JOIN near x ON f.ord = x.ord),
+        done AS (SELECT doc_id, count(*) AS n_lines, count_if(NOT stays) AS n_removed, count_if(is_near) AS n_near, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (stays), '') AS kept FROM judged GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN d.text IS NOT NULL THEN sha256(kept) END AS kept_sha256
+        FROM documents d LEFT JOIN done USING (doc_id)
+    """,
     "op7_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
         q AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
