@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curatrix.llm.common import documents, materialise
 
+#: SQL cannot run the trees, XXH64 or the tokenizer; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -18,6 +19,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs, fit_quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels")))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that an earlier document (or line) has; texts of which nothing is left go."""
+    from curatrix.llm.line_dedup import drop_repeated_lines
+
+    return drop_repeated_lines(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near copies."""
+    from curatrix.llm.simhash import keep_first_of_each
+
+    return keep_first_of_each(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix of sources takes it."""
+    from curatrix.llm.mixing import mix_documents
+
+    return mix_documents(docs)
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and byte spans of each remaining text, with the digests of its decoding."""
     import public_tokenizers
@@ -28,6 +50,9 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("simhash", near_duplicate_stage),
+    ("mixing", mixing_stage),
     ("sentencepiece", encode_stage),
 ]
 

@@ -70,13 +70,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(materialise(sizes, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .span_dedup import remove_repeats
+
+    done = remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import extract_text
 
     return extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_line_dedup, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op10_html_text)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_line_dedup, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op9_suffix_dedup, op10_html_text)}
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": r"""
         WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
