@@ -1,0 +1,201 @@
+"""The one boundary to language models: rows to prompts to raw answers to parsed rows.
+
+Raw answers are written before they are parsed, so a second action never asks
+again.  ``StubModel`` answers offline and deterministically.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import time
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import Protocol
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.text import parse_json, sanitise_chunk, strip_fence
+
+
+class ModelClient(Protocol):
+    def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str: ...
+
+
+class RateLimited(Exception):
+    """The server asks to wait; the only failure that is tried again."""
+
+
+class StubModel:
+    """Answers from the prompt alone: JSON whose numbers come from its hash."""
+
+    def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str:
+        h = int(hashlib.md5(prompt.encode()).hexdigest()[:8], 16)
+        tail = prompt.strip().splitlines()[-1] if prompt.strip() else ""
+        return json.dumps([{"question": f"What is said about {tail[:40]}?", "answer": tail[:200], "reasoning": "Step 1: read it.", "rating": h % 11, "clarity": h % 3, "accuracy": h % 4, "usefulness": h % 3, "difficulty": h % 2, "topic_relevant": h % 7 != 0, "overall_score": h % 101 / 100}])
+
+
+class HttpModel:
+    """A chat-completions server."""
+
+    def __init__(self, url: str, model: str, key: str | None = None, timeout: float = 600.0):
+        self.url, self.model, self.key, self.timeout = url, model, key, timeout
+
+    def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str:
+        import urllib.error
+        import urllib.request
+
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": 0.7 if temperature is None else temperature, "max_tokens": 24576 if max_tokens is None else max_tokens}
+        heads = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        try:
+            with urllib.request.urlopen(urllib.request.Request(self.url, json.dumps(body).encode(), heads), timeout=self.timeout) as answer:
+                return json.load(answer)["choices"][0]["message"]["content"]
+        except urllib.error.HTTPError as e:
+            if e.code in (429, 503):
+                raise RateLimited(str(e)) from e
+            raise
+
+
+_FACTORIES: dict[str, Callable[..., ModelClient]] = {"stub": lambda **_: StubModel()}
+for _name, _url in {"ollama": "http://localhost:11434/v1/chat/completions", "vllm": "http://localhost:8000/v1/chat/completions", "openai": "https://api.openai.com/v1/chat/completions"}.items():
+    _FACTORIES[_name] = lambda model="default", url=_url, key=None, **_: HttpModel(url, model, key)
+
+
+def register_provider(name: str, factory: Callable[..., ModelClient]) -> None:
+    _FACTORIES[name] = factory
+
+
+def providers() -> list[str]:
+    return sorted(_FACTORIES)
+
+
+def client(provider: str, **options) -> ModelClient:
+    if provider not in _FACTORIES:
+        raise ValueError(f"unknown provider: {provider}")
+    return _FACTORIES[provider](**options)
+
+
+def ask_with_retries(model: ModelClient, prompt: str, tries: int = 3, wait: float = 5.0, **options) -> str:
+    for k in range(tries):
+        try:
+            return model.generate(prompt, **options)
+        except RateLimited:
+            if k + 1 == tries:
+                raise
+            time.sleep(wait * 2**k)
+    raise AssertionError
+
+
+def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: float | None = None, threads: int = 8, **options) -> DataFrame:
+    """``df`` with ``raw`` and ``error``: a client per task, and a few calls at a time within it."""
+    import pandas as pd
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = client(provider, **options)
+
+        def one(text: str) -> tuple[str | None, str | None]:
+            try:
+                return ask_with_retries(model, text, temperature=temperature), None
+            except Exception as e:  # noqa: BLE001 - a failed call is a row's result
+                return None, str(e)
+
+        with ThreadPoolExecutor(threads) as pool:
+            for frame in frames:
+                answers = list(pool.map(one, frame["model_prompt"]))
+                frame["raw"], frame["error"] = [a for a, _ in answers], [e for _, e in answers]
+                yield frame.drop(columns="model_prompt")
+
+    asked = df.withColumn("model_prompt", prompt)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return asked.mapInPandas(run, f"{schema}, raw string, error string")
+
+
+def store_raw(answers: DataFrame, path: str) -> DataFrame:
+    """Write raw answers and go on from what was written."""
+    answers.write.mode("append").parquet(path)
+    return answers.sparkSession.read.parquet(path)
+
+
+def fill(template: str, **fields: Column) -> Column:
+    """A prompt template with named places as a Column."""
+    out = F.lit(template)
+    for name, value in fields.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
+    return out
+
+
+def generate_pairs(chunks: DataFrame, template: str, fields: str = "question string, answer string", raw_path: str | None = None, **options) -> DataFrame:
+    """Several pairs from each chunk, with ``chunk_id`` and the time and model they come from."""
+    answers = ask(chunks.select("chunk_id", "source_file", "content"), fill(template, content=sanitise_chunk("content")), **options)
+    answers = store_raw(answers, raw_path) if raw_path else answers
+    each = answers.select("chunk_id", "source_file", F.posexplode(parse_json(strip_fence("raw"), f"array<struct<{fields.replace(' ', ':')}>>".replace(",:", ","))).alias("n", "pair"))
+    return each.select("chunk_id", "source_file", "n", "pair.*", F.current_timestamp().alias("generated_at"), F.lit(options.get("model", "offline")).alias("model"))
+
+
+def rate_pairs(pairs: DataFrame, template: str, raw_path: str | None = None, **options) -> DataFrame:
+    """Pairs with a judge's fields; what cannot be read has the defaults."""
+    from .curation import DEFAULTS
+
+    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.1, **options)
+    answers = store_raw(answers, raw_path) if raw_path else answers
+    fields = "array<struct<rating:double,clarity:double,accuracy:double,usefulness:double,difficulty:double,topic_relevant:boolean>>"
+    verdict = F.get(parse_json(strip_fence("raw"), fields), 0)
+    out = answers.withColumn("verdict", verdict)
+    return out.withColumns({k: F.coalesce(F.col("verdict")[k], F.lit(v)) for k, v in DEFAULTS.items()}).drop("verdict", "raw", "error")
+
+
+def enrich(pairs: DataFrame, template: str, **options) -> DataFrame:
+    """Pairs with a rewritten answer, or the old one where the model gave none."""
+    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.3, **options)
+    new = F.get_json_object(F.regexp_extract("raw", r"(?s)\{.*\}", 0), "$.enriched_answer")
+    return answers.withColumns({"original_answer": F.col("answer"), "answer": F.coalesce(new, "answer")}).drop("raw", "error")
+
+
+def add_reasoning(pairs: DataFrame, template: str, **options) -> DataFrame:
+    """Pairs with ``reasoning``; a failed call leaves it empty.  All columns are carried along, so rows keep their keys."""
+    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.2, **options)
+    first = F.get(parse_json(strip_fence("raw"), "array<struct<reasoning:string>>"), 0)["reasoning"]
+    return answers.withColumn("reasoning", F.coalesce(first, F.lit(""))).drop("raw", "error")
+
+
+def judge_examples(examples: DataFrame, template: str, **options) -> DataFrame:
+    """Examples with the model's ``overall_score`` (null if it cannot be read)."""
+    from .tools import solution_summary
+
+    answers = ask(examples, fill(template, instruction=F.col("instruction"), solution_summary=solution_summary(), final_output=F.col("final_answer")), temperature=0.1, **options)
+    score = F.get(parse_json(strip_fence("raw"), "array<struct<overall_score:double>>"), 0)["overall_score"]
+    return answers.withColumn("overall_score", score).drop("raw", "error")
+
+
+def rate_steps(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
+    """``step_ratings`` of each example, in the order of its path, within [0, 1]; 0.5 where the model gave none."""
+    from .tools import step_rows
+
+    steps = step_rows(examples, key)
+    answers = ask(steps.select(key, "position", "thought", "tool"), fill(template, thought=F.col("thought"), tool=F.col("tool")), temperature=0.1, **options)
+    score = F.get(parse_json(strip_fence("raw"), "array<struct<overall_score:double>>"), 0)["overall_score"]
+    rated = answers.select(key, F.struct("position", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(score, F.lit(0.5)))).alias("r")).alias("s"))
+    lists = rated.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]).alias("step_ratings"))
+    return examples.join(lists, key, "left").withColumn("step_ratings", F.coalesce("step_ratings", F.array().cast("array<double>")))
+
+
+def instructions_for_tools(tools: DataFrame, template: str, n: int, **options) -> DataFrame:
+    """At most ``n`` instructions for each tool."""
+    answers = ask(tools.select("tool_id", "name", "description"), fill(template, name=F.col("name"), description=F.col("description")), temperature=0.8, **options)
+    each = F.slice(parse_json(strip_fence("raw"), "array<struct<question:string>>"), 1, n)
+    return answers.select("tool_id", F.posexplode(each).alias("n", "e")).select("tool_id", "n", F.col("e.question").alias("instruction"))
+
+
+def tool_pairs(tools: DataFrame) -> DataFrame:
+    """Neighbouring tools within a category, for instructions that need both."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy(F.coalesce("category", F.lit("other"))).orderBy("idx")
+    return tools.withColumn("next_tool", F.lead("tool_id").over(order)).where("next_tool is not null").select("tool_id", "next_tool", "category")
+
+
+def hybrid(chain_first: DataFrame, query_first: DataFrame, n: int, ratio: float = 0.4, order: str = "idx") -> DataFrame:
+    """A mix: ``int(n * ratio)`` examples built from chains, the rest from queries."""
+    first = chain_first.orderBy(order).limit(int(n * ratio))
+    return first.unionByName(query_first.orderBy(order).limit(n - int(n * ratio)), allowMissingColumns=True)

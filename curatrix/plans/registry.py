@@ -1,6 +1,522 @@
-"""Every registered query of the library's own operators, and its SQL."""
+"""Every registered query of the library's own operators, and its SQL.
+
+Documents stand in for chunks, turns of conversations for pairs and for steps,
+labels for work that is done, and event values for ratings.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.vectors import doubles, euclidean
+from ..operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
+from ..sources.readers import question_answer_turns
+from . import fixtures
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.col("text").alias("content"), F.col("source").alias("source_file"), "lang")
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return question_answer_turns(_table(spark, sf_dir, "conversations"))
+
+
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("idx"), F.floor(F.pmod(F.abs("value"), F.lit(11.0))).cast("double").alias("rating"), (F.col("event_type") != "click").alias("topic_relevant"))
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as examples: each turn is a step that went well unless its text is short."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role", "text", (F.length("text") >= 60).alias("success"), (F.least(F.lit(100), F.length("text")) / 100.0).alias("rating")).alias("s"))
+    return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("s")).alias("steps"))
+
+
+_PAIRS = "pairs AS (SELECT conv_id * 1000 + turn AS idx, conv_id, turn, text AS question, answer FROM (SELECT *, lead(role) OVER w AS nr, lead(text) OVER w AS answer, lead(turn) OVER w AS nt FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND nr = 'assistant' AND nt = turn + 1)"
+_WORDS = lambda c: f"list_filter(regexp_split_to_array({c}, '\\s+'), lambda x: x <> '')"
+_LIST = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+_ANY = lambda c, xs: f"len(list_filter({_LIST(xs)}, lambda p: contains({c}, p))) > 0"
+_SCORED = (
+    f"base AS (SELECT *, {_WORDS('question')} AS qw, {_WORDS('answer')} AS aw, {_WORDS('lower(question)')} AS lw FROM pairs), "
+    f"scored AS (SELECT *, CAST(greatest(1, least(10, 4 + CASE WHEN list_has_any(lw, {_LIST(T.REASONING_WORDS)}) THEN 2 ELSE 0 END + CASE WHEN {_ANY('lower(question)', T.REASONING_PARTS)} THEN 1 ELSE 0 END + CASE WHEN len(qw) > 20 THEN 1 ELSE 0 END)) AS DOUBLE) AS complexity, "
+    f"CAST(greatest(1, least(10, CASE WHEN len(aw) < 10 THEN 4 WHEN len(aw) < 30 THEN 6 ELSE 7 END - CASE WHEN coalesce(len(aw) / nullif(len(qw), 0), 0) < 0.5 THEN 1 ELSE 0 END + CASE WHEN {_ANY('answer', T.STRUCTURE_MARKS)} THEN 1 ELSE 0 END)) AS DOUBLE) AS quality FROM base), "
+    "multi AS (SELECT *, complexity * 0.3 + quality * 0.5 + 5.0 * 0.2 AS combined FROM scored)"
+)
+_CHUNKS = "chunks AS (SELECT doc_id AS idx, text AS content, source AS source_file, lang FROM documents)"
+_RATED = "rated AS (SELECT event_id AS idx, floor(abs(value) % 11.0) AS rating, event_type <> 'click' AS topic_relevant FROM events)"
+_TRIM = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+_STEPS = "steps AS (SELECT conv_id, turn, role, text, length(text) >= 60 AS success, least(100, length(text)) / 100.0 AS rating FROM conversations)"
+_SKIPS = ["src1", "src7"]
+
+
+@_query(f"WITH {_CHUNKS} SELECT idx, source_file FROM chunks WHERE length({_TRIM('content')}) >= 200 AND NOT contains(source_file, 'src1') AND NOT contains(source_file, 'src7') ORDER BY idx LIMIT 500")
+def chunk_prefilter(spark, sf_dir):
+    df = filters.min_content(filters.skip_sources(_chunks(spark, sf_dir), _SKIPS), 200)
+    return filters.head(df, 500).select("idx", "source_file")
+
+
+@_query("SELECT doc_id AS idx FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_anti(spark, sf_dir):
+    done = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("idx"))
+    return filters.resume(_chunks(spark, sf_dir), done, "idx").select("idx")
+
+
+@_query("SELECT doc_id AS idx FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def chunk_ids_semi(spark, sf_dir):
+    ids = _table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("idx"))
+    return filters.only_ids(_chunks(spark, sf_dir), ids, "idx").select("idx")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx FROM pairs WHERE NOT regexp_matches(lower(question), '(th[ei]n|^der )|ation')")
+def regex_skip(spark, sf_dir):
+    return filters.skip_questions(_pairs(spark, sf_dir), ["TH[EI]N|^Der ", "ation"]).select("idx")
+
+
+@_query(f"WITH {_PAIRS}, hits AS (SELECT idx, len(list_filter({_LIST(T.PENALTY_KEYWORDS)}, lambda k: contains(lower(question), k) OR contains(lower(answer), k))) AS n FROM pairs) SELECT idx, n AS penalty_hits, greatest(0.0, 7.0 - CASE WHEN n >= 2 THEN 3 WHEN n = 1 THEN 1 ELSE 0 END) AS rating FROM hits")
+def keyword_penalty(spark, sf_dir):
+    return curation.penalise(_pairs(spark, sf_dir).withColumn("rating", F.lit(7.0))).select("idx", F.col("penalty_hits").cast("long").alias("penalty_hits"), "rating")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx FROM pairs WHERE len(list_filter({_LIST(filters.INFRASTRUCTURE_KEYWORDS)}, lambda k: contains(lower(question), k) OR contains(lower(answer), k))) <= 1")
+def infrastructure_filter(spark, sf_dir):
+    return filters.few_infrastructure_words(_pairs(spark, sf_dir)).select("idx")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx FROM pairs WHERE NOT ({_ANY('lower(question)', filters.BUILD_KEYWORDS)} OR ({_ANY('lower(answer)', ['compile', 'compilation', 'build'])} AND NOT {_ANY('lower(answer)', filters.TECHNICAL_MARKS)}))")
+def build_question_filter(spark, sf_dir):
+    return filters.no_build_questions(_pairs(spark, sf_dir)).select("idx")
+
+
+@_query(f"WITH {_RATED} SELECT count(*) AS total, count(*) AS rated, count_if(rating >= 7 AND topic_relevant) AS filtered, round(count_if(rating >= 7 AND topic_relevant) / count(*), 6) AS retention, round(avg(rating), 6) AS avg_score FROM rated")
+def curate_metrics(spark, sf_dir):
+    m = curation.metrics(_rated(spark, sf_dir), 7.0)
+    return m.withColumns({"retention": F.round("retention", 6), "avg_score": F.round("avg_score", 6)})
+
+
+@_query(f"WITH {_RATED}, s AS (SELECT min(rating) AS min_rating, max(rating) AS max_rating, round(avg(rating), 6) AS avg_rating FROM rated) SELECT CAST(b AS INTEGER) AS bucket, (SELECT count(*) FROM rated WHERE rating >= b AND rating < b + 1) AS n, s.* FROM range(1, 11) t(b), s")
+def rating_histogram(spark, sf_dir):
+    return curation.histogram(_rated(spark, sf_dir)).withColumn("avg_rating", F.round("avg_rating", 6))
+
+
+@_query(f"WITH {_RATED} SELECT idx, rating FROM rated WHERE rating >= 7 AND topic_relevant")
+def threshold_filter(spark, sf_dir):
+    return filters.at_least(_rated(spark, sf_dir), 7.0).select("idx", "rating")
+
+
+@_query(f"WITH {_PAIRS} SELECT p.idx, CAST(coalesce(l.quality, 5) AS DOUBLE) AS rating, coalesce(l.toxic = 0, true) AS topic_relevant FROM pairs p LEFT JOIN labels l ON l.doc_id = p.idx")
+def judge_join_defaults(spark, sf_dir):
+    """Verdicts joined by batch and place: batches of 8 keys, of which the labels judge some."""
+    pairs = _pairs(spark, sf_dir)
+    marks = _table(spark, sf_dir, "labels")
+    listed = marks.select(F.floor(F.col("doc_id") / 8).alias("batch_id"), (F.col("doc_id") % 8).cast("int").alias("at"), F.struct(F.col("quality").cast("double").alias("rating"), (F.col("toxic") == 0).alias("topic_relevant")).alias("v"))
+    by_place = listed.groupBy("batch_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("m"))
+    verdicts = by_place.select("batch_id", F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.try_element_at("m", i)).alias("verdicts"))
+    return curation.join_verdicts(pairs, verdicts, 8).select("idx", "rating", "topic_relevant")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, question, question || chr(10) || chr(10) || answer AS answer FROM pairs")
+def format_roundtrip(spark, sf_dir):
+    there = curation.to_conversation(_pairs(spark, sf_dir).withColumn("reasoning", F.col("question")), "reasoning")
+    return curation.from_conversation(there.drop("question", "answer")).select("idx", "question", "answer")
+
+
+@_query("SELECT lang, count(*) AS chunks, CAST(greatest(1, round_even(1000 / count(*), 0)) AS INTEGER) AS n_pairs, CAST(least(2 * greatest(1, round_even(1000 / count(*), 0)), 10) AS INTEGER) AS max_pairs FROM documents GROUP BY lang")
+def pairs_per_chunk(spark, sf_dir):
+    per = _chunks(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("chunks")).withColumn("n_pairs", T.pairs_per_chunk(F.lit(1000), "chunks"))
+    return per.withColumn("max_pairs", F.least(2 * F.col("n_pairs"), F.lit(10)))
+
+
+@_query(f"WITH {_PAIRS}, {_SCORED} SELECT idx, complexity, quality FROM scored")
+def heuristic_scores(spark, sf_dir):
+    return scoring.score(_pairs(spark, sf_dir)).select("idx", "complexity", "quality")
+
+
+@_query(f"WITH {_PAIRS}, {_SCORED} SELECT idx, round(combined, 6) AS combined FROM multi ORDER BY round(combined, 6) DESC, idx LIMIT 50")
+def multi_score_topk(spark, sf_dir):
+    scored = scoring.score(_pairs(spark, sf_dir)).withColumn("combined", F.round("combined", 6))
+    return scoring.top_k(scored, 50).select("idx", "combined")
+
+
+@_query(f"WITH {_PAIRS}, {_SCORED} SELECT idx, round(combined, 6) AS combined FROM multi WHERE round(combined, 6) >= 5.5")
+def multi_score_threshold(spark, sf_dir):
+    scored = scoring.score(_pairs(spark, sf_dir)).withColumn("combined", F.round("combined", 6))
+    return scoring.score_at_least(scored, 5.5).select("idx", "combined")
+
+
+@_query(f"WITH {_PAIRS}, {_SCORED}, u AS (SELECT 'complexity' AS dimension, complexity AS v FROM multi UNION ALL SELECT 'quality', quality FROM multi UNION ALL SELECT 'diversity', 5.0 FROM multi UNION ALL SELECT 'combined', combined FROM multi) SELECT dimension, round(min(v), 6) AS least, round(avg(v), 6) AS mean, round(max(v), 6) AS greatest FROM u GROUP BY dimension")
+def score_summary(spark, sf_dir):
+    s = scoring.score_summary(scoring.score(_pairs(spark, sf_dir)))
+    return s.select("dimension", *[F.round(c, 6).alias(c) for c in ("least", "mean", "greatest")])
+
+
+@_query("WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), d AS (SELECT a.vec_id, min(1 - list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8)) AS m FROM v a JOIN v b ON b.vec_id < a.vec_id GROUP BY a.vec_id) SELECT v.vec_id, round(coalesce(least(10.0, m * 10), 5.0), 5) AS diversity FROM v LEFT JOIN d USING (vec_id)")
+def diversity_incremental(spark, sf_dir):
+    found = scoring.diversity_before(_vectors(spark, sf_dir), order="vec_id")
+    return found.select("vec_id", F.round("diversity", 5).alias("diversity"))
+
+
+@_query("WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), d AS (SELECT a.vec_id, min(list_distance(a.e, b.e)) AS m FROM v a, v b WHERE b.vec_id % 5 = 0 GROUP BY a.vec_id) SELECT round(1 / (1 + avg(m)), 6) AS coverage FROM d")
+def coverage_score(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    return coverage.coverage_score(v, v.where("vec_id % 5 = 0")).select(F.round("coverage", 6).alias("coverage"))
+
+
+@_query("""WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    x AS (SELECT label, generate_subscripts(e, 1) AS dim, unnest(e) AS x FROM v), m AS (SELECT label, dim, avg(x) AS x FROM x GROUP BY label, dim), c AS (SELECT label, list(x ORDER BY dim) AS center FROM m GROUP BY label),
+    cnt AS (SELECT label, count(*) AS cnt FROM v GROUP BY label), q0 AS (SELECT *, least(greatest(1, floor(60 * cnt / sum(cnt) OVER ())), cnt) AS base FROM cnt),
+    q1 AS (SELECT *, 60 - sum(base) OVER () AS left_over, coalesce(sum(cnt - base) OVER (ORDER BY cnt DESC, label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM q0),
+    q2 AS (SELECT label, base + greatest(0, least(cnt - base, left_over - room)) AS quota FROM q1), q AS (SELECT *, coalesce(sum(quota) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q2),
+    r AS (SELECT vec_id, v.label, row_number() OVER (PARTITION BY v.label ORDER BY round(list_distance(e, center), 9), vec_id) AS rank FROM v JOIN c ON v.label = c.label)
+    SELECT vec_id, r.label FROM r JOIN q ON r.label = q.label WHERE rank <= quota AND before + rank <= 60""")
+def centroid_select(spark, sf_dir):
+    return coverage.select_centroid(_vectors(spark, sf_dir), 60).select("vec_id", "label")
+
+
+@_query("SELECT label, count(*) AS n_rows, count_if(vec_id % 5 = 0) AS n_selected FROM embeddings GROUP BY label")
+def cluster_stats(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    return coverage.cluster_stats(v, v.where("vec_id % 5 = 0"))
+
+
+@_query()
+def kmeans_select(spark, sf_dir):
+    v = coverage.kmeans(_vectors(spark, sf_dir), 10)
+    return coverage.select_centroid(v, 60, cluster="cluster").select("vec_id", "cluster")
+
+
+@_query()
+def diverse_select(spark, sf_dir):
+    return coverage.select_diverse(_vectors(spark, sf_dir), 60).select("vec_id", "label", "pick")
+
+
+@_query("SELECT min(doc_id) AS idx FROM documents GROUP BY lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g'))")
+def dedup_first(spark, sf_dir):
+    return scoring.first_of_each(_chunks(spark, sf_dir), "content", "idx").select("idx")
+
+
+def _datasets(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    rating = (F.col("turn") % 11).cast("double")
+    return pairs.select(F.when(F.col("conv_id") % 2 == 0, "even").otherwise("odd").alias("dataset"), "idx", "question", "answer", rating.alias("rating"), F.concat(F.lit("conv"), F.col("conv_id") % 7).alias("source"))
+
+
+_SETS = f"{_PAIRS}, sets AS (SELECT CASE WHEN conv_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, idx, question, answer, CAST(turn % 11 AS DOUBLE) AS rating, 'conv' || (conv_id % 7) AS source FROM pairs)"
+
+
+@_query(f"WITH {_SETS} SELECT dataset, count(*) AS n, round(avg(length(question)), 6) AS avg_question_length, round(avg(length(answer)), 6) AS avg_answer_length, round(avg(nullif(rating, 0)), 6) AS avg_rating, min(nullif(rating, 0)) AS min_rating, max(nullif(rating, 0)) AS max_rating, count(DISTINCT source) AS unique_sources, count(DISTINCT {_WORDS('lower(question)')}[1]) AS question_types FROM sets GROUP BY dataset")
+def dataset_metrics(spark, sf_dir):
+    m = compare.dataset_metrics(_datasets(spark, sf_dir))
+    return m.withColumns({c: F.round(c, 6) for c in ("avg_question_length", "avg_answer_length", "avg_rating")})
+
+
+@_query("SELECT coalesce(source, 'unknown') AS value, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, min(doc_id) LIMIT 10")
+def top_sources(spark, sf_dir):
+    return compare.most_common(_chunks(spark, sf_dir), "source_file", 10, missing="unknown")
+
+
+@_query(f"WITH {_PAIRS} SELECT {_WORDS('lower(question)')}[1] AS value, count(*) AS n FROM pairs GROUP BY 1 HAVING value IS NOT NULL ORDER BY n DESC, min(idx) LIMIT 5")
+def question_types(spark, sf_dir):
+    return compare.question_types(_pairs(spark, sf_dir))
+
+
+@_query(f"WITH {_SETS} SELECT rating, count(*) AS n FROM sets WHERE rating <> 0 GROUP BY rating")
+def rating_counts(spark, sf_dir):
+    return compare.rating_counts(_datasets(spark, sf_dir))
+
+
+@_query("SELECT 'even' AS dataset, 8.5 AS score")
+def verdict_winner(spark, sf_dir):
+    rows = spark.createDataFrame([(0, "odd", "Fine.\nSCORE: 7/10\nmore"), (1, "even", "SCORE: 8.5/10"), (2, "late", "SCORE: 8.5/10"), (3, "none", "no verdict")], "idx int, dataset string, judgment string")
+    return compare.winner(rows)
+
+
+@_query("""WITH d AS (SELECT doc_id AS idx, CASE WHEN n_chars < 1000 THEN 'simple' WHEN n_chars < 4000 THEN 'medium' ELSE 'complex' END AS difficulty, CAST(n_chars % 10 AS DOUBLE) AS rating FROM documents),
+    r AS (SELECT *, row_number() OVER (PARTITION BY difficulty ORDER BY rating DESC, idx) AS k, count(*) OVER () AS total FROM d)
+    SELECT idx, difficulty FROM r WHERE k <= floor(total * CASE difficulty WHEN 'simple' THEN 0.3 WHEN 'medium' THEN 0.5 ELSE 0.2 END)""")
+def difficulty_balance(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.when(F.col("n_chars") < 1000, "simple").when(F.col("n_chars") < 4000, "medium").otherwise("complex").alias("difficulty"), (F.col("n_chars") % 10).cast("double").alias("rating"))
+    return scoring.balance(d, tools.DIFFICULTY_MIX).select("idx", "difficulty")
+
+
+@_query(f"WITH {_STEPS} SELECT conv_id FROM steps GROUP BY conv_id HAVING count_if(success) / count(*) >= 0.8")
+def execution_filter(spark, sf_dir):
+    s = _steps(spark, sf_dir).withColumn("execution_result", F.struct(F.lit(True).alias("success"), F.col("steps").alias("step_results")))
+    return filters.executed(s, 0.8).select("conv_id")
+
+
+@_query(f"WITH {_STEPS} SELECT conv_id, round(avg(rating), 6) AS avg_step_quality FROM steps GROUP BY conv_id HAVING min(rating) >= 0.7")
+def turn_quality_filter(spark, sf_dir):
+    s = _steps(spark, sf_dir).withColumn("step_ratings", F.transform("steps", lambda x: x["rating"].cast("double")))
+    return filters.good_turns(s, 0.7).select("conv_id", F.round("avg_step_quality", 6).alias("avg_step_quality"))
+
+
+@_query(f"WITH {_STEPS} SELECT conv_id, turn, coalesce(string_agg(role, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS context FROM steps")
+def step_context(spark, sf_dir):
+    return tools.previous_steps(_table(spark, sf_dir, "conversations"), "conv_id", "turn", F.col("role")).select("conv_id", "turn", "context")
+
+
+@_query(f"WITH {_STEPS} SELECT conv_id, bool_and(success) AS success, max_by(text, CASE WHEN success THEN turn END) AS output FROM steps GROUP BY conv_id")
+def execution_results(spark, sf_dir):
+    s = _steps(spark, sf_dir).withColumn("step_results", F.transform("steps", lambda x: F.struct(x["success"].alias("success"), x["text"].alias("output"))))
+    return s.select("conv_id", tools.execution_result().alias("r")).select("conv_id", "r.*")
+
+
+@_query("WITH used AS (SELECT DISTINCT conv_id, role FROM conversations), t AS (SELECT * FROM (VALUES ('user'), ('assistant'), ('system')) AS t(tool_id)) SELECT t.tool_id, count(used.conv_id) AS n_examples, count(used.conv_id) < 1 AS under_covered FROM t LEFT JOIN used ON used.role = t.tool_id GROUP BY t.tool_id")
+def tool_coverage(spark, sf_dir):
+    examples = _steps(spark, sf_dir).select(F.col("conv_id").alias("example_id"), F.transform("steps", lambda x: F.struct(x["turn"].alias("step"), x["role"].alias("tool"))).alias("reasoning_path"))
+    known = spark.createDataFrame([("user", "user"), ("assistant", "assistant"), ("system", "system")], "tool_id string, name string")
+    return tools.tool_usage(examples, known)
+
+
+_STATUS = "CASE WHEN value < 0 THEN 'execution_failed' WHEN event_id % 10 = 0 THEN 'cannot_evaluate' WHEN s >= 0.9 THEN 'fully_satisfied' WHEN s >= 0.5 THEN 'partially_satisfied' ELSE 'not_satisfied' END"
+_OUTCOMES = f"e AS (SELECT *, round(abs(value) % 1, 6) AS s FROM events), o AS (SELECT event_id, {_STATUS} AS status, CASE WHEN value < 0 THEN 0.0 WHEN event_id % 10 = 0 THEN 0.5 ELSE s END AS score FROM e)"
+
+
+def _outcomes(spark, sf_dir):
+    e = _table(spark, sf_dir, "events").withColumn("s", F.round(F.pmod(F.abs("value"), F.lit(1.0)), 6))
+    judged = tools.outcome(F.when(F.col("event_id") % 10 != 0, F.col("s")), F.col("value") >= 0)
+    return e.withColumn("outcome", judged)
+
+
+@_query(f"WITH {_OUTCOMES} SELECT * FROM o")
+def outcome_status(spark, sf_dir):
+    return _outcomes(spark, sf_dir).select("event_id", "outcome.status", "outcome.score")
+
+
+@_query(f"WITH {_OUTCOMES} SELECT event_id FROM o WHERE score >= 0.7")
+def outcome_filter(spark, sf_dir):
+    return tools.satisfied(_outcomes(spark, sf_dir), 0.7).select("event_id")
+
+
+@_query(f"WITH {_OUTCOMES} SELECT status, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent, round(sum(sum(score)) OVER () / sum(count(*)) OVER (), 6) AS avg_score FROM o GROUP BY status")
+def outcome_summary(spark, sf_dir):
+    s = compare.outcome_summary(_outcomes(spark, sf_dir).select("outcome.status", "outcome.score"))
+    return s.select("status", "n", F.round("percent", 6).alias("percent"), F.round("avg_score", 6).alias("avg_score"))
+
+
+def _graph(spark):
+    nodes, params = fixtures.nodes(spark), fixtures.params(spark)
+    return nodes, graph.edges(nodes, params)
+
+
+@_query(fixtures.EDGES_SQL)
+def graph_edges(spark, sf_dir):
+    return _graph(spark)[1]
+
+
+_ADJ = f"adj AS (SELECT DISTINCT src, dst FROM ({fixtures.EDGES_SQL}))"
+
+
+@_query(f"WITH {_ADJ} SELECT tool_id, (SELECT count(*) FROM adj WHERE src = tool_id) AS out_degree, (SELECT count(*) FROM adj WHERE dst = tool_id) AS in_degree FROM ({fixtures.NODES_SQL})")
+def graph_degrees(spark, sf_dir):
+    return graph.degrees(*_graph(spark))
+
+
+@_query(f"WITH {_ADJ}, d AS (SELECT tool_id, n_inputs, category, (SELECT count(*) FROM adj WHERE src = tool_id) AS o, (SELECT count(*) FROM adj WHERE dst = tool_id) AS i FROM ({fixtures.NODES_SQL})) SELECT count(*) AS n_nodes, count_if(n_inputs <= 1) AS n_entry_points, count(DISTINCT category) AS n_categories, (SELECT count(*) FROM ({fixtures.EDGES_SQL})) AS n_edges, avg(o) AS avg_degree, max(i) AS max_in_degree, max(o) AS max_out_degree FROM d")
+def graph_statistics(spark, sf_dir):
+    return graph.statistics(*_graph(spark))
+
+
+@_query(f"SELECT tool_id FROM ({fixtures.NODES_SQL}) WHERE n_inputs <= 1")
+def entry_points(spark, sf_dir):
+    return graph.entry_points(fixtures.nodes(spark))
+
+
+@_query(f"WITH RECURSIVE {_ADJ}, walk AS (SELECT [tool_id] AS chain, tool_id AS last FROM ({fixtures.NODES_SQL}) WHERE tool_id = 'open_file' UNION ALL SELECT list_append(chain, dst), dst FROM walk JOIN adj ON last = src WHERE NOT list_contains(chain, dst) AND len(chain) < 4) SELECT array_to_string(chain, '>') AS chain, CAST(len(chain) AS INTEGER) AS length FROM walk WHERE len(chain) >= 2")
+def graph_chains(spark, sf_dir):
+    nodes, edge = _graph(spark)
+    found = graph.chains(edge, nodes.where("tool_id = 'open_file'").select("tool_id"))
+    return found.select(F.array_join("chain", ">").alias("chain"), "length")
+
+
+_WANTED = [("process_data", "close_file"), ("open_file", "process_data"), ("read_data", "open_file"), ("close_file", "open_file")]
+_WANTED_SQL = f"wanted AS (SELECT * FROM (VALUES {fixtures._values(_WANTED)}) AS t(src, dst))"
+
+
+@_query(f"""WITH {_ADJ}, {_WANTED_SQL}, direct AS (SELECT w.src, w.dst, '' AS bridge FROM wanted w JOIN adj USING (src, dst)), open AS (SELECT * FROM wanted ANTI JOIN adj USING (src, dst)),
+    one AS (SELECT w.src, w.dst, a.dst AS bridge FROM open w JOIN adj a ON a.src = w.src JOIN adj b ON b.src = a.dst AND b.dst = w.dst),
+    two AS (SELECT w.src, w.dst, a.dst || '>' || b.dst AS bridge FROM open w JOIN adj a ON a.src = w.src JOIN adj b ON b.src = a.dst AND b.dst <> w.src JOIN adj c ON c.src = b.dst AND c.dst = w.dst WHERE (w.src, w.dst) NOT IN (SELECT (src, dst) FROM one))
+    SELECT * FROM direct UNION ALL SELECT * FROM one UNION ALL SELECT * FROM two""")
+def graph_bridges(spark, sf_dir):
+    _, edge = _graph(spark)
+    found = graph.bridges(edge, spark.createDataFrame(_WANTED, "src string, dst string"))
+    return found.select("src", "dst", F.array_join("bridge", ">").alias("bridge"))
+
+
+@_query("SELECT * FROM (VALUES ('bad', 1, 'unknown tool nowhere'), ('bad', 0, 'open_file does not feed nowhere'), ('bad', 1, 'nowhere does not feed close_file'), ('loose', 0, 'close_file does not feed open_file')) AS t(chain_id, position, issue)")
+def chain_validate(spark, sf_dir):
+    nodes, edge = _graph(spark)
+    rows = [("good", graph.parse_chain("open_file -> read_data → save_result")), ("bad", graph.parse_chain("open_file,nowhere,close_file")), ("loose", ["close_file", "open_file"])]
+    return graph.chain_issues(spark.createDataFrame(rows, "chain_id string, chain array<string>"), nodes, edge)
+
+
+@_query("SELECT doc_id AS idx, 'a' AS part FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT * FROM (SELECT doc_id, 'b' FROM documents WHERE doc_id % 2 = 1 ORDER BY doc_id LIMIT 100)")
+def union_mix(spark, sf_dir):
+    c = _chunks(spark, sf_dir).select("idx")
+    first = c.where("idx % 2 = 0").withColumn("part", F.lit("a"))
+    return first.unionByName(filters.head(c.where("idx % 2 = 1"), 100).withColumn("part", F.lit("b")))
+
+
+@_query("SELECT doc_id AS idx FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 100")
+def sample_hash(spark, sf_dir):
+    return scoring.seeded_sample(_chunks(spark, sf_dir), 100, "idx").select("idx")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, '{export.SYSTEM_PROMPT}' AS system, question AS user_text, answer AS assistant_text FROM pairs")
+def export_chatml(spark, sf_dir):
+    rows = _pairs(spark, sf_dir)
+    out = export.to_format(rows.select("question", "answer", "idx"), "chatml").select("record.messages")
+    keyed = export.to_format(rows.select("question", "answer", "idx"), "jsonl").select("record.metadata.idx", F.struct("record.question", "record.answer").alias("qa"))
+    made = out.select(F.col("messages")[0]["content"].alias("system"), F.col("messages")[1]["content"].alias("user_text"), F.col("messages")[2]["content"].alias("assistant_text"))
+    return keyed.join(made.distinct(), (F.col("qa.question") == F.col("user_text")) & (F.col("qa.answer") == F.col("assistant_text"))).select("idx", "system", "user_text", "assistant_text")
+
+
+@_query(f"WITH {_PAIRS} SELECT question AS instruction, '' AS input, answer AS output FROM pairs")
+def export_alpaca(spark, sf_dir):
+    return export.to_format(_pairs(spark, sf_dir), "alpaca").select("record.*")
+
+
+@_query(f"WITH {_PAIRS} SELECT question AS human, answer AS gpt FROM pairs")
+def export_sharegpt(spark, sf_dir):
+    r = export.to_format(_pairs(spark, sf_dir), "sharegpt")
+    return r.select(F.col("record.conversations")[1]["value"].alias("human"), F.col("record.conversations")[2]["value"].alias("gpt"))
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, conv_id, question, answer FROM pairs")
+def export_jsonl(spark, sf_dir):
+    lines = export.as_lines(export.to_format(_pairs(spark, sf_dir), "jsonl"))
+    back = lines.select(F.from_json("value", "question string, answer string, metadata struct<idx:long,conv_id:long>").alias("r"))
+    return back.select("r.metadata.idx", "r.metadata.conv_id", "r.question", "r.answer")
+
+
+@_query(f"WITH {_PAIRS}, c AS (SELECT idx, trim(CASE WHEN idx % 3 = 0 THEN '' ELSE replace('Let me think: ' || question, 'Let me think: ', '') END) AS r, answer FROM pairs) SELECT idx, CASE WHEN r = '' THEN answer ELSE '<think>' || chr(10) || r || chr(10) || '</think>' || chr(10) || chr(10) || answer END AS text FROM c")
+def think_wrap(spark, sf_dir):
+    p = _pairs(spark, sf_dir).withColumn("reasoning", F.when(F.col("idx") % 3 == 0, "").otherwise(F.concat(F.lit("Let me think: "), F.col("question"))))
+    return p.select("idx", T.think_wrap("reasoning", "answer", ["Let me think: "]).alias("text"))
+
+
+@_query("""SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '\\["([^"]+)"\\]', '[''\\1'']', 'g'), 'f"([^"]*)"', 'f''\\1''', 'g'), 'Exception\\("([^"]*)"\\)', 'Exception(''\\1'')', 'g'), '\\("([^"]{1,50})"\\)', '(''\\1'')', 'g') AS text FROM pages""")
+def sanitize_chunk(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", T.sanitise_chunk("html").alias("text"))
+
+
+@_query("SELECT event_id, props AS body FROM events")
+def fence_strip(spark, sf_dir):
+    e = _table(spark, sf_dir, "events")
+    return e.select("event_id", T.strip_fence(F.concat(F.lit(" ```json\n"), F.col("props"), F.lit("\n```\nDone."))).alias("body"))
+
+
+@_query("SELECT event_id, event_type AS question, CAST(user_id AS VARCHAR) AS answer FROM events")
+def json_parse(spark, sf_dir):
+    """Answers of a model: text around, trailing commas, single quotes."""
+    raw = F.concat(F.lit("Sure:\n[{'question': '"), F.col("event_type"), F.lit("', \"answer\": \""), F.col("user_id"), F.lit("\",},]\nBye"))
+    e = _table(spark, sf_dir, "events").select("event_id", F.explode(T.parse_json(raw, "array<struct<question:string,answer:string>>")).alias("p"))
+    return e.select("event_id", "p.*")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, {_TRIM('question')} AS reasoning, {_TRIM('answer')} AS answer FROM (SELECT idx, 'Step 1: ' || question AS question, substr({_TRIM('answer')}, 1) AS answer FROM pairs)")
+def reasoning_extract(spark, sf_dir):
+    """The mark goes with one character more, the space after it."""
+    content = F.concat(F.lit("Step 1: "), F.col("question"), F.lit("\nTherefore "), F.col("answer"))
+    return _pairs(spark, sf_dir).select("idx", T.split_reasoning(content).alias("r")).select("idx", "r.*")
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, CASE WHEN {_ANY('lower(question)', T.CHAIN_WORDS)} OR CAST(contains(lower(question), 'ation') AS INT) + CAST(contains(lower(question), 'ing') AS INT) >= 2 THEN 'multi' ELSE 'single' END AS kind FROM pairs")
+def complexity_detection(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("idx", T.needs_several_steps("question", ["Ation", "ing"]).alias("kind"))
+
+
+@_query("SELECT event_id, CASE WHEN s >= 3600 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm ' || (s % 60) || 's' ELSE (s % 3600 // 60) || 'm ' || (s % 60) || 's' END AS duration FROM (SELECT event_id, event_id * 37 % 9000 AS s FROM events)")
+def duration_text(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", T.duration(F.col("event_id") * 37 % 9000).alias("duration"))
+
+
+@_query("WITH v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) SELECT a.vec_id, round(list_distance(a.e, b.e), 6) AS distance, round(1 - list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8), 6) AS cosine FROM v a JOIN v b ON b.vec_id = a.vec_id + 1")
+def vector_distances(spark, sf_dir):
+    a = _vectors(spark, sf_dir).select("vec_id", F.col("embedding").alias("x"))
+    b = _vectors(spark, sf_dir).select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("y"))
+    return a.join(b, "vec_id").select("vec_id", F.round(euclidean(doubles("x"), doubles("y")), 6).alias("distance"), F.round(scoring.cosine_between("x", "y"), 6).alias("cosine"))
+
+
+@_query("WITH l AS (SELECT * FROM documents JOIN labels USING (doc_id)) SELECT doc_id AS idx, CASE WHEN doc_id % 3 = 0 AND quality = 1 THEN 'fixed ' || doc_id WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS reasoning FROM l")
+def repair_join(spark, sf_dir):
+    l = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id")  # noqa: E741
+    rows = l.select(F.col("doc_id").alias("idx"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")).alias("reasoning"))
+    fixed = l.where("doc_id % 3 = 0 and quality = 1").select(F.col("doc_id").alias("idx"), F.concat(F.lit("fixed "), F.col("doc_id")).alias("reasoning"))
+    return curation.repair(rows, fixed, "idx").select("idx", "reasoning")
+
+
+@_query("SELECT count(*) AS total_pairs, array_to_string(list(DISTINCT source ORDER BY source), ',') AS sources FROM documents")
+def result_summary(spark, sf_dir):
+    from ..sources.sinks import summary
+
+    return summary(_chunks(spark, sf_dir)).select("total_pairs", F.array_join("sources", ",").alias("sources"))
+
+
+@_query("SELECT * FROM (VALUES ('good_tool', 0), ('', 3), ('twice', 2)) AS t(tool_id, n_errors)")
+def tool_validation(spark, sf_dir):
+    p = "array<struct<name:string,type:string,description:string,required:boolean>>"
+    rows = [("good_tool", "good", "d", [("a", "string", "", True)]), ("", "x", "", [("a", "strange", "", True)]), ("twice", "t", "d", [("a", "string", "", True), ("a", "file", "", False)])]
+    t = spark.createDataFrame(rows, f"tool_id string, name string, description string, parameters {p}")
+    return t.select("tool_id", F.size(tools.tool_errors()).alias("n_errors"))
+
+
+@_query("SELECT coalesce(lang, 'other') AS category, count(*) AS n FROM documents GROUP BY 1")
+def category_counts(spark, sf_dir):
+    return tools.category_counts(_chunks(spark, sf_dir).withColumn("category", F.col("lang")))
+
+
+
+
+@_query(f"WITH {_CHUNKS}, pairs AS (SELECT idx, left(content, 200) AS question, content AS answer FROM chunks WHERE length({_TRIM('content')}) >= 200 AND NOT contains(source_file, 'src1') AND NOT contains(source_file, 'src7')), {_SCORED} SELECT idx, round(combined, 6) AS combined, left(content, 200) AS user_text, content AS assistant_text FROM (SELECT idx, combined, answer AS content FROM multi) ORDER BY round(combined, 6) DESC, idx LIMIT 100")
+def chunk_to_chatml(spark, sf_dir):
+    """Flagship: prefilter, score, rank and export chunks."""
+    c = filters.min_content(filters.skip_sources(_chunks(spark, sf_dir), _SKIPS), 200)
+    pairs = c.select("idx", F.substring("content", 1, 200).alias("question"), F.col("content").alias("answer"))
+    best = scoring.top_k(scoring.score(pairs).withColumn("combined", F.round("combined", 6)), 100)
+    turns = F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content")), F.struct(F.lit("assistant").alias("role"), F.col("answer").alias("content")))
+    chat = best.withColumn("messages", turns)
+    return chat.select("idx", "combined", F.col("messages")[0]["content"].alias("user_text"), F.col("messages")[1]["content"].alias("assistant_text"))
+
+
+@_query()
+def model_generate(spark, sf_dir):
+    c = _chunks(spark, sf_dir).select(F.col("idx").alias("chunk_id"), "source_file", "content")
+    return models.generate_pairs(c, "Ask about:\n{content}").select("chunk_id", "n", "question", "answer")
+
+
+@_query()
+def model_rate(spark, sf_dir):
+    return models.rate_pairs(_pairs(spark, sf_dir), "Rate:\n{question}\n{answer}").select("idx", "rating", "topic_relevant")
+
+
+@_query()
+def model_curation(spark, sf_dir):
+    """Judge, penalise and filter, in one plan."""
+    rated = models.rate_pairs(filters.skip_questions(_pairs(spark, sf_dir), ["^der "]), "Rate:\n{question}\n{answer}")
+    return filters.at_least(curation.penalise(rated), 5.0).select("idx", "rating")
