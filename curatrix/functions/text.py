@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -129,7 +130,6 @@ def parse_conversations(text: str | None) -> str | None:
 
 def parse_conversations_udf():
     """``parse_conversations`` over Arrow batches, the one text function that SQL cannot express."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:

@@ -1,0 +1,268 @@
+"""Operators on small literal inputs with values worked out by hand."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from curatrix.functions import text as T
+from curatrix.operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
+from curatrix.plans import fixtures, pipelines
+from curatrix.sources import config, readers, sinks, tool_parsers
+
+PAIRS = [
+    ("What is HDF5?", "HDF5 is a data model for large scientific files."),
+    ("How does HDF5 chunking improve the speed of reading parts of large arrays?", "- " + " ".join(["word"] * 48)),
+    ("Compare B-tree and extensible array indexes here.", " ".join(["word"] * 18)),
+]
+
+
+@pytest.fixture(scope="module")
+def pairs(spark):
+    return spark.createDataFrame([(i, q, a) for i, (q, a) in enumerate(PAIRS)], "idx long, question string, answer string")
+
+
+@pytest.fixture(scope="module")
+def net(spark):
+    nodes, params = fixtures.nodes(spark), fixtures.params(spark)
+    return nodes, graph.edges(nodes, params)
+
+
+def test_heuristic_scores(pairs):
+    rows = scoring.score(pairs).orderBy("idx").collect()
+    assert [(r.complexity, r.quality) for r in rows] == [(4, 4), (6, 8), (6, 6)]
+    assert [round(r.combined, 6) for r in rows] == [4.2, 6.8, 5.8]
+
+
+@pytest.mark.parametrize("n, score", [(9, 4), (10, 6), (29, 6), (30, 7)])
+def test_quality_boundaries(spark, n, score):
+    assert spark.range(1).select(T.quality(F.lit("a b"), F.lit(" ".join(["w"] * n)))).first()[0] == score
+
+
+@pytest.mark.parametrize("n, score", [(20, 4), (21, 5)])
+def test_complexity_boundaries(spark, n, score):
+    assert spark.range(1).select(T.complexity(F.lit(" ".join(["w"] * n)))).first()[0] == score
+
+
+@pytest.mark.parametrize("target, chunks, n", [(100, 20, 5), (10, 20, 1), (5, 2, 2), (7, 2, 4)])
+def test_pairs_per_chunk(spark, target, chunks, n):
+    assert spark.range(1).select(T.pairs_per_chunk(F.lit(target), F.lit(chunks))).first()[0] == n
+
+
+def test_graph_numbers(net):
+    nodes, edge = net
+    s = graph.statistics(nodes, edge).first()
+    assert (s.n_nodes, s.n_entry_points, s.n_categories) == (5, 3, 3)
+    lists = {r.tool_id: r.next for r in graph.export(nodes, edge).collect()}
+    assert lists["close_file"] == []
+    assert s.n_edges == edge.count() and s.max_out_degree == max(map(len, lists.values()))
+    found = [r.chain for r in graph.chains(edge, nodes.where("tool_id = 'open_file'").select("tool_id")).collect()]
+    assert all(len(set(c)) == len(c) and 2 <= len(c) <= 4 for c in found)
+    assert all(b in lists[a] for c in found for a, b in zip(c, c[1:], strict=False))
+
+
+@pytest.mark.parametrize("o, w, score", [("string", "string", 1.0), ("string", "any", 0.8), ("integer", "number", 0.6), ("string", "integer", 0.0), ("any", "string", 0.6), ("String", "STRING", 1.0), ("odd", "odd", 1.0)])
+def test_type_scores(spark, o, w, score):
+    assert spark.range(1).select(graph.type_score(F.lit(o), F.lit(w))).first()[0] == score
+
+
+def test_histogram_leaves_zero_out(spark):
+    df = spark.createDataFrame([(0.0,), (7.0,), (7.5,), (10.0,)], "rating double")
+    assert {r.bucket: r.n for r in curation.histogram(df).collect() if r.n} == {7: 2, 10: 1}
+
+
+@pytest.mark.parametrize("score, executed, missing, strict, want", [
+    (0.9, True, [], False, ("fully_satisfied", 0.9)), (0.5, True, [], False, ("partially_satisfied", 0.5)), (0.49, True, [], False, ("not_satisfied", 0.49)),
+    (0.95, True, ["x"], True, ("not_satisfied", 0.5)), (0.95, False, [], False, ("execution_failed", 0.0)), (None, True, [], False, ("cannot_evaluate", 0.5)),
+])
+def test_outcomes(spark, score, executed, missing, strict, want):
+    df = spark.createDataFrame([(score, executed, missing)], "s double, e boolean, m array<string>")
+    assert tuple(df.select(tools.outcome("s", "e", "m", strict).alias("o")).first().o) == want
+
+
+@pytest.mark.parametrize("counts, n, want", [((5, 3, 2), 4, [2, 1, 1]), ((97, 1, 1, 1), 3, [2, 1, 1, 1])])
+def test_quotas(spark, counts, n, want):
+    df = spark.createDataFrame([(c,) for c, k in enumerate(counts) for _ in range(k)], "label int")
+    assert [r.quota for r in coverage.quotas(df, n).orderBy("label").collect()] == want
+
+
+def test_centroid_selection_is_cut(spark):
+    rows = [(i, [float(i)], 0) for i in range(97)] + [(97 + k, [0.0], k + 1) for k in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert sorted(r.label for r in coverage.select_centroid(df, 3).collect()) == [0, 0, 1]
+
+
+def test_full_coverage_is_one(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
+    assert coverage.coverage_score(df, df).first()[0] == pytest.approx(1.0)
+    assert coverage.coverage_score(df, df.limit(0)).first()[0] == 0.0
+
+
+def test_farthest_first_is_distinct(spark):
+    df = spark.createDataFrame([(i, [float(i % 7), float(i)], i % 3) for i in range(30)], "vec_id long, embedding array<float>, label int")
+    got = [r.vec_id for r in coverage.select_diverse(df, 10).collect()]
+    assert len(got) == len(set(got)) == 10
+
+
+def test_lenient_json(spark):
+    raws = ['[{"question": "q", "answer": "a"}]', 'Text [{"question": "q", "answer": "a"},] more', "[{'question': 'q', 'answer': 'a'}]", "[{question: \"q\", answer: \"a\",}]", "not JSON", "", None]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    got = [r.p for r in df.select(T.parse_json("raw", "array<struct<question:string,answer:string>>").alias("p")).collect()]
+    assert [bool(g) and (g[0].question, g[0].answer) == ("q", "a") for g in got] == [True] * 4 + [False] * 3
+
+
+def test_fences_and_brackets(spark):
+    df = spark.createDataFrame([("```json\n[1]\n```",), ("```\n[1]\n``` done",), (" [1] ",), ("see ```x```",)], "raw string")
+    assert [r[0] for r in df.select(T.strip_fence("raw")).collect()] == ["[1]", "[1]", "[1]", "see ```x```"]
+    assert T.matching_array('x ["a]", [1]] y]') == '["a]", [1]]'
+    assert T.matching_array("[1") is None and T.matching_array(None) is None
+    assert json.loads(T.parse_conversations('```json\n[[{"role": "user",},],]\n```')) == [[{"role": "user"}]]
+    assert T.parse_conversations("nothing") is None
+    udf = T.parse_conversations_udf()
+    assert spark.createDataFrame([("[1,]",), (None,)], "raw string").select(udf("raw")).collect()[0][0] == "[1]"
+
+
+def test_reasoning(spark):
+    texts = ["Step 1: look.\nTherefore, it is so.", "No marks here.", "First, this only."]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string").select(T.split_reasoning("c").alias("r")).collect()
+    assert [tuple(r.r) for r in rows] == [("Step 1: look.", "it is so."), ("", texts[1]), (texts[2], texts[2])]
+
+
+def test_filters(spark):
+    df = spark.createDataFrame([("a", "x" * 200, "docs/a.md"), ("b", " " * 300, "docs/b.md"), ("c", "y" * 300, "x/login.md"), ("d", None, None)], "id string, content string, source_file string")
+    assert [r.id for r in filters.skip_sources(filters.min_content(df)).collect()] == ["a"]
+    assert [r.id for r in filters.not_blank(df).orderBy("id").collect()] == ["a", "c"]
+    steps = "struct<success:boolean,step_results:array<struct<success:boolean>>>"
+    ex = spark.createDataFrame([(1, (True, [(True,), (False,)])), (2, None), (3, (False, []))], f"idx int, execution_result {steps}")
+    assert [r.idx for r in filters.executed(ex, 0.5).collect()] == [1]
+    assert [r.idx for r in filters.executed(ex, 1.0).collect()] == [1]
+    assert filters.executed(ex, 0).count() == 3
+
+
+def test_conversation_round_trip(pairs):
+    there = curation.to_conversation(pairs)
+    back = curation.from_conversation(there.select("idx", "conversations"))
+    assert sorted((r.idx, r.question, r.answer) for r in back.collect()) == sorted(map(tuple, pairs.collect()))
+    assert curation.detect_format(there) == "conversation" and curation.detect_format(pairs) == "qa"
+
+
+def test_exports(spark, pairs):
+    for kind in export.FORMATS:
+        assert len(export.as_lines(export.to_format(pairs, kind)).collect()) == 3
+    with pytest.raises(ValueError):
+        export.to_format(pairs, "xml")
+    path = "array<struct<step:int,thought:string,tool:string,args:map<string,string>,actual_result:string,status:string,error_message:string>>"
+    ex = spark.createDataFrame([(1, "do it now please", [(1, "think", "calculator", {"expression": "2+2"}, "4", "success", None)], "4")], f"example_id int, instruction string, reasoning_path {path}, final_answer string")
+    text = export.to_format(ex, "alpaca").first().record.output
+    assert text == "Step 1: think\nTool: calculator(expression='2+2')\n\n4"
+    assert len(export.example_to_chatml(ex).first().messages) == 4
+    assert export.example_to_alpaca(ex).count() == export.example_to_sharegpt(ex).count() == export.call_chat(ex).count() == 1
+    done = tools.run_steps(ex).first()
+    assert (done.success, done.output) == (True, "4")
+    assert ex.select(filters.format_errors()).first()[0] == []
+    assert "calculator" in ex.select(tools.solution_summary()).first()[0]
+
+
+@pytest.mark.parametrize("text, value", [("2+2", 4), ("3*3", 9), ("-(1+2)/2", -1.5)])
+def test_calculator(text, value):
+    assert tools.calculate(text) == value
+
+
+def test_calculator_refuses_names():
+    with pytest.raises(ValueError):
+        tools.calculate("__import__('os')")
+
+
+def test_tool_parsers(spark):
+    spec = {"paths": {"/a/{id}": {"get": {"operationId": "getA", "summary": "Gets", "parameters": [{"$ref": "#/components/parameters/Id"}]}}}, "components": {"parameters": {"Id": {"name": "id", "required": True, "schema": {"type": "integer"}}}}}
+    assert tool_parsers.openapi(spec)[0]["parameters"] == [{"name": "id", "type": "integer", "description": "", "required": True}]
+    module = 'def f(a: int, b: str = "x") -> float:\n    """Does.\n\n    Args:\n        a: first\n            goes on\n        b: second\n\n    Returns:\n        A number.\n    """\n\ndef _g():\n    pass\n'
+    found = tool_parsers.python_module(module)
+    assert len(found) == 1 and found[0]["parameters"][0] == {"name": "a", "type": "integer", "description": "first goes on", "required": True}
+    assert found[0]["returns"] == {"type": "number", "description": "A number."}
+    assert tool_parsers.json_tools({"name": "My Tool", "parameters": {"properties": {"x": {"type": "string"}}, "required": ["x"]}})[0]["tool_id"] == "my_tool"
+    assert tools.invalid_tools(tool_parsers.frame(spark, found)).count() == 0
+    assert tool_parsers.function(tools.calculate)["name"] == "calculate"
+
+
+def test_readers_and_sinks(spark, tmp_path, pairs):
+    (tmp_path / "one.json").write_text(json.dumps([{"question": q, "answer": a, "rating": 8 - i} for i, (q, a) in enumerate(PAIRS)]))
+    (tmp_path / "tools.json").write_text(json.dumps({"tools": [{"name": "T One", "description": "d", "parameters": []}]}))
+    (tmp_path / "bad.json").write_text('{"other": 1}')
+    df = readers.datasets(spark, [str(tmp_path / "one.json")], "question string, answer string, rating double, source string")
+    assert [(r.idx, r.dataset) for r in df.orderBy("idx").collect()] == [(0, "one"), (1, "one"), (2, "one")]
+    assert compare.dataset_metrics(df).first().avg_rating == 7.0
+    assert readers.tools(spark, str(tmp_path / "tools.json")).first().tool_id == "t_one"
+    with pytest.raises(ValueError):
+        readers.tools(spark, str(tmp_path / "bad.json"))
+    sinks.result_bundle(pairs, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/parquet")).count() == 3
+    rated = pairs.withColumns({"rating": F.lit(7.5), "topic_relevant": F.lit(True)})
+    sinks.curation_bundle(rated, 7.0, str(tmp_path / "cur"))
+    assert spark.read.json(str(tmp_path / "cur/metrics")).first().filtered == 3
+
+
+def test_config(tmp_path):
+    assert config.resolve({"provider": "gemini", "google": {"model": "m", "temperature": 0}}).temperature == 0
+    with pytest.raises(ValueError):
+        config.resolve({"provider": "unheard"})
+    with pytest.raises(FileNotFoundError):
+        config.prompts(str(tmp_path / "none"))
+    (tmp_path / "p.json").write_text('{"prompt": "hello"}')
+    assert config.prompts(str(tmp_path)) == {"p": "hello"}
+
+
+def test_pipelines_with_stub(spark):
+    chunks = spark.createDataFrame([(str(i), f"file{i}.md", f"text number {i} " * 20) for i in range(12)], "chunk_id string, source_file string, content string")
+    assert pipelines.qa_pipeline(chunks, threshold=0.0).count() <= 12
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": f"t{i}", "description": "d"} for i in range(4)]))
+    assert pipelines.tool_pipeline(listed, 1, 0.0).count() == 4
+
+
+def test_models_fall_back(spark, pairs):
+    class Silent:
+        def generate(self, prompt, temperature=None, max_tokens=None):
+            return "no JSON"
+
+    models.register_provider("silent", lambda **_: Silent())
+    rated = models.rate_pairs(pairs, "{question}", provider="stub")
+    assert rated.count() == 3
+    assert models.ask_with_retries(Silent(), "x") == "no JSON"
+
+    class Busy:
+        calls = 0
+
+        def generate(self, prompt, temperature=None, max_tokens=None):
+            Busy.calls += 1
+            raise models.RateLimited("wait")
+
+    with pytest.raises(models.RateLimited):
+        models.ask_with_retries(Busy(), "x", wait=0)
+    assert Busy.calls == 3
+
+
+def test_stream_resumes(spark, tmp_path):
+    from curatrix.streaming.resume import process_new_chunks
+
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    spark.range(5).write.parquet(src)
+    run = lambda: process_new_chunks(spark, src, "id long", lambda d: d.where("id >= 0"), out, mark).awaitTermination()
+    run()
+    spark.range(5, 8).write.mode("append").parquet(src)
+    run()
+    run()
+    assert spark.read.parquet(out).count() == 8
+
+
+def test_cli_has_all_commands():
+    from curatrix import cli
+
+    assert len(cli.COMMANDS) == 22
+    assert cli.parser().parse_args(["tool-deps", "x.json", "--validate", "a -> b"]).validate == "a -> b"
+
+
+def test_row_order_does_not_matter(spark, pairs):
+    a = scoring.top_k(scoring.score(pairs), 2).collect()
+    b = scoring.top_k(scoring.score(pairs.repartition(3)), 2).collect()
+    assert a == b
+    assert scoring.seeded_sample(pairs, 2, "idx").collect() == scoring.seeded_sample(pairs.repartition(3), 2, "idx").collect()
