@@ -102,7 +102,7 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def list_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links among the distinct fingerprints of one list.
+    """Members of one list, each with the least member that it reaches over links within the list.
 
     Short lists compare all members in blocks; long ones look each member's
     neighbours up: all members share five bytes, so three bytes' bits may flip.
@@ -176,7 +176,7 @@ def _list_edges(lists: DataFrame) -> DataFrame:
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between distinct fingerprints ``fp`` that connect all within three bits."""
+    """Pairs ``(a, b)`` of distinct fingerprints ``fp`` that have the same components as all links of three bits."""
     fp = F.col("fp")
     posted = fps.select("fp", F.posexplode(F.array(*[_posting(n, s, fp) for n, s in enumerate(FOURS)])).alias("number", "key"))
     long = posted.groupBy("key").count().where(F.col("count") > LONG_LIST).select("key")
