@@ -112,3 +112,38 @@ def coverage_score(df: DataFrame, selected: DataFrame, vector: str = "embedding"
     met = rows.crossJoin(F.broadcast(packed) if small else packed)
     nearest = met.select("row", F.array_min(F.transform("picks", lambda s: euclidean(F.col("v"), s))).alias("d")).groupBy("row").agg(F.min("d").alias("d"))
     return nearest.agg(F.coalesce(1 / (1 + F.avg("d")), F.lit(0.0)).alias("coverage"))
+
+
+def embedding_text(df: DataFrame) -> DataFrame:
+    """``embedding_text``: the fields that stand for an example, joined by spaces; the whole row as JSON if it has none.
+
+    An instruction counts only where there is no question; a list of reasoning
+    steps is joined; conversations give the contents of their turns.
+    """
+    have = set(df.columns)
+    text = lambda c: F.when(F.length(F.col(c)) > 0, F.col(c))
+    parts = [text(c) for c in ("question", "answer") if c in have]
+    if "reasoning" in have:
+        listed = df.schema["reasoning"].dataType.typeName() == "array"
+        parts.append(F.array_join("reasoning", " ") if listed else text("reasoning"))
+    if "instruction" in have:
+        parts.append(F.when(F.col("question").isNull(), text("instruction")) if "question" in have else text("instruction"))
+    parts += [F.array_join(F.transform(c, lambda m: m["content"]), " ") for c in ("conversations", "messages") if c in have]
+    joined = F.concat_ws(" ", *parts) if parts else F.lit("")
+    return df.withColumn("embedding_text", F.when(F.length(joined) > 0, joined).otherwise(F.to_json(F.struct(*df.columns))))
+
+
+def embed(df: DataFrame, encoder, column: str = "embedding_text") -> DataFrame:
+    """``embedding`` of every text; equal texts are encoded once.
+
+    ``encoder`` makes, once per task, a function from a list of texts to a list of vectors.
+    """
+    import pandas as pd
+
+    def run(frames):
+        encode = encoder()
+        for frame in frames:
+            yield pd.DataFrame({column: frame[column], "embedding": [[float(x) for x in v] for v in encode(frame[column].tolist())]})
+
+    vectors = df.select(column).where(F.col(column).isNotNull()).distinct().mapInPandas(run, f"`{column}` string, embedding array<float>")
+    return df.join(vectors, column, "left")

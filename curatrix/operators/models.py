@@ -91,8 +91,12 @@ def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: floa
     """``df`` with ``raw`` and ``error``: a client per task, and a few calls at a time within it."""
     import pandas as pd
 
+    if provider not in _FACTORIES:
+        raise ValueError(f"unknown provider: {provider}")
+    factory = _FACTORIES[provider]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = client(provider, **options)
+        model = factory(**options)
 
         def one(text: str) -> tuple[str | None, str | None]:
             try:
@@ -199,3 +203,52 @@ def hybrid(chain_first: DataFrame, query_first: DataFrame, n: int, ratio: float
     """A mix: ``int(n * ratio)`` examples built from chains, the rest from queries."""
     first = chain_first.orderBy(order).limit(int(n * ratio))
     return first.unionByName(query_first.orderBy(order).limit(n - int(n * ratio)), allowMissingColumns=True)
+
+
+def category_leaders(tools: DataFrame) -> DataFrame:
+    """The first tool of every category, for instructions across categories."""
+    first = tools.groupBy(F.coalesce("category", F.lit("other")).alias("category")).agg(F.min(F.struct("idx", "tool_id")).alias("first"))
+    return first.select("category", "first.tool_id")
+
+
+_PATH = "array<struct<step:int,thought:string,tool:string,args:map<string,string>,actual_result:string,status:string,error_message:string>>"
+
+
+def annotate(instructions: DataFrame, template: str, several: bool = False, **options) -> DataFrame:
+    """``reasoning_path`` and ``final_answer`` for each instruction; rows the model cannot solve go."""
+    answers = ask(instructions, fill(template, instruction=F.col("instruction")), temperature=0.5 if several else 0.3, **options)
+    body = F.from_json(F.regexp_extract("raw", r"(?s)\{.*\}", 0), f"reasoning_path {_PATH}, final_answer string")
+    solved = answers.withColumns({"reasoning_path": body["reasoning_path"], "final_answer": body["final_answer"]}).drop("raw", "error")
+    return solved.where(F.coalesce(F.size("reasoning_path"), F.lit(0)) > 0)
+
+
+def chain_first(chains: DataFrame, template: str, n: int, least_steps: int = 2, **options) -> DataFrame:
+    """At most ``n`` examples that start from chains of tools; of three times as many asked, those that can be read stay."""
+    ready = chains.where(F.size("chain") >= least_steps).withColumn("chain_text", F.array_join("chain", " -> ")).orderBy("chain_text").limit(3 * n)
+    answers = ask(ready, fill(template, chain=F.col("chain_text")), temperature=0.7, **options)
+    question = F.get(parse_json(strip_fence("raw"), "array<struct<question:string>>"), 0)["question"]
+    made = answers.withColumns({"instruction": question, "difficulty": F.when(F.size("chain") >= 3, "complex").otherwise("medium")}).drop("raw", "error")
+    return made.where(F.length(F.coalesce("instruction", F.lit(""))) > 0).orderBy("chain_text").limit(n)
+
+
+def simulate_steps(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
+    """Each step with a result that the model makes up: ``(example, position, success, output, error)``."""
+    from .tools import step_rows
+
+    steps = step_rows(examples, key).select(key, "position", "thought", "tool", F.to_json("args").alias("args_text"))
+    answers = ask(steps, fill(template, tool=F.col("tool"), args=F.col("args_text")), temperature=0.3, **options)
+    return answers.select(key, "position", F.col("error").isNull().alias("success"), F.col("raw").alias("output"), "error")
+
+
+def verify(examples: DataFrame, template: str, **options) -> DataFrame:
+    """``verified``: whether the model finds the answer sound; true where it fails to say."""
+    answers = ask(examples, fill(template, instruction=F.col("instruction"), answer=F.col("final_answer")), temperature=0.1, **options)
+    said = F.get_json_object(F.regexp_extract("raw", r"(?s)\{.*\}", 0), "$.valid")
+    return answers.withColumn("verified", F.coalesce(F.lower(said) == "true", F.lit(True))).drop("raw", "error")
+
+
+def requirements(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
+    """``(example, n, requirement)``: what an instruction asks for."""
+    answers = ask(examples.select(key, "instruction"), fill(template, instruction=F.col("instruction")), temperature=0.1, **options)
+    listed = F.from_json(F.regexp_extract("raw", r"(?s)\[.*\]", 0), "array<string>")
+    return answers.select(key, F.posexplode(listed).alias("n", "requirement"))

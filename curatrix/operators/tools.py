@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import ast
 import operator
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,6 +167,8 @@ BUILTINS: dict[str, object] = {
     "calculator": lambda expression: calculate(expression),
     "string_length": lambda text: len(text),
     "reverse_string": lambda text: text[::-1],
+    "current_time": lambda: datetime.now(UTC).strftime("%H:%M:%S"),
+    "current_date": lambda: datetime.now(UTC).strftime("%Y-%m-%d"),
 }
 
 

@@ -504,6 +504,26 @@ def chunk_to_chatml(spark, sf_dir):
     return chat.select("idx", "combined", F.col("messages")[0]["content"].alias("user_text"), F.col("messages")[1]["content"].alias("assistant_text"))
 
 
+@_query(f"WITH {_PAIRS} SELECT idx, CASE WHEN idx % 2 = 0 THEN concat_ws(' ', nullif(question, ''), nullif(answer, ''), question || ' ' || answer) ELSE concat_ws(' ', nullif(answer, ''), nullif(question, ''), question || ' ' || answer) END AS embedding_text FROM pairs")
+def embedding_texts(spark, sf_dir):
+    """Of even pairs the question counts, of odd ones the instruction."""
+    p = _pairs(spark, sf_dir).withColumn("messages", F.array(F.struct(F.col("question").alias("content")), F.struct(F.col("answer").alias("content"))))
+    p = p.withColumns({"instruction": F.col("question"), "question": F.when(F.col("idx") % 2 == 0, F.col("question"))})
+    return coverage.embedding_text(p).select("idx", "embedding_text")
+
+
+@_query("SELECT coalesce(lang, 'other') AS category, CAST(min(doc_id) AS VARCHAR) AS tool_id FROM documents GROUP BY 1")
+def category_leaders(spark, sf_dir):
+    rows = _chunks(spark, sf_dir).select("idx", F.col("lang").alias("category"), F.col("idx").cast("string").alias("tool_id"))
+    return models.category_leaders(rows)
+
+
+@_query("SELECT doc_id AS idx, next AS next_tool FROM (SELECT doc_id, lead(CAST(doc_id AS VARCHAR)) OVER (PARTITION BY lang, source ORDER BY doc_id) AS next FROM documents) WHERE next IS NOT NULL")
+def neighbour_tools(spark, sf_dir):
+    rows = _chunks(spark, sf_dir).select("idx", F.concat_ws("/", "lang", "source_file").alias("category"), F.col("idx").cast("string").alias("tool_id"))
+    return models.tool_pairs(rows).select(F.col("tool_id").cast("long").alias("idx"), "next_tool")
+
+
 @_query()
 def model_generate(spark, sf_dir):
     c = _chunks(spark, sf_dir).select(F.col("idx").alias("chunk_id"), "source_file", "content")

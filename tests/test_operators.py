@@ -241,6 +241,31 @@ def test_models_fall_back(spark, pairs):
     assert Busy.calls == 3
 
 
+def test_embedding_once_per_text(spark, pairs):
+    rows = coverage.embedding_text(pairs.union(pairs))
+    assert coverage.embed(rows, lambda: lambda texts: [[len(t), 1.0] for t in texts]).where("embedding[1] = 1").count() == 6
+    bare = spark.createDataFrame([(1, "x")], "n int, other string")
+    assert coverage.embedding_text(bare).first().embedding_text == '{"n":1,"other":"x"}'
+
+
+def test_model_operators_on_examples(spark):
+    class Solver:
+        def generate(self, prompt, temperature=None, max_tokens=None):
+            if prompt.startswith("solve"):
+                return 'Here: {"reasoning_path": [{"step": 1, "thought": "t", "tool": "string_length", "args": {"text": "abc"}}], "final_answer": "3"}'
+            return '{"valid": false} ["needs a number"]' if prompt.startswith("check") else '[{"question": "ask"}]'
+
+    models.register_provider("solver", lambda **_: Solver())
+    df = spark.createDataFrame([(1, "how long is abc")], "example_id long, instruction string")
+    solved = models.annotate(df, "solve {instruction}", provider="solver")
+    assert solved.first().final_answer == "3" and tools.run_steps(solved).first().output == "3"
+    assert models.simulate_steps(solved, "run {tool} {args}", provider="solver").first().success
+    assert models.verify(solved, "check {answer}", provider="solver").first().verified is False
+    assert models.requirements(df, "check {instruction}", provider="solver").first().requirement == "needs a number"
+    net = spark.createDataFrame([(["a", "b", "c"],), (["a"],)], "chain array<string>")
+    assert [r.difficulty for r in models.chain_first(net, "{chain}", 2, provider="solver").collect()] == ["complex"]
+
+
 def test_stream_resumes(spark, tmp_path):
     from curatrix.streaming.resume import process_new_chunks
 
