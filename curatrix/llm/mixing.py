@@ -112,6 +112,30 @@ def _key(source: str | Column) -> list[Column]:
     return [F.coalesce(source.cast("string"), F.lit("")).alias("mix_key"), source.isNull().alias("mix_none")]
 
 
+def _mixed(df: DataFrame, id_col: str, source_col: str, size: Column, seed: int, block: int) -> DataFrame:
+    """``(row, size, source_size, target, taken)``; ``row`` holds all columns of ``df``, so no name can clash."""
+    spark = df.sparkSession
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"), size.alias("size"), *_key(source_col), F.xxhash64(F.lit(seed), F.col(id_col)).alias("turn"))
+    shards = max(1, math.isqrt(df.count()))
+    rows = rows.withColumn("shard", F.pmod("turn", F.lit(shards)))
+    unit = ["mix_key", "mix_none", "shard"]
+    units = rows.groupBy(*unit).agg(F.sum("size")).collect()
+    plan = plan_units([(None if none else key, shard, n or 0) for key, none, shard, n in units], seed, block)
+    fields = ("source_size", "target", "start", "first", "base", "run_start", "run_end", "wrap_end", "carry")
+    table = spark.createDataFrame(plan, _UNIT).select(*_key("source"), "shard", *fields)
+    before = Window.partitionBy(*unit).orderBy("turn", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0))).join(table, unit)
+    x0 = F.col("start") + F.col("at")
+    x1 = x0 + F.col("size")
+
+    def overlap(low: Column | str, high: Column | str) -> Column:
+        low, high = (F.col(c) if isinstance(c, str) else c for c in (low, high))
+        return F.greatest(F.lit(0), F.least(x1, high) - F.greatest(x0, low))
+
+    taken = F.col("carry") * overlap("start", "first") + F.col("base") * overlap("first", x1) + overlap("run_start", "run_end") + overlap("first", "wrap_end")
+    return joined.select("row", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", seed: int = 8, block: int = BLOCK_TOKENS) -> DataFrame:
     """All rows of ``df`` with ``source_size``, ``target`` and ``taken``.
 
@@ -123,27 +147,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_
     however it is partitioned.  Columns of ``df`` that have names of the result
     are replaced.
     """
-    spark = df.sparkSession
     names = [c for c in df.columns if c not in ("source_size", "target", "taken")]
-    turn = F.xxhash64(F.lit(seed), F.col(id_col))
-    rows = df.select(*names, *_key(source_col), turn.alias("mix_turn"))
-    shards = max(1, math.isqrt(rows.count()))
-    rows = rows.withColumn("mix_shard", F.pmod("mix_turn", F.lit(shards)))
-    units = rows.groupBy("mix_key", "mix_none", "mix_shard").agg(F.sum(size_col)).collect()
-    plan = plan_units([(None if none else key, shard, n or 0) for key, none, shard, n in units], seed, block)
-    unit = ("mix_key", "mix_none", "mix_shard")
-    table = spark.createDataFrame(plan, _UNIT).select(*_key("source"), F.col("shard").alias("mix_shard"), *(F.col(c).alias(f"mix_{c}") for c in ("source_size", "target", "start", "first", "base", "run_start", "run_end", "wrap_end", "carry")))
-    before = Window.partitionBy(*unit).orderBy("mix_turn", id_col, size_col).rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.withColumn("mix_at", F.coalesce(F.sum(size_col).over(before), F.lit(0))).join(table, list(unit))
-    x0 = F.col("mix_start") + F.col("mix_at")
-    x1 = x0 + F.col(size_col)
-
-    def overlap(low: Column, high: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(x1, high) - F.greatest(x0, low))
-
-    c = lambda name: F.col(f"mix_{name}")
-    taken = c("carry") * overlap(c("start"), c("first")) + c("base") * overlap(c("first"), x1) + overlap(c("run_start"), c("run_end")) + overlap(c("first"), c("wrap_end"))
-    return joined.select(*names, c("source_size").alias("source_size"), c("target").alias("target"), taken.cast("long").alias("taken"))
+    mixed = _mixed(df, id_col, source_col, F.coalesce(F.col(size_col).cast("long"), F.lit(0)), seed, block)
+    return mixed.select(*[F.col("row").getField(c).alias(c) for c in names], "source_size", "target", "taken")
 
 
 def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 8) -> DataFrame:
@@ -153,6 +159,6 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     from .common import word_count
 
-    mixed = mix(df.withColumn("mix_size", word_count(text_col)), id_col, source_col, "mix_size", seed)
-    copies = F.floor((2 * F.col("taken") + F.col("mix_size")) / (2 * F.col("mix_size"))).cast("int")
-    return mixed.where("mix_size > 0").withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*df.columns)
+    mixed = _mixed(df, id_col, source_col, word_count(text_col), seed, BLOCK_TOKENS).where("size > 0")
+    copies = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
+    return mixed.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col("row").getField(c).alias(c) for c in df.columns])

@@ -182,7 +182,7 @@ def test_sainte_lague_by_highest_quotients():
 def _mixed(spark, parts):
     rng = np.random.default_rng(7)
     rows = [(int(i), [None, "b", "a", "é", ""][int(rng.choice(5, p=[0.1, 0.5, 0.2, 0.15, 0.05]))], int(rng.integers(0, 900))) for i in range(3000)] + [(7, "a", 50), (7, "a", 50), (None, None, 20)]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, source string, size long, taken int").repartition(parts)
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, source string, size long, taken int, shard int, turn int").repartition(parts)
     return rows, sorted(map(str, (tuple(r) for r in mx.mix(df).select("doc_id", "source", "size", "source_size", "target", "taken").collect()))), mx.mix(df)
 
 
