@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -129,14 +130,21 @@ class WordTokenizer:
     """The library's ids, asked for once for each distinct word.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words one after the other.
+    are those of its words one after the other.  It also cuts between letters
+    and the marks after them, so such words are put together from both.
     """
 
+    #: Letters, each of which alone or in a row is one unit for the tokenizer, then marks other than the apostrophe.
+    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
+        ends = [i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
+        self.ends = np.zeros(max(ends, default=0) + 1, bool)
+        self.ends[ends] = True
         self.memory: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -150,11 +158,38 @@ class WordTokenizer:
             if again := unknown & self.older.keys():
                 self.memory.update((w, self.older[w]) for w in again)
                 unknown = unknown - again
-            listed = list(unknown)
-            for w, found in zip(listed, self.library.encode_batch_fast([w.decode() for w in listed], add_special_tokens=False), strict=True):
-                self.memory[w] = np.array(found.ids, "<u4").tobytes()
+            self._learn(unknown)
         return [b"".join(map(self.memory.__getitem__, ws)) for ws in words]
 
+    def _learn(self, unknown: set[bytes]) -> None:
+        """Ask for words of letters all at once, as one text; for what is not so plain one by one."""
+        memory, odd, stems, pairs = self.memory, [], set(), []
+        for w in unknown:
+            if plain := self.PLAIN.fullmatch(w.decode()):
+                stem = plain[1].encode()
+                if stem not in memory:
+                    stems.add(stem)
+                if plain[2]:
+                    pairs.append((w, stem, plain[2].encode()))
+            else:
+                odd.append(w)
+        odd += {tail for *_, tail in pairs}.difference(memory)
+        listed = list(stems)
+        for at in range(0, len(listed), 2000):
+            some = listed[at : at + 2000]
+            ids = np.array(self.library.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
+            if len(cuts) != len(some):
+                odd += some
+                continue
+            raw = ids.astype("<u4").tobytes()
+            for w, a, b in zip(some, [0, *(4 * cuts[:-1]).tolist()], (4 * cuts).tolist(), strict=True):
+                memory[w] = raw[a:b]
+        for w, found in zip(odd, self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), strict=True):
+            memory[w] = np.array(found.ids, "<u4").tobytes()
+        for w, stem, tail in pairs:
+            memory[w] = memory[stem] + memory[tail]
+
     def _words(self, text: str) -> list[bytes]:
         """Words between ASCII white space; where no letter can compose with a mark, in ASCII lower case, as the tokenizer lowers them anyway."""
         try:
