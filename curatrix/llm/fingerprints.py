@@ -153,10 +153,9 @@ def by_order(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     firsts = sorted((b, k) for b, k in rows.groupBy("bucket").agg(F.min("key")).collect())
     if not firsts:
         return rows.withColumn("halo", F.lit(0))
-    before = {k: firsts[i - 1][0] for i, (_, k) in enumerate(firsts)}
-    halo = rows.where(F.col("key").isin(list(before))).groupBy("key").agg(F.min("text").alias("text"))
-    places = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    halo = halo.select("key", "text", F.element_at(places, F.col("key")).alias("bucket"), F.lit(1).alias("halo"))
+    before = spark.createDataFrame([(k, firsts[i - 1][0]) for i, (_, k) in enumerate(firsts)], "key long, bucket int")
+    halo = rows.drop("bucket").join(F.broadcast(before), "key").groupBy("key", "bucket").agg(F.min("text").alias("text"))
+    halo = halo.select("key", "text", "bucket", F.lit(1).alias("halo"))
     return rows.withColumn("halo", F.lit(0)).unionByName(halo).repartitionById(parts, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "halo", "key", "text")
 
 
