@@ -71,6 +71,7 @@ def test_zip64_directories_and_damage(monkeypatch):
     ("<nav>menu</nav><article><h1>T</h1><p>one<br>two</p><aside>no</aside><div class='ad-box'>no</div></article><footer>f</footer>", "T one two"),
     ("<main>x<form>f</form><section id=comments>c</section>y</main>", "x y"), ("<script>var t='</p>';</script><p>a&lt;b</p><style>p{}</style>", "a<b"),
     ("<article>a<!-- c --> b<article class=comment>no</article></article>", "a b"), ("<div role=navigation>n</div><p>t</p>", "t"), ("<p>unclosed <b>bold <i>it", "unclosed bold it"),
+    ("<head><meta charset=utf-8><body><p>t</p>", "t"), ("<p>a</p><div id=cookieBanner>c</div><ul class='sidebar_left'><li>s</ul>b", "a b"), ("<article><p>a<span class=ad>x</span>b</p></article>", "a b"),
     ("<article>x < y & z</article>", "x < y & z"), ("<header>h</header><article><header>Title</header>t</article>", "Title t"), ("<p hidden>h</p><p>&nbsp;v&nbsp;w</p>", "v w"),
 ])
 def test_page_text(html, text):
