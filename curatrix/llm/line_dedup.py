@@ -59,20 +59,28 @@ def _lines(docs: DataFrame) -> DataFrame:
     return split.withColumn("line", F.btrim("raw", F.lit(_WHITE))).where("line != ''").drop("raw")
 
 
-def _rest_keys(lines: DataFrame) -> DataFrame:
-    """A row for each line, length it is seen as, and block: the key of all the rest, and the block."""
-    seen = lines.withColumn("size", F.length("line")).withColumn("m", F.explode(F.array(F.col("size"), F.col("size") - 1)))
-    seen = seen.withColumn("blocks", F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(2), F.floor(F.col("m") / BLOCK_CHARS))).cast("int"))
-    cut = seen.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.withColumns({"start": F.floor(F.col("b") * F.col("m") / F.col("blocks")).cast("int"), "end": F.floor((F.col("b") + 1) * F.col("m") / F.col("blocks")).cast("int")})
+def _cut(rows: DataFrame) -> DataFrame:
+    """``rest`` and ``block`` of lines seen as one of ``m`` characters, for block number ``b``."""
+    cut = rows.withColumns({"start": F.floor(F.col("b") * F.col("m") / F.col("blocks")).cast("int"), "end": F.floor((F.col("b") + 1) * F.col("m") / F.col("blocks")).cast("int")})
     line, tail = F.col("line"), F.col("m") - F.col("end")
     rest = F.xxhash64("m", "b", F.xxhash64(_left(line, F.col("start"))), F.xxhash64(_right(line, F.col("size"), tail)))
     block = F.substring(line, F.col("start") + 1, F.col("size") - tail - F.col("start"))
-    return cut.select("h1", "order", "line", "size", "m", rest.alias("rest"), block.alias("block"))
+    return cut.withColumns({"rest": rest, "block": block}).drop("start", "end", "blocks")
+
+
+def _rest_keys(lines: DataFrame) -> DataFrame:
+    """``(rest, h1, m, b)`` for each line, length it is seen as, and block: the key of all but the block."""
+    seen = _seen(lines).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return _cut(seen).select("rest", "h1", "m", "b")
+
+
+def _seen(lines: DataFrame) -> DataFrame:
+    seen = lines.withColumn("size", F.length("line")).withColumn("m", F.explode(F.array(F.col("size"), F.col("size") - 1)))
+    return seen.withColumn("blocks", F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(2), F.floor(F.col("m") / BLOCK_CHARS))).cast("int"))
 
 
 def _variants(rows: DataFrame) -> DataFrame:
-    """Hashed deletion variants ``(key, side)`` of the blocks.
+    """Hashed deletion variants ``(key, side, h1, order)`` of the blocks.
 
     Side 0 meets side 0: the same character is lost at the same place.  Side 1
     is a whole line, side 2 a longer one that has lost a character.
@@ -83,18 +91,24 @@ def _variants(rows: DataFrame) -> DataFrame:
     same = F.transform(lost, lambda x: F.struct(F.xxhash64(F.lit(0), F.col("rest"), x["i"], x["v"]).alias("key"), F.lit(0).alias("side")))
     longer = F.transform(lost, lambda x: F.struct(F.xxhash64(F.lit(1), F.col("rest"), x["v"]).alias("key"), F.lit(2).alias("side")))
     own = F.when(F.col("size") == F.col("m"), F.concat(same, F.array(F.struct(whole.alias("key"), F.lit(1).alias("side"))))).otherwise(longer)
-    return rows.where(n > 0).select("h1", "order", "line", F.inline(F.array_distinct(own)))
+    return rows.where(n > 0).select("h1", "order", F.inline(F.array_distinct(own)))
 
 
 def near_lines(candidates: DataFrame) -> DataFrame:
-    """The ``order`` of those of the distinct lines ``(h1, order, line)`` that have an earlier line within one edit."""
+    """The ``order`` of those of the distinct lines ``(h1, order, line)`` that have an earlier line within one edit.
+
+    Keys travel without the lines' texts; these are joined again where they are needed.
+    """
     rows = _rest_keys(candidates)
     shared = rows.groupBy("rest").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("rest")
-    variants = _variants(rows.join(shared, "rest", "left_semi"))
-    least = variants.groupBy("key", "side").agg(F.min(F.struct("order", "line")).alias("seen"))
+    places = rows.join(shared, "rest", "left_semi").select("h1", "m", "b")
+    variants = _variants(_cut(_seen(candidates).join(places, ["h1", "m"])))
+    least = variants.groupBy("key", "side").agg(F.min(F.struct("order", "h1")).alias("seen"))
     meets = least.select("key", F.when(F.col("side") == 0, 0).otherwise(3 - F.col("side")).alias("side"), "seen")
-    met = variants.join(meets, ["key", "side"]).where(F.col("seen.order") < F.col("order"))
-    return met.where(F.levenshtein("line", "seen.line", 1) >= 0).select("order").distinct()
+    met = variants.join(meets, ["key", "side"]).where(F.col("seen.order") < F.col("order")).select("order", "h1", F.col("seen.h1").alias("other")).distinct()
+    texts = candidates.select("h1", "line")
+    both = met.join(texts, "h1").join(texts.select(F.col("h1").alias("other"), F.col("line").alias("earlier")), "other")
+    return both.where(F.levenshtein("line", "earlier", 1) >= 0).select("order").distinct()
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,12 +124,13 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     columns of ``df`` that have names of the result are replaced.
     """
     names = [c for c in df.columns if c not in ("n_lines", "n_removed", "n_near")]
-    held = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    others = [F.col(f"`{c}`") for c in names if c != text_col]
+    held = (F.struct(*others) if others else F.struct(F.lit(0))).alias("row")
     text = F.col(text_col).cast("string")
     docs = df.select(F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"), held)
     lines = _lines(docs)
     found = lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), *_ORDER, F.when(F.length("line") >= NEAR_CHARS, _half_keys(F.col("line"), F.length("line"))).alias("halves"))
-    distinct = materialise(found.groupBy("h1", "h2").agg(F.min(F.struct(*_ORDER)).alias("order"), F.any_value("halves").alias("halves")), "lines")
+    distinct = materialise(found.groupBy("h1", "h2").agg(F.min(F.struct(*_ORDER)).alias("order"), F.any_value("halves").alias("halves")).drop("h2"), "lines")
 
     keys = distinct.where("halves is not null").select("h1", F.explode("halves").alias("half"))
     shared = keys.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("half")
@@ -125,16 +140,19 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     candidates = lines.join(F.broadcast(places) if small else places, list(_ORDER)).where(F.length("line") >= NEAR_CHARS)
     near = near_lines(materialise(candidates.select("h1", F.struct(*_ORDER).alias("order"), "line").distinct(), "candidates"))
 
-    marked = distinct.select("order").join(near.withColumn("near", F.lit(True)), "order", "left").select("order.*", F.coalesce("near", F.lit(False)).alias("near"))
-    kept = marked.groupBy("no_id", "id", "text_hash").agg(F.collect_list(F.when(~F.col("near"), F.col("pos"))).alias("kept"), F.count_if("near").alias("n_near"))
-    joined = docs.join(kept, ["no_id", "id", "text_hash"], "left")
+    doc = ["no_id", "id", "text_hash"]
+    firsts = distinct.select("order.*").groupBy(*doc).agg(F.collect_list("pos").alias("firsts"))
+    away = near.select("order.*").groupBy(*doc).agg(F.collect_list("pos").alias("away"))
+    joined = docs.join(firsts, doc, "left").join(away, doc, "left")
     split = F.split("text", "\n")
     blank = F.filter(F.transform(split, lambda x, i: F.when(F.btrim(x, F.lit(_WHITE)) == "", i)), lambda i: i.isNotNull())
-    stay = F.array_sort(F.concat(F.coalesce("kept", F.array().cast("array<int>")), blank))
+    none = F.array().cast("array<int>")
+    stay = F.array_sort(F.concat(F.array_except(F.coalesce("firsts", none), F.coalesce("away", none)), blank))
     out = joined.withColumns({"stay": stay, "lines": split}).withColumn("new_text", F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n"))
+    n_near = F.coalesce(F.size("away"), F.lit(0))
     columns = [F.col("new_text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names]
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(split))
-    return out.select(*columns, n_lines.cast("long").alias("n_lines"), (n_lines - F.when(F.col("text").isNull(), 0).otherwise(F.size("stay"))).cast("long").alias("n_removed"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
+    return out.select(*columns, n_lines.cast("long").alias("n_lines"), (n_lines - F.when(F.col("text").isNull(), 0).otherwise(F.size("stay"))).cast("long").alias("n_removed"), F.greatest(F.lit(0), n_near).cast("long").alias("n_near"))
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
