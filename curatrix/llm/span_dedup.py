@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,8 @@ WINDOW_GRAMS = LENGTH - GRAM + 1
 #: Contexts that one suffix array covers, but for a larger group of one anchor.
 ARRAY_CONTEXTS = 6000
 ROW_GROUP = 512
+#: A later task holds the shared contexts of one file, which take a few times its text at most.
+FILE_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -145,25 +148,35 @@ class _File:
 
 
 def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> list[str]:
-    """Copies of all rows, one file per partition; null ids become the greatest."""
+    """Copies of all rows in files of about ``FILE_BYTES`` of text; null ids become the greatest."""
     kind = pa.schema([("id", pa.int64()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = stream = None
-        uri = child_uri(folder, f"{uuid.uuid4().hex}.docs")
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if writer is None:
-                store, path = open_store(uri)
-                store.create_dir(path.rpartition("/")[0], recursive=True)
-                stream = store.open_output_stream(path, compression=None)
-                writer = pq.ParquetWriter(stream, kind, compression="zstd", use_dictionary=False)
-            writer.write_batch(pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.binary())], schema=kind), row_group_size=ROW_GROUP)
-        if writer is not None:
+        uri, size = "", 0
+
+        def done() -> pa.RecordBatch:
             writer.close()
             stream.close()
-            yield pa.RecordBatch.from_pydict({"uri": [uri]})
+            return pa.RecordBatch.from_pydict({"uri": [uri]})
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROW_GROUP):
+                part = batch.slice(at, ROW_GROUP)
+                if writer is None:
+                    uri, size = child_uri(folder, f"{uuid.uuid4().hex}.docs"), 0
+                    store, path = open_store(uri)
+                    store.create_dir(path.rpartition("/")[0], recursive=True)
+                    stream = store.open_output_stream(path, compression=None)
+                    writer = pq.ParquetWriter(stream, kind, compression="zstd", use_dictionary=False)
+                text = part.column(1).cast(pa.binary())
+                writer.write_batch(pa.RecordBatch.from_arrays([part.column(0), text], schema=kind))
+                size += pc.sum(pc.binary_length(text)).as_py() or 0
+                if size >= FILE_BYTES:
+                    yield done()
+                    writer = None
+        if writer is not None:
+            yield done()
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     return sorted(r[0] for r in rows.mapInArrow(run, "uri string").collect())

@@ -220,6 +220,8 @@ def _spans_by_hand(rows):
 @pytest.mark.parametrize("array_contexts", [6000, 5])
 def test_spans_by_brute_force(spark, monkeypatch, array_contexts):
     monkeypatch.setattr(sd, "ARRAY_CONTEXTS", array_contexts)
+    monkeypatch.setattr(sd, "FILE_BYTES", 1000 * array_contexts)
+    monkeypatch.setattr(sd, "ROW_GROUP", 7)
     rng = random.Random(11)
     words = ["".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(200)]
     passages = [" ".join(rng.choice(words) for _ in range(rng.randrange(5, 40))) for _ in range(6)]
