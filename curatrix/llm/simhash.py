@@ -202,7 +202,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     grown = nodes.join(roots, nodes["fp"] == roots["node"], "inner").select("fp", "root", "least")
     groups = grown.groupBy("root").agg(F.min("least").alias("component_id"))
     placed = grown.join(groups, "root").select("fp", "component_id")
-    table = nodes.join(placed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # Written, so that the last join has plain exchanges on both sides and a fingerprint of many copies can be split.
+    table = materialise(nodes.join(placed, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "groups")
     return marked.join(table, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
