@@ -114,6 +114,20 @@ def test_pages_with_large_hosts(spark, monkeypatch):
     assert ht.extract_text(df.limit(0)).count() == 0
 
 
+def test_runs_are_counted_over_whole_hosts(spark, monkeypatch):
+    notice = "this site stores small files on your device to work well"
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(400)]
+    htmls = [f"<div>{' '.join(rng.choice(words, 12))} {notice if i in (3, 40, 77) else ''}</div><nav>{notice[:9]}</nav>" for i in range(90)] + [f"<div>{notice} x{i}</div><article>a{i}</article>" for i in range(2)]
+    df = spark.createDataFrame([(i, "http://h/x", h) for i, h in enumerate(htmls)], "page_id long, url string, html string").repartition(5)
+    want = ht.host_texts([ht.blocks(h) for h in htmls])
+    assert not any(notice in t for t in want)
+    for most, hosts in ((2000, 100), (5, 100), (5, 0)):
+        monkeypatch.setattr(ht, "SHARD_PAGES", most)
+        monkeypatch.setattr(ht, "BROADCAST_HOSTS", hosts)
+        assert [r.text for r in ht.extract_text(df).orderBy("page_id").collect()] == want
+
+
 @pytest.mark.parametrize("text", [None, "", " \n\t", "a b c", "a b c a b c", "x y z q x y z", "l1\nl2\nl1\n\n \nl1", "a\x1fb c d", "# $ %% a*", "word " * 500, "é à\x0bü\x0c"])
 def test_base_statistics_by_brute_force(text):
     t = text or ""
