@@ -128,6 +128,19 @@ def test_runs_are_counted_over_whole_hosts(spark, monkeypatch):
         assert [r.text for r in ht.extract_text(df).orderBy("page_id").collect()] == want
 
 
+def test_copies_and_repeated_rows_of_a_page_are_one_page(spark, monkeypatch):
+    story = "a story of well over eight words that only this page tells"
+    assert ht.host_texts([ht.blocks(f"<div>{story}</div>")] * 4) == [story] * 4
+    ids = [(i, f"<div>{story}</div>") for i in (1, 2, 3, None)]
+    again = [(9, f"<div>{story.upper()} {k}</div>") for k in range(4)]
+    nulls = [(None, f"<div>three rows without id share these words of theirs here {k}</div>") for k in range(3)]
+    df = spark.createDataFrame([(i, "http://h/x", h) for i, h in ids + again + nulls], "page_id long, url string, html string")
+    want = sorted([story] * 4 + [f"{story.upper()} {k}" for k in range(4)] + ["0", "1", "2"])
+    for most in (2000, 1):
+        monkeypatch.setattr(ht, "SHARD_PAGES", most)
+        assert sorted(r.text for r in ht.extract_text(df).collect()) == want
+
+
 @pytest.mark.parametrize("text", [None, "", " \n\t", "a b c", "a b c a b c", "x y z q x y z", "l1\nl2\nl1\n\n \nl1", "a\x1fb c d", "# $ %% a*", "word " * 500, "é à\x0bü\x0c"])
 def test_base_statistics_by_brute_force(text):
     t = text or ""
