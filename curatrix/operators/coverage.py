@@ -67,29 +67,99 @@ def select_centroid(df: DataFrame, n: int, vector: str = "embedding", cluster: s
     return ranked.where((F.col("rank") <= F.col("quota")) & (F.col("start") + F.col("rank") <= n)).drop("cnt", "quota", "start", "center")
 
 
+def _farthest(rows: DataFrame, taken: list[int], picked: list[np.ndarray], most: int) -> DataFrame:
+    """``(id, label, v, least)``: of each cluster the ``most`` rows of greatest least distance to those picked; ties go to the smaller id."""
+    sent = rows.sparkSession.sparkContext.broadcast((np.array(taken, np.int64), picked))
+
+    def run(batches):
+        import pyarrow as pa
+
+        away, near = sent.value
+        held = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                ids, labels = part.column(0).to_numpy(), part.column(1).to_pylist()
+                v = np.array(part.column(2).to_pylist(), float)
+                least = np.full(len(v), np.inf)
+                for one in near:
+                    least = np.minimum(least, np.linalg.norm(v - one, axis=1))
+                groups = {}
+                for i in np.flatnonzero(~np.isin(ids, away)).tolist():
+                    groups.setdefault(labels[i], []).append((-least[i], int(ids[i]), i))
+                for label, found in groups.items():
+                    new = [(d, k, v[i].copy()) for d, k, i in found]
+                    held[label] = sorted([*held.get(label, []), *new], key=lambda r: r[:2])[:most]
+        for label, found in held.items():
+            for at in range(0, len(found), 1024):
+                some = found[at : at + 1024]
+                columns = [pa.array([k for _, k, _ in some], pa.int64()), pa.array([label] * len(some), kind), pa.array([x.tolist() for _, _, x in some], pa.list_(pa.float64())), pa.array([-d for d, _, _ in some], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "label", "v", "least"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(rows.schema["label"].dataType)
+    found = rows.mapInArrow(run, f"id bigint, label {rows.schema['label'].dataType.simpleString()}, v array<double>, least double")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(F.desc("least"), "id"))).where(F.col("rank") <= most).drop("rank")
+
+
 def select_diverse(df: DataFrame, n: int, vector: str = "embedding", cluster: str = "label", order: str = "vec_id", candidates: int = 20_000) -> DataFrame:
     """Round-robin over clusters, each time the row farthest from all taken so far.
 
-    Every choice depends on all before it, so it runs over at most
-    ``candidates`` rows (a documented bound: the first in seeded order) with a
-    running least distance; ids and vectors of these reach the driver.
+    Every row is a candidate.  About ``candidates`` rows, those of each cluster
+    that are farthest from the rows taken, are on the driver at a time.
+    Distances only shrink, so a cluster's farthest row there is its farthest
+    of all until it falls behind the last that was brought; then the rows are
+    looked through again.  The vectors of the rows taken are on the driver.
     """
-    rows = df.select(order, cluster, doubles(vector).alias("v")).orderBy(F.xxhash64(order), order).limit(candidates).toPandas().sort_values(order)
-    if rows.empty:
-        return df.limit(0)
-    v, labels, ids = np.stack(rows["v"].to_numpy()), rows[cluster].to_numpy(), rows[order].to_numpy()
-    least, left, taken = np.full(len(v), np.inf), np.ones(len(v), bool), []
-    names = np.unique(labels)
-    while len(taken) < min(n, len(v)):
-        for c in names:
-            some = np.flatnonzero(left & (labels == c))
-            if len(taken) >= n or not len(some):
+    from pyspark import StorageLevel
+
+    rows = df.select(F.col(order).cast("long").alias("id"), F.col(cluster).alias("label"), doubles(vector).alias("v")).where("id IS NOT NULL AND v IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = rows.groupBy("label").agg(F.count_distinct("id").alias("n"), F.min_by(F.struct("id", "v"), "id").alias("first")).collect()
+        if not counts:
+            return df.limit(0)
+        counts.sort(key=lambda r: (r["label"] is None, r["label"]))
+        names, most = [r["label"] for r in counts], max(16, candidates // len(counts))
+        first = counts[0]["first"]
+        taken, picked = [int(first["id"])], [np.array(first["v"], float)]
+        held, turn, wanted = {}, 1, min(n, sum(r["n"] for r in counts))
+        empty = 0
+        while len(taken) < wanted and empty < len(names):
+            name = names[turn % len(names)]
+            best = None
+            if name in held:
+                ids, v, least, left, last = held[name]
+                some = np.flatnonzero(left)
+                if len(some):
+                    best = int(some[np.lexsort((ids[some], -least[some]))[0]])
+                # All others of the cluster are behind the last one brought.
+                if last is not None and (best is None or (-least[best], ids[best]) > last):
+                    held.clear()
+                    continue
+            else:
+                brought = {}
+                for r in _farthest(rows, taken, picked, most).collect():
+                    brought.setdefault(r["label"], []).append((-r["least"], r["id"], r["v"]))
+                for label in names:
+                    found = sorted(brought.get(label, []), key=lambda r: r[:2])
+                    last = found[-1][:2] if len(found) == most else None
+                    held[label] = (np.array([r[1] for r in found], np.int64), np.array([r[2] for r in found], float), -np.array([r[0] for r in found]), np.ones(len(found), bool), last)
+                continue
+            turn += 1
+            if best is None:
+                empty += 1
                 continue
-            i = int(some[0]) if not taken else int(some[np.argmax(least[some])])
-            taken.append(int(ids[i]))
-            left[i] = False
-            least = np.minimum(least, np.linalg.norm(v - v[i], axis=1))
-    chosen = df.sparkSession.createDataFrame(list(enumerate(taken)), f"pick int, `{order}` long")
+            empty = 0
+            taken.append(int(ids[best]))
+            picked.append(v[best])
+            for label, (some_ids, some_v, some_least, some_left, last) in held.items():
+                if len(some_ids):
+                    near = np.minimum(some_least, np.linalg.norm(some_v - picked[-1], axis=1))
+                    held[label] = (some_ids, some_v, near, some_left & (some_ids != taken[-1]), last)
+    finally:
+        rows.unpersist()
+    chosen = df.sparkSession.createDataFrame(list(enumerate(taken[:n])), f"pick int, `{order}` long")
     return df.join(F.broadcast(chosen), order)
 
 

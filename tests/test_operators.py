@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,25 @@ def test_farthest_first_is_distinct(spark):
     assert len(got) == len(set(got)) == 10
 
 
+def test_farthest_first_considers_all_rows(spark):
+    rng = np.random.default_rng(9)
+    labels = rng.integers(0, 3, 400)
+    labels[7] = 5
+    v = rng.integers(0, 6, (400, 3)).astype(float)
+    least, left, want = np.full(400, np.inf), np.ones(400, bool), []
+    while len(want) < 90:
+        for c in np.unique(labels):
+            some = np.flatnonzero(left & (labels == c))
+            if len(want) < 90 and len(some):
+                i = int(some[np.argmax(least[some])])
+                want.append(i)
+                left[i], least = False, np.minimum(least, np.linalg.norm(v - v[i], axis=1))
+    df = spark.createDataFrame([(i, v[i].tolist(), int(labels[i])) for i in range(400)], "vec_id long, embedding array<float>, label int").repartition(3)
+    for candidates in (20_000, 80):
+        assert [r.vec_id for r in coverage.select_diverse(df, 90, candidates=candidates).orderBy("pick").collect()] == want
+    assert coverage.select_diverse(df.limit(0), 5).count() == 0
+
+
 def test_lenient_json(spark):
     raws = ['[{"question": "q", "answer": "a"}]', 'Text [{"question": "q", "answer": "a"},] more', "[{'question': 'q', 'answer': 'a'}]", "[{question: \"q\", answer: \"a\",}]", "not JSON", "", None]
     df = spark.createDataFrame([(r,) for r in raws], "raw string")
