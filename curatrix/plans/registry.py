@@ -205,7 +205,8 @@ def cluster_stats(spark, sf_dir):
 
 @_query()
 def kmeans_select(spark, sf_dir):
-    v = coverage.kmeans(_vectors(spark, sf_dir), 10)
+    v = _vectors(spark, sf_dir)
+    v = coverage.kmeans(v, coverage.cluster_count(coverage.target_size(v.count(), 60)))
     return coverage.select_centroid(v, 60, cluster="cluster").select("vec_id", "cluster")
 
 

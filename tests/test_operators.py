@@ -124,6 +124,14 @@ def test_farthest_first_considers_all_rows(spark):
     assert coverage.select_diverse(df.limit(0), 5).count() == 0
 
 
+def test_kmeans_query_takes_its_cluster_count_from_the_target(spark):
+    from curatrix.plans import registry
+
+    got = registry.QUERIES["kmeans_select"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len({r.vec_id for r in got}) == 60
+    assert {r.cluster for r in got} == set(range(coverage.cluster_count(60)))
+
+
 def test_lenient_json(spark):
     raws = ['[{"question": "q", "answer": "a"}]', 'Text [{"question": "q", "answer": "a"},] more', "[{'question': 'q', 'answer': 'a'}]", "[{question: \"q\", answer: \"a\",}]", "not JSON", "", None]
     df = spark.createDataFrame([(r,) for r in raws], "raw string")
