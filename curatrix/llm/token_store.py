@@ -11,6 +11,8 @@ documents asked for.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
 import re
 import struct
@@ -23,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chunks import ChunkMemory, joined, steps
 from .common import child_uri, open_store
 
 # Fixed values of the file format.
@@ -32,7 +35,6 @@ FOOTER_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 1 << 18
-WORD_MEMORY = 250_000
 
 
 class TokenFileWriter:
@@ -126,77 +128,104 @@ class TokenFile:
         return b"".join(out)
 
 
+#: Bytes by kind: white space, ASCII letters, ASCII marks; the apostrophe and the bar can join letters to one unit.
+_OTHER, _WHITE, _LETTER, _MARK = range(4)
+_KINDS = np.full(256, _OTHER, np.uint8)
+_KINDS[[9, 10, 11, 12, 13, 32]] = _WHITE
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[[k for k in (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)) if chr(k) not in "'|"]] = _MARK
+
+
 class WordTokenizer:
-    """The library's ids, asked for once for each distinct word.
+    """The library's ids, asked for once for each distinct piece of a word.
 
-    The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words one after the other.  It also cuts between letters
-    and the marks after them, so such words are put together from both.
+    The tokenizer drops white space and never joins across it, nor from letters
+    to marks, so a text's ids are those of its pieces one after the other.
+    Raises ``ValueError`` for a tokenizer of any other kind.
     """
 
-    #: Letters, each of which alone or in a row is one unit for the tokenizer, then marks other than the apostrophe.
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    #: Letters in a row are one unit for the tokenizer.
+    PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self._check(json.loads(spec))
         self.library = Tokenizer.from_str(spec)
         ends = [i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
         self.ends = np.zeros(max(ends, default=0) + 1, bool)
         self.ends[ends] = True
-        self.memory: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        words = [self._words(t) for t in texts]
-        needed = set().union(*words)
-        if unknown := needed.difference(self.memory):
-            if len(self.memory) + len(unknown) > WORD_MEMORY:
-                self.older, self.memory, unknown = self.memory, {}, needed
-            if again := unknown & self.older.keys():
-                self.memory.update((w, self.older[w]) for w in again)
-                unknown = unknown - again
-            self._learn(unknown)
-        return [b"".join(map(self.memory.__getitem__, ws)) for ws in words]
-
-    def _learn(self, unknown: set[bytes]) -> None:
-        """Ask for words of letters all at once, as one text; for what is not so plain one by one."""
-        memory, odd, stems, pairs = self.memory, [], set(), []
+        self.memory = ChunkMemory(self._learn)
+
+    @staticmethod
+    def _check(spec: dict) -> None:
+        """Refuse tokenizers whose ids of a text are not those of its words, or that cut words elsewhere."""
+        normal, cut, model = (spec.get(k) or {} for k in ("normalizer", "pre_tokenizer", "model"))
+        kinds = [n.get("type") for n in normal.get("normalizers", [])]
+        cuts = [c.get("type") for c in cut.get("pretokenizers", [])]
+        pattern = (cut.get("pretokenizers") or [{}])[0]
+        fits = (
+            kinds == ["NFC", "Replace", "Lowercase"] and cuts == ["Split", "ByteLevel"] and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>"
+            and pattern.get("behavior") == "Removed" and pattern.get("invert") is True and "[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in pattern.get("pattern", {}).get("Regex", "")
+            and cut["pretokenizers"][1].get("add_prefix_space") is False and not model.get("dropout") and not spec.get("truncation") and not spec.get("padding")
+            and not any(set(" \t\n\v\f\r") & set(t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec.get("added_tokens", []))
+        )
+        if not fits:
+            raise ValueError("the tokenizer must be a lower-casing BPE of words that drops white space")
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; a null text is empty."""
+        raw, bounds = joined(texts)
+        raw, kinds = self._lower(raw), _KINDS[raw]
+        before, after = kinds[:-1], kinds[1:]
+        marks = np.zeros(len(raw), bool)
+        marks[1:] = (before != after) & ((before == _WHITE) | (after == _WHITE) | (before + after == _LETTER + _MARK) & (before > 0) & (after > 0))
+        marks[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        cuts = np.flatnonzero(marks)
+        ids, ends = self.memory.gather(raw, cuts)
+        places = ends[np.searchsorted(cuts, bounds)] if len(cuts) else np.zeros(len(bounds), np.int64)
+        whole = ids.tobytes()
+        return [whole[a:b] for a, b in itertools.pairwise(places.tolist())]
+
+    @staticmethod
+    def _lower(raw: np.ndarray) -> np.ndarray:
+        """In ASCII lower case, as the tokenizer makes it anyway, so that fewer pieces are distinct.
+
+        A letter stays as it is before a character that it may compose with,
+        and all do where there may be special tokens, whose case counts.
+        """
+        if len(raw) > 1 and ((raw[:-1] == 60) & (raw[1:] == 124)).any():
+            return raw
+        high = (raw >= 65) & (raw <= 90)
+        high[:-1] &= raw[1:] < 128
+        return raw + (high * np.uint8(32))
+
+    def _learn(self, unknown: list[bytes]) -> list[bytes]:
+        """Ask for letters in a row all at once, as one text; for what is not so plain one by one."""
+        known: dict[bytes, bytes] = {}
+        plain, odd = [], []
         for w in unknown:
-            if plain := self.PLAIN.fullmatch(w.decode()):
-                stem = plain[1].encode()
-                if stem not in memory:
-                    stems.add(stem)
-                if plain[2]:
-                    pairs.append((w, stem, plain[2].encode()))
+            if w.isalpha() or self.PLAIN.fullmatch(w):
+                plain.append(w)
+            elif w.isspace():
+                known[w] = b""
             else:
                 odd.append(w)
-        odd += {tail for *_, tail in pairs}.difference(memory)
-        listed = list(stems)
-        for at in range(0, len(listed), 2000):
-            some = listed[at : at + 2000]
-            ids = np.array(self.library.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
+        for at in range(0, len(plain), 2000):
+            some = plain[at : at + 2000]
+            ids = np.array(self.library.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            cuts = 4 * np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 4
             if len(cuts) != len(some):
                 odd += some
                 continue
-            raw = ids.astype("<u4").tobytes()
-            for w, a, b in zip(some, [0, *(4 * cuts[:-1]).tolist()], (4 * cuts).tolist(), strict=True):
-                memory[w] = raw[a:b]
-        for w, found in zip(odd, self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), strict=True):
-            memory[w] = np.array(found.ids, "<u4").tobytes()
-        for w, stem, tail in pairs:
-            memory[w] = memory[stem] + memory[tail]
-
-    def _words(self, text: str) -> list[bytes]:
-        """Words between ASCII white space; where no letter can compose with a mark, in ASCII lower case, as the tokenizer lowers them anyway."""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.encode().split()
-        return text.encode().lower().split()
+            raw = ids.tobytes()
+            known.update(zip(some, [raw[a:b] for a, b in itertools.pairwise([0, *cuts.tolist()])], strict=True))
+        for at in range(0, len(odd), 2000):
+            some = odd[at : at + 2000]
+            for w, found in zip(some, self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+                known[w] = np.array(found.ids, "<u4").tobytes()
+        return [known[w] for w in unknown]
 
 
 @functools.lru_cache(maxsize=2)
@@ -225,15 +254,13 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
         uri = child_uri(folder, f"ids-{number:06d}-{uuid.uuid4().hex}.zst")
         writer = stream = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for part in steps(batch, 1):
                 if writer is None:
                     store, path = open_store(uri)
                     store.create_dir(path.rpartition("/")[0], recursive=True)
                     stream = store.open_output_stream(path, compression=None)
                     writer = TokenFileWriter(stream)
-                coded = tokenizer.encode([t or "" for t in part.column(1).to_pylist()])
-                for i, ids in zip(part.column(0).to_pylist(), coded, strict=True):
+                for i, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1)), strict=True):
                     writer.add(i, ids + end)
         if writer is not None:
             writer.close()

@@ -18,6 +18,7 @@ from curatrix.llm.common import shared_dir  # noqa: E402
 TEXTS = [
     None, "", " ", "  a  b ", "\n", "\n\n x", "▁", "a▁b", "日本語テキスト" * 50, "\x00a", "é  x　y", "<s></s><unk><0x0A>", "a" * 3000, "  " * 30 + "x", "\t\r\n y", "x\n", "😀😀 a",
     "same text\nsame text", "same text\nsame text", "J̌ ǰ İ ΑΣ ΟΔΟΣ.", "<|endoftext|> a<|startoftext|>b", "it's we'll '' 's 12.5", "q\x0bw\x0ce\x1fr\x85t", "long " * 40000,
+    "a <|ENDOFTEXT|> b <|EndOfText|> <|STARTOFTEXT|>", "x<|endoftext|>y Upper.Lower-'S |bar| \u00c9T\u00c9 J\u030cA T\u0308 (a)b1c", "w" * 300_000,
 ]
 
 
@@ -87,6 +88,32 @@ def test_compiled_map_normalises_like_library(rule):
         assert places[-1] <= len(text.encode())
 
 
+def test_words_equal_library_and_memory_is_bounded(monkeypatch):
+    from tokenizers import Tokenizer
+
+    spec = open(P.path("word_bpe_49k.json"), encoding="utf-8").read()
+    words, library = ts.WordTokenizer(spec), Tokenizer.from_str(spec)
+    words.memory.most = 3000
+    rng = np.random.default_rng(11)
+    parts = ["a", "Zb", " ", "\n", "\x85", "\u3000", "É", "e\u0301", "J\u030c", "İ", "Σ", "'s", "'", "<|", "<|endoftext|>", "<|ENDOFTEXT|>", "|>", "12", "½", "!!", "日本", "\x00", "ﬁ", "-", "The"]
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(50)] + [f"{'q' * int(n)} " for n in rng.integers(200, 400, 3)]
+        for text, ids, want in zip(texts, words.encode(pa.array(texts)), library.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, text
+        assert all(len(k) <= 256 for k in words.memory.young) and len(words.memory.young) + len(words.memory.old) < 400
+
+
+@pytest.mark.parametrize("name, change", [
+    ("byte_bpe_50k.json", {}), ("word_bpe_49k.json", {"normalizer": None}), ("word_bpe_49k.json", {"pre_tokenizer": {"type": "Whitespace"}}),
+    ("word_bpe_49k.json", {"added_tokens": [{"id": 0, "content": "a b", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}]}),
+])
+def test_other_tokenizers_are_refused(name, change):
+    import json
+
+    with pytest.raises(ValueError):
+        ts.WordTokenizer(json.dumps(json.load(open(P.path(name), encoding="utf-8")) | change))
+
+
 def test_token_files_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
