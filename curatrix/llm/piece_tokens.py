@@ -5,29 +5,30 @@ character map knows, and every normalised byte records the source byte it came
 from.  BPE merges run over the normalised characters, and each piece is then
 projected through that alignment to a span of bytes of the original text.
 
-Merges cannot cross a place where no piece of the vocabulary holds the two
-characters side by side, so the normalised text is cut there and each distinct
-chunk is merged once per worker.
+No merge crosses a line feed or goes from a word to the space after it where no
+piece of the vocabulary does, so the normalised text is cut there, each distinct
+chunk of a batch is merged once, and its pieces' ids and offsets are gathered
+back to all its places.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import heapq
+import itertools
 import struct
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import ChunkMemory, joined, steps
+
 SPACE = "▁"
-#: Chunks in each of a worker's two generations of remembered chunks, so memory stays bounded.
-CHUNK_MEMORY = 250_000
-#: Rows that go back to Spark at a time.
-ROWS_OUT = 128
 
 
 class CharacterMap:
@@ -89,46 +90,35 @@ class PieceModel:
         self.prefix, self.squeeze, self.escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         self.suffix = model.trainer_spec.treat_whitespace_as_suffix
         self.scores, self.ids, self.byte_ids = {}, {}, [0] * 256
-        self.lengths = np.ones(len(model.pieces), np.int64)
+        #: Bytes of normalised text that each id stands for, a space being one.
+        self.widths = np.ones(len(model.pieces), np.int64)
         pairs: set[str] = set()
         for i, p in enumerate(model.pieces):
             if p.type == 1:
                 self.scores[p.piece], self.ids[p.piece] = p.score, i
-                self.lengths[i] = len(p.piece.encode())
-                pairs.update(map("".join, zip(p.piece, p.piece[1:], strict=False)))
+                self.widths[i] = len(p.piece.replace(SPACE, " ").encode())
+                pairs.update(map("".join, itertools.pairwise(p.piece)))
             elif p.type == 6:
                 self.byte_ids[int(p.piece[3:5], 16)] = i
-        self.pairs = pairs
         plain = model.trainer_spec.treat_whitespace_as_suffix is False and not spec.remove_extra_whitespaces
         self.spelled = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(SPACE, " ").encode() if p.type == 1 and plain else b"\xff" for p in model.pieces]
+        self.decimal = list(map(str, range(len(model.pieces))))
         self.starts = [p.type == 1 and p.piece[0] == SPACE for p in model.pieces]
         inside = {c for pair in pairs for c in pair}
         self.line_cuts = "\n" not in inside
         self.word_cuts = not any(b == SPACE and a != SPACE for a, b in pairs)
-        self.memory: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Whether the library normalises a chunk to itself, so that it can merge many in one call.
+        self.bulk = not self.map and self.prefix and self.escape and not self.squeeze and not self.suffix and self.line_cuts and self.word_cuts
+        self.memory = ChunkMemory(self._learn)
 
     # Normalisation
 
-    def normalise(self, text: str, align: bool = True) -> tuple[str, np.ndarray | None]:
-        """The normalised text and, for each of its bytes and its end, the source byte."""
-        if not text:
-            return "", np.zeros(1, np.int64) if align else None
-        if self.map is None and self.escape and not self.squeeze and not self.suffix:
-            return self._plain(text, align)
-        return self._mapped(text)
-
-    def _plain(self, text: str, align: bool) -> tuple[str, np.ndarray | None]:
-        """The same as ``_mapped`` for a model without a character map."""
-        out = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        if not align:
-            return out, None
-        source = np.frombuffer(text.encode(), np.uint8)
-        places = np.repeat(np.arange(len(source)), np.where(source == 32, 3, 1))
-        return out, np.concatenate([np.zeros(3 * self.prefix, np.int64), places, [len(source)]])
-
-    def _mapped(self, text: str) -> tuple[str, np.ndarray]:
-        source, space = text.encode(), SPACE.encode() if self.escape else b" "
+    def normalise(self, text: str, escape: bool | None = None) -> tuple[str, np.ndarray]:
+        """The normalised text and, for each of its bytes and its end, the source byte; ``escape``: spaces become ``SPACE``."""
+        return self._mapped(text, self.escape if escape is None else escape)
+
+    def _mapped(self, text: str, escape: bool) -> tuple[str, np.ndarray]:
+        source, space = text.encode(), SPACE.encode() if escape else b" "
         out, places, at = bytearray(), [], 0
 
         def head(i: int) -> tuple[int, bytes]:
@@ -202,73 +192,86 @@ class PieceModel:
                     heapq.heappush(queue, (-scores[p], a, p))
         return [p for p in parts if p]
 
-    def _own_ids(self, chunk: str) -> list[int]:
+    def own_ids(self, chunk: str) -> list[int]:
+        """The ids of a normalised chunk by the model's own merges; characters without a piece become bytes."""
         ids: list[int] = []
         for piece in self._merged(chunk):
             i = self.ids.get(piece)
             ids.extend([i] if i is not None else (self.byte_ids[b] for b in piece.encode()))
         return ids
 
-    def learn(self, chunks: set[str]) -> None:
-        """Remember the ids of chunks not met before.
+    def _learn(self, chunks: list[bytes]) -> list[bytes]:
+        """For each chunk its pieces as int32 triples: id, first and end byte within the chunk.
 
-        Where the library would normalise a chunk to itself it merges them, in
-        one call; a line feed, itself never part of a longer piece, keeps it
-        from putting a space before a chunk that has none.
+        Where the library normalises a chunk to itself it merges them, in one
+        call; a line feed, itself never part of a longer piece, keeps it from
+        putting a space before a chunk that has none.
         """
-        if self.map or not self.prefix or not self.escape or self.squeeze or self.suffix or not (self.line_cuts and self.word_cuts):
-            for c in chunks:
-                self.memory[c] = array("i", self._own_ids(c)).tobytes()
-            return
-        listed = list(chunks)
-        known = self.library.encode([c[1:] if c[0] == SPACE and len(c) > 1 else "\n" + c for c in listed], num_threads=1)
-        for c, ids in zip(listed, known, strict=True):
-            self.memory[c] = array("i", ids if c[0] == SPACE and len(c) > 1 else ids[2:]).tobytes()
-
-    def chunks(self, text: str) -> list[str]:
-        """The normalised text, cut where no merge can cross."""
-        if not self.word_cuts:
-            cuts = [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.pairs), len(text)]
-            return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
-        out: list[str] = []
-        for n, line in enumerate(text.split("\n") if self.line_cuts else [text]):
-            if n:
-                out.append("\n")
-            first, *rest = line.split(SPACE)
-            if first:
-                out.append(first)
-            if "" not in rest:
-                out.extend([SPACE + w for w in rest])
-                continue
-            run = ""
-            for w in rest:
-                run += SPACE
-                if w:
-                    out.append(run + w)
-                    run = ""
-            if run:
-                out.append(run)
+        texts = [c.decode() for c in chunks]
+        if self.bulk:
+            spaced = [t[0] == " " and len(t) > 1 for t in texts]
+            listed = self.library.encode([t[1:] if s else "\n" + t for t, s in zip(texts, spaced, strict=True)], num_threads=1)
+            listed = [ids if s else ids[2:] for ids, s in zip(listed, spaced, strict=True)]
+        else:
+            listed = [self.own_ids(t.replace(" ", SPACE) if self.escape else t) for t in texts]
+        ids = np.fromiter(itertools.chain.from_iterable(listed), np.int32)
+        cuts = np.cumsum([0, *map(len, listed)])
+        ends = np.concatenate([[0], np.cumsum(self.widths[ids])])
+        table = np.empty((len(ids), 3), np.int32)
+        table[:, 0] = ids
+        first = np.repeat(ends[cuts[:-1]], np.diff(cuts))
+        table[:, 1], table[:, 2] = ends[:-1] - first, ends[1:] - first
+        for k, t in enumerate(texts):
+            if SPACE in t:
+                table[cuts[k] : cuts[k + 1], 1:] = self._places(t, listed[k])
+        raw = table.tobytes()
+        return [raw[a:b] for a, b in itertools.pairwise((12 * cuts).tolist())]
+
+    def _places(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
+        """First and end byte of each id in a chunk where ``SPACE`` itself occurs, which is wider than a space."""
+        raw, at, out = text.encode(), 0, []
+        for i in ids:
+            begin = at
+            for k in self.spelled[i] if self.widths[i] > 1 or self.starts[i] else b"?":
+                at += 3 if k == 32 and raw[at] != 32 else 1
+            out.append((begin, at))
         return out
 
-    def encode(self, texts: list[str], spans: bool = True) -> list[tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]:
-        """For each text its ids, and the first and end byte of each id in the original text."""
-        normal = [self.normalise(t, spans) for t in texts]
-        chunks = [self.chunks(n) if n else [] for n, _ in normal]
-        needed = {c for cs in chunks for c in cs}
-        if unknown := needed.difference(self.memory):
-            if len(self.memory) + len(unknown) > CHUNK_MEMORY:
-                self.older, self.memory, unknown = self.memory, {}, needed
-            if again := unknown & self.older.keys():
-                self.memory.update((c, self.older[c]) for c in again)
-                unknown = unknown - again
-            if unknown:
-                self.learn(unknown)
-        out = []
-        for (_, places), cs in zip(normal, chunks, strict=True):
-            ids = np.frombuffer(b"".join(map(self.memory.__getitem__, cs)), np.intc)
-            ends = np.cumsum(self.lengths[ids]) if spans else None
-            out.append((ids, places[ends - self.lengths[ids]], places[ends]) if spans else (ids, None, None))
-        return out
+    def cuts(self, raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where the chunks of the normalised texts between ``bounds`` begin."""
+        marks = np.zeros(len(raw), bool)
+        before, after = raw[:-1], raw[1:]
+        if self.word_cuts:
+            # A byte 0x81 may end SPACE, which merges with a space after it.
+            marks[1:] |= (after == 32) & (before != 32) & (before != 0x81)
+        if self.line_cuts:
+            marks[1:] |= (after == 10) | (before == 10)
+        marks[bounds[:-1][bounds[:-1] < len(raw)]] = True
+        return np.flatnonzero(marks)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, begins, ends, bounds)``: all texts' ids and source bytes, one text after the other; null is empty."""
+        if self.map is None and not self.squeeze and not self.suffix:
+            # Normalised is as it is, after the space in front of a text that is not empty.
+            front = " " if self.prefix else ""
+            texts = pc.fill_null(texts, "")
+            raw, bounds = joined(pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(front, texts, "")))
+            shift, places = len(front), None
+        else:
+            normal = [self.normalise(t or "", False) for t in texts.to_pylist()]
+            raw, bounds = joined(pa.array([n for n, _ in normal], pa.string()))
+            shift, places = 0, [p for _, p in normal]
+        cuts = self.cuts(raw, bounds)
+        found, ends = self.memory.gather(raw, cuts)
+        table = found.view(np.int32).reshape(-1, 3)
+        ends = ends // 12
+        places_of = ends[np.searchsorted(cuts, bounds)] if len(cuts) else np.zeros(len(bounds), np.int64)
+        base = np.repeat(cuts, np.diff(ends)) - np.repeat(bounds[:-1], np.diff(places_of))
+        begin, end = (np.maximum(table[:, k] + base - shift, 0) for k in (1, 2))
+        if places is not None:
+            for k, (a, b) in enumerate(itertools.pairwise(places_of.tolist())):
+                begin[a:b], end[a:b] = places[k][begin[a:b]], places[k][end[a:b]]
+        return table[:, 0], begin, end, places_of
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids; ids that spell no valid UTF-8 go through the library."""
@@ -280,49 +283,63 @@ class PieceModel:
             return self.library.decode(ids.tolist())
         return text[1:] if self.prefix and text[0] == " " and self.starts[ids[0]] else text
 
+
 @functools.lru_cache(maxsize=2)
 def _model(blob: bytes) -> PieceModel:
     return PieceModel(blob)
 
 
-def encode_pieces(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
-    """Encode every whole text: ``(id, ids, begins, ends, decoded)``.
+#: What ``encode_pieces`` can return of a text, besides its id.
+OUTPUTS = {
+    "ids": ("array<int>", pa.list_(pa.int32())), "begins": ("array<int>", pa.list_(pa.int32())), "ends": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()),
+    "n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string()), "n_spanned": ("bigint", pa.int64()),
+}
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256", "n_spanned")
 
-    ``begins`` and ``ends`` are byte offsets into the original text in UTF-8.
-    Null texts count as empty and give empty lists and an empty decoded text;
-    repeated rows stay repeated; other columns are not carried, so none can
-    clash.  The model file is read on the driver and its bytes (below 10 MB,
-    checked) go along with the task, so executors need no file of their own.
+
+def encode_pieces(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", outputs: Sequence[str] = ("ids", "begins", "ends", "decoded")) -> DataFrame:
+    """Encode every whole text: its id and the chosen ``outputs``.
+
+    ``begins`` and ``ends`` are byte offsets into the original text in UTF-8,
+    ``decoded`` is the text of the ids.  ``DIGESTS`` are taken of these in the
+    worker, so that long lists need not travel: the number of ids, SHA-256 of
+    the decimal ids joined by commas and of the decoded text, and the byte at
+    which the last span ends.  Null texts count as empty and give empty lists
+    and an empty decoded text; repeated rows stay repeated; other columns are
+    not carried, so none can clash.  The model file is read on the driver and
+    its bytes (below 10 MB, checked) go along with the task, so executors need
+    no file of their own.
     """
     blob = open(model_path, "rb").read()  # noqa: SIM115
     if len(blob) > 10_000_000:
         raise ValueError("the model file is larger than 10 MB")
-    kind = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("begins", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("decoded", pa.string())])
+    kind = pa.schema([(id_col, pa.int64()), *((o, OUTPUTS[o][1]) for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(blob)
-
-        def listed(arrays: list[np.ndarray]) -> pa.Array:
-            offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
-            return pa.ListArray.from_arrays(offsets, np.concatenate(arrays).astype(np.int32))
-
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(at, ROWS_OUT)
-                coded = model.encode([t or "" for t in part.column(1).to_pylist()])
-                text = [model.decode(c[0]) if decode else None for c in coded]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(listed([c[k] for c in coded]) for k in range(3)), pa.array(text, pa.string())], schema=kind)
-
-    schema = f"`{id_col}` bigint, ids array<int>, begins array<int>, ends array<int>, decoded string"
+            for part in steps(batch, 1):
+                ids, begins, ends, bounds = model.encode(part.column(1))
+                pairs = list(itertools.pairwise(bounds.tolist()))
+                text = [model.decode(ids[a:b]) for a, b in pairs] if {"decoded", "decoded_sha256"} & set(outputs) else []
+
+                def make(output: str, ids=ids, begins=begins, ends=ends, bounds=bounds, pairs=pairs, text=text) -> pa.Array:
+                    if output in ("ids", "begins", "ends"):
+                        return pa.ListArray.from_arrays(bounds.astype(np.int32), {"ids": ids, "begins": begins, "ends": ends}[output].astype(np.int32))
+                    if output == "n_tokens":
+                        return pa.array(np.diff(bounds))
+                    if output == "n_spanned":
+                        return pa.array([int(ends[b - 1]) if b > a else 0 for a, b in pairs], pa.int64())
+                    if output == "ids_sha256":
+                        return pa.array([hashlib.sha256(",".join(map(model.decimal.__getitem__, ids[a:b].tolist())).encode()).hexdigest() for a, b in pairs], pa.string())
+                    return pa.array(text if output == "decoded" else [hashlib.sha256(t.encode()).hexdigest() for t in text], pa.string())
+
+                yield pa.RecordBatch.from_arrays([part.column(0), *map(make, outputs)], schema=kind)
+
+    schema = f"`{id_col}` bigint, {', '.join(f'{o} {OUTPUTS[o][0]}' for o in outputs)}"
     return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def piece_digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Digests of what ``encode_pieces`` returns; ``n_spanned`` is the byte at which its last span ends."""
-    return encoded.select(
-        F.col(id_col),
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        F.coalesce(F.get("ends", F.size("ends") - 1), F.lit(0)).cast("long").alias("n_spanned"),
-    )
+def piece_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The digests of every text's ids, spans and decoded text."""
+    return encode_pieces(df, model_path, id_col, text_col, DIGESTS)

@@ -11,9 +11,9 @@ from .common import documents
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from .piece_tokens import encode_pieces, piece_digest
+    from .piece_tokens import piece_digests
 
-    return piece_digest(encode_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")))
+    return piece_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

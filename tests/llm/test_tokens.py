@@ -41,8 +41,12 @@ def test_pieces_equal_library(docs):
         assert r.decoded == library.decode(r.ids)
         raw = text.encode()
         assert b"".join(raw[a:b] for a, b in zip(r.begins, r.ends, strict=True)) == raw
-    for r in pt.piece_digest(pt.encode_pieces(docs, P.path("piece_bpe_32k.model"))).where("doc_id = 17").collect():
-        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, library.encode(TEXTS[17]))).encode()).hexdigest()
+    for r in pt.piece_digests(docs, P.path("piece_bpe_32k.model")).collect():
+        text = "no id" if r.doc_id is None else TEXTS[r.doc_id] or ""
+        ids = library.encode(text)
+        assert r.n_tokens == len(ids) and r.n_spanned == len(text.encode())
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
 def test_own_merges_equal_library():
@@ -51,21 +55,67 @@ def test_own_merges_equal_library():
     blob = open(P.path("piece_bpe_32k.model"), "rb").read()
     model, library = pt.PieceModel(blob), sentencepiece.SentencePieceProcessor(model_proto=blob)
     for text in ("hello", "antidisestablishmentarianism" * 3, "ééèèê", "12345"):
-        assert model._own_ids(pt.SPACE + text) == library.encode(text)
+        assert model.own_ids(pt.SPACE + text) == library.encode(text)
     rng = np.random.default_rng(1)
     for _ in range(300):
         ids = rng.integers(0, 32000, rng.integers(0, 9))
         assert model.decode(ids) == library.decode(ids.tolist())
 
 
-def test_two_generations_of_chunks(monkeypatch):
-    monkeypatch.setattr(pt, "CHUNK_MEMORY", 5)
+def _encoded(model, texts):
+    """Ids and spans of each text."""
+    ids, begins, ends, bounds = model.encode(pa.array(texts, pa.string()))
+    return [(ids[a:b].tolist(), begins[a:b].tolist(), ends[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+PARTS = ["a", "b", "Z", " ", "  ", "\n", "\t", "\r", "\x85", "\u3000", "É", "é", "\u0301", "ＡＢ", "ﬁ", "12", "!!", "日本", "😀", "-", " the", "①", "㌔", "ｶﾞ"]
+
+
+def test_two_generations_of_chunks():
     import sentencepiece
 
     blob = open(P.path("piece_bpe_32k.model"), "rb").read()
     model, library = pt.PieceModel(blob), sentencepiece.SentencePieceProcessor(model_proto=blob)
-    for text in ("a b c d", "e f g a", "h i j k l m n o p", "a b"):
-        assert model.encode([text])[0][0].tolist() == library.encode(text)
+    model.memory.most = 500
+    for text in ("a b c d", "e f g a", "h i j k l m n o p", "a b", "", "▁ ▁a ▁", " "):
+        assert _encoded(model, [text])[0][0] == library.encode(text)
+        assert len(model.memory.young) + len(model.memory.old) <= 20
+
+
+def test_memory_does_not_grow_with_long_words():
+    rng = np.random.default_rng(12)
+    model = pt.PieceModel(open(P.path("piece_bpe_32k.model"), "rb").read())
+    model.memory.most = 20_000
+    for _ in range(20):
+        texts = ["".join(rng.choice(list("abcdefgh"), 2000)) for _ in range(5)] + [" ".join("".join(rng.choice(list("abcdefgh"), 9)) for _ in range(40))]
+        for text, (ids, begins, ends) in zip(texts, _encoded(model, texts), strict=True):
+            assert model.library.encode(text) == ids and "".join(text[a:b] for a, b in zip(begins, ends, strict=True)) == text
+        held = sum(len(k) + len(v) for m in (model.memory.young, model.memory.old) for k, v in m.items())
+        assert held < 2 * 40_000
+
+
+@pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc", "nmt_nfkc_cf"])
+@pytest.mark.parametrize("squeeze, prefix", [(False, True), (True, True), (True, False)])
+def test_models_with_a_character_map_equal_library(rule, squeeze, prefix):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    rules, own = proto.ModelProto(), proto.ModelProto()
+    rules.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+    own.ParseFromString(open(P.path("piece_bpe_32k.model"), "rb").read())
+    own.normalizer_spec.precompiled_charsmap = rules.normalizer_spec.precompiled_charsmap
+    own.normalizer_spec.remove_extra_whitespaces, own.normalizer_spec.add_dummy_prefix = squeeze, prefix
+    model = pt.PieceModel(own.SerializeToString())
+    assert model.map is not None
+    rng = np.random.default_rng(13)
+    texts = [None, "", " ", "ＡＢ a"] + ["".join(rng.choice(PARTS, rng.integers(0, 30))) for _ in range(150)]
+    for text, (ids, begins, ends) in zip(texts, _encoded(model, texts), strict=True):
+        assert ids == model.library.encode(text or "")
+        assert model.decode(np.array(ids)) == model.library.decode(ids)
+        assert begins == sorted(begins) and all(a <= b <= len((text or "").encode()) for a, b in zip(begins, ends, strict=True))
+        # The library gives all of a character's bytes to the last of its byte pieces.
+        want = [(p.begin, p.end) for p in model.library.encode(text or "", return_type="proto").pieces]
+        assert all(w == (a, b) for i, w, a, b in zip(ids, want, begins, ends, strict=True) if model.spelled[i] != b"\xff" and i not in model.byte_ids)
 
 
 @pytest.mark.parametrize("rule", ["nfkc", "nmt_nfkc", "nmt_nfkc_cf"])
