@@ -41,11 +41,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and byte spans of each remaining text, with the digests of its decoding."""
+    """Digests of each remaining text's ids, byte spans and decoded text."""
     import public_tokenizers
-    from curatrix.llm.piece_tokens import encode_pieces, piece_digest
+    from curatrix.llm.piece_tokens import piece_digests
 
-    return piece_digest(encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model")))
+    return piece_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
