@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import steps
+
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 #: The six ASCII white-space characters.
@@ -25,9 +27,12 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Features, and whether more of one may only raise (1) or lower (-1) the score.
 FEATURES = {
     "log_words": 0, "word_length": 0, "symbol_share": -1, "dup_line_share": -1, "repeat_share": -1,
-    "upper_share": -1, "digit_share": -1, "punct_share": -1, "marked_word_share": -1, "distinct_share": 0, "lone_bar_share": -1, "line_words": 0,
+    "upper_share": -1, "digit_share": -1, "punct_share": -1, "mark_pair_share": -1, "distinct_share": 0, "letterless_share": -1, "line_words": 0,
 }
 MIN_WORDS = 50
+_MARKS, _WHITES = np.zeros(256, bool), np.zeros(256, bool)
+_MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_WHITES[list(WHITE.encode())] = True
 
 
 def repeated_words(words: list, size: int = 3) -> int:
@@ -72,10 +77,15 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     kinds = np.bincount(plain, minlength=256)
     digits, upper = int(kinds[48:58].sum()), int(kinds[65:91].sum())
     punct = int(kinds[33:48].sum() + kinds[58:65].sum() + kinds[91:97].sum() + kinds[123:127].sum())
-    marked = sum(w[-2:] in (b"!!", b"##", b"$$", b"%%", b"&&", b"**") for w in words)
+    # Pairs of the same mark side by side, and words with neither a letter nor a digit.
+    mark = _MARKS[plain]
+    pairs = int((mark[1:] & (plain[1:] == plain[:-1])).sum())
+    solid = ~_WHITES[plain]
+    starts = np.flatnonzero(solid & ~np.concatenate([[False], solid[:-1]]))
+    letterless = int((np.add.reduceat(solid & ~mark, starts, dtype=np.int64) == 0).sum()) if len(starts) else 0
     return base, [
         np.log1p(n), chars / some, symbols / letters, dup_lines / max(len(lines), 1), repeats / some, upper / letters,
-        digits / letters, punct / letters, marked / some, len(set(words)) / some, words.count(b"|") / some, n / max(len(lines), 1),
+        digits / letters, punct / letters, pairs / some, len(set(words)) / some, letterless / some, n / max(len(lines), 1),
     ]
 
 
@@ -88,8 +98,7 @@ def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in steps(batch, 1):
                 rows = [statistics(t) for t in part.column(1).to_pylist()]
                 base = np.array([r[0] for r in rows], np.int64).T
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, base), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], schema=kind)
@@ -209,8 +218,7 @@ def judge(df: DataFrame, trees: FlatTrees, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in steps(batch, 1):
                 rows = [statistics(t) for t in part.column(1).to_pylist()]
                 base = np.array([r[0] for r in rows], np.int64).T
                 odds = trees.score(np.array([r[1] for r in rows]))
@@ -227,8 +235,7 @@ def keep_good(df: DataFrame, trees: FlatTrees, text_col: str = "text", threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for part in steps(batch, at):
                 base, features = zip(*map(statistics, part.column(at).to_pylist()), strict=True)
                 base = np.array(base, np.int64)
                 failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > 50 * base[:, 0])

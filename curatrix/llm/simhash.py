@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import steps
 from .common import materialise
 from .components import components
 
@@ -63,8 +64,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in steps(batch, 1):
                 found = np.array([simhash((t or "").encode(), size) for t in part.column(1).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], schema=kind)
 
