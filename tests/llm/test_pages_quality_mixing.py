@@ -72,7 +72,11 @@ def test_zip64_directories_and_damage(monkeypatch):
     ("<main>x<form>f</form><section id=comments>c</section>y</main>", "x y"), ("<script>var t='</p>';</script><p>a&lt;b</p><style>p{}</style>", "a<b"),
     ("<article>a<!-- c --> b<article class=comment>no</article></article>", "a b"), ("<div role=navigation>n</div><p>t</p>", "t"), ("<p>unclosed <b>bold <i>it", "unclosed bold it"),
     ("<head><meta charset=utf-8><body><p>t</p>", "t"), ("<p>a</p><div id=cookieBanner>c</div><ul class='sidebar_left'><li>s</ul>b", "a b"), ("<article><p>a<span class=ad>x</span>b</p></article>", "a b"),
-    ("<article>x < y & z</article>", "x < y & z"), ("<header>h</header><article><header>Title</header>t</article>", "Title t"), ("<p hidden>h</p><p>&nbsp;v&nbsp;w</p>", "v w"),
+    ("<article>x < y & z</article>", "x < y & z"), ("<div class='site has-sidebar'><article>A</article></div>", "A"), ("<article class='post comments-open'>B</article>", "B"),
+    ("<article class='post widget-area'>C</article>", "C"), ("<div id=related-work><article>D</article></div>", "D"), ("<article><p class=share-price>5</p><h1 class=entry-header>T</h1></article>", "5 T"),
+    ("<svg><p>one</p><p>two</p>", "one two"), ("<object><p>x</p>", "x"), ("<textarea><p>y</p>", "y"), ("<title><p>z</p>", "z"), ("<svg><text>no</text></svg>v", "v"), ("<form id=f><main>q</main></form>", "q"),
+    ("<nav>menu<article>kept</article>", "kept"), ("<aside><article>teaser</article></aside><article>kept</article>", "kept"), ("<p class=ad>no<p>yes", "yes"), ("<p title=\"a>b\">t</p>", "t"), ("<p title=it's>t</p>", "t"),
+    ("<article>a<aside>b<article>no</article></aside>c</article>", "a c"), ("<a href=\"x>unclosed", "unclosed"), ("text<", "text<"), ("<p>a<!-- b", "a"), ("a<br/>b<hr/>c", "a b c"), ("<article>a<nav/>b</article>", "a b"), ("<header>h</header><article><header>Title</header>t</article>", "Title t"), ("<p hidden>h</p><p>&nbsp;v&nbsp;w</p>", "v w"),
 ])
 def test_page_text(html, text):
     assert ht.host_texts([ht.blocks(html or "")]) == [text]
@@ -86,7 +90,7 @@ def test_host_boilerplate_is_removed_outside_articles_only():
     assert ht.host_texts([ht.blocks(p) for p in quoted]) == [f"{notice} own {i}" for i in range(4)]
 
 
-def test_repeated_words_by_brute_force():
+def test_repeated_runs_by_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(60):
         n = int(rng.integers(0, 60))
@@ -94,13 +98,76 @@ def test_repeated_words_by_brute_force():
         for k in range(n):
             if k + 1 == n or pages[k + 1] != pages[k]:
                 ids[k] = -k - 1
-        got = ht.repeated_words(ids, pages, 3, 2)
+        assert ht.suffix_order(ids).tolist() == sorted(range(n), key=lambda i: ids[i:].tolist())
+        got = ht.repeated_starts(ids, pages, 3, 2)
         want = np.zeros(n, bool)
         for i in range(n - 2):
-            on = {pages[j] for j in range(n - 2) if (ids[j : j + 3] == ids[i : i + 3]).all()}
-            if len(on) >= 2:
-                want[i : i + 3] = True
+            want[i] = len({pages[j] for j in range(n - 2) if (ids[j : j + 3] == ids[i : i + 3]).all()}) >= 2
         assert (got == want).all()
+        covered = [any(got[max(0, i - 2) : i + 1]) for i in range(n)]
+        assert ht._cover(got, 3).tolist() == covered
+
+
+@pytest.mark.parametrize("html", ["<a " * 350_000, '<a b=">" ' * 100_000, "<a><b>" * 90_000 + "</c>" * 90_000, "<" * 1_000_000, "<p>" * 300_000, "<svg>" * 200_000, "<article>" * 100_000, "<a b='" * 170_000, "<textarea>" * 100_000, "&#" * 500_000])
+def test_long_pages_of_unclosed_tags_are_parsed_in_linear_time(html):
+    import time
+
+    began = time.process_time()
+    ht.blocks(html)
+    assert time.process_time() - began < 2
+
+
+def _brute_force_texts(rows):
+    """The operator by its definition: runs of eight words on three distinct pages of a host."""
+    parsed = [(i, re.match("[a-z]+://([^/?#]*)", u)[1] if u else "", ht.blocks(h or "")) for i, u, h in rows]
+    least = {}
+    for i, host, page in parsed:
+        key = (host, tuple(page))
+        least[key] = min((k for k in (least.get(key), i) if k is not None), default=None)
+    streams = {}
+    for (host, page), owner in least.items():
+        words = [w for _, t in page for w in t.split(" ")]
+        streams[host, page] = ((owner, None) if owner is not None else (None, page), words)
+    on = {}
+    for (host, _), (owner, words) in streams.items():
+        for k in range(len(words) - 7):
+            on.setdefault((host, tuple(words[k : k + 8])), set()).add(owner)
+    out = []
+    for i, host, page in parsed:
+        words = [w for _, t in page for w in t.split(" ")]
+        starts = [k + 8 <= len(words) and len(on[host, tuple(words[k : k + 8])]) >= 3 for k in range(len(words))]
+        across = [any(starts[max(0, k - 7) : k + 1]) for k in range(len(words))]
+        has_article, kept, at = any(k in (ht.ARTICLE, ht.HINTED_ARTICLE) for k, _ in page), [], 0
+        for kind, text in page:
+            own = text.split(" ")
+            gone = across[at : at + len(own)]
+            if not all(gone):
+                gone = [any(starts[at + m] and m + 8 <= len(own) for m in range(max(0, k - 7), k + 1)) for k in range(len(own))]
+            at += len(own)
+            if kind == ht.BOILERPLATE or has_article and kind in (ht.OPEN, ht.HINTED_OPEN) or kind in (ht.HINTED_ARTICLE, ht.HINTED_OPEN) and 2 * sum(gone) >= len(own):
+                continue
+            kept += [w for w, g in zip(own, gone, strict=True) if kind in (ht.ARTICLE, ht.HINTED_ARTICLE) or not g]
+        out.append((i, " ".join(kept)))
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("most", [500, 3])
+def test_whole_operator_by_brute_force(spark, monkeypatch, most):
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(60)]
+    parts = [" ".join(rng.choice(words, int(n))) for n in (3, 5, 9, 12, 20, 30)]
+    forms = ["<p>{}</p>", "<div class='post-share'>{}</div>", "<div class=ad>{}</div>", "<nav>{}</nav>", "<article><p>{}</p><div class=more-related>{}</div></article>", "{}", "<li>{}</li>"]
+    rows = []
+    for i in range(160):
+        html = "".join(f.replace("{}", str(rng.choice(parts)) if rng.random() < 0.6 else " ".join(rng.choice(words, int(rng.integers(0, 25))))) for f in rng.choice(forms, int(rng.integers(0, 6)), p=[0.3, 0.2, 0.1, 0.1, 0.06, 0.12, 0.12]))
+        rows.append((None if i % 37 == 0 else i - i % 9 // 8, None if i % 41 == 0 else f"http://h{int(rng.choice([0, 0, 0, 1, 2]))}/p", None if i % 50 == 49 else html))
+    rows += rows[:4]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    want = _brute_force_texts(rows)
+    monkeypatch.setattr(ht, "SHARD_PAGES", most)
+    assert sorted(str((r.page_id, r.text)) for r in ht.extract_text(df).collect()) == want
+    plain = sorted(str((i, ht._kept(ht.blocks(h or ""), np.zeros(len([w for _, t in ht.blocks(h or "") for w in t.split(" ")]), bool)))) for i, _, h in rows)
+    assert want != plain
 
 
 def test_pages_with_large_hosts(spark, monkeypatch):
