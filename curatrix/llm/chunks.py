@@ -7,6 +7,8 @@ one gather.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,10 +16,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text that one step of a batch holds, in bytes; a longer text is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 STEP_ROWS = 512
 #: Bytes in each of the two generations of what a worker remembers, with what Python adds to each entry.
-MEMORY_BYTES = 24 << 20
+MEMORY_BYTES = 12 << 20
 ENTRY_BYTES = 180
 #: Longer chunks are not remembered.
 LONGEST = 256
@@ -45,6 +47,13 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]] if len(bounds) else raw[:0], bounds - bounds[0]
 
 
+def release() -> None:
+    """Give memory that Python and Arrow no longer use back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class ChunkMemory:
     """What is known of chunks, in two generations of bounded size."""
 
@@ -74,6 +83,11 @@ class ChunkMemory:
         self.size += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, new.values()))
         return out
 
+    def forget(self) -> None:
+        """Leave nothing in a worker that waits for its next task."""
+        self.young, self.old, self.size = {}, {}, 0
+        release()
+
     def gather(self, raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values of all chunks of ``raw`` that begin at ``cuts``, one after the other, and the bounds of each chunk's."""
         if not len(cuts):

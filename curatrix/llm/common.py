@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: One word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+_BATCH_BYTES, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -41,6 +42,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold about 4 MB.
+
+    The default of 64 MB is for each of an executor's tasks and Python workers;
+    a bound that the session sets itself is left alone.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_BYTES) == _BATCH_DEFAULT:
+        conf.set(_BATCH_BYTES, str(4 << 20))
+    return df
+
+
 def open_store(uri: str):
     """``(filesystem, path)`` of a URI in a store that all executors reach."""
     from pyarrow import fs

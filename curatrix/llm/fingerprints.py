@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: A Mersenne prime, so that a product is reduced by shifts.
 PRIME = (1 << 31) - 1
 BASES = (911_382_323, 1_972_663_139)
@@ -197,4 +199,4 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
             yield flush()
 
     schema = f"`{id_col}` bigint, n_chars bigint, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_prefix bigint"
-    return by_order(df, id_col, text_col).select("key", "text", "bucket", "halo").mapInArrow(run, schema)
+    return by_order(small_batches(df), id_col, text_col).select("key", "text", "bucket", "halo").mapInArrow(run, schema)

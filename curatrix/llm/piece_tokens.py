@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ChunkMemory, joined, steps
+from .common import small_batches
 
 SPACE = "▁"
 
@@ -316,6 +317,8 @@ def encode_pieces(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     kind = pa.schema([(id_col, pa.int64()), *((o, OUTPUTS[o][1]) for o in outputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The system's allocator keeps less of what is freed than Arrow's own.
+        pa.set_memory_pool(pa.system_memory_pool())
         model = _model(blob)
         for batch in batches:
             for part in steps(batch, 1):
@@ -335,9 +338,10 @@ def encode_pieces(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
                     return pa.array(text if output == "decoded" else [hashlib.sha256(t.encode()).hexdigest() for t in text], pa.string())
 
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(make, outputs)], schema=kind)
+        model.memory.forget()
 
     schema = f"`{id_col}` bigint, {', '.join(f'{o} {OUTPUTS[o][0]}' for o in outputs)}"
-    return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def piece_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

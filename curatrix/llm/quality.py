@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import steps
+from .common import small_batches
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -104,7 +105,7 @@ def document_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, base), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], schema=kind)
 
     schema = f"`{id_col}` bigint, {', '.join(f'{c} bigint' for c in BASE)}, features array<double>"
-    return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 @dataclass
@@ -225,7 +226,7 @@ def judge(df: DataFrame, trees: FlatTrees, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, base), pa.array(1 / (1 + np.exp(-odds)))], schema=kind)
 
     schema = f"`{id_col}` bigint, {', '.join(f'{c} bigint' for c in BASE)}, score double"
-    judged = df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    judged = small_batches(df).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
     return judged.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
@@ -242,4 +243,4 @@ def keep_good(df: DataFrame, trees: FlatTrees, text_col: str = "text", threshold
                 good = 1 / (1 + np.exp(-trees.score(np.array(features)))) >= threshold
                 yield part.filter(pa.array(good & ~failed))
 
-    return df.mapInArrow(run, df.schema)
+    return small_batches(df).mapInArrow(run, df.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import steps
-from .common import materialise
+from .common import materialise, small_batches
 from .components import components
 
 BITS, LEAST_BYTES = 3, 5
@@ -68,7 +68,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 found = np.array([simhash((t or "").encode(), size) for t in part.column(1).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], schema=kind)
 
-    return df.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` bigint, fp bigint")
+    return small_batches(df).select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` bigint, fp bigint")
 
 
 def _posting(number: int, positions: tuple[int, ...], fp: Column) -> Column:

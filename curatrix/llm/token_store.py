@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import ChunkMemory, joined, steps
-from .common import child_uri, open_store
+from .common import child_uri, open_store, small_batches
 
 # Fixed values of the file format.
 SEEK_TABLE_MAGIC = 0x184D2A5E
@@ -250,6 +250,7 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         tokenizer, number = _tokenizer(spec), TaskContext.get().partitionId()
         uri = child_uri(folder, f"ids-{number:06d}-{uuid.uuid4().hex}.zst")
         writer = stream = None
@@ -262,12 +263,13 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
                     writer = TokenFileWriter(stream)
                 for i, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1)), strict=True):
                     writer.add(i, ids + end)
+        tokenizer.memory.forget()
         if writer is not None:
             writer.close()
             stream.close()
             yield pa.RecordBatch.from_pydict({"number": [number], "uri": [uri], "documents": [len(writer.docs)], "tokens": [sum(d[2] for d in writer.docs)]}, schema=kind)
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
+    rows = small_batches(df).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
     listed = rows.mapInArrow(run, "number bigint, uri string, documents bigint, tokens bigint").collect()
     return sorted(map(tuple, listed))
 
