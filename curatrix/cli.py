@@ -159,11 +159,8 @@ def tool_generate(spark, args):
 
 def tool_generate_from_topic(spark, args):
     topic = spark.createDataFrame([(args.topic,)], "topic string")
-    raw = models.ask(topic, models.fill("Invent tools for {topic} as a JSON list of objects with name, description and parameters.", topic=F.col("topic")), **_model(args))
-    from .functions.text import parse_json, strip_fence
-
-    each = raw.select(F.explode(parse_json(strip_fence("raw"), "array<struct<name:string,description:string,parameters:array<struct<name:string,type:string,description:string,required:boolean>>>>")).alias("t")).select("t.*")
-    sinks.records(tools.refine_generated(each), args.output)
+    template = _prompt(args, "tool_from_topic", "Invent tools for {topic} as a JSON list of objects with name, description and parameters.")
+    sinks.records(models.tools_from_topics(topic, template, **_model(args)), args.output)
 
 
 def tool_generate_chain(spark, args):

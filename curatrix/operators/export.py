@@ -16,9 +16,19 @@ def _turn(role: str, text: Column, names: tuple[str, str] = ("role", "content"))
     return F.struct(F.lit(role).alias(names[0]), text.alias(names[1]))
 
 
+def quoted(text: Column) -> Column:
+    """A text as Python writes it: in single quotes unless it has those and no double ones, with line feeds, tabs and backslashes escaped."""
+    body = text
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(plain), F.lit(written))
+    double = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
+    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(text.isNull(), "None").when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(single)
+
+
 def solution_text(path: str = "reasoning_path", answer: str = "final_answer") -> Column:
     """``Step n: thought``, ``Tool: name(k='v')`` and an empty line for each step, then the answer."""
-    args = lambda s: F.array_join(F.transform(F.map_entries(s["args"]), lambda e: F.concat(e["key"], F.lit("='"), e["value"], F.lit("'"))), ", ")
+    args = lambda s: F.array_join(F.transform(F.map_entries(s["args"]), lambda e: F.concat(e["key"], F.lit("="), quoted(e["value"]))), ", ")
     step = lambda s: F.concat(F.lit("Step "), s["step"], F.lit(": "), s["thought"], F.lit("\nTool: "), s["tool"], F.lit("("), F.coalesce(args(s), F.lit("")), F.lit(")\n"))
     return F.regexp_replace(F.array_join(F.concat(F.transform(path, step), F.array(F.coalesce(F.col(answer), F.lit("")))), "\n"), r"^\s+|\s+$", "")
 
@@ -31,23 +41,23 @@ def _sides(df: DataFrame) -> tuple[Column, Column]:
     return (F.col("instruction"), solution_text()) if is_tool_example(df) else (F.col("question"), F.col("answer"))
 
 
-def to_format(df: DataFrame, kind: str, system: str = SYSTEM_PROMPT) -> DataFrame:
-    """One column ``record`` in the wanted format; unknown formats raise ``ValueError``."""
+def to_format(df: DataFrame, kind: str, system: str = SYSTEM_PROMPT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One column ``record`` in the wanted format, after the columns to ``keep``; unknown formats raise ``ValueError``."""
     if kind not in FORMATS:
         raise ValueError(f"unknown format: {kind}")
     user, assistant = _sides(df)
     if kind == "chatml":
-        return df.select(F.struct(F.array(_turn("system", F.lit(system)), _turn("user", user), _turn("assistant", assistant)).alias("messages")).alias("record"))
+        return df.select(*keep, F.struct(F.array(_turn("system", F.lit(system)), _turn("user", user), _turn("assistant", assistant)).alias("messages")).alias("record"))
     if kind == "alpaca":
-        return df.select(F.struct(user.alias("instruction"), F.lit("").alias("input"), assistant.alias("output")).alias("record"))
+        return df.select(*keep, F.struct(user.alias("instruction"), F.lit("").alias("input"), assistant.alias("output")).alias("record"))
     if kind == "sharegpt":
         names = ("from", "value")
-        return df.select(F.struct(F.array(_turn("system", F.lit(system), names), _turn("human", user, names), _turn("gpt", assistant, names)).alias("conversations")).alias("record"))
+        return df.select(*keep, F.struct(F.array(_turn("system", F.lit(system), names), _turn("human", user, names), _turn("gpt", assistant, names)).alias("conversations")).alias("record"))
     used = {"instruction", "reasoning_path", "final_answer"} if is_tool_example(df) else {"question", "answer"}
     rest = [c for c in df.columns if c not in used]
     keys = ("instruction", "response") if is_tool_example(df) else ("question", "answer")
     fields = [user.alias(keys[0]), assistant.alias(keys[1])]
-    return df.select(F.struct(*fields, *([F.struct(*rest).alias("metadata")] if rest else [])).alias("record"))
+    return df.select(*keep, F.struct(*fields, *([F.struct(*rest).alias("metadata")] if rest else [])).alias("record"))
 
 
 def example_to_chatml(df: DataFrame) -> DataFrame:
@@ -58,17 +68,25 @@ def example_to_chatml(df: DataFrame) -> DataFrame:
     return df.withColumn("messages", F.concat(F.array(turn("user", F.col("instruction"))), steps, F.array(turn("assistant", F.col("final_answer")))))
 
 
-def example_to_alpaca(df: DataFrame) -> DataFrame:
+def example_to_alpaca(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     step = lambda s: F.concat(F.lit("Thought: "), s["thought"], F.lit("\nAction: "), s["tool"], F.lit("("), F.to_json(s["args"]), F.lit(")\nObservation: "), F.coalesce(s["actual_result"], F.lit("")))
     body = F.array_join(F.concat(F.transform("reasoning_path", step), F.array(F.concat(F.lit("Final Answer: "), F.col("final_answer")))), "\n")
-    return df.select(F.struct(F.col("instruction"), F.lit("").alias("input"), body.alias("output")).alias("record"))
+    return df.select(*keep, F.struct(F.col("instruction"), F.lit("").alias("input"), body.alias("output")).alias("record"))
 
 
-def example_to_sharegpt(df: DataFrame) -> DataFrame:
+def example_to_sharegpt(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     step = lambda s: F.concat(F.lit("**Step "), s["step"], F.lit("**: "), s["thought"], F.lit("\n`"), s["tool"], F.lit("("), F.to_json(s["args"]), F.lit(")`"))
     body = F.array_join(F.concat(F.transform("reasoning_path", step), F.array(F.col("final_answer"))), "\n\n")
     names = ("from", "value")
-    return df.select(F.struct(F.array(_turn("human", F.col("instruction"), names), _turn("gpt", body, names)).alias("conversations")).alias("record"))
+    return df.select(*keep, F.struct(F.array(_turn("human", F.col("instruction"), names), _turn("gpt", body, names)).alias("conversations")).alias("record"))
+
+
+def template_text(df: DataFrame, begin: str = "<start_of_turn>", end: str = "<end_of_turn>\n", names: dict[str, str] | None = None) -> DataFrame:
+    """``text``: all turns of ``messages`` between the marks of a chat template, the assistant being the model."""
+    said = {"assistant": "model"} if names is None else names
+    role = lambda m: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in said.items() for x in kv]), m["role"]), m["role"]) if said else m["role"]
+    turn = lambda m: F.concat(F.lit(begin), role(m), F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(end))
+    return df.withColumn("text", F.array_join(F.transform("messages", turn), ""))
 
 
 def think_chat(df: DataFrame, prefixes: list[str]) -> DataFrame:

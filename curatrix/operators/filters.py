@@ -123,7 +123,8 @@ def non_empty_solutions(df: DataFrame, path: str = "reasoning_path") -> DataFram
 def format_errors(instruction: str = "instruction", path: str = "reasoning_path", answer: str = "final_answer") -> Column:
     """What is wrong with a tool-use example, as a list of messages."""
     blank = lambda c: F.length(F.coalesce(c, F.lit(""))) == 0
-    steps = F.transform(path, lambda s, i: F.when(blank(s["tool"]), F.concat(F.lit("Step "), i + 1, F.lit(": no tool"))))
+    said = lambda i, what: F.concat(F.lit("Step "), i + 1, F.lit(f": {what}"))
+    steps = F.flatten(F.transform(path, lambda s, i: F.array(F.when(blank(s["tool"]), said(i, "no tool")), F.when(s["args"].isNull(), said(i, "args is not a dict")))))
     return F.array_compact(F.concat(
         F.array(
             F.when(F.length(F.coalesce(F.col(instruction), F.lit(""))) < 10, "instruction too short"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -16,7 +17,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import parse_json, sanitise_chunk, strip_fence
+from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, strip_fence
 
 
 class ModelClient(Protocol):
@@ -36,6 +37,13 @@ class StubModel:
         return json.dumps([{"question": f"What is said about {tail[:40]}?", "answer": tail[:200], "reasoning": "Step 1: read it.", "rating": h % 11, "clarity": h % 3, "accuracy": h % 4, "usefulness": h % 3, "difficulty": h % 2, "topic_relevant": h % 7 != 0, "overall_score": h % 101 / 100}])
 
 
+class EchoModel:
+    """Answers with the prompt itself, so that the handling of any answer can be tried offline."""
+
+    def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str:
+        return prompt
+
+
 class HttpModel:
     """A chat-completions server."""
 
@@ -57,7 +65,7 @@ class HttpModel:
             raise
 
 
-_FACTORIES: dict[str, Callable[..., ModelClient]] = {"stub": lambda **_: StubModel()}
+_FACTORIES: dict[str, Callable[..., ModelClient]] = {"stub": lambda **_: StubModel(), "echo": lambda **_: EchoModel()}
 for _name, _url in {"ollama": "http://localhost:11434/v1/chat/completions", "vllm": "http://localhost:8000/v1/chat/completions", "openai": "https://api.openai.com/v1/chat/completions"}.items():
     _FACTORIES[_name] = lambda model="default", url=_url, key=None, **_: HttpModel(url, model, key)
 
@@ -87,8 +95,12 @@ def ask_with_retries(model: ModelClient, prompt: str, tries: int = 3, wait: floa
     raise AssertionError
 
 
-def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: float | None = None, threads: int = 8, **options) -> DataFrame:
-    """``df`` with ``raw`` and ``error``: a client per task, and a few calls at a time within it."""
+def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: float | None = None, threads: int = 8, raw_path: str | None = None, max_tokens: int | None = None, **options) -> DataFrame:
+    """``df`` with ``raw`` and ``error``: a client per task, and a few calls at a time within it.
+
+    With ``raw_path`` the answers are written there before anything reads them,
+    and what follows goes on from the files: no second action asks again.
+    """
     import pandas as pd
 
     if provider not in _FACTORIES:
@@ -100,7 +112,7 @@ def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: floa
 
         def one(text: str) -> tuple[str | None, str | None]:
             try:
-                return ask_with_retries(model, text, temperature=temperature), None
+                return ask_with_retries(model, text, temperature=temperature, max_tokens=max_tokens), None
             except Exception as e:  # noqa: BLE001 - a failed call is a row's result
                 return None, str(e)
 
@@ -112,13 +124,14 @@ def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: floa
 
     asked = df.withColumn("model_prompt", prompt)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return asked.mapInPandas(run, f"{schema}, raw string, error string")
+    answers = asked.mapInPandas(run, f"{schema}, raw string, error string")
+    return store_raw(answers, f"{raw_path.rstrip('/')}/{uuid.uuid4().hex}") if raw_path else answers
 
 
 def store_raw(answers: DataFrame, path: str) -> DataFrame:
     """Write raw answers and go on from what was written."""
-    answers.write.mode("append").parquet(path)
-    return answers.sparkSession.read.parquet(path)
+    answers.write.parquet(path)
+    return answers.sparkSession.read.schema(answers.schema).parquet(path)
 
 
 def fill(template: str, **fields: Column) -> Column:
@@ -129,20 +142,23 @@ def fill(template: str, **fields: Column) -> Column:
     return out
 
 
-def generate_pairs(chunks: DataFrame, template: str, fields: str = "question string, answer string", raw_path: str | None = None, **options) -> DataFrame:
+def fill_from(df: DataFrame, template: str) -> Column:
+    """A prompt template whose named places are columns of ``df``."""
+    return fill(template, **{c: F.col(f"`{c}`") for c in df.columns if "{" + c + "}" in template})
+
+
+def generate_pairs(chunks: DataFrame, template: str, fields: str = "question string, answer string", **options) -> DataFrame:
     """Several pairs from each chunk, with ``chunk_id`` and the time and model they come from."""
     answers = ask(chunks.select("chunk_id", "source_file", "content"), fill(template, content=sanitise_chunk("content")), **options)
-    answers = store_raw(answers, raw_path) if raw_path else answers
     each = answers.select("chunk_id", "source_file", F.posexplode(parse_json(strip_fence("raw"), f"array<struct<{fields.replace(' ', ':')}>>".replace(",:", ","))).alias("n", "pair"))
     return each.select("chunk_id", "source_file", "n", "pair.*", F.current_timestamp().alias("generated_at"), F.lit(options.get("model", "offline")).alias("model"))
 
 
-def rate_pairs(pairs: DataFrame, template: str, raw_path: str | None = None, **options) -> DataFrame:
+def rate_pairs(pairs: DataFrame, template: str, **options) -> DataFrame:
     """Pairs with a judge's fields; what cannot be read has the defaults."""
     from .curation import DEFAULTS
 
     answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.1, **options)
-    answers = store_raw(answers, raw_path) if raw_path else answers
     fields = "array<struct<rating:double,clarity:double,accuracy:double,usefulness:double,difficulty:double,topic_relevant:boolean>>"
     verdict = F.get(parse_json(strip_fence("raw"), fields), 0)
     out = answers.withColumn("verdict", verdict)
@@ -151,8 +167,9 @@ def rate_pairs(pairs: DataFrame, template: str, raw_path: str | None = None, **o
 
 def enrich(pairs: DataFrame, template: str, **options) -> DataFrame:
     """Pairs with a rewritten answer, or the old one where the model gave none."""
-    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.3, **options)
-    new = F.get_json_object(F.regexp_extract("raw", r"(?s)\{.*\}", 0), "$.enriched_answer")
+    answers = ask(pairs, fill_from(pairs, template), temperature=0.3, **options)
+    # The whole object first, then the innermost one that has the wanted field.
+    new = F.coalesce(*[F.get_json_object(found, "$.enriched_answer") for found in (F.regexp_extract("raw", r"(?s)\{.*\}", 0), rescue_enriched("raw"))])
     return answers.withColumns({"original_answer": F.col("answer"), "answer": F.coalesce(new, "answer")}).drop("raw", "error")
 
 
@@ -172,6 +189,61 @@ def judge_examples(examples: DataFrame, template: str, **options) -> DataFrame:
     return answers.withColumn("overall_score", score).drop("raw", "error")
 
 
+def rate_examples(examples: DataFrame, template: str, **options) -> DataFrame:
+    """Examples with the judge's ``rating`` and its four parts as ``rating_breakdown``; defaults where it gave none."""
+    from .curation import DEFAULTS
+    from .tools import solution_summary
+
+    answers = ask(examples.drop("rating", "rating_breakdown"), fill(template, instruction=F.col("instruction"), solution_summary=solution_summary(), final_output=F.col("final_answer")), temperature=0.1, **options)
+    parts = ("clarity", "accuracy", "usefulness", "difficulty")
+    verdict = F.get(parse_json(strip_fence("raw"), "array<struct<rating:double," + ",".join(f"{p}:double" for p in parts) + ">>"), 0)
+    breakdown = F.struct(*[F.coalesce(F.col("example_verdict")[p], F.lit(DEFAULTS[p])).alias(p) for p in parts])
+    rated = answers.withColumn("example_verdict", verdict).withColumns({"rating": F.coalesce(F.col("example_verdict.rating"), F.lit(DEFAULTS["rating"])), "rating_breakdown": breakdown})
+    return rated.drop("example_verdict", "raw", "error")
+
+
+def score_pairs(pairs: DataFrame, complexity_template: str, quality_template: str, **options) -> DataFrame:
+    """Pairs with the model's ``complexity`` and ``quality`` from 1 to 10; the heuristics where an answer cannot be read."""
+    out = pairs
+    for name, template, otherwise in (("complexity", complexity_template, complexity("question")), ("quality", quality_template, quality("question", "answer"))):
+        answers = ask(out, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.1, **options)
+        said = F.get(parse_json(strip_fence("raw"), f"array<struct<{name}:double,rating:double>>"), 0)
+        score = F.coalesce(said[name], said["rating"])
+        out = answers.withColumn(name, F.when(score.isNotNull(), F.greatest(F.lit(1.0), F.least(F.lit(10.0), score))).otherwise(otherwise.cast("double"))).drop("raw", "error")
+    return out
+
+
+def judge_datasets(sets: DataFrame, template: str, samples: int = 5, order: str = "idx", **options) -> DataFrame:
+    """A row for each dataset with its metrics, the judge's ``score`` and whether it ``wins`` (best score, of equals the first).
+
+    The template may name ``dataset``, ``n``, ``metrics`` and ``samples``: the
+    first few pairs by ``order``.  Only these rows of metrics reach the model.
+    """
+    from pyspark.sql import Window
+
+    from ..functions.text import verdict_score
+    from .compare import dataset_metrics
+
+    metrics = dataset_metrics(sets)
+    ranked = sets.select("dataset", F.row_number().over(Window.partitionBy("dataset").orderBy(order)).alias("k"), F.concat(F.lit("Q: "), "question", F.lit("\nA: "), "answer").alias("shown")).where(F.col("k") <= samples)
+    shown = ranked.groupBy("dataset").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "shown"))), lambda s: s["shown"]), "\n\n").alias("samples"))
+    rows = metrics.withColumn("metrics", F.to_json(F.struct(*metrics.columns))).join(shown, "dataset")
+    answers = ask(rows, fill_from(rows, template), temperature=0.1, **options)
+    scored = answers.withColumn("score", F.coalesce(verdict_score("raw"), F.lit(0.0)))
+    best = scored.agg(F.min(F.struct(-F.col("score"), F.col("dataset"))).getField("dataset").alias("best"))
+    return scored.crossJoin(F.broadcast(best)).withColumn("wins", F.col("dataset") == F.col("best")).drop("raw", "error", "best", "samples")
+
+
+def tools_from_topics(topics: DataFrame, template: str, **options) -> DataFrame:
+    """Tools that the model invents for each ``topic``, those without name or description left out."""
+    from .tools import refine_generated
+
+    answers = ask(topics.select("topic"), fill(template, topic=F.col("topic")), temperature=0.8, **options)
+    kind = "array<struct<name:string,description:string,category:string,parameters:array<struct<name:string,type:string,description:string,required:boolean>>>>"
+    each = answers.select("topic", F.explode(parse_json(strip_fence("raw"), kind)).alias("t")).select("topic", "t.*")
+    return refine_generated(each).withColumn("tool_id", F.replace(F.lower("name"), F.lit(" "), F.lit("_")))
+
+
 def rate_steps(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
     """``step_ratings`` of each example, in the order of its path, within [0, 1]; 0.5 where the model gave none."""
     from .tools import step_rows

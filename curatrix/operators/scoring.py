@@ -97,10 +97,20 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def first_of_each(df: DataFrame, column: str, order: str) -> DataFrame:
-    """The first row of each lower-cased, trimmed text: a map-side minimum, then a semi join."""
+    """One row of each lower-cased, trimmed text: that of the least order, null orders last.
+
+    Only digests are ranked, so texts are not shuffled twice: the least
+    ``(order, row digest)`` of each text is joined back, and rows that are the
+    same in every column are counted once.
+    """
     norm = F.lower(F.regexp_replace(F.coalesce(column, F.lit("")), r"^\s+|\s+$", ""))
-    firsts = df.groupBy(norm.alias("text_norm")).agg(F.min(order).alias(order)).select(order)
-    return df.join(firsts, order, "left_semi")
+    texts = F.struct(F.xxhash64(norm).alias("a"), F.xxhash64(F.lit(1), norm).alias("b"))
+    place = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("at"), F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("row"))
+    marked = df.withColumns({"first_text": texts, "first_place": place})
+    firsts = marked.groupBy("first_text").agg(F.min("first_place").alias("first_place"))
+    kept = marked.join(firsts.withColumnRenamed("first_place", "least_place"), "first_text")
+    kept = kept.where(F.col("first_place").eqNullSafe(F.col("least_place")))
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns], F.col("first_text").alias("first_text")).dropDuplicates(["first_text"]).drop("first_text")
 
 
 def balance(df: DataFrame, ratios: dict[str, float], difficulty: str = "difficulty", rating: str = "rating", order: str = "idx") -> DataFrame:

@@ -145,6 +145,8 @@ def solution_summary(path: str = "reasoning_path", cut: int = 200) -> Column:
     return F.array_join(F.transform(path, lambda s: F.concat(F.lit("Step "), s["step"], F.lit(": "), s["tool"], F.lit("("), args(s), F.lit(")"), result(s), tail(s))), "\n")
 
 
+#: Numbers in an expression, and what powers give, are at most so long in bits.
+MOST_BITS = 4096
 _OPERATIONS = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: operator.truediv, ast.Mod: operator.mod, ast.Pow: operator.pow, ast.FloorDiv: operator.floordiv, ast.USub: operator.neg, ast.UAdd: operator.pos}
 
 
@@ -155,7 +157,12 @@ def calculate(expression: str) -> float:
         if isinstance(node, ast.Constant) and isinstance(node.value, (int, float)):
             return node.value
         if isinstance(node, ast.BinOp) and type(node.op) in _OPERATIONS:
-            return _OPERATIONS[type(node.op)](value(node.left), value(node.right))
+            left, right = value(node.left), value(node.right)
+            if isinstance(node.op, ast.Pow) and isinstance(left, int) and isinstance(right, int) and left.bit_length() * abs(right) > MOST_BITS:
+                raise ValueError(f"too large: {expression}")
+            if isinstance(left, int) and isinstance(right, int) and left.bit_length() + right.bit_length() > MOST_BITS:
+                raise ValueError(f"too large: {expression}")
+            return _OPERATIONS[type(node.op)](left, right)
         if isinstance(node, ast.UnaryOp) and type(node.op) in _OPERATIONS:
             return _OPERATIONS[type(node.op)](value(node.operand))
         raise ValueError(f"not arithmetic: {expression}")

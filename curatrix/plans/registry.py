@@ -390,11 +390,8 @@ def sample_hash(spark, sf_dir):
 
 @_query(f"WITH {_PAIRS} SELECT idx, '{export.SYSTEM_PROMPT}' AS system, question AS user_text, answer AS assistant_text FROM pairs")
 def export_chatml(spark, sf_dir):
-    rows = _pairs(spark, sf_dir)
-    out = export.to_format(rows.select("question", "answer", "idx"), "chatml").select("record.messages")
-    keyed = export.to_format(rows.select("question", "answer", "idx"), "jsonl").select("record.metadata.idx", F.struct("record.question", "record.answer").alias("qa"))
-    made = out.select(F.col("messages")[0]["content"].alias("system"), F.col("messages")[1]["content"].alias("user_text"), F.col("messages")[2]["content"].alias("assistant_text"))
-    return keyed.join(made.distinct(), (F.col("qa.question") == F.col("user_text")) & (F.col("qa.answer") == F.col("assistant_text"))).select("idx", "system", "user_text", "assistant_text")
+    out = export.to_format(_pairs(spark, sf_dir), "chatml", keep=("idx",))
+    return out.select("idx", *[F.col("record.messages")[k]["content"].alias(n) for k, n in enumerate(("system", "user_text", "assistant_text"))])
 
 
 @_query(f"WITH {_PAIRS} SELECT question AS instruction, '' AS input, answer AS output FROM pairs")

@@ -74,8 +74,8 @@ def wrapped_array(spark: SparkSession, path: str, name: str, schema: str) -> Dat
 
 
 TOOL_SCHEMA = (
-    "tool_id string, name string, description string, parameters array<struct<name:string,type:string,description:string,required:boolean>>, returns struct<type:string,description:string>, "
-    "category string, complexity string, documentation_url string"
+    "tool_id string, name string, description string, parameters array<struct<name:string,type:string,description:string,required:boolean,default:string,enum:array<string>>>, returns struct<type:string,description:string>, "
+    "category string, complexity string, documentation_url string, examples array<string>"
 )
 EXAMPLE_SCHEMA = (
     "instruction string, solution struct<instruction:string,reasoning_path:array<struct<step:int,thought:string,tool:string,args:map<string,string>,expected_result:string,actual_result:string,status:string,error_message:string>>,"

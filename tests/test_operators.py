@@ -203,10 +203,10 @@ def test_calculator_refuses_names():
 
 def test_tool_parsers(spark):
     spec = {"paths": {"/a/{id}": {"get": {"operationId": "getA", "summary": "Gets", "parameters": [{"$ref": "#/components/parameters/Id"}]}}}, "components": {"parameters": {"Id": {"name": "id", "required": True, "schema": {"type": "integer"}}}}}
-    assert tool_parsers.openapi(spec)[0]["parameters"] == [{"name": "id", "type": "integer", "description": "", "required": True}]
+    assert tool_parsers.openapi(spec)[0]["parameters"] == [{"name": "id", "type": "integer", "description": "", "required": True, "default": None, "enum": None}]
     module = 'def f(a: int, b: str = "x") -> float:\n    """Does.\n\n    Args:\n        a: first\n            goes on\n        b: second\n\n    Returns:\n        A number.\n    """\n\ndef _g():\n    pass\n'
     found = tool_parsers.python_module(module)
-    assert len(found) == 1 and found[0]["parameters"][0] == {"name": "a", "type": "integer", "description": "first goes on", "required": True}
+    assert len(found) == 1 and found[0]["parameters"][0] == {"name": "a", "type": "integer", "description": "first goes on", "required": True, "default": None, "enum": None}
     assert found[0]["returns"] == {"type": "number", "description": "A number."}
     assert tool_parsers.json_tools({"name": "My Tool", "parameters": {"properties": {"x": {"type": "string"}}, "required": ["x"]}})[0]["tool_id"] == "my_tool"
     assert tools.invalid_tools(tool_parsers.frame(spark, found)).count() == 0
@@ -319,3 +319,43 @@ def test_row_order_does_not_matter(spark, pairs):
     b = scoring.top_k(scoring.score(pairs.repartition(3)), 2).collect()
     assert a == b
     assert scoring.seeded_sample(pairs, 2, "idx").collect() == scoring.seeded_sample(pairs.repartition(3), 2, "idx").collect()
+
+
+def test_first_of_each_with_null_and_repeated_orders(spark):
+    rows = [(1, "A "), (1, "a"), (2, "a"), (None, "b"), (None, "b"), (None, " B"), (3, None), (4, ""), (4, ""), (5, "c")]
+    got = scoring.first_of_each(spark.createDataFrame(rows, "idx int, content string"), "content", "idx").collect()
+    assert sorted((str(r.content or "").strip().lower(), r.idx) for r in got) == [("", 3), ("a", 1), ("b", None), ("c", 5)]
+    assert scoring.first_of_each(spark.createDataFrame([], "idx int, content string"), "content", "idx").count() == 0
+
+
+@pytest.mark.parametrize("text, written", [("a", "'a'"), ("it's", '"it\'s"'), ("it's \"x\"", "'it\\'s \"x\"'"), ("a\nb\\", "'a\\nb\\\\'"), (None, "None")])
+def test_arguments_are_written_as_python_does(spark, text, written):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(export.quoted(F.col("t"))).first()[0] == written == repr(text)
+
+
+def test_large_powers_are_refused():
+    for text in ("9**9**9", "2**5000", "(10**1000)*(10**1000)"):
+        with pytest.raises(ValueError):
+            tools.calculate(text)
+    assert tools.calculate("2**64") == 2**64
+
+
+def test_raw_answers_are_asked_for_once(spark, tmp_path):
+    asked = []
+    models.register_provider("once", lambda **_: type("Once", (), {"generate": lambda self, prompt, **_: open(f"{tmp_path}/calls", "a").write("x") and '[{"rating": 9}]'})())
+    df = models.rate_pairs(spark.createDataFrame([(1, "q", "a"), (2, "r", "b")], "idx int, question string, answer string"), "{question}", provider="once", raw_path=f"{tmp_path}/raw")
+    asked += [df.collect(), df.collect()]
+    assert asked[0] == asked[1] and [r.rating for r in asked[0]] == [9.0, 9.0]
+    assert len(open(f"{tmp_path}/calls").read()) == 2
+
+
+def test_scratch_folder_is_shared_or_refused(spark):
+    from types import SimpleNamespace
+
+    from curatrix.sources.scratch import scratch_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    with pytest.raises(ValueError):
+        scratch_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")), "x")
+    assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
