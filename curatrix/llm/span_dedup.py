@@ -6,16 +6,18 @@ document with a smaller id.
 * Documents are copied to numbered files of the shared folder; all later steps
   exchange packed arrays between files and buckets of hashes.
 * Every string of ``LENGTH`` bytes holds the least-hashed ``GRAM``-byte gram
-  among its own (its anchor), wherever it occurs.  Anchors of each file's
-  distinct texts go to buckets of their hashes, which tell the files those that
-  more than one text has.
-* The file cuts the context out around such an anchor: all strings that it can
-  be the anchor of.  Distinct contexts meet in the anchor's bucket.  Contexts
-  that share neither a half with another are left out.
-* The bucket builds the suffix array of the remaining contexts, in symbols of
-  ``PACK`` bytes.  Neighbouring suffixes with as many equal symbols as any
-  string of ``LENGTH`` bytes holds are candidates, whose strings are compared
-  byte by byte; each takes the least document id of its equals.
+  among its own (its anchor), wherever it occurs, and with it ``HALF`` bytes
+  before or after.  Each file sends the hashes of these longer strings, once
+  each however many of its texts have them, to the buckets of their range,
+  which tell the files those that more than one text has.  A gram that is in
+  many texts is so split by what surrounds it.
+* The file cuts the context out around an anchor with such a hash: all strings
+  that it can be the anchor of.  Distinct contexts meet in the anchor's bucket.
+* The bucket sorts the suffixes of the contexts that share a half with another:
+  a suffix array over symbols of ``PACK`` bytes, from which the order of the
+  suffixes between them is induced.  Neighbours in this order that have
+  ``LENGTH`` bytes in common are the repeats, and each takes the least document
+  id of its run.
 * The files turn these ids into removed spans.
 
 Copies of one text in a file count as one text of the least id, so a large
@@ -24,7 +26,7 @@ group of copies sends one text from each file.
 
 from __future__ import annotations
 
-import pickle
+import io
 import uuid
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import child_uri, materialise, open_store, shared_dir
+from .common import child_uri, open_store, shared_dir, small_batches
 from .suffix_array import suffix_array
 
 LENGTH, GRAM, PACK = 50, 16, 4
@@ -44,21 +46,31 @@ LENGTH, GRAM, PACK = 50, 16, 4
 BACK = LENGTH - GRAM
 CONTEXT = LENGTH + BACK
 WINDOW_GRAMS = LENGTH - GRAM + 1
+#: Bytes on one side of its anchor that every string has at least.
+HALF = BACK // 2
 #: Contexts that one suffix array covers, but for a larger group of one anchor.
 ARRAY_CONTEXTS = 6000
 ROW_GROUP = 512
-#: A later task holds the shared contexts of one file, which take a few times its text at most.
-FILE_BYTES = 32 << 20
+#: A later task holds the hashes and shared contexts of one file, which take a few times its text at most.
+FILE_BYTES = 16 << 20
 NO_ID = np.iinfo(np.int64).max
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_FACTOR = 0x9E3779B97F4A7C15
+_MIX = (np.uint64(_FACTOR), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-def _pack(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+def _pack(*arrays: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    for a in arrays:
+        np.save(out, a, allow_pickle=False)
+    return zstandard.ZstdCompressor(level=1).compress(out.getvalue())
 
 
-def _unpack(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    source, out = io.BytesIO(raw), []
+    while source.tell() < len(raw):
+        out.append(np.load(source, allow_pickle=False))
+    return out
 
 
 def _slide(a: np.ndarray, width: int, least) -> np.ndarray:
@@ -75,20 +87,31 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that are least in some string of ``LENGTH`` bytes."""
+def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the grams that are least in some string of ``LENGTH`` bytes.
+
+    Then 48-bit hashes of each with ``HALF`` bytes before and of each with
+    ``HALF`` bytes after, zero where the text has not so many.
+    """
     if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, known, factor = raw.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
+        return np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in range(3))
+    h, known, factor = raw.astype(np.uint64) + np.uint64(1), 1, _FACTOR
     while known < GRAM:
         h = h[:-known] * np.uint64(factor) + h[known:]
         factor = factor * factor & 0xFFFFFFFFFFFFFFFF
         known *= 2
-    h = _mixed(h)
-    least = _slide(h, WINDOW_GRAMS, np.minimum)
+    mixed = _mixed(h)
+    least = _slide(mixed, WINDOW_GRAMS, np.minimum)
     edge = np.zeros(WINDOW_GRAMS - 1, np.uint64)
-    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW_GRAMS, np.maximum) == h)
-    return at, h[at]
+    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW_GRAMS, np.maximum) == mixed)
+    halves, size = [], GRAM + HALF
+    for first in (at - HALF, at):
+        good = (first >= 0) & (first + size <= len(raw))
+        start = np.where(good, first, 0)
+        # Two grams that overlap hold all of the bytes.
+        both = (h[start] * np.uint64(factor) + h[start + size - GRAM]) * np.uint64(_FACTOR)
+        halves.append(np.where(good, np.maximum(_mixed(both) >> np.uint64(16), np.uint64(1)), np.uint64(0)))
+    return at, mixed[at], *halves
 
 
 def _row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -208,80 +231,66 @@ def _sent(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartitionById(parts, F.col("target")).sortWithinPartitions("target", "origin")
 
 
-def _anchor_rows(files: DataFrame, buckets: int) -> DataFrame:
-    """The anchors of each file's distinct texts, for their hashes' buckets."""
+def _half_rows(files: DataFrame, buckets: int) -> DataFrame:
+    """The half hashes of each file's distinct texts, and whether two of its texts have them, for the buckets of their ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
                 with _File(uri) as file:
                     first, _ = file.distinct()
-                    held: list[tuple] = []
-                    count = 0
                     for n, (_, text) in enumerate(file.texts()):
                         if first[n] == n:
-                            at, h = anchors(np.frombuffer(text, np.uint8))
-                            held.append((h, np.full(len(h), n, np.uint32), at.astype(np.uint32)))
-                            count += len(h)
-                        if count > 1_000_000:
-                            yield from cut(number, held)
-                            held, count = [], 0
-                    if count:
-                        yield from cut(number, held)
-
-    def cut(number: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        h, rows, at = (np.concatenate([x[k] for x in held]) for k in range(3))
-        bucket = h % np.uint64(buckets)
-        order = np.lexsort((h, bucket))
-        h, rows, at = h[order], rows[order], at[order]
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-        for k in range(buckets):
-            a, b = cuts[k], cuts[k + 1]
-            if a < b:
-                yield _row(k, number, _pack(h[a:b], rows[a:b], at[a:b]))
+                            own = np.unique(np.concatenate(anchors(np.frombuffer(text, np.uint8))[2:]))
+                            keys.append(own[own > 0])
+                            rows.append(np.full(len(keys[-1]), n, np.uint32))
+                keys = np.sort(np.concatenate(keys))
+                # A text has each of its keys once, so a repeated key is in two texts.
+                new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+                starts = np.flatnonzero(new)
+                twice = np.diff(np.append(starts, len(keys))) > 1
+                keys = keys[new]
+                cuts = np.searchsorted((keys >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+                for k in range(buckets):
+                    a, b = cuts[k], cuts[k + 1]
+                    if a < b:
+                        steps = np.diff(keys[a:b])
+                        small = steps.astype(np.uint32) if not len(steps) or steps.max() < 1 << 32 else steps
+                        yield _row(k, number, _pack(keys[a : a + 1], small, np.packbits(twice[a:b])))
 
     return files.mapInArrow(run, _ROWS)
 
 
 def _shared_rows(rows: DataFrame) -> DataFrame:
-    """Back to each file, those of its anchors that another text has as well."""
+    """Back to each file, those of its half hashes that another text has as well, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, bodies in _by_target(batches):
-            parts = [(origin, *_unpack(body)) for origin, body in bodies]
-            h = np.concatenate([p[1] for p in parts])
-            rows = np.concatenate([p[2] for p in parts])
-            at = np.concatenate([p[3] for p in parts])
-            origin = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
-            order = np.lexsort((rows, origin, h))
-            sh, sr, so = h[order], rows[order], origin[order]
-            new_h = np.concatenate([[True], sh[1:] != sh[:-1]])
-            new_text = new_h | np.concatenate([[True], (sr[1:] != sr[:-1]) | (so[1:] != so[:-1])])
-            group = np.cumsum(new_h) - 1
-            many = order[np.bincount(group[new_text], minlength=group[-1] + 1)[group] > 1]
-            many = many[np.lexsort((at[many], rows[many], origin[many]))]
-            for f in np.unique(origin[many]):
-                some = many[origin[many] == f]
-                yield _row(int(f), bucket, _pack(h[some], rows[some], at[some]))
+            keys, twice = [], []
+            for _, body in bodies:
+                first, steps, bits = _unpack(body)
+                keys.append(np.concatenate([first, first + np.cumsum(steps, dtype=np.uint64)]))
+                twice.append(np.unpackbits(bits, count=len(keys[-1])).astype(bool))
+            order = np.argsort(np.concatenate(keys), kind="stable")
+            ordered = np.concatenate(keys)[order]
+            same = np.concatenate([[False], ordered[1:] == ordered[:-1], [False]])
+            shared = np.empty(len(order), bool)
+            shared[order] = same[1:] | same[:-1]
+            shared |= np.concatenate(twice)
+            at = 0
+            for (origin, _), own in zip(bodies, keys, strict=True):
+                kept = own[shared[at : at + len(own)]]
+                at += len(own)
+                if len(kept):
+                    yield _row(origin, bucket, _pack(kept))
 
     return rows.mapInArrow(run, _ROWS)
 
 
-def _contexts(file: _File, bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text with shared anchors: row, id, length, hashes, places and contexts, in order of rows."""
-    parts = [_unpack(b) for b in bodies]
-    h, rows, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((at, rows))
-    h, rows, at = h[order], rows[order], at[order].astype(np.int64)
-    cuts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    bounds = dict(zip(rows[cuts].tolist(), zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)], strict=True), strict=True))
-    reach = np.arange(-BACK, LENGTH)
-    for n, (_, text) in enumerate(file.texts()):
-        if n in bounds:
-            a, b = bounds[n]
-            padded = np.zeros(len(text) + BACK + LENGTH, np.uint8)
-            padded[BACK : BACK + len(text)] = np.frombuffer(text, np.uint8)
-            yield n, len(text), h[a:b], at[a:b], padded[at[a:b, None] + reach + BACK]
+def _among(keys: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Which of the keys are among the sorted ``shared`` ones."""
+    return shared[np.minimum(np.searchsorted(shared, keys), len(shared) - 1)] == keys
 
 
 def _valid(at: np.ndarray, length: int) -> np.ndarray:
@@ -290,35 +299,54 @@ def _valid(at: np.ndarray, length: int) -> np.ndarray:
     return (starts >= 0) & (starts + LENGTH <= length)
 
 
+def _contexts(file: _File, shared: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each distinct text with shared halves: row, length, hashes and places of their anchors, and contexts, in order of rows."""
+    if not len(shared):
+        return
+    first, _ = file.distinct()
+    reach = np.arange(-BACK, LENGTH)
+    for n, (_, text) in enumerate(file.texts()):
+        if first[n] == n and len(text) >= LENGTH:
+            raw = np.frombuffer(text, np.uint8)
+            at, h, left, right = anchors(raw)
+            keep = _among(left, shared) | _among(right, shared)
+            if keep.any():
+                at = at[keep]
+                padded = np.zeros(len(raw) + BACK + LENGTH, np.uint8)
+                padded[BACK : BACK + len(raw)] = raw
+                yield n, len(raw), h[keep], at, padded[at[:, None] + reach + BACK]
+
+
 def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame:
-    """Each file's distinct contexts with the least id that has them, for the anchors' buckets."""
+    """Each file's distinct contexts with the least id that has them, for the anchors' buckets; and its places, which one bucket passes on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, bodies in _by_target(batches):
-            h, rows, ids, bits, names = _file_contexts(uris[number], [b for _, b in bodies])
-            keep, least = _merge(names, ids)
+            keys = np.concatenate([np.zeros(0, np.uint64), *(_unpack(b)[0] for _, b in bodies if b)])
+            with _File(uris[number]) as file:
+                _, ids = file.distinct()
+                parts = [(h, c, np.full(len(h), ids[n]), np.packbits(_valid(at, length), axis=1), np.full(len(h), n, np.uint32), at.astype(np.uint32)) for n, length, h, at, c in _contexts(file, keys)]
+            if not parts:
+                none = np.zeros(0, np.uint32)
+                yield _row(number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64)))
+                continue
+            h, rows, own, bits, ns, places = (np.concatenate([p[k] for p in parts]) for k in range(6))
+            marks = _row_hashes(np.concatenate([rows, bits], axis=1))
+            names = _names(h, marks[:, 0], marks[:, 1])
+            keep, least = _merge(names, own)
+            yield _row(number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least))
             bucket = h[keep] % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
             for k in range(buckets):
                 some = order[cuts[k] : cuts[k + 1]]
                 if len(some):
-                    own = keep[some]
-                    yield _row(k, number, _pack(some.astype(np.uint32), h[own], rows[own], bits[own], least[some]))
+                    mine = keep[some]
+                    yield _row(k, number, b"c" + _pack(some.astype(np.uint32), h[mine], rows[mine], bits[mine], least[some]))
 
     return shared.mapInArrow(run, _ROWS)
 
 
-def _file_contexts(uri: str, bodies: list[bytes]) -> tuple:
-    """Hash, context, least id of the text, valid strings and name of each shared anchor of a file."""
-    with _File(uri) as file:
-        _, least = file.distinct()
-        parts = [(h, c, np.full(len(h), least[n]), np.packbits(_valid(at, length), axis=1)) for n, length, h, at, c in _contexts(file, bodies)]
-    h, rows, ids, bits = (np.concatenate([p[k] for p in parts]) for k in range(4))
-    marks = _row_hashes(np.concatenate([rows, bits], axis=1))
-    return h, rows, ids, bits, _names(h, marks[:, 0], marks[:, 1])
-
-
 def _merge(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first row of each name, and the least id of each."""
     _, keep = np.unique(names, return_index=True)
@@ -328,18 +356,18 @@ def _merge(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def least_ids(h: np.ndarray, rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For every string of the distinct contexts, the least id of the contexts that have it at the same place.
+    """For every string of the distinct contexts, the least id of the contexts that have it.
 
-    ``rows`` are contexts of ``CONTEXT`` bytes in order of their anchors ``h``.
+    ``rows`` are contexts of ``CONTEXT`` bytes in order of their anchors ``h``;
+    only contexts of one anchor can share strings.
     """
     out = np.repeat(ids[:, None], WINDOW_GRAMS, axis=1)
     if len(rows) < 2:
         return out
     first = np.concatenate([[True], h[1:] != h[:-1]])
     group = np.cumsum(first) - 1
-    half = LENGTH - GRAM - (LENGTH - GRAM) // 2
     alike = np.zeros(len(rows), bool)
-    for part in (rows[:, BACK - half : BACK + GRAM], rows[:, BACK : BACK + GRAM + half]):
+    for part in (rows[:, BACK - HALF : BACK + GRAM], rows[:, BACK : BACK + GRAM + HALF]):
         marks = _row_hashes(part)
         names = _names(group, marks[:, 0], marks[:, 1])
         alike |= np.bincount(names)[names] > 1
@@ -358,43 +386,53 @@ def least_ids(h: np.ndarray, rows: np.ndarray, valid: np.ndarray, ids: np.ndarra
 
 
 def _array_ids(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """The part of ``least_ids`` that one suffix array covers."""
-    width, whole = CONTEXT // PACK, (LENGTH - PACK + 1) // PACK
-    packed = np.ascontiguousarray(rows).view(f"<u{PACK}")
-    symbols = np.unique(packed, return_inverse=True)[1].reshape(packed.shape)
-    order = np.array(suffix_array(symbols.ravel()))
-    place = order % width
-    order = order[place <= width - whole]
-    stretch = np.lib.stride_tricks.sliding_window_view(symbols, whole, axis=1).reshape(-1, whole)
-    spot = order // width * (width - whole + 1) + order % width
-    run = np.zeros(len(order), np.int64)
-    for at in range(1, len(order), 65536):
-        now = spot[at - 1 : at + 65536]
-        run[at : at + 65536] = (stretch[now[1:]] != stretch[now[:-1]]).any(axis=1)
-    run = np.cumsum(run)
-    names = _names(run, order % width)
-    many = np.bincount(names)[names] > 1
-    found = np.full((len(rows), width - whole + 1), -1, np.int64)
-    found[order[many] // width, order[many] % width] = names[many]
-    for j in range(WINDOW_GRAMS):
-        runs = found[:, -(-j // PACK)]
-        some = np.flatnonzero((runs >= 0) & valid[:, j])
-        if len(some) < 2:
+    """The part of ``least_ids`` that one suffix array covers.
+
+    The array is over symbols of ``PACK`` bytes, the first one the highest, so
+    it orders the suffixes that begin with a symbol as their bytes do.  Those
+    that begin between symbols are ordered by the bytes up to the next symbol
+    and the rank of the suffix there.
+    """
+    width = CONTEXT // PACK
+    symbols = np.ascontiguousarray(rows).view(f">u{PACK}").astype(np.int64)
+    rank = np.empty(symbols.size, np.int64)
+    rank[np.array(suffix_array(symbols.ravel()))] = np.arange(symbols.size)
+    rank = rank.reshape(-1, width)
+    strings = np.lib.stride_tricks.sliding_window_view(rows, LENGTH, axis=1)
+    for residue in range(PACK):
+        places = np.arange(residue, WINDOW_GRAMS, PACK)
+        context, k = np.nonzero(valid[:, places])
+        if len(context) < 2:
             continue
-        strings = np.ascontiguousarray(rows[some, j : j + LENGTH]).view(f"V{LENGTH}").ravel()
-        _, equal = np.unique(strings.view(f"S{LENGTH}") if not (rows[some, j + LENGTH - 1] == 0).any() else _names(*_row_hashes(rows[some, j : j + LENGTH]).T), return_inverse=True)
-        least = np.full(equal.max() + 1, NO_ID)
-        np.minimum.at(least, equal, ids[some])
-        out[some, j] = np.minimum(out[some, j], least[equal])
+        begin, lead = places[k], np.zeros(len(context), np.int64)
+        for byte in range(-residue % PACK):
+            lead = lead << 8 | rows[context, begin + byte]
+        order = np.lexsort((rank[context, -(-begin // PACK)], lead))
+        context, begin = context[order], begin[order]
+        new = np.ones(len(context), bool)
+        for at in range(1, len(context), 16384):
+            c, j = context[at - 1 : at + 16384], begin[at - 1 : at + 16384]
+            some = strings[c, j]
+            new[at : at + 16384] = (some[1:] != some[:-1]).any(axis=1)
+        starts = np.flatnonzero(new)
+        least = np.minimum.reduceat(ids[context], starts)[np.cumsum(new) - 1]
+        out[context, begin] = np.minimum(out[context, begin], least)
     return out
 
 
 def _decided_rows(contexts: DataFrame) -> DataFrame:
-    """Back to each file, the ids of its contexts' strings that are less than its own."""
+    """Back to each file, the ids of its contexts' strings that are less than its own: context, mask of strings, id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, bodies in _by_target(batches):
-            parts = [(origin, *_unpack(body)) for origin, body in bodies]
+            parts = []
+            for origin, body in bodies:
+                if body[:1] == b"p":
+                    yield _row(origin, -1, body)
+                else:
+                    parts.append((origin, *_unpack(body[1:])))
+            if not parts:
+                continue
             number, h, rows, bits, ids = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
             origin = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
             marks = _row_hashes(np.concatenate([rows, bits], axis=1))
@@ -404,10 +442,19 @@ def _decided_rows(contexts: DataFrame) -> DataFrame:
             found = least_ids(h[keep], rows[keep], valid, least)
             for f in np.unique(origin):
                 some = np.flatnonzero(origin == f)
-                table = found[names[some]]
-                r, j = np.nonzero(table < ids[some, None])
-                if len(r):
-                    yield _row(int(f), bucket, _pack(number[some][r], j.astype(np.uint8), table[r, j]))
+                table = np.where(valid[names[some]], found[names[some]], NO_ID)
+                table[table >= ids[some, None]] = NO_ID
+                told: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+                left = np.flatnonzero((table < NO_ID).any(axis=1))
+                while len(left):
+                    # Most contexts have all their strings from one document: one entry each.
+                    value = table[left].min(axis=1)
+                    hit = table[left] == value[:, None]
+                    told.append((number[some][left], np.packbits(hit, axis=1), value))
+                    table[left] = np.where(hit, NO_ID, table[left])
+                    left = left[(table[left] < NO_ID).any(axis=1)]
+                if told:
+                    yield _row(int(f), bucket, b"d" + _pack(*(np.concatenate([t[k] for t in told]) for k in range(3))))
 
     return contexts.mapInArrow(run, _ROWS)
 
@@ -421,24 +468,41 @@ def _removed(length: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(covered == 1), np.flatnonzero(covered == -1)
 
 
+class _Decisions:
+    """What the buckets told of one file's contexts."""
+
+    def __init__(self, bodies: list[bytes]):
+        places = next(b for b in bodies if b[:1] == b"p")
+        self.rows, self.at, self.names, self.least = _unpack(places[1:])
+        told = [_unpack(b[1:]) for b in bodies if b[:1] == b"d"]
+        name, bits, less = (np.concatenate([t[k] for t in told]) for k in range(3)) if told else (np.zeros(0, np.uint32), np.zeros((0, 5), np.uint8), np.zeros(0, np.int64))
+        order = np.argsort(name, kind="stable")
+        self.told, self.bits, self.less = name[order], bits[order], less[order]
+
+    def starts(self, row: int, doc: int, length: int) -> np.ndarray:
+        """Where strings of the text of ``row`` begin that a document before ``doc`` has."""
+        a, b = np.searchsorted(self.rows, [row, row + 1])
+        at, names = self.at[a:b].astype(np.int64), self.names[a:b]
+        own = self.least[names] < doc
+        r, j = np.nonzero(_valid(at[own], length))
+        out = [at[own][r] - BACK + j]
+        first, last = np.searchsorted(self.told, names), np.searchsorted(self.told, names, side="right")
+        sizes = last - first
+        if sizes.sum():
+            which = np.repeat(np.arange(len(names)), sizes)
+            entry = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+            less = self.less[entry] < doc
+            r, j = np.nonzero(np.unpackbits(self.bits[entry[less]], axis=1, count=WINDOW_GRAMS))
+            out.append(at[which[less]][r] - BACK + j)
+        return np.concatenate(out)
+
+
 def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> DataFrame:
     kind = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, bodies in _by_target(batches):
-            shared = [b[1:] for _, b in bodies if b[:1] == b"s"]
-            decided = [_unpack(b[1:]) for _, b in bodies if b[:1] == b"d"]
-            per_row: dict[int, tuple] = {}
-            if shared:
-                _, _, ids, _, names = _file_contexts(uris[number], shared)
-                table = np.repeat(_merge(names, ids)[1][:, None], WINDOW_GRAMS, axis=1)
-                for context, j, less in decided:
-                    table[context, j] = less
-                with _File(uris[number]) as file:
-                    at = 0
-                    for n, length, h, places, _ in _contexts(file, shared):
-                        per_row[n] = (places, _valid(places, length), names[at : at + len(h)])
-                        at += len(h)
+            decided = _Decisions([b for _, b in bodies])
             with _File(uris[number]) as file:
                 first, least = file.distinct()
                 out: list[tuple] = []
@@ -447,10 +511,8 @@ def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> D
                     starts, ends = none, none
                     if length >= LENGTH and i > least[first[n]]:
                         starts, ends = np.array([0]), np.array([length])
-                    elif first[n] in per_row:
-                        places, valid, names_ = per_row[first[n]]
-                        r, j = np.nonzero(valid & (table[names_] < i))
-                        starts, ends = _removed(length, places[r] - BACK + j)
+                    elif length >= LENGTH and len(found := decided.starts(first[n], i, length)):
+                        starts, ends = _removed(length, found)
                     keep = [text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), length], strict=True)]
                     out.append((None if i == NO_ID else i, length, starts.tolist(), ends.tolist(), b"".join(keep)))
                     if len(out) == 256:
@@ -472,15 +534,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark: SparkSession = df.sparkSession
     schema = f"`{id_col}` bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
-    uris = copy_documents(df, shared_dir(spark, "copies"), id_col, text_col)
+    uris = copy_documents(small_batches(df), shared_dir(spark, "copies"), id_col, text_col)
     if not uris:
         return spark.createDataFrame([], schema)
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A bucket gets about as much as a file sends.
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), len(uris))
     numbered = spark.createDataFrame(list(enumerate(uris)), "number int, uri string")
     files = numbered.repartitionById(len(uris), F.col("number")).select("number", "uri")
-    shared = materialise(_shared_rows(_sent(_anchor_rows(files, buckets), buckets)), "shared")
+    every = numbered.select(F.col("number").alias("target"), F.lit(-1).alias("origin"), F.lit("").cast("binary").alias("body"))
+    shared = _shared_rows(_sent(_half_rows(files, buckets), buckets)).union(every)
     contexts = _context_rows(_sent(shared, len(uris)), uris, buckets)
-    decided = _decided_rows(_sent(contexts, buckets))
-    kinds = [rows.select("target", "origin", F.concat(F.lit(mark).cast("binary"), F.col("body")).alias("body")) for mark, rows in (("s", shared), ("d", decided))]
-    every = numbered.select(F.col("number").alias("target"), F.lit(-1).alias("origin"), F.lit("n").cast("binary").alias("body"))
-    return _final_rows(_sent(kinds[0].union(kinds[1]).union(every), len(uris)), uris, id_col, schema)
+    return _final_rows(_sent(_decided_rows(_sent(contexts, buckets)), len(uris)), uris, id_col, schema)

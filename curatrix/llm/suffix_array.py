@@ -1,4 +1,4 @@
-"""Linear-time suffix sorting by grouping, without recursion.
+"""Suffix sorting by grouping, without recursion.
 
 First the suffixes are grouped by their Lyndon prefixes.  Groups start as the
 suffixes of equal first symbols and are taken from the greatest down: each

@@ -217,6 +217,43 @@ def _spans_by_hand(rows):
     return out
 
 
+def _random_contexts(rng, n):
+    """Contexts of one anchor that share more or less of what is around it."""
+    gram = rng.integers(97, 100, sd.GRAM)
+    rows = rng.integers(97, 99, (n, sd.CONTEXT)).astype(np.uint8)
+    rows[:, sd.BACK : sd.BACK + sd.GRAM] = gram
+    for i in range(1, n):
+        other = int(rng.integers(i))
+        a, b = sorted(rng.integers(0, sd.CONTEXT, 2))
+        rows[i, min(a, sd.BACK) : max(b, sd.BACK + sd.GRAM)] = rows[other, min(a, sd.BACK) : max(b, sd.BACK + sd.GRAM)]
+    return rows, rng.random((n, sd.WINDOW_GRAMS)) < 0.95
+
+
+def test_strings_of_contexts_by_brute_force():
+    rng = np.random.default_rng(14)
+    for n in (0, 1, 2, 30, 120):
+        rows, valid = _random_contexts(rng, n)
+        ids = rng.integers(0, 50, n)
+        got = sd.least_ids(np.zeros(n, np.uint64), rows, valid, ids)
+        want = np.repeat(ids[:, None], sd.WINDOW_GRAMS, axis=1)
+        for j in range(sd.WINDOW_GRAMS):
+            known = {}
+            for i in np.flatnonzero(valid[:, j]):
+                known.setdefault(rows[i, j : j + sd.LENGTH].tobytes(), []).append(ids[i])
+            for i in np.flatnonzero(valid[:, j]):
+                want[i, j] = min(known[rows[i, j : j + sd.LENGTH].tobytes()])
+        assert (got == want).all()
+
+
+def test_the_suffix_order_decides(monkeypatch):
+    rng = np.random.default_rng(15)
+    rows, valid = _random_contexts(rng, 120)
+    ids = rng.permutation(120)
+    right = sd.least_ids(np.zeros(120, np.uint64), rows, valid, ids)
+    monkeypatch.setattr(sd, "suffix_array", lambda symbols: list(range(len(symbols))))
+    assert (sd.least_ids(np.zeros(120, np.uint64), rows, valid, ids) != right).any()
+
+
 @pytest.mark.parametrize("array_contexts", [6000, 5])
 def test_spans_by_brute_force(spark, monkeypatch, array_contexts):
     monkeypatch.setattr(sd, "ARRAY_CONTEXTS", array_contexts)
