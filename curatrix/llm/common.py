@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: One word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Folders that ``shared_dir`` gave and that are not deleted, oldest first.
+made: list[str] = []
 _BATCH_BYTES, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
@@ -19,16 +21,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder URI below the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` is read from the session.  Only where it is unset
-    (single-machine tests) a temporary folder is made and registered.
+    and the master is local (single-machine tests) a temporary folder is made
+    and registered; on a cluster, whose machines share no such folder, that is
+    an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("curatrix.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("curatrix.checkpoint.dir", None)
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="curatrix-")
-            spark.conf.set("curatrix.checkpoint.dir", base)
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="curatrix-")
+        spark.conf.set("curatrix.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return made[-1]
+
+
+def drop_shared(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``shared_dir`` gave and that nothing reads any more."""
+    for path in paths:
+        found = spark._jvm.org.apache.hadoop.fs.Path(path)
+        found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+        if path in made:
+            made.remove(path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

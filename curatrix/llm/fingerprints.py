@@ -4,8 +4,9 @@ A text's modular prefix arrays give the hash of any span in constant time, so
 any two spans can be compared, and the longest common extension of two places
 is found by binary search.  A fingerprint is the whole text's hash and the
 ``SKETCH`` smallest mixed hashes of its distinct ``WINDOW``-character spans,
-all read off the prefix arrays; the likeness of two fingerprints estimates the
-share of spans that the texts have in common (Jaccard).
+all read off the prefix arrays.  Where both prefix arrays are at hand, the
+likeness is the exact share of distinct spans in common (Jaccard); of two bare
+fingerprints ``likeness`` estimates it.
 """
 
 from __future__ import annotations
@@ -60,6 +61,7 @@ class PrefixHash:
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
         self.size = len(codes)
         self.prefix, self.inverse = [], []
+        self.distinct: np.ndarray | None = None
         for powers in _POWERS:
             up, down = powers.upto(self.size)
             sums = np.zeros(self.size + 1, np.uint64)
@@ -101,16 +103,31 @@ class PrefixHash:
         whole = self.spans(0, self.size)
         if not self.size:
             return whole
-        x = self.windows(window) if self.size >= window else whole.copy()
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        most = 2 * sketch
-        while True:
-            some = np.unique(np.partition(x, most - 1)[:most] if most < len(x) else x)
-            if len(some) >= sketch or most >= len(x):
-                return np.concatenate([whole, some[:sketch]])
-            most *= 4
+        return np.concatenate([whole, self.distinct_spans(window)[:sketch]])
+
+    def distinct_spans(self, window: int = WINDOW) -> np.ndarray:
+        """Mixed hashes of the distinct spans of ``window`` characters, sorted; of a shorter text, of the whole one."""
+        if self.size == 0:
+            return np.zeros(0, np.uint64)
+        if self.distinct is None:
+            x = self.windows(window) if self.size >= window else self.spans(0, self.size)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+            x ^= x >> np.uint64(31)
+            x.sort()
+            self.distinct = x[np.concatenate([[True], x[1:] != x[:-1]])]
+        return self.distinct
+
+    def share(self, other: PrefixHash) -> float:
+        """From 0 to 1: the share of the two texts' distinct spans that both have; 1 for equal texts."""
+        if self.size == other.size and self.common_extension(0, other, 0) == self.size:
+            return 1.0
+        mine, its = self.distinct_spans(), other.distinct_spans()
+        if not len(mine) or not len(its):
+            return 0.0
+        few, many = (mine, its) if len(mine) <= len(its) else (its, mine)
+        both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+        return both / (len(mine) + len(its) - both)
 
 
 def likeness(a: np.ndarray, b: np.ndarray, sketch: int = SKETCH) -> float:
@@ -167,7 +184,9 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     The edited text has its last ``n_chars // 2`` characters replaced by as
     many of the next document's first ones.  Returns ``(id, n_chars, edited,
     fingerprint, edited_fingerprint, near_edited, near_next, common_prefix)``;
-    ``common_prefix`` is the longest common extension of both texts' starts.
+    ``near_edited`` and ``near_next`` are exact shares of distinct spans that
+    both texts have; ``common_prefix`` is the longest common extension of the
+    starts of a text and its edited one.
     Null texts are empty, an only document is its own next one, repeated rows
     follow one another, and an empty table gives no rows.
     """
@@ -191,7 +210,7 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
                     edited = mine[: len(mine) - half] + text[:half]
                     changed = PrefixHash(edited)
                     its_edit = changed.fingerprint()
-                    out.append((None if k == _LOWEST else k, len(mine), edited, as_text(its_mark), as_text(its_edit), likeness(its_mark, its_edit), likeness(its_mark, mark), its_hash.common_extension(0, changed, 0)))
+                    out.append((None if k == _LOWEST else k, len(mine), edited, as_text(its_mark), as_text(its_edit), its_hash.share(changed), its_hash.share(hashed), its_hash.common_extension(0, changed, 0)))
                     if len(out) >= 128:
                         yield flush()
                 held = (bucket, halo, key, text, hashed, mark)

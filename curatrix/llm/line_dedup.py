@@ -162,4 +162,4 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     done = done.where(~F.coalesce(gone, F.lit(False)))
     if "n_chars" in df.columns:
         done = done.withColumn("n_chars", F.length(text_col).cast(df.schema["n_chars"].dataType))
-    return done.select(*df.columns)
+    return done.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -20,6 +20,8 @@ WEIGHTS = (3, 1, 2)
 #: The mix's size against that of all sources, and the most copies of a source.
 SHARE, MOST = 1.5, 2
 BLOCK_TOKENS = 64
+#: So many sources' numbers of shards are broadcast at most.
+BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -115,9 +117,14 @@ def _key(source: str | Column) -> list[Column]:
 def _mixed(df: DataFrame, id_col: str, source_col: str, size: Column, seed: int, block: int) -> DataFrame:
     """``(row, size, source_size, target, taken)``; ``row`` holds all columns of ``df``, so no name can clash."""
     spark = df.sparkSession
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"), size.alias("size"), *_key(source_col), F.xxhash64(F.lit(seed), F.col(id_col)).alias("turn"))
-    shards = max(1, math.isqrt(df.count()))
-    rows = rows.withColumn("shard", F.pmod("turn", F.lit(shards)))
+    # The turn is of the whole row, so that rows of one id, or of none, are ordered and spread as others are.
+    told = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("id"), size.alias("size"), *_key(source_col), F.xxhash64(F.lit(seed), *told).alias("turn"))
+    # A source has shards in proportion to its rows, so that there are about the root of all rows in all.
+    held = rows.groupBy("mix_key", "mix_none").agg(F.count("*").alias("n")).collect()
+    every = sum(r.n for r in held)
+    counts = spark.createDataFrame([(r.mix_key, r.mix_none, max(1, r.n * math.isqrt(every) // every)) for r in held], "mix_key string, mix_none boolean, shards bigint")
+    rows = rows.join(F.broadcast(counts) if len(held) <= BROADCAST_SOURCES else counts, ["mix_key", "mix_none"]).withColumn("shard", F.pmod("turn", "shards"))
     unit = ["mix_key", "mix_none", "shard"]
     units = rows.groupBy(*unit).agg(F.sum("size")).collect()
     plan = plan_units([(None if none else key, shard, n or 0) for key, none, shard, n in units], seed, block)
@@ -139,9 +146,10 @@ def _mixed(df: DataFrame, id_col: str, source_col: str, size: Column, seed: int,
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", seed: int = 8, block: int = BLOCK_TOKENS) -> DataFrame:
     """All rows of ``df`` with ``source_size``, ``target`` and ``taken``.
 
-    ``size_col`` is the tokens of a row.  Shards are the square root of the
-    number of rows, so both the quota table on the driver (a row for each
-    source and shard) and the rows of a shard grow as that root.  Null sources
+    ``size_col`` is the tokens of a row.  A source has shards in proportion to
+    its rows, about the square root of all rows in all sources together, so
+    both the quota table on the driver (a row for each shard) and the rows of a
+    shard grow as that root.  Null sources
     are a source of their own, after all others; rows of no tokens take none;
     repeated rows are rows like any other.  The same table gives the same mix
     however it is partitioned.  Columns of ``df`` that have names of the result

@@ -212,6 +212,6 @@ def keep_first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Rows that repeat the kept id stay; so do rows without id.
     """
-    found = near_duplicates(df.where(F.col(id_col).isNotNull()), id_col, text_col, size)
+    found = near_duplicates(df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias(text_col)).where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, size)
     away = found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return df.join(away, id_col, "left_anti").select(*df.columns)
+    return df.join(away.withColumnRenamed(id_col, "simhash_away"), F.col(f"`{id_col}`") == F.col("simhash_away"), "left_anti")

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import child_uri, open_store, shared_dir, small_batches
 from .suffix_array import suffix_array
 
-LENGTH, GRAM, PACK = 50, 16, 4
+LENGTH, GRAM, PACK = 50, 16, 8
 #: Bytes before an anchor that a string of it may begin with, and a context's size.
 BACK = LENGTH - GRAM
 CONTEXT = LENGTH + BACK
@@ -55,6 +55,7 @@ ROW_GROUP = 512
 FILE_BYTES = 16 << 20
 NO_ID = np.iinfo(np.int64).max
 _FACTOR = 0x9E3779B97F4A7C15
+_STEPS = tuple(np.uint64(pow(_FACTOR, k, 1 << 64)) for k in range(3, 3 + len(range(0, HALF - 8, 8)) + 1))
 _MIX = (np.uint64(_FACTOR), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -87,14 +88,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the grams that are least in some string of ``LENGTH`` bytes.
-
-    Then 48-bit hashes of each with ``HALF`` bytes before and of each with
-    ``HALF`` bytes after, zero where the text has not so many.
-    """
+def anchors(raw: np.ndarray) -> np.ndarray:
+    """Places of the grams whose hash is least in some string of ``LENGTH`` bytes."""
     if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in range(3))
+        return np.zeros(0, np.int64)
     h, known, factor = raw.astype(np.uint64) + np.uint64(1), 1, _FACTOR
     while known < GRAM:
         h = h[:-known] * np.uint64(factor) + h[known:]
@@ -103,15 +100,44 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     mixed = _mixed(h)
     least = _slide(mixed, WINDOW_GRAMS, np.minimum)
     edge = np.zeros(WINDOW_GRAMS - 1, np.uint64)
-    at = np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW_GRAMS, np.maximum) == mixed)
-    halves, size = [], GRAM + HALF
-    for first in (at - HALF, at):
-        good = (first >= 0) & (first + size <= len(raw))
-        start = np.where(good, first, 0)
-        # Two grams that overlap hold all of the bytes.
-        both = (h[start] * np.uint64(factor) + h[start + size - GRAM]) * np.uint64(_FACTOR)
-        halves.append(np.where(good, np.maximum(_mixed(both) >> np.uint64(16), np.uint64(1)), np.uint64(0)))
-    return at, mixed[at], *halves
+    return np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW_GRAMS, np.maximum) == mixed)
+
+
+def _gaps(at: np.ndarray) -> bytes:
+    """Sorted places as bytes; no two neighbours are ``LENGTH`` apart, but for the first, which its window holds."""
+    return np.diff(at, prepend=0).astype(np.uint8).tobytes()
+
+
+def _places(gaps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(gaps, np.uint8), dtype=np.int64)
+
+
+def _eights(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place, as numbers; a view of a contiguous array of bytes."""
+    return np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+
+
+def gram_hashes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of each gram."""
+    eights = _eights(raw)
+    return _mixed(eights[at] * _MIX[0] + _mixed(eights[at + 8] * _MIX[2]))
+
+
+def half_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48-bit hashes of each gram with ``HALF`` bytes before and of each with ``HALF`` after; zero where the text has not so many."""
+    grams, eights, halves = gram_hashes(raw, at), _eights(raw), []
+    before = int(np.searchsorted(at, HALF))
+    after = int(np.searchsorted(at, len(raw) - GRAM - HALF, side="right"))
+    for some, first in ((slice(before, None), -HALF), (slice(0, after), GRAM)):
+        start = at[some] + first
+        h = grams[some].copy()
+        # The last of the overlapping words ends where the half does.
+        for k, factor in zip((*range(0, HALF - 8, 8), HALF - 8), _STEPS, strict=True):
+            h += eights[start + k] * factor
+        found = np.zeros(len(at), np.uint64)
+        found[some] = np.maximum(_mixed(h) >> np.uint64(16), np.uint64(1))
+        halves.append(found)
+    return halves[0], halves[1]
 
 
 def _row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -150,11 +176,11 @@ class _File:
     def __exit__(self, *_) -> None:
         self.source.close()
 
-    def texts(self) -> Iterator[tuple[int, bytes]]:
-        """``(id, text)`` of every row, a row group at a time."""
+    def texts(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """``(id, text, gaps)`` of every row, a row group at a time; ``gaps`` are those between its anchors."""
         for k in range(self.table.num_row_groups):
             group = self.table.read_row_group(k)
-            yield from zip(group.column(0).to_pylist(), group.column(1).to_pylist(), strict=True)
+            yield from zip(*(group.column(c).to_pylist() for c in range(3)), strict=True)
 
     def distinct(self) -> tuple[list[int], list[int]]:
         """For each row the first row of the same text, and for that row the least id of all of them."""
@@ -162,7 +188,7 @@ class _File:
         rows, least = [], []
         from xxhash import xxh3_128_digest
 
-        for n, (i, text) in enumerate(self.texts()):
+        for n, (i, text, _) in enumerate(self.texts()):
             first = seen.setdefault(xxh3_128_digest(text), n)
             rows.append(first)
             least.append(i)
@@ -171,8 +197,8 @@ class _File:
 
 
 def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> list[str]:
-    """Copies of all rows in files of about ``FILE_BYTES`` of text; null ids become the greatest."""
-    kind = pa.schema([("id", pa.int64()), ("text", pa.binary())])
+    """Copies of all rows, with the places of their anchors, in files of about ``FILE_BYTES`` of text; null ids become the greatest."""
+    kind = pa.schema([("id", pa.int64()), ("text", pa.binary()), ("gaps", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = stream = None
@@ -193,7 +219,8 @@ def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> li
                     stream = store.open_output_stream(path, compression=None)
                     writer = pq.ParquetWriter(stream, kind, compression="zstd", use_dictionary=False)
                 text = part.column(1).cast(pa.binary())
-                writer.write_batch(pa.RecordBatch.from_arrays([part.column(0), text], schema=kind))
+                gaps = pa.array([_gaps(anchors(np.frombuffer(t, np.uint8))) for t in text.to_pylist()], pa.binary())
+                writer.write_batch(pa.RecordBatch.from_arrays([part.column(0), text, gaps], schema=kind))
                 size += pc.sum(pc.binary_length(text)).as_py() or 0
                 if size >= FILE_BYTES:
                     yield done()
@@ -237,14 +264,13 @@ def _half_rows(files: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
+                keys = [np.zeros(0, np.uint64)]
                 with _File(uri) as file:
                     first, _ = file.distinct()
-                    for n, (_, text) in enumerate(file.texts()):
-                        if first[n] == n:
-                            own = np.unique(np.concatenate(anchors(np.frombuffer(text, np.uint8))[2:]))
-                            keys.append(own[own > 0])
-                            rows.append(np.full(len(keys[-1]), n, np.uint32))
+                    for n, (_, text, gaps) in enumerate(file.texts()):
+                        if first[n] == n and gaps:
+                            own = np.sort(np.concatenate(half_hashes(np.frombuffer(text, np.uint8), _places(gaps))))
+                            keys.append(own[(own > 0) & np.concatenate([[True], own[1:] != own[:-1]])])
                 keys = np.sort(np.concatenate(keys))
                 # A text has each of its keys once, so a repeated key is in two texts.
                 new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
@@ -305,16 +331,16 @@ def _contexts(file: _File, shared: np.ndarray) -> Iterator[tuple[int, int, np.nd
         return
     first, _ = file.distinct()
     reach = np.arange(-BACK, LENGTH)
-    for n, (_, text) in enumerate(file.texts()):
-        if first[n] == n and len(text) >= LENGTH:
-            raw = np.frombuffer(text, np.uint8)
-            at, h, left, right = anchors(raw)
+    for n, (_, text, gaps) in enumerate(file.texts()):
+        if first[n] == n and gaps:
+            raw, at = np.frombuffer(text, np.uint8), _places(gaps)
+            left, right = half_hashes(raw, at)
             keep = _among(left, shared) | _among(right, shared)
             if keep.any():
                 at = at[keep]
                 padded = np.zeros(len(raw) + BACK + LENGTH, np.uint8)
                 padded[BACK : BACK + len(raw)] = raw
-                yield n, len(raw), h[keep], at, padded[at[:, None] + reach + BACK]
+                yield n, len(raw), gram_hashes(raw, at), at, padded[at[:, None] + reach + BACK]
 
 
 def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame:
@@ -393,8 +419,10 @@ def _array_ids(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, out: np.nda
     that begin between symbols are ordered by the bytes up to the next symbol
     and the rank of the suffix there.
     """
-    width = CONTEXT // PACK
-    symbols = np.ascontiguousarray(rows).view(f">u{PACK}").astype(np.int64)
+    width = -(-CONTEXT // PACK)
+    padded = np.zeros((len(rows), width * PACK), np.uint8)
+    padded[:, :CONTEXT] = rows
+    symbols = padded.view(f">u{PACK}").astype(np.uint64)
     rank = np.empty(symbols.size, np.int64)
     rank[np.array(suffix_array(symbols.ravel()))] = np.arange(symbols.size)
     rank = rank.reshape(-1, width)
@@ -407,7 +435,8 @@ def _array_ids(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, out: np.nda
         begin, lead = places[k], np.zeros(len(context), np.int64)
         for byte in range(-residue % PACK):
             lead = lead << 8 | rows[context, begin + byte]
-        order = np.lexsort((rank[context, -(-begin // PACK)], lead))
+        order = np.argsort(rank[context, -(-begin // PACK)], kind="stable")
+        order = order[np.argsort(lead[order], kind="stable")]
         context, begin = context[order], begin[order]
         new = np.ones(len(context), bool)
         for at in range(1, len(context), 16384):
@@ -459,13 +488,11 @@ def _decided_rows(contexts: DataFrame) -> DataFrame:
     return contexts.mapInArrow(run, _ROWS)
 
 
-def _removed(length: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _removed(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The maximal runs that strings at ``starts`` cover."""
-    marks = np.zeros(length + 1, np.int32)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, starts + LENGTH, -1)
-    covered = np.diff(np.concatenate([[0], np.cumsum(marks)[:length] > 0, [0]]).astype(np.int8))
-    return np.flatnonzero(covered == 1), np.flatnonzero(covered == -1)
+    starts = np.sort(starts)
+    gap = np.flatnonzero(np.diff(starts) > LENGTH)
+    return np.concatenate([starts[:1], starts[gap + 1]]), np.concatenate([starts[gap] + LENGTH, starts[-1:] + LENGTH])
 
 
 class _Decisions:
@@ -506,13 +533,13 @@ def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> D
             with _File(uris[number]) as file:
                 first, least = file.distinct()
                 out: list[tuple] = []
-                for n, (i, text) in enumerate(file.texts()):
+                for n, (i, text, _) in enumerate(file.texts()):
                     length, none = len(text), np.zeros(0, np.int64)
                     starts, ends = none, none
                     if length >= LENGTH and i > least[first[n]]:
                         starts, ends = np.array([0]), np.array([length])
                     elif length >= LENGTH and len(found := decided.starts(first[n], i, length)):
-                        starts, ends = _removed(length, found)
+                        starts, ends = _removed(found)
                     keep = [text[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), length], strict=True)]
                     out.append((None if i == NO_ID else i, length, starts.tolist(), ends.tolist(), b"".join(keep)))
                     if len(out) == 256:

@@ -301,6 +301,37 @@ def test_mix_meets_targets_and_reruns_agree(spark):
     assert len(once) == len(rows)
 
 
+def test_words_taken_by_brute_force(spark):
+    """Each row's words by walking over all tokens of its source, block by block."""
+    rng = np.random.default_rng(16)
+    rows = [(int(i) if i % 50 else None, ["a", "b", None][int(rng.choice(3, p=[0.7, 0.2, 0.1]))], int(rng.integers(0, 200))) for i in range(400)] + [(7, "a", 50), (7, "a", 50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(3)
+    got = mx.mix(df).collect()
+    marked = df.select("*", F.xxhash64(F.lit(8), "doc_id", "source", "size").alias("turn")).collect()
+    every, per = len(rows), {}
+    for r in marked:
+        per.setdefault(r.source, []).append(r)
+    shards = {s: max(1, len(rs) * int(every**0.5) // every) for s, rs in per.items()}
+    units = {}
+    for s, rs in per.items():
+        for r in rs:
+            units.setdefault((s, r.turn % shards[s]), []).append(r)
+    plan = mx.plan_units([(s, k, sum(r["size"] for r in rs)) for (s, k), rs in units.items()], 8)
+    times = {}
+    for s, shard, _, _, start, first, base, run_start, run_end, wrap_end, _ in plan:
+        n = sum(r["size"] for r in units[s, shard])
+        for at in range(first, start + n, mx.BLOCK_TOKENS):
+            times[s, at // mx.BLOCK_TOKENS] = base + (run_start <= at < run_end) + (first <= at < wrap_end)
+    want = []
+    for s in per:
+        at = 0
+        for k in sorted(k for q, k in units if q == s):
+            for r in sorted(units[s, k], key=lambda r: (r.turn, r.doc_id is not None, r.doc_id or 0, r["size"])):
+                want.append((r.doc_id, s, r["size"], sum(times[s, t // mx.BLOCK_TOKENS] for t in range(at, at + r["size"]))))
+                at += r["size"]
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.source, r["size"], r.taken)) for r in got)
+
+
 def test_mix_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, size long")
     assert mx.mix(empty).count() == 0
@@ -310,6 +341,50 @@ def test_mix_of_nothing(spark):
     assert {r.doc_id for r in mx.mix_documents(texts).collect()} <= {1}
 
 
+def test_first_split_by_brute_force():
+    rng = np.random.default_rng(17)
+    for _ in range(20):
+        x = rng.integers(0, 6, (60, 3)).astype(float)
+        y = (rng.random(60) < 0.2 + 0.6 * (x[:, int(rng.integers(3))] > 2)).astype(float)
+        if not 0 < y.sum() < 60:
+            continue
+        trees = ql.fit_trees(x, y, [0, 1, -1], trees=1, depth=1, rate=1.0, least=2.0, penalty=1.0)
+        p = y.mean()
+        grad, hess = p - y, np.full(60, p * (1 - p))
+        value = lambda m: -grad[m].sum() / (hess[m].sum() + 1.0)  # noqa: E731, B023
+        gain = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + 1.0) / 2  # noqa: E731, B023
+        best = (1e-6, None)
+        for f, sign in enumerate((0, 1, -1)):
+            for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 65)[1:-1])):
+                low = x[:, f] <= cut
+                if low.all() or not low.any() or hess[low].sum() < 2 or hess[~low].sum() < 2 or sign * (value(~low) - value(low)) < 0:
+                    continue
+                won = gain(low) + gain(~low) - gain(np.ones(60, bool))
+                if won > best[0] + 1e-12:
+                    best = (won, low)
+        scores = trees.score(x) - trees.bias
+        want = np.where(best[1], value(best[1]), value(~best[1])) if best[1] is not None else np.full(60, value(np.ones(60, bool)))
+        assert np.allclose(scores, want)
+
+
+def test_stages_on_nulls_empty_tables_and_clashing_names(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size int, fp int, score double, row int"
+    words = " ".join(f"word{k} is number {k}" for k in range(40))
+    rows = [(1, words, "en", "a", len(words), 1, 2, 0.5, 3), (1, words, "en", "a", len(words), 1, 2, 0.5, 3), (2, None, None, None, None, None, None, None, None), (None, words + " more", "en", None, 5, 1, 1, 1.0, 1), (3, "", "en", "b", 0, 1, 1, 1.0, 1), (4, words.upper() + "\n\nx" * 50, "de", "b", 9, 1, 1, 1.0, 1), (None, None, None, "c", 1, 1, 1, 1.0, 1)]
+    df = spark.createDataFrame(rows, schema)
+    for now in (df, df.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, now, SF)
+            assert out.columns == df.columns or name == "sentencepiece"
+            found = out.collect()
+            if now is not df:
+                assert found == []
+            if name in ("quality_rules", "line_dedup", "simhash"):
+                assert all(r.text is None or isinstance(r.text, str) for r in found)
+    kept = corpus_pipeline.STAGES[2][1](spark, df, SF)
+    assert {r.doc_id for r in kept.collect()} >= {None, 1, 2}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
