@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm.common import documents, materialise
+from curatrix.llm.common import documents, drop_shared, made, materialise
 
 #: SQL cannot run the trees, XXH64 or the tokenizer; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
@@ -58,8 +58,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each stage's rows are written and read again."""
-    docs = documents(spark, sf_dir)
+    """Apply the stages to ``documents``; each stage's rows are written and read again.
+
+    What a stage wrote on its way, and the rows it read, are deleted once its
+    own rows are written.
+    """
+    docs, read = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
+        before = len(made)
         docs = materialise(stage(spark, docs, sf_dir), name)
+        *working, written = made[before:]
+        drop_shared(spark, working + read)
+        read = [written]
     return STAGES[-1][1](spark, docs, sf_dir)
