@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
@@ -30,8 +30,15 @@ def _model(args) -> dict:
     return {"provider": args.provider} | ({"model": args.model} if args.model else {})
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """``idx``: a hash of the row, and of a number among rows that are the same in all columns, so that reruns give the same keys."""
+    body = F.to_json(F.struct(*df.columns))
+    same = Window.partitionBy("row_hash").orderBy("row_hash")
+    return df.withColumn("row_hash", F.sha2(body, 256)).withColumn("idx", F.xxhash64("row_hash", F.row_number().over(same))).drop("row_hash")
+
+
 def _pairs(spark: SparkSession, path: str) -> DataFrame:
-    return readers.json_array(spark, path, PAIR_SCHEMA) if path.endswith(".json") else readers.json_lines(spark, path, PAIR_SCHEMA).withColumn("idx", F.monotonically_increasing_id())
+    return readers.json_array(spark, path, PAIR_SCHEMA) if path.endswith(".json") else _keyed(readers.json_lines(spark, path, PAIR_SCHEMA))
 
 
 def _chunks(spark: SparkSession, args) -> DataFrame:

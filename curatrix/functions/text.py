@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 import re
 
 import pandas as pd
@@ -67,11 +69,16 @@ def parse_json(raw: Column | str, schema: str) -> Column:
 
     The first reading with at least one entry counts; null if none has.
     """
+    from pyspark.sql.types import _parse_datatype_string
+
     clean = clean_json(raw)
     fixed = [clean, F.regexp_replace(clean, r'(?<=\w)\["([^"]+)"\]', "['$1']"), F.regexp_replace(clean, r'\["([^"]+)"\]', "['$1']"), _col(raw)]
     lax = _LAX | {"mode": "PERMISSIVE"}
-    good = [F.filter(F.from_json(x, schema, lax), lambda e: F.to_json(e) != "{}") for x in fixed]
-    return F.coalesce(*[F.when(F.size(g) > 0, g) for g in good])
+    names = _parse_datatype_string(schema).elementType.fieldNames()
+    told = lambda e: functools.reduce(operator.or_, [e[n].isNotNull() for n in names])
+    # An array of one reading, so that each is made once and the next one only where it is empty.
+    good = [F.get(F.filter(F.array(F.filter(F.from_json(x, schema, lax), told)), lambda g: F.size(g) > 0), 0) for x in fixed]
+    return F.coalesce(*good)
 
 
 def strip_fence(raw: Column | str) -> Column:

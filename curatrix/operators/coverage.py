@@ -63,7 +63,8 @@ def select_centroid(df: DataFrame, n: int, vector: str = "embedding", cluster: s
     centers = df.select(cluster, "center").dropDuplicates([cluster]) if "center" in df.columns else mean_centers(df, vector, cluster)
     near = df.drop("center").join(F.broadcast(centers), cluster).withColumn("distance", euclidean(doubles(vector), F.col("center")))
     rank = F.row_number().over(Window.partitionBy(cluster).orderBy(F.round("distance", 9), order))
-    ranked = near.withColumn("rank", rank).join(F.broadcast(quotas(df, n, cluster)), cluster)
+    # No quota is above n, and a literal bound lets each task keep its best rows only.
+    ranked = near.withColumn("rank", rank).where(F.col("rank") <= n).join(F.broadcast(quotas(df, n, cluster)), cluster)
     return ranked.where((F.col("rank") <= F.col("quota")) & (F.col("start") + F.col("rank") <= n)).drop("cnt", "quota", "start", "center")
 
 

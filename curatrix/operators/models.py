@@ -34,7 +34,13 @@ class StubModel:
     def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str:
         h = int(hashlib.md5(prompt.encode()).hexdigest()[:8], 16)
         tail = prompt.strip().splitlines()[-1] if prompt.strip() else ""
-        return json.dumps([{"question": f"What is said about {tail[:40]}?", "answer": tail[:200], "reasoning": "Step 1: read it.", "rating": h % 11, "clarity": h % 3, "accuracy": h % 4, "usefulness": h % 3, "difficulty": h % 2, "topic_relevant": h % 7 != 0, "overall_score": h % 101 / 100}])
+        return json.dumps([{"question": f"What is said about {tail[:40]}?", "answer": tail[:200], "reasoning": "Step 1: read it.", "rating": h % 11, "clarity": h % 3, "accuracy": h % 4, "usefulness": h % 3, "difficulty": h % 2, "topic_relevant": h % 7 != 0, "overall_score": h % 101 / 100} | self._solution(prompt)])
+
+    @staticmethod
+    def _solution(prompt: str) -> dict:
+        """One call of the first tool that the prompt documents by a line ``Tool: name``."""
+        tool = next((line[6:].strip() for line in prompt.splitlines() if line.startswith("Tool: ")), None)
+        return {} if tool is None else {"reasoning_path": [{"step": 1, "thought": f"Use {tool}.", "tool": tool, "args": {"request": "as asked"}}], "final_answer": f"{tool} answered."}
 
 
 class EchoModel:
@@ -47,27 +53,67 @@ class EchoModel:
 class HttpModel:
     """A chat-completions server."""
 
-    def __init__(self, url: str, model: str, key: str | None = None, timeout: float = 600.0):
-        self.url, self.model, self.key, self.timeout = url, model, key, timeout
+    def __init__(self, url: str, model: str, key: str | None = None, timeout: float = 600.0, most: int = 24576):
+        self.url, self.model, self.key, self.timeout, self.most = url, model, key, timeout, most
+
+    def heads(self) -> dict[str, str]:
+        return {"Authorization": f"Bearer {self.key}"} if self.key else {}
+
+    def body(self, prompt: str, temperature: float, max_tokens: int) -> dict:
+        return {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": temperature, "max_tokens": max_tokens}
+
+    def text(self, answer: dict) -> str:
+        return answer["choices"][0]["message"]["content"]
 
     def generate(self, prompt: str, temperature: float | None = None, max_tokens: int | None = None) -> str:
         import urllib.error
         import urllib.request
 
-        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "temperature": 0.7 if temperature is None else temperature, "max_tokens": 24576 if max_tokens is None else max_tokens}
-        heads = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.key}"} if self.key else {})
+        body = self.body(prompt, 0.7 if temperature is None else temperature, self.most if max_tokens is None else max_tokens)
+        heads = {"Content-Type": "application/json"} | self.heads()
         try:
             with urllib.request.urlopen(urllib.request.Request(self.url, json.dumps(body).encode(), heads), timeout=self.timeout) as answer:
-                return json.load(answer)["choices"][0]["message"]["content"]
+                return self.text(json.load(answer))
         except urllib.error.HTTPError as e:
-            if e.code in (429, 503):
+            if e.code in (429, 503, 529):
                 raise RateLimited(str(e)) from e
             raise
 
 
+class MessagesModel(HttpModel):
+    """A server of the messages protocol: key in a header of its own, a list of content blocks."""
+
+    def heads(self) -> dict[str, str]:
+        return {"anthropic-version": "2023-06-01"} | ({"x-api-key": self.key} if self.key else {})
+
+    def text(self, answer: dict) -> str:
+        return "".join(block.get("text", "") for block in answer["content"])
+
+
+class ContentsModel(HttpModel):
+    """A server of the generate-content protocol: the model in the address, parts of contents."""
+
+    def __init__(self, url: str, model: str, **options):
+        super().__init__(url.replace("{model}", model), model, **options)
+
+    def heads(self) -> dict[str, str]:
+        return {"x-goog-api-key": self.key} if self.key else {}
+
+    def body(self, prompt: str, temperature: float, max_tokens: int) -> dict:
+        return {"contents": [{"parts": [{"text": prompt}]}], "generationConfig": {"temperature": temperature, "maxOutputTokens": max_tokens}}
+
+    def text(self, answer: dict) -> str:
+        return "".join(part.get("text", "") for part in answer["candidates"][0]["content"]["parts"])
+
+
 _FACTORIES: dict[str, Callable[..., ModelClient]] = {"stub": lambda **_: StubModel(), "echo": lambda **_: EchoModel()}
-for _name, _url in {"ollama": "http://localhost:11434/v1/chat/completions", "vllm": "http://localhost:8000/v1/chat/completions", "openai": "https://api.openai.com/v1/chat/completions"}.items():
-    _FACTORIES[_name] = lambda model="default", url=_url, key=None, **_: HttpModel(url, model, key)
+_SERVERS: dict[str, tuple[type[HttpModel], str]] = {
+    "ollama": (HttpModel, "http://localhost:11434/v1/chat/completions"), "vllm": (HttpModel, "http://localhost:8000/v1/chat/completions"), "openai": (HttpModel, "https://api.openai.com/v1/chat/completions"),
+    "anthropic": (MessagesModel, "https://api.anthropic.com/v1/messages"), "claude": (MessagesModel, "https://api.anthropic.com/v1/messages"),
+    "google": (ContentsModel, "https://generativelanguage.googleapis.com/v1beta/models/{model}:generateContent"),
+}
+for _name, (_kind, _url) in _SERVERS.items():
+    _FACTORIES[_name] = lambda model="default", url=_url, kind=_kind, key=None, max_tokens=24576, timeout=600.0, **_: kind(url, model, key=key, timeout=timeout, most=max_tokens)
 
 
 def register_provider(name: str, factory: Callable[..., ModelClient]) -> None:
@@ -79,9 +125,14 @@ def providers() -> list[str]:
 
 
 def client(provider: str, **options) -> ModelClient:
+    return factory(provider)(**options)
+
+
+def factory(provider: str) -> Callable[..., ModelClient]:
+    """What makes a provider's clients; unknown names raise ``ValueError``."""
     if provider not in _FACTORIES:
         raise ValueError(f"unknown provider: {provider}")
-    return _FACTORIES[provider](**options)
+    return _FACTORIES[provider]
 
 
 def ask_with_retries(model: ModelClient, prompt: str, tries: int = 3, wait: float = 5.0, **options) -> str:
@@ -103,12 +154,10 @@ def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: floa
     """
     import pandas as pd
 
-    if provider not in _FACTORIES:
-        raise ValueError(f"unknown provider: {provider}")
-    factory = _FACTORIES[provider]
+    make = factory(provider)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory(**options)
+        model = make(**options)
 
         def one(text: str) -> tuple[str | None, str | None]:
             try:
@@ -288,7 +337,7 @@ _PATH = "array<struct<step:int,thought:string,tool:string,args:map<string,string
 
 def annotate(instructions: DataFrame, template: str, several: bool = False, **options) -> DataFrame:
     """``reasoning_path`` and ``final_answer`` for each instruction; rows the model cannot solve go."""
-    answers = ask(instructions, fill(template, instruction=F.col("instruction")), temperature=0.5 if several else 0.3, **options)
+    answers = ask(instructions, fill_from(instructions, template), temperature=0.5 if several else 0.3, **options)
     body = F.from_json(F.regexp_extract("raw", r"(?s)\{.*\}", 0), f"reasoning_path {_PATH}, final_answer string")
     solved = answers.withColumns({"reasoning_path": body["reasoning_path"], "final_answer": body["final_answer"]}).drop("raw", "error")
     return solved.where(F.coalesce(F.size("reasoning_path"), F.lit(0)) > 0)

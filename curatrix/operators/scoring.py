@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import complexity, quality
 from ..functions.vectors import cosine_distance, doubles
+from .order import numbered
 
 WEIGHTS = {"complexity": 0.3, "quality": 0.5, "diversity": 0.2}
 NEUTRAL = 5.0
@@ -49,15 +50,16 @@ def score_summary(df: DataFrame) -> DataFrame:
 def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512) -> DataFrame:
     """``diversity``: ten times the least cosine distance to all rows before, at most 10; the first row is neutral.
 
-    Exact, so every row meets every earlier one.  Rows are packed into blocks
-    of ``block``, pairs of blocks are compared as matrix products, and only
-    the least distance of each row leaves a pair.
+    Exact, so every row meets every earlier one: the work grows with the square
+    of the rows, by its definition.  Rows are numbered densely in their order,
+    packed into blocks of ``block``, pairs of blocks are compared as matrix
+    products, and only the least distance of each row leaves a pair.
     """
     import numpy as np
     import pandas as pd
 
-    rows = df.select(F.col(order).cast("long").alias("at"), doubles(vector).alias("v"))
-    packed = rows.withColumn("block", F.floor(F.col("at") / block)).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("rows"))
+    rows = numbered(df.select(F.col(order).cast("long").alias("at"), doubles(vector).alias("v")), "at")
+    packed = rows.withColumn("block", F.floor(F.col("place") / block)).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("rows"))
     left = packed.select(F.col("block").alias("a"), F.col("rows").alias("later"))
     right = packed.select(F.col("block").alias("b"), F.col("rows").alias("earlier"))
     pairs = left.join(right, F.col("b") <= F.col("a"))
@@ -83,9 +85,14 @@ def cosine_between(a: str, b: str) -> Column:
     return cosine_distance(doubles(a), doubles(b))
 
 
+def seeded(key: str, seed: int = 42) -> Column:
+    """A portable hash of the key and a seed, for orders that do not depend on partitions."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows in the order of a seeded portable hash of the key; all if there are fewer."""
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+    return df.orderBy(seeded(key, seed), key).limit(n)
 
 
 def ratio_sample(df: DataFrame, ratio: float, key: str, seed: int = 42) -> DataFrame:
@@ -93,7 +100,7 @@ def ratio_sample(df: DataFrame, ratio: float, key: str, seed: int = 42) -> DataF
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key)
+    return df.orderBy(seeded(key, seed), key)
 
 
 def first_of_each(df: DataFrame, column: str, order: str) -> DataFrame:

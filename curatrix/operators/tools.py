@@ -35,7 +35,7 @@ def join_tools(steps: DataFrame, tools: DataFrame) -> DataFrame:
 
 def required_tools(examples: DataFrame, tools: DataFrame, key: str = "example_id", needed: str = "required_tools", fallback: int = 3) -> DataFrame:
     """``(example, tool_id)``: the tools an example asks for, or the first few where it asks for none known."""
-    asked = examples.select(key, F.explode(needed).alias("name")).join(F.broadcast(tools.select("tool_id", "name")), "name").select(key, "tool_id")
+    asked = examples.select(key, F.explode(needed).alias("name")).join(tools.select("tool_id", "name"), "name").select(key, "tool_id")
     first = tools.orderBy("idx").limit(fallback).select("tool_id")
     rest = examples.join(asked, key, "left_anti").select(key).crossJoin(F.broadcast(first))
     return asked.unionByName(rest)
@@ -60,12 +60,13 @@ def execution_result(path: str = "step_results") -> Column:
     return F.struct((F.size(path) > 0).__and__(F.forall(path, lambda s: s["success"])).alias("success"), F.try_element_at(good, F.lit(-1))["output"].alias("output"))
 
 
-def placeholder(return_type: Column | str) -> Column:
-    """JSON of a stand-in result for a declared return type."""
-    t = F.lower(F.col(return_type) if isinstance(return_type, str) else return_type)
+def placeholder(return_type: Column | str, name: Column | str = "name") -> Column:
+    """JSON of a stand-in result for a tool's declared return type."""
+    t = F.coalesce(F.col(return_type) if isinstance(return_type, str) else return_type, F.lit("object"))
+    named = F.concat(F.lit('"Result for '), F.col(name) if isinstance(name, str) else name, F.lit('"'))
     return (
-        F.when(t == "string", '"simulated_result"').when(t.isin("number", "float"), "42.0").when(t == "integer", "42").when(t == "boolean", "true")
-        .when(t == "array", "[]").when(t == "object", "{}").otherwise("null")
+        F.when(t == "string", named).when(t == "number", "42.0").when(t == "integer", "42").when(t == "boolean", "true")
+        .when(t == "array", '[{"item": 1}, {"item": 2}]').otherwise('{"status": "success", "result": "placeholder"}')
     )
 
 
@@ -76,7 +77,7 @@ def tool_usage(examples: DataFrame, tools: DataFrame, least: int = 1, key: str =
     """
     used = step_rows(examples, key).select(key, F.col("tool").alias("label")).distinct()
     labels = tools.select("tool_id", F.explode(F.array_distinct(F.array("tool_id", "name"))).alias("label"))
-    counts = used.join(F.broadcast(labels), "label").select(key, "tool_id").distinct().groupBy("tool_id").agg(F.count("*").alias("n_examples"))
+    counts = used.join(labels, "label").select(key, "tool_id").distinct().groupBy("tool_id").agg(F.count("*").alias("n_examples"))
     out = tools.select("tool_id").join(counts, "tool_id", "left").fillna(0, ["n_examples"])
     return out.withColumn("under_covered", F.col("n_examples") < least)
 

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
+from ..operators import compare, coverage, curation, execution, export, filters, graph, models, scoring, tools
+from ..operators.order import numbered
 from ..sources import readers, sinks, tool_parsers
 from ..sources.scratch import scratch_dir
 from . import fixtures, pipelines, registry
@@ -496,7 +497,7 @@ def tool_documentation(spark, sf_dir):
     return _tools(spark, sf_dir).select("tool_id", tools.documentation().alias("doc"))
 
 
-@_query(f"""WITH {_TOOLS} SELECT tool_id, CASE return_type WHEN 'string' THEN '"simulated_result"' WHEN 'number' THEN '42.0' WHEN 'integer' THEN '42' WHEN 'boolean' THEN 'true' WHEN 'array' THEN '[]' WHEN 'object' THEN '{{}}' ELSE 'null' END AS result FROM tools""")
+@_query(f"""WITH {_TOOLS} SELECT tool_id, CASE return_type WHEN 'string' THEN '"Result for ' || name || '"' WHEN 'number' THEN '42.0' WHEN 'integer' THEN '42' WHEN 'boolean' THEN 'true' WHEN 'array' THEN '[{{"item": 1}}, {{"item": 2}}]' ELSE '{{"status": "success", "result": "placeholder"}}' END AS result FROM tools""")
 def placeholder_results(spark, sf_dir):
     return _tools(spark, sf_dir).select("tool_id", tools.placeholder("returns.type").alias("result"))
 
@@ -551,13 +552,9 @@ def sample_ratio(spark, sf_dir):
 
 @_query("SELECT doc_id AS idx, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS place FROM documents")
 def shuffle_seeded(spark, sf_dir):
-    """The place of each row in the seeded order, read from partitions that follow one another."""
-    order = scoring.shuffled(_chunks(spark, sf_dir).select("idx"), "idx").withColumn("m", F.monotonically_increasing_id())
-    part = F.shiftright("m", 33)
-    marked = order.select("idx", part.alias("part"), (F.col("m") - F.shiftleft(part, 33) + 1).alias("at"))
-    sizes = marked.groupBy("part").agg(F.count("*").alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy(F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    return marked.join(F.broadcast(before), "part").select("idx", (F.col("at") + F.col("before")).alias("place"))
+    """The place of each row in the seeded order."""
+    placed = numbered(_chunks(spark, sf_dir).select("idx"), scoring.seeded("idx", 42), "idx")
+    return placed.select("idx", (F.col("place") + 1).alias("place"))
 
 
 @_query("WITH n AS (SELECT count(*) AS n FROM embeddings) SELECT n, least(60, n) AS by_target, greatest(1, CAST(floor(n * 0.2) AS BIGINT)) AS by_ratio, greatest(2, least(n, CAST(floor(2 * sqrt(n)) AS BIGINT))) AS clusters FROM n")
@@ -763,3 +760,32 @@ ORACLE_SQL["model_curation"] = (
 )
 _PROMPT_TAIL = _TAIL("'Ask about:' || chr(10) || coalesce(text, '')")
 ORACLE_SQL["model_generate"] = f"WITH t AS (SELECT doc_id, {_PROMPT_TAIL} AS tail FROM documents) SELECT doc_id AS chunk_id, 0 AS n, 'What is said about ' || left(tail, 40) || '?' AS question, left(tail, 200) AS answer FROM t"
+
+
+@_query(f"""WITH {_STEPS}, {_TOOLS}, s AS (SELECT st.*, t.tool_id IS NOT NULL AS known FROM st LEFT JOIN tools t ON t.tool_id = st.tool), o AS (SELECT conv_id, bool_and(known) AS whole, count_if(known) AS n_good, min_by('Unknown tool: ' || tool, step) FILTER (NOT known) AS error FROM s GROUP BY conv_id)
+    SELECT conv_id AS example_id, whole, n_good, error, (SELECT string_agg(CASE WHEN known THEN 'ran ' || tool ELSE '-' END, ';' ORDER BY step) FROM s WHERE s.conv_id = o.conv_id) AS results FROM o""")
+def execute_examples(spark, sf_dir):
+    """Each step by a model that acts as its tool; unknown tools fail."""
+    listed = _tools(spark, sf_dir).withColumn("description", F.concat(F.lit("ran "), "tool_id"))
+    ran = execution.execute_examples(_examples(spark, sf_dir), listed, "multi_agent", "{tool_description}", provider="echo")
+    results = F.array_join(F.transform("reasoning_path", lambda s: F.coalesce(s["actual_result"], F.lit("-"))), ";")
+    n_good = F.size(F.filter("execution_result.step_results", lambda s: s["success"])).cast("long")
+    return ran.select("example_id", F.col("execution_result.success").alias("whole"), n_good.alias("n_good"), F.col("execution_result.error").alias("error"), results.alias("results"))
+
+
+@_query("SELECT event_id AS example_id, event_id % 3 = 0 AS success, CASE event_id % 3 WHEN 0 THEN CAST(event_id % 100 + user_id AS VARCHAR) END AS output, CASE event_id % 3 WHEN 1 THEN 'Missing required parameter: expression' WHEN 2 THEN 'No implementation of idle' END AS error FROM events")
+def execute_real(spark, sf_dir):
+    k = F.col("event_id") % 3
+    args = F.when(k == 0, F.create_map(F.lit("expression"), F.concat(F.col("event_id") % 100, F.lit("+"), "user_id"))).otherwise(F.create_map(F.lit("other"), F.lit("1")))
+    e = _table(spark, sf_dir, "events").select(F.col("event_id").alias("example_id"), F.array(F.struct(F.lit(1).alias("step"), F.lit("t").alias("thought"), F.when(k == 2, "idle").otherwise("calculator").alias("tool"), args.alias("args"))).alias("reasoning_path"))
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "calculator", "description": "d", "parameters": [{"name": "expression", "required": True}]}, {"name": "idle", "description": "d"}]))
+    ran = execution.execute_examples(e, listed, "real")
+    return ran.select("example_id", "execution_result.success", "execution_result.output", "execution_result.error")
+
+
+@_query(f"""WITH {_TOOLS}, asked AS (SELECT name, left(name || ': ' || description, 40) AS tail FROM tools WHERE idx < 200)
+    SELECT 'What is said about ' || tail || '?' AS instruction, 'Step 1: Use ' || name || '.' || chr(10) || 'Tool: ' || name || '(request=''as asked'')' || chr(10) || chr(10) || name || ' answered.' AS output FROM asked""")
+def tool_pipeline_records(spark, sf_dir):
+    """Two hundred tools through generation, simulated execution, curation and export."""
+    made = pipelines.tool_pipeline(_tools(spark, sf_dir).where("idx < 200"), 1, 0.0, kind="alpaca", work=scratch_dir(spark, "tool-pipeline"))
+    return made.select("record.instruction", "record.output")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import curation, export, filters, models, scoring, tools
+from ..operators import curation, execution, export, filters, models, scoring, tools
+from ..sources.templates import TEMPLATES
 
 QA_PROMPT = "Write question and answer pairs about this text as a JSON list of objects with question and answer.\n{content}"
 RATE_PROMPT = "Rate this pair as a JSON list of one object with rating, clarity, accuracy, usefulness, difficulty and topic_relevant.\nQuestion: {question}\nAnswer: {answer}"
 ENRICH_PROMPT = 'Rewrite the answer as a JSON object with enriched_answer.\nQuestion: {question}\nAnswer: {answer}'
 COT_PROMPT = "Add reasoning as a JSON list of one object with reasoning.\nQuestion: {question}\nAnswer: {answer}"
 TOOL_PROMPT = "Write requests that need this tool as a JSON list of objects with question.\n{name}: {description}"
+EXAMPLE_PROMPT = "Rate this use of tools as a JSON list of one object with rating, clarity, accuracy, usefulness and difficulty.\n{instruction}\n{solution_summary}\n{final_output}"
 OUTCOME_PROMPT = "Judge the solution as a JSON list of one object with overall_score.\n{instruction}\n{solution_summary}\n{final_output}"
 
 
@@ -37,11 +39,35 @@ def curate_examples(examples: DataFrame, rate: float = 1.0, least_rating: float
     return scoring.balance(scoring.first_of_each(kept, "instruction", "idx"), ratios or tools.DIFFICULTY_MIX)
 
 
-def tool_pipeline(tool_rows: DataFrame, n_per_tool: int = 2, least: float = 0.7, **options) -> DataFrame:
-    """Tools to instructions, one-step solutions, outcomes and training records."""
+def tool_examples(tool_rows: DataFrame, n_per_tool: int = 2, **options) -> DataFrame:
+    """Examples of one-step use: requests for each tool, and solutions that the model gives."""
     asked = models.instructions_for_tools(tool_rows, TOOL_PROMPT, n_per_tool, **options)
-    named = asked.join(F.broadcast(tool_rows.select("tool_id", "name", F.col("returns.type").alias("return_type"))), "tool_id")
-    step = F.struct(F.lit(1).alias("step"), F.concat(F.lit("Use "), F.col("name")).alias("thought"), F.col("name").alias("tool"), F.create_map(F.lit("request"), F.col("instruction")).alias("args"), tools.placeholder("return_type").alias("actual_result"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_message"))
-    examples = named.select(F.xxhash64("tool_id", "n").alias("idx"), "instruction", F.array(step).alias("reasoning_path"), F.concat(F.col("name"), F.lit(" answered: "), tools.placeholder("return_type")).alias("final_answer"))
-    judged = models.judge_examples(examples, OUTCOME_PROMPT, **options).withColumn("outcome", tools.outcome("overall_score", F.lit(True)))
-    return export.example_to_chatml(tools.satisfied(judged, least)).select("idx", "messages")
+    known = tool_rows.select("tool_id", F.concat(F.lit("Tool: "), "name", F.lit("\n"), F.coalesce("description", F.lit(""))).alias("api_documentation"))
+    rows = asked.join(known, "tool_id").withColumn("example_id", F.xxhash64("tool_id", "n"))
+    return models.annotate(rows, TEMPLATES["tool_solution_single"], **options).drop("api_documentation")
+
+
+def tool_pipeline(tool_rows: DataFrame, n_per_tool: int = 2, least: float = 0.7, mode: str = "simulated", threshold: float = 0.0, kind: str | None = None, work: str | None = None, ratios: dict[str, float] | None = None, **options) -> DataFrame:
+    """Tools to training records: generate, execute, curate, export.
+
+    Curated are examples that ran, that the judge rates at ``threshold`` or
+    more, whose outcome reaches ``least``, once for each instruction, and by
+    ``ratios`` of difficulty if given.  Without ``kind`` the messages of each
+    example come back, else records of the format.  With ``work``, a shared
+    folder, each step's rows are written there, so that no model is asked twice.
+    """
+    def written(df: DataFrame, name: str) -> DataFrame:
+        if work is None:
+            return df
+        df.write.mode("overwrite").parquet(f"{work}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    made = written(tool_examples(tool_rows, n_per_tool, **options), "generated")
+    ran = written(execution.execute_examples(made, tool_rows, mode, **options), "executed")
+    rated = models.rate_examples(filters.executed(ran), EXAMPLE_PROMPT, **options).where(F.col("rating") >= threshold)
+    judged = models.judge_examples(rated, OUTCOME_PROMPT, **options).withColumn("outcome", tools.outcome("overall_score", F.lit(True)))
+    kept = scoring.first_of_each(tools.satisfied(judged, least).withColumn("idx", F.col("example_id")), "instruction", "idx")
+    kept = written(scoring.balance(kept.withColumn("difficulty", F.lit("simple")), ratios) if ratios else kept, "curated")
+    if kind is None:
+        return export.example_to_chatml(kept).select("idx", "messages")
+    return export.to_format(kept.select("instruction", "reasoning_path", "final_answer"), kind)
