@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chunks import release
 from .common import child_uri, open_store, shared_dir, small_batches
 from .suffix_array import suffix_array
 
@@ -201,6 +202,7 @@ def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> li
     kind = pa.schema([("id", pa.int64()), ("text", pa.binary()), ("gaps", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         writer = stream = None
         uri, size = "", 0
 
@@ -227,6 +229,7 @@ def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> li
                     writer = None
         if writer is not None:
             yield done()
+        release()
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     return sorted(r[0] for r in rows.mapInArrow(run, "uri string").collect())
@@ -236,8 +239,31 @@ _ROWS = "target int, origin int, body binary"
 _KIND = pa.schema([("target", pa.int32()), ("origin", pa.int32()), ("body", pa.binary())])
 
 
-def _row(target: int, origin: int, body: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([target], pa.int32()), pa.array([origin], pa.int32()), pa.array([body], pa.binary())], schema=_KIND)
+#: Bytes and rows of packed arrays that go back to Spark at a time.
+SENT_BYTES, SENT_ROWS = 1 << 20, 256
+
+
+def _step(make: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, int, bytes]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What ``make`` gives, ``(target, origin, body)`` each, as batches."""
+
+    def batch(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], f.type) for k, f in enumerate(_KIND)], schema=_KIND)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        held, size = [], 0
+        for row in make(batches):
+            held.append(row)
+            size += len(row[2])
+            if size >= SENT_BYTES or len(held) >= SENT_ROWS:
+                yield batch(held)
+                held, size = [], 0
+        if held:
+            yield batch(held)
+        held = []
+        release()
+
+    return run
 
 
 def _by_target(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, bytes]]]]:
@@ -261,7 +287,7 @@ def _sent(rows: DataFrame, parts: int) -> DataFrame:
 def _half_rows(files: DataFrame, buckets: int) -> DataFrame:
     """The half hashes of each file's distinct texts, and whether two of its texts have them, for the buckets of their ranges."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         for batch in batches:
             for number, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 keys = [np.zeros(0, np.uint64)]
@@ -283,15 +309,15 @@ def _half_rows(files: DataFrame, buckets: int) -> DataFrame:
                     if a < b:
                         steps = np.diff(keys[a:b])
                         small = steps.astype(np.uint32) if not len(steps) or steps.max() < 1 << 32 else steps
-                        yield _row(k, number, _pack(keys[a : a + 1], small, np.packbits(twice[a:b])))
+                        yield (k, number, _pack(keys[a : a + 1], small, np.packbits(twice[a:b])))
 
-    return files.mapInArrow(run, _ROWS)
+    return files.mapInArrow(_step(run), _ROWS)
 
 
 def _shared_rows(rows: DataFrame) -> DataFrame:
     """Back to each file, those of its half hashes that another text has as well, in order."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         for bucket, bodies in _by_target(batches):
             keys, twice = [], []
             for _, body in bodies:
@@ -309,9 +335,9 @@ def _shared_rows(rows: DataFrame) -> DataFrame:
                 kept = own[shared[at : at + len(own)]]
                 at += len(own)
                 if len(kept):
-                    yield _row(origin, bucket, _pack(kept))
+                    yield (origin, bucket, _pack(kept))
 
-    return rows.mapInArrow(run, _ROWS)
+    return rows.mapInArrow(_step(run), _ROWS)
 
 
 def _among(keys: np.ndarray, shared: np.ndarray) -> np.ndarray:
@@ -346,7 +372,7 @@ def _contexts(file: _File, shared: np.ndarray) -> Iterator[tuple[int, int, np.nd
 def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame:
     """Each file's distinct contexts with the least id that has them, for the anchors' buckets; and its places, which one bucket passes on."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         for number, bodies in _by_target(batches):
             keys = np.concatenate([np.zeros(0, np.uint64), *(_unpack(b)[0] for _, b in bodies if b)])
             with _File(uris[number]) as file:
@@ -354,13 +380,13 @@ def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame
                 parts = [(h, c, np.full(len(h), ids[n]), np.packbits(_valid(at, length), axis=1), np.full(len(h), n, np.uint32), at.astype(np.uint32)) for n, length, h, at, c in _contexts(file, keys)]
             if not parts:
                 none = np.zeros(0, np.uint32)
-                yield _row(number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64)))
+                yield (number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64)))
                 continue
             h, rows, own, bits, ns, places = (np.concatenate([p[k] for p in parts]) for k in range(6))
             marks = _row_hashes(np.concatenate([rows, bits], axis=1))
             names = _names(h, marks[:, 0], marks[:, 1])
             keep, least = _merge(names, own)
-            yield _row(number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least))
+            yield (number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least))
             bucket = h[keep] % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -368,9 +394,9 @@ def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame
                 some = order[cuts[k] : cuts[k + 1]]
                 if len(some):
                     mine = keep[some]
-                    yield _row(k, number, b"c" + _pack(some.astype(np.uint32), h[mine], rows[mine], bits[mine], least[some]))
+                    yield (k, number, b"c" + _pack(some.astype(np.uint32), h[mine], rows[mine], bits[mine], least[some]))
 
-    return shared.mapInArrow(run, _ROWS)
+    return shared.mapInArrow(_step(run), _ROWS)
 
 
 def _merge(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -452,12 +478,12 @@ def _array_ids(rows: np.ndarray, valid: np.ndarray, ids: np.ndarray, out: np.nda
 def _decided_rows(contexts: DataFrame) -> DataFrame:
     """Back to each file, the ids of its contexts' strings that are less than its own: context, mask of strings, id."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         for bucket, bodies in _by_target(batches):
             parts = []
             for origin, body in bodies:
                 if body[:1] == b"p":
-                    yield _row(origin, -1, body)
+                    yield (origin, -1, body)
                 else:
                     parts.append((origin, *_unpack(body[1:])))
             if not parts:
@@ -483,9 +509,9 @@ def _decided_rows(contexts: DataFrame) -> DataFrame:
                     table[left] = np.where(hit, NO_ID, table[left])
                     left = left[(table[left] < NO_ID).any(axis=1)]
                 if told:
-                    yield _row(int(f), bucket, b"d" + _pack(*(np.concatenate([t[k] for t in told]) for k in range(3))))
+                    yield (int(f), bucket, b"d" + _pack(*(np.concatenate([t[k] for t in told]) for k in range(3))))
 
-    return contexts.mapInArrow(run, _ROWS)
+    return contexts.mapInArrow(_step(run), _ROWS)
 
 
 def _removed(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -528,6 +554,7 @@ def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> D
     kind = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
         for number, bodies in _by_target(batches):
             decided = _Decisions([b for _, b in bodies])
             with _File(uris[number]) as file:
@@ -547,6 +574,7 @@ def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> D
                         out = []
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kind, strict=True)], schema=kind)
+        release()
 
     return rows.mapInArrow(run, schema)
 
