@@ -7,13 +7,15 @@ writes.  Prompts are the built-in ones unless ``--prompts`` names a folder.
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
+from .operators import compare, coverage, curation, execution, export, filters, graph, models, scoring, tools
 from .plans import pipelines
 from .sources import config, readers, sinks, tool_parsers
+from .sources.templates import TEMPLATES
 
 PAIR_SCHEMA = "question string, answer string, reasoning string, chunk_id string, source_file string, source string, model string, rating double, topic_relevant boolean"
 
@@ -23,11 +25,22 @@ def _session() -> SparkSession:
 
 
 def _prompt(args, name: str, default: str) -> str:
+    """The folder's template of the name, or the built-in one."""
     return config.prompts(args.prompts).get(name, default) if getattr(args, "prompts", None) else default
 
 
 def _model(args) -> dict:
-    return {"provider": args.provider} | ({"model": args.model} if args.model else {})
+    """Provider and options: those of the command line before those of the configuration's ``llm`` section."""
+    section = config.load(args.config).get("llm", {}) if getattr(args, "config", None) else {}
+    chosen = config.resolve(section, args.provider)
+    key = args.api_key or (os.environ.get(args.api_key_variable) if args.api_key_variable else None)
+    given = {"model": args.model or (chosen.model if chosen.model != "offline" else None), "key": key, "url": args.url, "max_tokens": args.max_tokens}
+    return {"provider": chosen.provider} | {k: v for k, v in {**chosen.options, **given}.items() if v is not None}
+
+
+def _raw(args) -> dict:
+    """As ``_model``, with the folder that raw answers are written to before they are read."""
+    return _model(args) | {"raw_path": f"{args.output.rstrip('/')}.raw"}
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -99,7 +112,15 @@ def enrich(spark, args):
 
 
 def multi_score(spark, args):
-    scored = scoring.score(_pairs(spark, args.input))
+    """Scores by the model with ``--use-model``; diversity against all earlier vectors with ``--vectors``, else neutral."""
+    pairs = _pairs(spark, args.input)
+    scored = scoring.score(pairs)
+    if args.use_model:
+        asked = models.score_pairs(pairs, _prompt(args, "complexity", pipelines.COMPLEXITY_PROMPT), _prompt(args, "quality", pipelines.QUALITY_PROMPT), **_raw(args))
+        scored = asked.withColumn("diversity", F.lit(scoring.NEUTRAL)).withColumn("combined", scoring.combined())
+    if args.vectors:
+        near = scoring.diversity_before(spark.read.parquet(args.vectors), args.vector, args.key_column).select(F.col(args.key_column).alias("idx"), "diversity")
+        scored = scored.drop("diversity").join(near, "idx", "left").withColumn("diversity", F.coalesce("diversity", F.lit(scoring.NEUTRAL))).withColumn("combined", scoring.combined())
     out = scoring.top_k(scored, args.top_k, args.strategy) if args.top_k else scoring.score_at_least(scored, args.min_score)
     sinks.records(out, args.output)
     scoring.score_summary(scored).show()
@@ -129,7 +150,13 @@ def compare_sets(spark, args):
     sets = readers.datasets(spark, args.input, PAIR_SCHEMA)
     m = compare.dataset_metrics(sets)
     m.show(truncate=False)
-    compare.report(m).write.mode("overwrite").text(args.output)
+    decision = None
+    if args.judge:
+        judged = models.judge_datasets(sets, _prompt(args, "qa_comparison_evaluation", pipelines.COMPARE_PROMPT), args.samples, **_raw(args))
+        judged.select("dataset", "n", "score", "wins").show(truncate=False)
+        decision = models.decide(judged, _prompt(args, "qa_comparison_selection", pipelines.DECIDE_PROMPT), **_raw(args))
+        print(f"winner: {decision}")
+    compare.report(m, decision).write.mode("overwrite").text(args.output)
 
 
 def _nodes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -180,7 +207,13 @@ def tool_generate_chain(spark, args):
 
 
 def tool_execute(spark, args):
-    sinks.records(tools.run_steps(readers.examples(spark, args.input)), args.output)
+    """Steps by a model that acts as the tools, or by registered implementations; without ``--tools`` the registered ones run."""
+    found = readers.examples(spark, args.input)
+    if args.tools is None:
+        sinks.records(tools.run_steps(found), args.output)
+        return
+    ran = execution.execute_examples(found, readers.tools(spark, args.tools), args.mode, _prompt(args, "tool_simulation", TEMPLATES["tool_simulation"]), **_model(args))
+    sinks.records(ran, args.output)
 
 
 def tool_curate(spark, args):
@@ -196,15 +229,19 @@ def tool_evaluate(spark, args):
 
 
 def tool_pipeline(spark, args):
-    sinks.records(pipelines.tool_pipeline(readers.tools(spark, args.input), args.n, args.min_score, **_model(args)), args.output)
+    """Generate, execute, curate and export; about ``--target-pairs`` examples over all tools."""
+    listed = readers.tools(spark, args.input)
+    n = args.n if args.target_pairs is None else max(1, args.target_pairs // max(1, listed.count()))
+    records = pipelines.tool_pipeline(listed, n, args.min_score, args.mode, args.threshold, args.format, f"{args.output.rstrip('/')}.work", **_model(args))
+    export.as_lines(records).write.mode("overwrite").text(args.output)
 
 
 COMMANDS = {
     "list-providers": (list_providers, ""), "generate": (generate, "chunks"), "curate": (curate, "io curate"), "select-coverage": (select_coverage, "io coverage"), "multi-score": (multi_score, "io score"),
     "enrich": (enrich, "io"), "generate-cot": (generate_cot, "chunks topic"), "enhance-cot": (enhance_cot, "io"), "resume-cot": (resume_cot, "io done"), "fix-cot": (fix_cot, "io"),
-    "export": (export_lines, "io format"), "pipeline": (pipeline, "chunks curate format"), "compare": (compare_sets, "many"), "tool-parse": (tool_parse, "io kind"), "tool-deps": (tool_deps, "io deps"),
-    "tool-generate": (tool_generate, "io n"), "tool-generate-from-topic": (tool_generate_from_topic, "topic_text"), "tool-generate-chain": (tool_generate_chain, "io n steps"), "tool-execute": (tool_execute, "io"),
-    "tool-curate": (tool_curate, "io example"), "tool-evaluate": (tool_evaluate, "io score"), "tool-pipeline": (tool_pipeline, "io n score"),
+    "export": (export_lines, "io format"), "pipeline": (pipeline, "chunks curate format"), "compare": (compare_sets, "many judge"), "tool-parse": (tool_parse, "io kind"), "tool-deps": (tool_deps, "io deps"),
+    "tool-generate": (tool_generate, "io n"), "tool-generate-from-topic": (tool_generate_from_topic, "topic_text"), "tool-generate-chain": (tool_generate_chain, "io n steps"), "tool-execute": (tool_execute, "io execute"),
+    "tool-curate": (tool_curate, "io example"), "tool-evaluate": (tool_evaluate, "io score"), "tool-pipeline": (tool_pipeline, "io n score execute format target"),
 }
 
 
@@ -213,8 +250,13 @@ def parser() -> argparse.ArgumentParser:
     sub = top.add_subparsers(dest="command", required=True)
     for name, (_, groups) in COMMANDS.items():
         p, groups = sub.add_parser(name), groups.split()
-        p.add_argument("--provider", default="stub")
+        p.add_argument("--provider")
         p.add_argument("--model")
+        p.add_argument("--config")
+        p.add_argument("--url")
+        p.add_argument("--api-key")
+        p.add_argument("--api-key-variable", help="environment variable that holds the key")
+        p.add_argument("--max-tokens", type=int)
         p.add_argument("--prompts")
         if "io" in groups:
             p.add_argument("input")
@@ -239,6 +281,19 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--min-score", type=float, default=0.7 if name.startswith("tool") else 6.0)
             p.add_argument("--top-k", type=int)
             p.add_argument("--strategy", default="combined")
+            p.add_argument("--use-model", action="store_true")
+            p.add_argument("--vectors")
+            p.add_argument("--vector", default="embedding")
+            p.add_argument("--key-column", default="idx")
+        if "execute" in groups:
+            p.add_argument("--mode", choices=execution.MODES, default="simulated")
+            p.add_argument("--tools")
+        if "target" in groups:
+            p.add_argument("--target-pairs", type=int)
+            p.add_argument("--threshold", type=float, default=7.0)
+        if "judge" in groups:
+            p.add_argument("--judge", action="store_true")
+            p.add_argument("--samples", type=int, default=5)
         if "coverage" in groups:
             p.add_argument("--target", type=int)
             p.add_argument("--ratio", type=float, default=0.2)

@@ -283,6 +283,19 @@ def judge_datasets(sets: DataFrame, template: str, samples: int = 5, order: str
     return scored.crossJoin(F.broadcast(best)).withColumn("wins", F.col("dataset") == F.col("best")).drop("raw", "error", "best", "samples")
 
 
+def decide(judged: DataFrame, template: str, **options) -> str | None:
+    """The dataset that the model names as the winner; where it names none of them, the one of the best score.
+
+    ``judged`` has a row for each dataset, so few rows reach the driver.
+    """
+    from ..functions.text import verdict_winner
+
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dataset", "score", "metrics"))), lambda r: F.concat(r["dataset"], F.lit(": "), r["score"], F.lit(" "), r["metrics"])), "\n")
+    row = judged.agg(line.alias("quality_scores"), F.to_json(F.collect_list("metrics")).alias("metrics_comparison"), F.collect_list("dataset").alias("names"), F.max(F.when(F.col("wins"), F.col("dataset"))).alias("best"))
+    said = ask(row, fill_from(row, template), temperature=0.1, **options).select(verdict_winner("raw").alias("winner"), "names", "best").first()
+    return said["winner"] if said["winner"] in (said["names"] or []) else said["best"]
+
+
 def tools_from_topics(topics: DataFrame, template: str, **options) -> DataFrame:
     """Tools that the model invents for each ``topic``, those without name or description left out."""
     from .tools import refine_generated

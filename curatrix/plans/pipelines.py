@@ -13,6 +13,10 @@ RATE_PROMPT = "Rate this pair as a JSON list of one object with rating, clarity,
 ENRICH_PROMPT = 'Rewrite the answer as a JSON object with enriched_answer.\nQuestion: {question}\nAnswer: {answer}'
 COT_PROMPT = "Add reasoning as a JSON list of one object with reasoning.\nQuestion: {question}\nAnswer: {answer}"
 TOOL_PROMPT = "Write requests that need this tool as a JSON list of objects with question.\n{name}: {description}"
+COMPLEXITY_PROMPT = "How complex is this question, from 1 to 10? Answer with a JSON list of one object with complexity.\n{question}"
+QUALITY_PROMPT = "How good is this answer, from 1 to 10? Answer with a JSON list of one object with quality.\nQuestion: {question}\nAnswer: {answer}"
+COMPARE_PROMPT = "Judge the dataset {dataset} of {n} pairs by these samples and metrics; end with a line SCORE: n/10.\n{samples}\n{metrics}"
+DECIDE_PROMPT = "Choose the dataset to train on; end with a line WINNER: name.\n{quality_scores}"
 EXAMPLE_PROMPT = "Rate this use of tools as a JSON list of one object with rating, clarity, accuracy, usefulness and difficulty.\n{instruction}\n{solution_summary}\n{final_output}"
 OUTCOME_PROMPT = "Judge the solution as a JSON list of one object with overall_score.\n{instruction}\n{solution_summary}\n{final_output}"
 

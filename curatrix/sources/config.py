@@ -49,9 +49,11 @@ class ModelConfig:
 
 def resolve(section: dict, provider: str | None = None) -> ModelConfig:
     """The given provider before the section's; only that provider's own options are merged in."""
+    from ..operators.models import providers
+
     name = provider or section.get("provider") or "stub"
     name = ALIASES.get(name, name)
-    if name not in (*PROVIDERS, "stub"):
+    if name not in (*PROVIDERS, *providers()):
         raise ValueError(f"unknown provider: {name}")
     merged = {k: v for k, v in section.items() if not isinstance(v, dict)} | (section.get(name) or {})
     pick = lambda k: merged[k] if merged.get(k) is not None else DEFAULTS[k]

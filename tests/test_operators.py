@@ -359,3 +359,106 @@ def test_scratch_folder_is_shared_or_refused(spark):
     with pytest.raises(ValueError):
         scratch_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")), "x")
     assert scratch_dir(spark, "a") != scratch_dir(spark, "a")
+
+
+def _serve(answers):
+    """A local server that records what it is asked and gives the answers in turn."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append((self.path, {k.lower(): v for k, v in self.headers.items()}, body))
+            code, answer = answers[min(len(seen), len(answers)) - 1]
+            raw = json.dumps(answer).encode()
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(raw)))
+            self.end_headers()
+            self.wfile.write(raw)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    return server, f"http://127.0.0.1:{server.server_port}", seen
+
+
+@pytest.mark.parametrize("provider, answer, header, place", [
+    ("openai", {"choices": [{"message": {"content": "hi"}}]}, ("authorization", "Bearer k"), ("max_tokens",)),
+    ("anthropic", {"content": [{"type": "text", "text": "h"}, {"type": "text", "text": "i"}]}, ("x-api-key", "k"), ("max_tokens",)),
+    ("google", {"candidates": [{"content": {"parts": [{"text": "hi"}]}}]}, ("x-goog-api-key", "k"), ("generationConfig", "maxOutputTokens")),
+])
+def test_protocols_of_model_servers(provider, answer, header, place):
+    server, url, seen = _serve([(429, {}), (200, answer), (500, {})])
+    try:
+        client = models.client(provider, model="m", url=url + "/{model}" if provider == "google" else url, key="k", max_tokens=99)
+        assert models.ask_with_retries(client, "prompt", wait=0) == "hi"
+        assert len(seen) == 2 and seen[1][1][header[0]] == header[1] and "prompt" in json.dumps(seen[1][2])
+        found = seen[1][2]
+        for key in place:
+            found = found[key]
+        assert found == 99 and (provider != "google" or seen[1][0] == "/m")
+        with pytest.raises(Exception):
+            models.ask_with_retries(client, "prompt", wait=0)
+        assert len(seen) == 3
+    finally:
+        server.shutdown()
+
+
+def test_execution_modes(spark):
+    from curatrix.operators import execution
+
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "adder", "description": "adds", "parameters": [{"name": "x", "required": True}], "returns": {"type": "integer"}}, {"name": "echoer", "description": "e"}]))
+    step = lambda n, tool, **args: (n, "t", tool, args)
+    rows = [(1, "a", [step(1, "adder", x="1"), step(2, "echoer")]), (2, "b", [step(1, "adder")]), (3, "c", [step(1, "nothing"), step(2, "adder", x="2")]), (4, "d", []), (5, "e", None)]
+    df = spark.createDataFrame(rows, "example_id int, instruction string, reasoning_path array<struct<step:int,thought:string,tool:string,args:map<string,string>>>")
+    real = {r.example_id: r for r in execution.execute_examples(df, listed, "real", implementations={"adder": lambda x: int(x) + 1}).collect()}
+    assert [s.status for s in real[1].reasoning_path] == ["success", "failure"] and real[1].reasoning_path[0].actual_result == "2" and not real[1].execution_result.success
+    assert real[2].execution_result.error == "Missing required parameter: x" and real[3].execution_result.error == "Unknown tool: nothing"
+    assert real[3].reasoning_path[1].actual_result == "3" and not real[4].execution_result.success and not real[5].execution_result.success
+    told = {r.example_id: r for r in execution.execute_examples(df, listed, "simulated", "{tool_name} {args_json} {context}", provider="echo").collect()}
+    assert told[1].execution_result.success and told[1].reasoning_path[0].actual_result == 'adder {"x": "1"}' and "last_result" in told[1].reasoning_path[1].actual_result
+    with pytest.raises(ValueError):
+        execution.execute_examples(df, listed, "other")
+    assert execution.execute_examples(df.limit(0), listed, "simulated", provider="echo").count() == 0
+
+
+def test_templates_hold_the_named_fields():
+    import re
+
+    from curatrix.sources.templates import TEMPLATES
+
+    assert len(TEMPLATES) == 8 + 14
+    fields = {k: set(re.findall(r"\{(\w+)\}", v)) for k, v in TEMPLATES.items()}
+    assert fields["tool_simulation"] == {"tool_name", "tool_description", "return_type", "args_json", "context"}
+    assert fields["qa_generation"] == {"n_pairs_min", "n_pairs_max", "text"} and fields["chain_generation"] == {"min_steps", "max_steps", "tools_json"}
+
+
+def test_decision_falls_back_to_the_best_score(spark):
+    judged = spark.createDataFrame([("a", 3.0, "{}", False), ("b", 8.0, "{}", True)], "dataset string, score double, metrics string, wins boolean")
+    assert models.decide(judged, "WINNER: a", provider="echo") == "a"
+    assert models.decide(judged, "WINNER: neither", provider="echo") == "b" == models.decide(judged, "nothing", provider="echo")
+
+
+def test_commands_end_to_end(spark, tmp_path, monkeypatch):
+    from curatrix import cli
+
+    monkeypatch.setattr(cli, "_session", lambda: spark)
+    pairs = [{"question": f"How does part {k} work and why?", "answer": f"Part {k} turns. " * 8, "source": "s"} for k in range(6)]
+    (tmp_path / "a.json").write_text(json.dumps(pairs[:4]))
+    (tmp_path / "b.json").write_text(json.dumps(pairs[4:]))
+    (tmp_path / "tools.json").write_text(json.dumps({"tools": [{"name": f"tool{k}", "description": f"does {k}", "parameters": [], "returns": {"type": "string"}} for k in range(3)]}))
+    (tmp_path / "conf.json").write_text(json.dumps({"llm": {"provider": "stub", "temperature": 0.1}}))
+    out = lambda name: str(tmp_path / name)
+    cli.main(["compare", out("a.json"), out("b.json"), "--output", out("compare"), "--judge", "--config", out("conf.json")])
+    assert json.loads(spark.read.text(out("compare")).first()[0])["decision"] in ("a", "b")
+    cli.main(["multi-score", out("a.json"), "--output", out("scored"), "--top-k", "2", "--use-model"])
+    assert spark.read.json(out("scored")).count() == 2
+    cli.main(["tool-pipeline", out("tools.json"), "--output", out("lines"), "--min-score", "0", "--threshold", "0", "--target-pairs", "3", "--format", "sharegpt"])
+    assert spark.read.json(out("lines")).count() == 3
+    cli.main(["curate", out("a.json"), "--output", out("curated"), "--threshold", "0"])
+    assert spark.read.parquet(out("curated/all_rated")).count() == 4
