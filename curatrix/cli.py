@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions.text import parse_json, strip_fence
 from .operators import compare, coverage, curation, execution, export, filters, graph, models, scoring, tools
 from .plans import pipelines
 from .sources import config, readers, sinks, tool_parsers
@@ -72,6 +73,8 @@ def generate(spark, args):
     pairs = models.generate_pairs(_chunks(spark, args), _prompt(args, "qa_generation", pipelines.QA_PROMPT), raw_path=f"{args.output}/raw", **_model(args))
     sinks.append(pairs.withColumn("generated_at", F.col("generated_at").cast("string")), f"{args.output}/pairs")
     sinks.result_bundle(spark.read.parquet(f"{args.output}/pairs"), args.output)
+    answers = spark.read.parquet(f"{args.output}/raw/*")
+    sinks.unparsed(answers.withColumn("parsed", parse_json(strip_fence("raw"), "array<struct<question:string,answer:string>>")), f"{args.output}/unparsed")
 
 
 def generate_cot(spark, args):

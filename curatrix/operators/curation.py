@@ -55,11 +55,21 @@ def histogram(rated: DataFrame, rating: str = "rating") -> DataFrame:
     return row.select(F.expr(f"stack(10, {pairs}) as (bucket, n)"), "min_rating", "max_rating", "avg_rating")
 
 
+#: The columns that may hold each side of a pair, the first that is there and not null counts.
+SIDES = {"question": ("question", "prompt", "instruction"), "answer": ("answer", "response", "output"), "reasoning": ("reasoning", "cot", "thinking", "thought")}
+
+
+def side(df: DataFrame, name: str) -> Column:
+    found = [c for c in SIDES[name] if c in df.columns]
+    return F.coalesce(*found, F.lit("")) if found else F.lit("")
+
+
 def to_conversation(df: DataFrame, reasoning: str | None = None) -> DataFrame:
-    """``conversations`` of a user and an assistant turn; reasoning goes before the answer."""
-    answer = F.col("answer") if reasoning is None else F.when(F.length(F.coalesce(reasoning, F.lit(""))) > 0, F.concat(F.col(reasoning), F.lit("\n\n"), F.col("answer"))).otherwise(F.col("answer"))
+    """``conversations`` of a user and an assistant turn; reasoning, of the given column or one of the usual ones, goes before the answer."""
+    thought = F.coalesce(F.col(reasoning), F.lit("")) if reasoning is not None else side(df, "reasoning")
+    answer = F.when(F.length(thought) > 0, F.concat(thought, F.lit("\n\n"), side(df, "answer"))).otherwise(side(df, "answer"))
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
-    return df.withColumn("conversations", F.array(turn("user", F.col("question")), turn("assistant", answer)))
+    return df.withColumn("conversations", F.array(turn("user", side(df, "question")), turn("assistant", answer)))
 
 
 def from_conversation(df: DataFrame, column: str = "conversations") -> DataFrame:

@@ -365,6 +365,25 @@ def chain_first(chains: DataFrame, template: str, n: int, least_steps: int = 2,
     return made.where(F.length(F.coalesce("instruction", F.lit(""))) > 0).orderBy("chain_text").limit(n)
 
 
+def model_chains(tools: DataFrame, template: str, least: int = 2, most: int = 4, shown: int = 50, **options) -> DataFrame:
+    """``(chain, length)``: for each category, an order of its tools that the model proposes.
+
+    The template may name ``category``, ``tools_json`` (the first ``shown``
+    tools of the category), ``min_steps`` and ``max_steps``.  Chains of too few
+    or too many steps, or with tools that are not in the category, are rejected.
+    """
+    from pyspark.sql import Window
+
+    category = F.coalesce("category", F.lit("other"))
+    ranked = tools.select(category.alias("category"), "tool_id", "name", "description", F.row_number().over(Window.partitionBy(category).orderBy("idx")).alias("k")).where(F.col("k") <= shown)
+    listed = ranked.groupBy("category").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("k", "tool_id", "description"))), lambda t: F.struct(t["tool_id"], t["description"]))).alias("tools_json"), F.collect_set("tool_id").alias("known"))
+    rows = listed.withColumns({"min_steps": F.lit(least), "max_steps": F.lit(most)})
+    answers = ask(rows, fill_from(rows, template), temperature=0.7, **options)
+    chain = F.get(parse_json(strip_fence("raw"), "array<struct<chain:array<string>>>"), 0)["chain"]
+    made = answers.select("category", "known", chain.alias("chain")).where(F.size("chain").between(least, most))
+    return made.where(F.size(F.array_except("chain", "known")) == 0).select("category", "chain", F.size("chain").alias("length"))
+
+
 def simulate_steps(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
     """Each step with a result that the model makes up: ``(example, position, success, output, error)``."""
     from .tools import step_rows

@@ -789,3 +789,41 @@ def tool_pipeline_records(spark, sf_dir):
     """Two hundred tools through generation, simulated execution, curation and export."""
     made = pipelines.tool_pipeline(_tools(spark, sf_dir).where("idx < 200"), 1, 0.0, kind="alpaca", work=scratch_dir(spark, "tool-pipeline"))
     return made.select("record.instruction", "record.output")
+
+
+@_query(f"WITH {_TOOLS}, c AS (SELECT coalesce(category, 'other') AS category, min(tool_id) AS least, count(*) AS n FROM tools GROUP BY 1) SELECT category, least AS chain, 1 AS length FROM c WHERE least NOT LIKE '%7'")
+def model_chains(spark, sf_dir):
+    """A chain of one tool for each category, given in its name; the model names an unknown tool where the number ends in seven."""
+    listed = _tools(spark, sf_dir).withColumn("category", F.coalesce("category", F.lit("other")))
+    least = listed.groupBy("category").agg(F.min("tool_id").alias("least"))
+    shown = listed.join(least, "category").withColumn("category", F.concat_ws("|", "category", F.when(F.col("least").endswith("7"), "unknown").otherwise(F.col("least"))))
+    asked = models.model_chains(shown, '[{"chain": ["{category}"]}]', 1, 2, shown=10_000, provider="last part")
+    return asked.select(F.substring_index("category", "|", 1).alias("category"), F.array_join("chain", ">").alias("chain"), "length")
+
+
+class _LastPart:
+    """Answers with the prompt, its quoted text cut to what follows the last bar."""
+
+    def generate(self, prompt, temperature=None, max_tokens=None):
+        head, bar, tail = prompt.rpartition("|")
+        return head[: head.rfind('"') + 1] + tail if bar else prompt
+
+
+models.register_provider("last part", lambda **_: _LastPart())
+
+
+@_query(f"WITH {_PAIRS} SELECT idx, question AS user_text, CASE WHEN idx % 2 = 0 THEN 'thought ' || idx || chr(10) || chr(10) || answer ELSE answer END AS assistant_text FROM pairs")
+def conversation_fallbacks(spark, sf_dir):
+    """Pairs under other names: prompt, response, thinking."""
+    p = _pairs(spark, sf_dir).select("idx", F.col("question").alias("prompt"), F.col("answer").alias("response"), F.when(F.col("idx") % 2 == 0, F.concat(F.lit("thought "), "idx")).alias("thinking"))
+    c = curation.to_conversation(p)
+    return c.select("idx", F.col("conversations")[0]["content"].alias("user_text"), F.col("conversations")[1]["content"].alias("assistant_text"))
+
+
+@_query(f"WITH {_TOOLS} SELECT 'parts' AS name, '1.0' AS version, count(*) AS n FROM tools")
+def sink_catalogue(spark, sf_dir):
+    """A catalogue file with name, description and version, which is JSON and YAML at once."""
+    path = sinks.json_array(_tools(spark, sf_dir), f"{scratch_dir(spark, 'catalogue')}/tools.yaml", "idx", "tools", {"name": "parts", "description": "all parts", "version": "1.0"})
+    raw = spark.read.text(path, wholetext=True)
+    n = readers.tools(spark, path).agg(F.count("*").alias("n"))
+    return raw.select(F.get_json_object("value", "$.name").alias("name"), F.get_json_object("value", "$.version").alias("version")).crossJoin(n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,15 +59,19 @@ def records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def json_array(df: DataFrame, path: str, order: str, name: str | None = None) -> str:
+def json_array(df: DataFrame, path: str, order: str, name: str | None = None, head: dict[str, str] | None = None) -> str:
     """All rows as one JSON array in one file at ``path``, in the order of a column; ``name`` wraps it in an object.
 
+    ``head`` are the object's other fields, such as name, description and
+    version.  JSON is YAML too, so a path may end in either.
+
     Meant for catalogues and example sets that a tool outside of Spark reads
     whole: one task writes the file.
     """
     rows = df.select(F.struct(F.col(order).alias("at"), F.to_json(F.struct(*df.columns)).alias("line")).alias("r")).agg(F.array_sort(F.collect_list("r")).alias("rows"))
     body = F.concat(F.lit("["), F.array_join(F.transform("rows", lambda r: r["line"]), ",\n"), F.lit("]"))
-    body = F.concat(F.lit('{"' + name + '": '), body, F.lit("}")) if name else body
+    before = "{" + "".join(f"{json.dumps(k)}: {json.dumps(v)}, " for k, v in (head or {}).items()) + f"{json.dumps(name)}: "
+    body = F.concat(F.lit(before), body, F.lit("}")) if name else body
     rows.select(body.alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}.parts")
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     parts, target = jvm.org.apache.hadoop.fs.Path(f"{path}.parts"), jvm.org.apache.hadoop.fs.Path(path)
