@@ -29,8 +29,8 @@ from .common import materialise
 #: Shorter lines must be equal.
 NEAR_CHARS = 16
 BLOCK_CHARS, MOST_BLOCKS = 24, 256
-#: So many candidate lines are broadcast (24 bytes each) at most; beyond, they are joined by shuffles.
-BROADCAST_LINES = 2_000_000
+#: So many candidate lines are broadcast (about 100 bytes each) at most; beyond, they are joined by shuffles.
+BROADCAST_LINES = 500_000
 _WHITE = " \t\r\v\f"
 _ORDER = ("no_id", "id", "text_hash", "pos")
 

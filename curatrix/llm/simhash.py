@@ -33,6 +33,8 @@ FOURS = [s for s in combinations(range(8), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0]
 FIVES = list(combinations(range(8), 5))
 #: A list of more fingerprints than this is posted under five positions.
 LONG_LIST = 4096
+#: Links of a long list that are held at a time, but for those of one probe.
+MOST_HITS = 1 << 20
 _ONE = np.uint64(1)
 
 
@@ -125,6 +127,11 @@ def list_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 hit = np.flatnonzero((fps[place] == other) & (fps < other))
                 left.append(hit)
                 right.append(place[hit])
+                if sum(map(len, left)) > MOST_HITS:
+                    # A spanning forest of the hits so far stands for them all.
+                    root = _forest(n, np.concatenate(left), np.concatenate(right))
+                    left = [np.flatnonzero(root != np.arange(n))]
+                    right = [root[left[0]]]
     root = _forest(n, np.concatenate(left), np.concatenate(right)) if left else np.arange(n)
     joined = np.flatnonzero(root != np.arange(n))
     return fps[joined], fps[root[joined]]

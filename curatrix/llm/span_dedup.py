@@ -38,8 +38,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered as numbered_rows
 from .chunks import release
-from .common import child_uri, open_store, shared_dir, small_batches
+from .common import child_uri, materialise, open_store, shared_dir, small_batches
 from .suffix_array import suffix_array
 
 LENGTH, GRAM, PACK = 50, 16, 8
@@ -54,6 +55,8 @@ ARRAY_CONTEXTS = 6000
 ROW_GROUP = 512
 #: A later task holds the hashes and shared contexts of one file, which take a few times its text at most.
 FILE_BYTES = 16 << 20
+#: Tasks for the files at most, for each shuffle partition.
+FILE_TASKS = 8
 NO_ID = np.iinfo(np.int64).max
 _FACTOR = 0x9E3779B97F4A7C15
 _STEPS = tuple(np.uint64(pow(_FACTOR, k, 1 << 64)) for k in range(3, 3 + len(range(0, HALF - 8, 8)) + 1))
@@ -197,8 +200,8 @@ class _File:
         return rows, least
 
 
-def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> list[str]:
-    """Copies of all rows, with the places of their anchors, in files of about ``FILE_BYTES`` of text; null ids become the greatest."""
+def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> DataFrame:
+    """The URIs of copies of all rows, with the places of their anchors, in files of about ``FILE_BYTES`` of text; null ids become the greatest."""
     kind = pa.schema([("id", pa.int64()), ("text", pa.binary()), ("gaps", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +235,7 @@ def copy_documents(df: DataFrame, folder: str, id_col: str, text_col: str) -> li
         release()
 
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    return sorted(r[0] for r in rows.mapInArrow(run, "uri string").collect())
+    return materialise(rows.mapInArrow(run, "uri string"), "copied")
 
 
 _ROWS = "target int, origin int, body binary"
@@ -281,7 +284,12 @@ def _by_target(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tu
 
 
 def _sent(rows: DataFrame, parts: int) -> DataFrame:
-    return rows.repartitionById(parts, F.col("target")).sortWithinPartitions("target", "origin")
+    return rows.repartitionById(parts, F.col("target") % parts).sortWithinPartitions("target", "origin")
+
+
+def _numbered(files: DataFrame) -> DataFrame:
+    """``(number, uri)``: the files' places in the order of their names."""
+    return numbered_rows(files, "uri", name="number").select(F.col("number").cast("int").alias("number"), "uri")
 
 
 def _half_rows(files: DataFrame, buckets: int) -> DataFrame:
@@ -369,24 +377,26 @@ def _contexts(file: _File, shared: np.ndarray) -> Iterator[tuple[int, int, np.nd
                 yield n, len(raw), gram_hashes(raw, at), at, padded[at[:, None] + reach + BACK]
 
 
-def _context_rows(shared: DataFrame, uris: list[str], buckets: int) -> DataFrame:
+def _context_rows(shared: DataFrame, buckets: int) -> DataFrame:
     """Each file's distinct contexts with the least id that has them, for the anchors' buckets; and its places, which one bucket passes on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         for number, bodies in _by_target(batches):
-            keys = np.concatenate([np.zeros(0, np.uint64), *(_unpack(b)[0] for _, b in bodies if b)])
-            with _File(uris[number]) as file:
+            uri = next(b for origin, b in bodies if origin < 0)
+            keys = np.concatenate([np.zeros(0, np.uint64), *(_unpack(b)[0] for origin, b in bodies if origin >= 0)])
+            name = np.frombuffer(uri, np.uint8)
+            with _File(uri.decode()) as file:
                 _, ids = file.distinct()
                 parts = [(h, c, np.full(len(h), ids[n]), np.packbits(_valid(at, length), axis=1), np.full(len(h), n, np.uint32), at.astype(np.uint32)) for n, length, h, at, c in _contexts(file, keys)]
             if not parts:
                 none = np.zeros(0, np.uint32)
-                yield (number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64)))
+                yield (number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64), name))
                 continue
             h, rows, own, bits, ns, places = (np.concatenate([p[k] for p in parts]) for k in range(6))
             marks = _row_hashes(np.concatenate([rows, bits], axis=1))
             names = _names(h, marks[:, 0], marks[:, 1])
             keep, least = _merge(names, own)
-            yield (number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least))
+            yield (number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least, name))
             bucket = h[keep] % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -526,7 +536,8 @@ class _Decisions:
 
     def __init__(self, bodies: list[bytes]):
         places = next(b for b in bodies if b[:1] == b"p")
-        self.rows, self.at, self.names, self.least = _unpack(places[1:])
+        self.rows, self.at, self.names, self.least, uri = _unpack(places[1:])
+        self.uri = uri.tobytes().decode()
         told = [_unpack(b[1:]) for b in bodies if b[:1] == b"d"]
         name, bits, less = (np.concatenate([t[k] for t in told]) for k in range(3)) if told else (np.zeros(0, np.uint32), np.zeros((0, 5), np.uint8), np.zeros(0, np.int64))
         order = np.argsort(name, kind="stable")
@@ -550,14 +561,14 @@ class _Decisions:
         return np.concatenate(out)
 
 
-def _final_rows(rows: DataFrame, uris: list[str], id_col: str, schema: str) -> DataFrame:
+def _final_rows(rows: DataFrame, id_col: str, schema: str) -> DataFrame:
     kind = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
-        for number, bodies in _by_target(batches):
+        for _, bodies in _by_target(batches):
             decided = _Decisions([b for _, b in bodies])
-            with _File(uris[number]) as file:
+            with _File(decided.uri) as file:
                 first, least = file.distinct()
                 out: list[tuple] = []
                 for n, (i, text, _) in enumerate(file.texts()):
@@ -589,14 +600,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark: SparkSession = df.sparkSession
     schema = f"`{id_col}` bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
-    uris = copy_documents(small_batches(df), shared_dir(spark, "copies"), id_col, text_col)
-    if not uris:
+    copied = copy_documents(small_batches(df), shared_dir(spark, "copies"), id_col, text_col)
+    n = copied.count()
+    if not n:
         return spark.createDataFrame([], schema)
-    # A bucket gets about as much as a file sends.
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), len(uris))
-    numbered = spark.createDataFrame(list(enumerate(uris)), "number int, uri string")
-    files = numbered.repartitionById(len(uris), F.col("number")).select("number", "uri")
-    every = numbered.select(F.col("number").alias("target"), F.lit(-1).alias("origin"), F.lit("").cast("binary").alias("body"))
-    shared = _shared_rows(_sent(_half_rows(files, buckets), buckets)).union(every)
-    contexts = _context_rows(_sent(shared, len(uris)), uris, buckets)
-    return _final_rows(_sent(_decided_rows(_sent(contexts, buckets)), len(uris)), uris, id_col, schema)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A bucket gets about as much as a file sends; a task takes one file after the other.
+    buckets, parts = max(parts, n), min(n, FILE_TASKS * parts)
+    numbered = materialise(_numbered(copied), "numbered")
+    every = numbered.select(F.col("number").alias("target"), F.lit(-1).alias("origin"), F.col("uri").cast("binary").alias("body"))
+    shared = _shared_rows(_sent(_half_rows(numbered.repartitionById(parts, F.col("number") % parts).select("number", "uri"), buckets), buckets)).union(every)
+    contexts = _context_rows(_sent(shared, parts), buckets)
+    return _final_rows(_sent(_decided_rows(_sent(contexts, buckets)), parts), id_col, schema)

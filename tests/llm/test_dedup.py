@@ -178,6 +178,10 @@ def test_long_list_lookup_equals_comparison(monkeypatch):
     fps = np.unique((np.uint64(0xABCDEF0123) << np.uint64(24)) | (rng.integers(0, 1 << 24, 300).astype(np.uint64) & np.uint64(0x3F003F)))
     a = {tuple(x) for x in zip(*sh.list_links(fps), strict=True)}
     monkeypatch.setattr(sh, "LONG_LIST", 1)
+    monkeypatch.setattr(sh, "MOST_HITS", 10)
+    short = {tuple(x) for x in zip(*sh.list_links(fps), strict=True)}
+    monkeypatch.setattr(sh, "MOST_HITS", 1 << 20)
+    assert short == a
     b = {tuple(x) for x in zip(*sh.list_links(fps), strict=True)}
     assert a == b
 
