@@ -25,15 +25,16 @@ ENTRY_BYTES = 180
 LONGEST = 256
 
 
-def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with at most ``STEP_BYTES`` of text in ``column`` and ``STEP_ROWS`` rows, or a single row."""
+def steps(batch: pa.RecordBatch, column: int, most: int | None = None, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with at most ``most`` bytes (``STEP_BYTES``) of text in ``column`` and ``rows`` rows (``STEP_ROWS``), or a single row."""
+    most, rows = most or STEP_BYTES, rows or STEP_ROWS
     if not batch.num_rows:
         return
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         before = int(ends[at - 1]) if at else 0
-        end = max(at + 1, min(at + STEP_ROWS, int(np.searchsorted(ends, before + STEP_BYTES, side="right"))))
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + most, side="right"))))
         yield batch.slice(at, end - at)
         at = end
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ChunkMemory, joined, steps
+from .chunks import ChunkMemory, joined, release, steps
 from .common import child_uri, open_store, small_batches
 
 # Fixed values of the file format.
@@ -35,6 +35,8 @@ FOOTER_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 1 << 18
+#: Text that is encoded at a time, and what a worker remembers of words in each of two generations.
+STEP_BYTES, MEMORY_BYTES = 4 << 20, 32 << 20
 
 
 class TokenFileWriter:
@@ -156,7 +158,7 @@ class WordTokenizer:
         ends = [i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
         self.ends = np.zeros(max(ends, default=0) + 1, bool)
         self.ends[ends] = True
-        self.memory = ChunkMemory(self._learn)
+        self.memory = ChunkMemory(self._learn, MEMORY_BYTES)
 
     @staticmethod
     def _check(spec: dict) -> None:
@@ -255,7 +257,7 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
         uri = child_uri(folder, f"ids-{number:06d}-{uuid.uuid4().hex}.zst")
         writer = stream = None
         for batch in batches:
-            for part in steps(batch, 1):
+            for part in steps(batch, 1, STEP_BYTES, 4096):
                 if writer is None:
                     store, path = open_store(uri)
                     store.create_dir(path.rpartition("/")[0], recursive=True)
@@ -263,7 +265,8 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
                     writer = TokenFileWriter(stream)
                 for i, ids in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1)), strict=True):
                     writer.add(i, ids + end)
-        tokenizer.memory.forget()
+        # What is known of words stays for the worker's next task.
+        release()
         if writer is not None:
             writer.close()
             stream.close()
