@@ -101,9 +101,10 @@ def anchors(raw: np.ndarray) -> np.ndarray:
         h = h[:-known] * np.uint64(factor) + h[known:]
         factor = factor * factor & 0xFFFFFFFFFFFFFFFF
         known *= 2
-    mixed = _mixed(h)
+    # Equal hashes only make more anchors, so half of the bits will do.
+    mixed = (_mixed(h) >> np.uint64(32)).astype(np.uint32)
     least = _slide(mixed, WINDOW_GRAMS, np.minimum)
-    edge = np.zeros(WINDOW_GRAMS - 1, np.uint64)
+    edge = np.zeros(WINDOW_GRAMS - 1, np.uint32)
     return np.flatnonzero(_slide(np.concatenate([edge, least, edge]), WINDOW_GRAMS, np.maximum) == mixed)
 
 
@@ -144,25 +145,45 @@ def half_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return halves[0], halves[1]
 
 
-def _row_hashes(rows: np.ndarray) -> np.ndarray:
-    """Two 64-bit hashes of each row of bytes, as one 16-byte value."""
-    width = rows.shape[1]
-    out = np.zeros((len(rows), 2), np.uint64)
-    for k, factor in enumerate((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)):
-        powers = np.array([pow(factor, width - i, 1 << 64) for i in range(width)], np.uint64)
-        for at in range(0, len(rows), 4096):
-            out[at : at + 4096, k] = ((rows[at : at + 4096].astype(np.uint64) + np.uint64(1)) * powers).sum(axis=1, dtype=np.uint64)
+def _row_hashes(rows: np.ndarray, count: int = 2) -> np.ndarray:
+    """64-bit hashes of each row of bytes, ``count`` of them."""
+    width = -(-rows.shape[1] // 8)
+    factors = np.array([[pow(f, k, 1 << 64) for k in range(1, width + 1)] for f in (_FACTOR, 0xD6E8FEB86659FD93)[:count]], np.uint64)
+    out = np.zeros((len(rows), count), np.uint64)
+    for at in range(0, len(rows), 8192):
+        some = rows[at : at + 8192]
+        padded = np.zeros((len(some), 8 * width), np.uint8)
+        padded[:, : rows.shape[1]] = some
+        words = padded.view(np.uint64)
+        words = (words ^ (words >> np.uint64(32))) * _MIX[1]
+        words ^= words >> np.uint64(29)
+        for k in range(count):
+            out[at : at + 8192, k] = (words * factors[k]).sum(axis=1, dtype=np.uint64)
     return out
 
 
-def _names(*columns: np.ndarray) -> np.ndarray:
-    """A number for each row, the same for rows that are equal in all columns."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), np.int64)
-    for c in columns:
-        new[1:] |= c[order][1:] != c[order][:-1]
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new)
+def _merged(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of bytes the number of its content; for each content its first row and the least id of its rows."""
+    marks = _row_hashes(rows)
+    order = np.argsort(marks[:, 0], kind="stable")
+    one, two = marks[order, 0], marks[order, 1]
+    if ((one[1:] == one[:-1]) & (two[1:] != two[:-1])).any():
+        order = np.lexsort((marks[:, 1], marks[:, 0]))
+        one, two = marks[order, 0], marks[order, 1]
+    new = np.ones(len(order), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    names = np.empty(len(order), np.int64)
+    names[order] = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    return names, order[starts], np.minimum.reduceat(ids[order], starts)
+
+
+def _repeated(marks: np.ndarray) -> np.ndarray:
+    """Which values are there more than once."""
+    order = np.argsort(marks, kind="stable")
+    same = marks[order][1:] == marks[order][:-1]
+    out = np.zeros(len(marks), bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
     return out
 
 
@@ -393,9 +414,7 @@ def _context_rows(shared: DataFrame, buckets: int) -> DataFrame:
                 yield (number % buckets, number, b"p" + _pack(none, none, none, np.zeros(0, np.int64), name))
                 continue
             h, rows, own, bits, ns, places = (np.concatenate([p[k] for p in parts]) for k in range(6))
-            marks = _row_hashes(np.concatenate([rows, bits], axis=1))
-            names = _names(h, marks[:, 0], marks[:, 1])
-            keep, least = _merge(names, own)
+            names, keep, least = _merged(np.concatenate([rows, bits], axis=1), own)
             yield (number % buckets, number, b"p" + _pack(ns, places, names.astype(np.uint32), least, name))
             bucket = h[keep] % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -409,14 +428,6 @@ def _context_rows(shared: DataFrame, buckets: int) -> DataFrame:
     return shared.mapInArrow(_step(run), _ROWS)
 
 
-def _merge(names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first row of each name, and the least id of each."""
-    _, keep = np.unique(names, return_index=True)
-    least = np.full(len(keep), NO_ID)
-    np.minimum.at(least, names, ids)
-    return keep, least
-
-
 def least_ids(h: np.ndarray, rows: np.ndarray, valid: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For every string of the distinct contexts, the least id of the contexts that have it.
 
@@ -428,11 +439,8 @@ def least_ids(h: np.ndarray, rows: np.ndarray, valid: np.ndarray, ids: np.ndarra
         return out
     first = np.concatenate([[True], h[1:] != h[:-1]])
     group = np.cumsum(first) - 1
-    alike = np.zeros(len(rows), bool)
-    for part in (rows[:, BACK - HALF : BACK + GRAM], rows[:, BACK : BACK + GRAM + HALF]):
-        marks = _row_hashes(part)
-        names = _names(group, marks[:, 0], marks[:, 1])
-        alike |= np.bincount(names)[names] > 1
+    # Halves hold their gram, so equal ones have the same anchor.
+    alike = _repeated(_row_hashes(rows[:, BACK - HALF : BACK + GRAM], 1)[:, 0]) | _repeated(_row_hashes(rows[:, BACK : BACK + GRAM + HALF], 1)[:, 0])
     some = np.flatnonzero(alike)
     cuts = np.flatnonzero(np.concatenate([[True], group[some][1:] != group[some][:-1]])) if len(some) else []
     at = 0
@@ -500,14 +508,18 @@ def _decided_rows(contexts: DataFrame) -> DataFrame:
                 continue
             number, h, rows, bits, ids = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
             origin = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
-            marks = _row_hashes(np.concatenate([rows, bits], axis=1))
-            names = _names(h, marks[:, 0], marks[:, 1])
-            keep, least = _merge(names, ids)
+            names, keep, least = _merged(np.concatenate([rows, bits], axis=1), ids)
+            order = np.argsort(h[keep], kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            names, keep, least = place[names], keep[order], least[order]
             valid = np.unpackbits(bits[keep], axis=1, count=WINDOW_GRAMS).astype(bool)
             found = least_ids(h[keep], rows[keep], valid, least)
+            found[~valid] = NO_ID
+            earlier = found.min(axis=1)[names] < ids
             for f in np.unique(origin):
-                some = np.flatnonzero(origin == f)
-                table = np.where(valid[names[some]], found[names[some]], NO_ID)
+                some = np.flatnonzero((origin == f) & earlier)
+                table = found[names[some]]
                 table[table >= ids[some, None]] = NO_ID
                 told: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 left = np.flatnonzero((table < NO_ID).any(axis=1))
