@@ -84,7 +84,26 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(documents(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_rules, op3_line_dedup, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op9_suffix_dedup, op10_html_text)}
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(documents(spark, sf_dir))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import source_divergence
+
+    return source_divergence(documents(spark, sf_dir))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resample import resample
+
+    return resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+_ALL = (op1_sentencepiece, op2_quality_rules, op3_line_dedup, op4_token_files, op5_fingerprints, op6_simhash, op7_warc, op8_mixing, op9_suffix_dedup, op10_html_text, op11_ngram_jaccard, op12_source_divergence, op13_importance_resampling)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": r"""
         WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
@@ -116,4 +135,22 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
         FROM r
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        t AS (SELECT k, lang, source, unnest(terms) AS term FROM d),
+        seen AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT k) AS docs FROM t GROUP BY ALL),
+        kept AS (SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM seen GROUP BY lang, term HAVING sum(docs) >= 30),
+        grid AS (SELECT g.lang, g.source, v.term, coalesce(s.n, 0) AS n, v.n AS of_lang
+                 FROM (SELECT DISTINCT lang, source FROM d) g JOIN kept v USING (lang) LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = v.term),
+        sums AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(of_lang) OVER (PARTITION BY lang, source) AS lang_total, count(*) OVER (PARTITION BY lang, source) AS terms FROM grid),
+        shares AS (SELECT lang, source, term, n, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (total + 5 * terms) AS BIGINT) AS p,
+                          CAST(1 + (1000000000 * CAST(of_lang + 5 AS HUGEINT)) // (lang_total + 5 * terms) AS BIGINT) AS q FROM sums),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+                  FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+        parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
 }
