@@ -4,14 +4,22 @@ Two sets with a Jaccard similarity of s or more share at least T = ceil(s * n)
 grams, n being the size of either.  Of a document's inverted lists, any T - 1
 can be left unread without losing a partner; the longest are, so what is read
 are the lists of its rarest grams (DivideSkip with all long lists skipped).
-Every document is posted under those grams only, lists with the same members
-are read once, and the members of a list meet with their whole sets.
-
-There, each member is a query against the members before it: its short lists
-are merged, members that occur in fewer than T less the number of long lists
-are dropped, the others are probed in the long lists by binary search, and the
-exact overlap decides.  Merging is done by numpy's stable sort, which merges
-runs that are sorted already, in place of a heap of Python objects.
+Every document is posted under those grams only, and lists with the same
+members are read once.
+
+First each document goes with its whole set to one list, the longest it is in,
+where it is a query against the members before it: its short lists are merged,
+members that occur in fewer than T less the number of long lists are dropped,
+the others are probed in the long lists by binary search, and the exact overlap
+decides.  Merging is done by numpy's stable sort, which merges runs that are
+sorted already, in place of a heap of Python objects.
+
+Then the lists that still hold several components are read once more, with
+small bitmaps in place of sets.  A bit is the parity of the grams that fall on
+it, so that bits which differ never outnumber the grams which differ: pairs of
+unlike components that may reach T are told apart from those that cannot, and
+only the former are probed with their sets.  So a large group of near copies
+gives few pairs, and no pair that may link is passed over.
 
 "Rarest" needs an order of all grams, and any one order gives the same links.
 Here grams of the lower part of the hash range come first, by the number of
@@ -41,8 +49,12 @@ LOWER = 0.4
 COMMON_DOCS, MOST_COMMON = 200, 1_000_000
 #: A slice of a batch tells of grams that so many of its documents have.
 TELL = 8
-#: Bytes of sets that one task holds of a list; longer lists are cut into blocks.
-BLOCK_BYTES = 8 << 20
+#: Bytes of sets, or members with their bitmaps, that one task holds of a list; longer lists are cut into blocks.
+BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 4096
+#: A bitmap has twice as many bits as the set has grams, within these bounds.
+LEAST_BITS, MOST_BITS = 256, 8192
+#: Words of bitmaps that are compared at a time.
+COMPARE_WORDS = 4 << 20
 #: Weight of merging against probing (DivideSkip's constant).
 MU = 0.01
 _NO_ID = (1 << 63) - 1
@@ -160,11 +172,9 @@ def _listed(texts: DataFrame, nodes: DataFrame, common: np.ndarray, percent: int
     return each.join(nodes.where("first"), "doc").select(F.explode(F.slice("grams", F.lit(1), take)["gram"]).alias("gram"), "doc", "n")
 
 
-def _block_links(members: list[np.ndarray], side: np.ndarray, root: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Links between members (sorted sets) of unlike ``root``, enough of them to connect all that link.
-
-    ``side``: 0 for members that are compared with all others, else only members of unlike sides are.  ``root`` is changed.
-    """
+def _block_links(members: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Links between members (sorted sets), enough of them to connect all that link."""
+    root = np.arange(len(members))
     sizes = np.array([len(m) for m in members])
     grams = np.concatenate(members)
     owner = np.repeat(np.arange(len(members), dtype=np.int32), sizes)
@@ -197,7 +207,6 @@ def _block_links(members: list[np.ndarray], side: np.ndarray, root: np.ndarray,
         cuts = np.flatnonzero(np.r_[True, merged[1:] != merged[:-1]]) if len(merged) else np.zeros(0, np.int64)
         seen, some = np.diff(np.r_[cuts, len(merged)]), merged[cuts]
         near = (seen >= least - skip) & (np.maximum(sizes[some], n) * percent <= 100 * np.minimum(sizes[some], n))
-        near &= (side[some] == 0) | (side[some] != side[q])
         some, seen = some[near], seen[near]
         mine = find(q)
         apart = np.array([find(int(k)) != mine for k in some], bool)
@@ -213,49 +222,124 @@ def _block_links(members: list[np.ndarray], side: np.ndarray, root: np.ndarray,
                 yield int(k), q
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each value of the first column, which follow each other, without it."""
+    key, held = None, []
+    for batch in batches:
+        for first, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if first != key and held:
+                yield held
+                held = []
+            key = first
+            held.append(tuple(rest))
+    if held:
+        yield held
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
 def _links(met: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` in each ``part`` of rows ``(part, doc, side, root, grams)``."""
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Links ``(a, b)`` in each ``part`` of rows ``(part, doc, grams)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, []
-
-        def links() -> Iterator[pa.RecordBatch]:
+        for held in _grouped(batches):
             if len(held) > 1:
-                roots: dict[int, int] = {}
-                root = np.array([roots.setdefault(row[2], k) for k, row in enumerate(held)])
-                found = list(_block_links([row[3] for row in held], np.array([row[1] for row in held]), root, percent))
-                yield pa.RecordBatch.from_pydict({"a": [held[i][0] for i, _ in found], "b": [held[j][0] for _, j in found]}, schema=kind)
+                found = list(_block_links([np.frombuffer(g, np.uint64) for _, g in held], percent))
+                yield pa.RecordBatch.from_pydict({"a": [held[i][0] for i, _ in found], "b": [held[j][0] for _, j in found]}, schema=_PAIR)
+
+    return small_batches(met).repartition("part").sortWithinPartitions("part", "doc").select("part", "doc", "grams").mapInArrow(run, "a bigint, b bigint")
 
+
+def bitmap(grams: np.ndarray) -> bytes:
+    """Parities of the grams that fall on each of a power of two of bits."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(grams)).bit_length()))
+    return np.packbits(np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def may_link(sizes: np.ndarray, bits: list[bytes], side: np.ndarray, root: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of members of unlike roots that their bitmaps do not rule out, and how many bits differ.
+
+    ``side``: 0 for members that are compared with all others, else only members of unlike sides are.
+    """
+    lengths = np.array([len(b) for b in bits])
+    for length in np.unique(lengths):
+        # Sets that can link differ by less than a factor of two, so their bitmaps are of the same or the next size, which is folded.
+        own, next_ = np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)
+        here = np.frombuffer(b"".join(bits[k] for k in own), np.uint64).reshape(len(own), -1)
+        there = np.frombuffer(b"".join(bits[k] for k in next_), np.uint64).reshape(len(next_), 2, here.shape[1])
+        every, words = np.concatenate([own, next_]), np.concatenate([here, there[:, 0] ^ there[:, 1]])
+        step = max(1, COMPARE_WORDS // words.size)
+        for at in range(0, len(own), step):
+            left = own[at : at + step, None]
+            total = sizes[left] + sizes[every]
+            most = total - 2 * -(-percent * total // (100 + percent))
+            able = (root[left] != root[every]) & ((left < every) | (lengths[every] != length)) & ((side[left] == 0) | (side[left] != side[every]))
+            i, j = np.nonzero(able & (np.abs(sizes[left] - sizes[every]) <= most))
+            apart = np.bitwise_count(here[at : at + step][i] ^ words[j]).sum(axis=1, dtype=np.int64) if len(i) else np.zeros(0, np.int64)
+            near = apart <= most[i, j]
+            yield own[at + i[near]], every[j[near]], apart[near]
+
+
+def _candidates(met: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs ``(a, b)`` of rows ``(part, doc, side, root, n, bits)`` that may link; with ``nearest`` the nearest of each two components of a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _grouped(batches):
+            docs, side, root, sizes = (np.array([row[k] for row in held], np.int64) for k in range(4))
+            known = np.zeros((0, 5), np.int64)
+            for i, j, apart in may_link(sizes, [row[4] for row in held], side, root, percent):
+                low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+                found = np.stack([low, high, apart * 1_000_000 // (sizes[i] + sizes[j]), docs[i], docs[j]], axis=1)
+                if nearest:
+                    known = np.concatenate([known, found])
+                    known = known[np.lexsort(known.T[::-1])]
+                    known = known[np.r_[True, (known[1:, :2] != known[:-1, :2]).any(axis=1)]] if len(known) else known
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 3]), pa.array(found[:, 4])], schema=_PAIR)
+            yield pa.RecordBatch.from_arrays([pa.array(known[:, 3].copy()), pa.array(known[:, 4].copy())], schema=_PAIR)
+
+    chosen = small_batches(met).select("part", "doc", "side", "root", "n", "bits")
+    found = chosen.repartition("part").sortWithinPartitions("part", "doc").mapInArrow(run, "a bigint, b bigint")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
+def _probed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that link: the grams of one set are looked up in the other by binary search."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc, side, root, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != part:
-                    yield from links()
-                    part, held = key, []
-                held.append((doc, side, root, np.frombuffer(grams, np.uint64)))
-        yield from links()
+            keep = []
+            for g, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64)
+                x, y = (x, y) if len(x) <= len(y) else (y, x)
+                same = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                keep.append(100 * same >= percent * (len(x) + len(y) - same))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=_PAIR).filter(pa.array(keep, pa.bool_()))
 
-    return small_batches(met).repartition("part").sortWithinPartitions("part", "doc").select("part", "doc", "side", "root", "grams").mapInArrow(run, "a bigint, b bigint")
+    left = sets.select(F.col("doc").alias("a"), F.col("grams").alias("grams_a"))
+    right = sets.select(F.col("doc").alias("b"), F.col("grams").alias("grams_b"))
+    return small_batches(pairs).join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _between_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows ``(part, doc, side, root)`` of lists of several blocks and several components: every two blocks that may hold a link.
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows ``(part, doc, side, root)`` of the lists that hold several components: every two blocks of a list that may hold a link.
 
-    Blocks hold members of one component, or whole small components; two blocks of the same component are not compared.
+    A block holds members of one large component, or whole small components; two blocks of the same component are not compared.
     """
-    rooted = members.where("blocks > 1").join(roots, members["doc"] == roots["node"], "left").select("list", "doc", "n", F.coalesce("root", "doc").alias("root"))
-    mixed = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("n").alias("total")).where("low < high")
-    each = rooted.groupBy("list", "root").agg(F.sum("n").alias("of_root"))
-    big = F.col("of_root") * 8 > BLOCK_BYTES
-    cut = rooted.join(each, ["list", "root"]).join(mixed.select("list", "total"), "list")
-    spread = lambda by, total: F.pmod(F.xxhash64(by), F.ceil(total * 8 / BLOCK_BYTES))
-    cut = materialise(cut.select("list", "doc", "root", F.when(big, F.col("root")).alias("only"), F.when(big, spread("doc", F.col("of_root"))).otherwise(spread("root", F.col("total"))).alias("number")), "blocks")
-    blocks = cut.groupBy("list", "only", "number").agg(F.count("*").alias("held")).withColumn("block", F.xxhash64("list", "only", "number"))
-    other = blocks.select("list", F.col("only").alias("only2"), F.col("block").alias("block2"))
-    pairs = blocks.join(other, "list").where((F.col("block") < F.col("block2")) & ~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)) | (F.col("block") == F.col("block2")) & F.col("only").isNull())
+    rooted = members.join(roots, members["doc"] == roots["node"], "left").select("list", "doc", F.coalesce("root", "doc").alias("root"))
+    each = rooted.groupBy("list", "root").agg(F.count("*").alias("of_root"))
+    mixed = each.groupBy("list").agg(F.count("*").alias("roots"), F.sum("of_root").alias("total")).where("roots > 1").select("list", "total")
+    big = F.col("of_root") > BLOCK_ROWS
+    spread = lambda by, total: F.pmod(F.xxhash64(by), F.ceil(F.col(total) / BLOCK_ROWS))
+    sized = each.join(mixed, "list")
+    cut = rooted.join(sized, ["list", "root"]).select("list", "doc", "root", F.when(big, F.col("root")).alias("only"), F.when(big, spread("doc", "of_root")).otherwise(spread("root", "total")).alias("number"))
+    cut = materialise(cut.withColumn("block", F.xxhash64("list", "only", "number")), "blocks")
+    blocks = cut.select("list", "only", "block").distinct()
+    pairs = blocks.join(blocks.select("list", F.col("only").alias("only2"), F.col("block").alias("block2")), "list").where((F.col("block") < F.col("block2")) & ~F.coalesce(F.col("only") == F.col("only2"), F.lit(False)) | (F.col("block") == F.col("block2")) & F.col("only").isNull())
     pairs = pairs.select("list", "block", "block2", F.xxhash64("list", "block", "block2").alias("part"))
     sides = pairs.select("list", "block", "part", F.when(F.col("block") == F.col("block2"), 0).otherwise(1).alias("side")).union(pairs.where("block < block2").select("list", "block2", "part", F.lit(2)))
-    return cut.withColumn("block", F.xxhash64("list", "only", "number")).join(sides, ["list", "block"]).select("part", "doc", "side", "root")
+    return cut.join(sides, ["list", "block"]).select("part", "doc", "side", "root")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -286,21 +370,26 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hashed = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     lists = listed.groupBy("gram").agg(F.count("*").alias("held"), F.sum("n").alias("total"), *hashed).where("held > 1")
     lists = lists.groupBy("held", "total", "x1", "x2").agg(F.min("gram").alias("gram"))
-    blocks = F.ceil(F.col("total") * 8 / BLOCK_BYTES)
-    members = materialise(listed.join(lists.select("gram", blocks.alias("blocks")), "gram").select(F.col("gram").alias("list"), "doc", "n", "blocks"), "members")
+    members = materialise(listed.join(lists.select("gram", "held"), "gram").select(F.col("gram").alias("list"), "doc", "n", "held"), "members")
 
     def packed(docs: pa.Array, sets: list[np.ndarray]) -> dict:
-        return {"doc": docs, "grams": [s.tobytes() for s in sets]}
+        return {"doc": docs, "n": [len(s) for s in sets], "grams": [s.tobytes() for s in sets], "bits": [bitmap(s) for s in sets]}
 
     wanted = texts.join(members.select("doc").distinct(), "doc", "left_semi")
-    sets = materialise(_per_text(wanted, packed, pa.schema([("doc", pa.int64()), ("grams", pa.binary())]), "doc bigint, grams binary"), "sets")
-    alone = members.select(F.xxhash64("list", F.pmod(F.xxhash64("doc"), F.col("blocks"))).alias("part"), "doc", F.lit(0).alias("side"), F.col("doc").alias("root"))
-    links = materialise(_links(alone.join(sets, "doc"), percent).distinct(), "links")
-    versions = placed.join(nodes.where("versions").select("doc"), "doc", "left_semi").select(F.col("doc").alias("a"), F.col("least").alias("b"))
-    links = links.union(versions)
-    if not members.where("blocks > 1").isEmpty():
-        more = _links(_between_blocks(members, components(links)).join(sets, "doc"), percent)
-        links = links.union(materialise(more.distinct(), "links"))
+    sets = _per_text(wanted, packed, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("bits", pa.binary())]), "doc bigint, n bigint, grams binary, bits binary")
+    sets = materialise(sets, "sets")
+    home = members.groupBy("doc").agg(F.max(F.struct("held", "list"))["list"].alias("list"), F.max("n").alias("n"))
+    blocks = home.groupBy("list").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).alias("blocks"), F.count("*").alias("met")).where("met > 1")
+    alone = home.join(blocks, "list").select(F.xxhash64("list", F.pmod(F.xxhash64("doc"), F.col("blocks"))).alias("part"), "doc")
+    links = materialise(_links(alone.join(sets.select("doc", "grams"), "doc"), percent).distinct(), "links")
+    # Rows of one id are one document.
+    links = links.union(placed.join(nodes.where("versions").select("doc"), "doc", "left_semi").select(F.col("doc").alias("a"), F.col("least").alias("b")))
+    tested = None
+    for nearest in (True, False):
+        met = _mixed(members.select("list", "doc"), components(links)).join(sets.select("doc", "n", "bits"), "doc")
+        pairs = _candidates(met, percent, nearest)
+        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        links, tested = links.union(materialise(_probed(pairs, sets.select("doc", "grams"), percent), "links")), pairs
     roots = materialise(components(links), "roots")
     groups = materialise(classes.join(roots, classes["least"] == roots["node"], "left").select("key", "n", F.coalesce("root", "least").alias("component_id")), "groups")
     found = rows.where("n > 0").join(groups, ["key", "n"]).select("doc", "n", "component_id")

@@ -64,10 +64,10 @@ def _near_rows(rng, groups=12, size=9):
     return [*out, out[0], (None, out[5][1]), (None, "no id here at all"), (out[7][0], out[11][1]), (out[8][0], "quite another text of the same id"), (9_000, "one two"), (9_001, None)]
 
 
-@pytest.mark.parametrize("block_bytes,tell,docs", [(8 << 20, 8, 200), (3000, 2, 10**9), (1500, 2, 10**9)])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_jaccard_components_by_brute_force(spark, monkeypatch, block_bytes, tell, docs, seed):
+@pytest.mark.parametrize("block_bytes,block_rows,tell,docs,seed", [(8 << 20, 4096, 8, 200, 1), (3000, 3, 2, 10**9, 2), (1500, 2, 2, 10**9, 1)])
+def test_jaccard_components_by_brute_force(spark, monkeypatch, block_bytes, block_rows, tell, docs, seed):
     monkeypatch.setattr(nj, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(nj, "BLOCK_ROWS", block_rows)
     monkeypatch.setattr(nj, "TELL", tell)
     monkeypatch.setattr(nj, "COMMON_DOCS", docs)
     rows = _near_rows(random.Random(seed))
@@ -84,24 +84,42 @@ def test_jaccard_components_of_a_table(spark):
     assert nj.jaccard_components(df.limit(0)).collect() == []
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_block_links_by_brute_force(split):
+def _joined(n, links):
+    root = list(range(n))
+    for _ in range(n):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    return root
+
+
+def _sets(rng, n, size):
+    base = rng.integers(0, 1 << 62, size, dtype=np.uint64)
+    return [np.unique(np.concatenate([rng.choice(base, rng.integers(3 * size // 4, size), replace=False), rng.integers(0, 1 << 62, rng.integers(0, size // 6), dtype=np.uint64)])) for _ in range(n)]
+
+
+def _true(members):
+    return [(i, j) for j in range(len(members)) for i in range(j) if 100 * len(np.intersect1d(members[i], members[j])) >= 85 * len(np.union1d(members[i], members[j]))]
+
+
+def test_block_links_by_brute_force():
     rng = np.random.default_rng(7)
     for _ in range(30):
-        base = rng.integers(0, 1 << 62, 60, dtype=np.uint64)
-        members = [np.unique(np.concatenate([rng.choice(base, rng.integers(45, 60), replace=False), rng.integers(0, 1 << 62, rng.integers(0, 9), dtype=np.uint64)])) for _ in range(25)]
-        side = rng.integers(1, 3, 25) if split else np.zeros(25, int)
-        true = [(i, j) for j in range(25) for i in range(j) if (not split or side[i] != side[j]) and 100 * len(np.intersect1d(members[i], members[j])) >= 85 * len(np.union1d(members[i], members[j]))]
-        found = list(nj._block_links(members, side, np.arange(25), 85))
-        assert set(found) <= set(true)
-        for links in (found, true):
-            root = list(range(25))
-            for _ in range(25):
-                for i, j in links:
-                    root[i] = root[j] = min(root[i], root[j])
-            if links is found:
-                first = root
-        assert first == root
+        members = _sets(rng, 25, 60)
+        true, found = _true(members), list(nj._block_links(members, 85))
+        assert set(found) <= set(true) and _joined(25, found) == _joined(25, true)
+
+
+@pytest.mark.parametrize("words", [1 << 22, 64])
+def test_bitmaps_pass_over_no_link(monkeypatch, words):
+    monkeypatch.setattr(nj, "COMPARE_WORDS", words)
+    rng = np.random.default_rng(3)
+    for size in (20, 60, 130, 600):
+        members = _sets(rng, 20, size) + _sets(rng, 5, 2 * size)
+        side, root = rng.integers(1, 3, 25), rng.integers(0, 12, 25)
+        for sides in (side, np.zeros(25, int)):
+            found = {(min(i, j), max(i, j)) for a, b, _ in nj.may_link(np.array([len(m) for m in members]), [nj.bitmap(m) for m in members], sides, root, 85) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+            able = {(i, j) for i, j in _true(members) if root[i] != root[j] and (sides is not side or side[i] != side[j])}
+            assert able <= found and all(root[i] != root[j] and (sides is not side or side[i] != side[j]) for i, j in found)
 
 
 def test_common_grams_are_last_but_not_lost(spark, monkeypatch):
