@@ -162,12 +162,6 @@ def compare_sets(spark, args):
     compare.report(m, decision).write.mode("overwrite").text(args.output)
 
 
-def _nodes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    nodes = df.select("tool_id", "name", "category", F.coalesce("returns.type", F.lit("any")).alias("output_type"), F.size("parameters").alias("n_inputs"))
-    params = df.select("tool_id", F.explode("parameters").alias("p")).select("tool_id", F.col("p.name").alias("param"), F.col("p.type").alias("param_type"))
-    return nodes, params
-
-
 def tool_parse(spark, args):
     with open(args.input, encoding="utf-8") as f:
         found = tool_parsers.frame(spark, tool_parsers.load(f.read(), args.kind))
@@ -177,16 +171,15 @@ def tool_parse(spark, args):
 
 def tool_deps(spark, args):
     df = readers.tools(spark, args.input)
-    nodes, params = _nodes(df)
-    edge = graph.edges(nodes, params)
-    graph.statistics(nodes, edge).show()
+    nodes, params = graph.from_tools(df, "idx")
+    graph.type_statistics(nodes, params).show()
     if args.chains:
-        graph.chains(edge, graph.entry_points(nodes).orderBy("tool_id").limit(5), 2, args.max_length).show(50, truncate=False)
+        graph.first_chains(nodes, params, least=2, most=args.max_length, entries=args.entries, each=args.per_entry).orderBy("entry", "number").show(args.entries * args.per_entry, truncate=False)
     if args.validate:
         chain = spark.createDataFrame([("chain", graph.parse_chain(args.validate))], "chain_id string, chain array<string>")
-        graph.chain_issues(chain, nodes, edge).show(truncate=False)
+        graph.type_chain_issues(chain, nodes, params).show(truncate=False)
     if args.output:
-        sinks.graph_files(nodes, edge, args.output)
+        sinks.graph_files(nodes, graph.edges(nodes, params), args.output)
 
 
 def tool_generate(spark, args):
@@ -202,8 +195,8 @@ def tool_generate_from_topic(spark, args):
 
 def tool_generate_chain(spark, args):
     df = readers.tools(spark, args.input)
-    nodes, params = _nodes(df)
-    found = graph.chains(graph.edges(nodes, params), graph.entry_points(nodes), args.min_steps, args.max_steps)
+    nodes, params = graph.from_tools(df, "idx")
+    found = graph.first_chains(nodes, params, least=args.min_steps, most=args.max_steps, entries=args.n, each=args.n)
     named = found.withColumn("chain_text", F.array_join("chain", " -> ")).orderBy("chain_text").limit(args.n)
     asked = models.ask(named, models.fill("Write a request that needs these tools in order as a JSON list of one object with question.\n{chain}", chain=F.col("chain_text")), temperature=0.7, **_model(args))
     sinks.records(asked.withColumn("difficulty", F.when(F.size("chain") >= 3, "complex").otherwise("medium")), args.output)
@@ -308,6 +301,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--chains", action="store_true")
             p.add_argument("--validate")
             p.add_argument("--max-length", type=int, default=4)
+            p.add_argument("--entries", type=int, default=5)
+            p.add_argument("--per-entry", type=int, default=10)
         if "steps" in groups:
             p.add_argument("--min-steps", type=int, default=2)
             p.add_argument("--max-steps", type=int, default=4)

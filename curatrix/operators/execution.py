@@ -8,14 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_fence
+from ..functions.values import RESULT, STEP, from_text
 from ..sources.templates import TEMPLATES
 from . import models
 from .tools import BUILTINS
 
 MODES = ("simulated", "real", "multi_agent")
-_STEP = "struct<step:int,thought:string,tool:string,args:map<string,string>,actual_result:string,status:string,error_message:string>"
-_RESULT = "struct<success:boolean,output:string,error:string,step_results:array<struct<step:int,success:boolean,output:string,error:string>>>"
 
 
 def known_steps(examples: DataFrame, tools: DataFrame, key: str) -> DataFrame:
@@ -36,7 +34,8 @@ def execute_examples(examples: DataFrame, tools: DataFrame, mode: str = "simulat
     before it; examples run side by side.  A step fails where its tool is not
     known, where the real tool lacks a required argument or raises, and where
     the model cannot be reached.  ``multi_agent`` gives each tool a client of
-    its own, ``simulated`` one client for all.  An example succeeds if it has
+    its own, ``simulated`` one client for all.  Arguments and results keep
+    their types; an answer that is no JSON is a text.  An example succeeds if it has
     steps and all are good.  Examples without steps come back with no result.
     """
     if mode not in MODES:
@@ -50,7 +49,17 @@ def execute_examples(examples: DataFrame, tools: DataFrame, mode: str = "simulat
 
         clients: dict = {}
 
-        def call(step, before: dict) -> str:
+        def typed(answer: str):
+            """What a model's answer holds: JSON, within a fence or not, or else its text."""
+            text = answer.strip()
+            if text.startswith("```"):
+                text = text.partition("\n")[2].rpartition("```")[0].strip()
+            try:
+                return json.loads(text)
+            except ValueError:
+                return text
+
+        def call(step, before: dict):
             tool, args = step["known"], json.loads(step["args"] or "{}")
             if tool is None:
                 raise LookupError(f"Unknown tool: {step['tool']}")
@@ -61,22 +70,23 @@ def execute_examples(examples: DataFrame, tools: DataFrame, mode: str = "simulat
                 for name in tool["required"] if tool["required"] is not None else ():
                     if name not in args:
                         raise ValueError(f"Missing required parameter: {name}")
-                return str(found(**args))
+                return found(**args)
             name = tool["tool_id"] if mode == "multi_agent" else None
             if name not in clients:
                 clients[name] = factory(**options)
             prompt = template
             for place, value in {"tool_name": tool["name"], "tool_description": tool["description"], "return_type": tool["return_type"] or "object", "args_json": json.dumps(args), "context": json.dumps(before) if before else ""}.items():
                 prompt = prompt.replace("{" + place + "}", str(value or ""))
-            return models.ask_with_retries(clients[name], prompt, temperature=0.3)
+            return typed(models.ask_with_retries(clients[name], prompt, temperature=0.3))
 
         def one(steps) -> list[tuple]:
             out, before = [], {}
             for step in steps:
                 try:
-                    result = call(step, before)
+                    # What JSON has no form for becomes text.
+                    result = json.loads(written := json.dumps(call(step, before), default=str))
                     before[f"step_{len(out) + 1}_result"] = before["last_result"] = result
-                    out.append((int(step["position"]), True, result, None))
+                    out.append((int(step["position"]), True, written, None))
                 except Exception as e:  # noqa: BLE001 - a step's failure is its result
                     out.append((int(step["position"]), False, None, str(e)))
             return out
@@ -87,13 +97,14 @@ def execute_examples(examples: DataFrame, tools: DataFrame, mode: str = "simulat
                 yield pd.DataFrame(rows, columns=[key, "position", "good", "output", "error"]).astype({"good": bool})
 
     done = known_steps(examples, tools, key).mapInPandas(run, f"`{key}` {kind}, position int, good boolean, output string, error string")
-    told = F.struct("position", "good", F.when(F.col("good"), strip_fence("output")).alias("output"), "error")
+    told = F.struct("position", "good", F.when(F.col("good"), F.col("output")).alias("output"), "error")
     listed = done.groupBy(key).agg(F.array_sort(F.collect_list(told)).alias("done_steps"))
     joined = examples.drop("execution_result").join(listed, key, "left")
-    path = F.transform("reasoning_path", lambda s, i: F.struct(s["step"].alias("step"), s["thought"].alias("thought"), s["tool"].alias("tool"), s["args"].alias("args"), F.get("done_steps", i)["output"].alias("actual_result"), F.when(F.get("done_steps", i)["good"], "success").otherwise("failure").alias("status"), F.get("done_steps", i)["error"].alias("error_message")).cast(_STEP))
-    results = F.transform("done_steps", lambda d, i: F.struct((i + 1).cast("int").alias("step"), d["good"].alias("success"), d["output"].alias("output"), d["error"].alias("error")))
+    expected = (lambda s: s["expected_result"]) if "expected_result" in examples.schema["reasoning_path"].dataType.elementType.names else (lambda s: F.lit(None))
+    path = F.transform("reasoning_path", lambda s, i: F.struct(s["step"].alias("step"), s["thought"].alias("thought"), s["tool"].alias("tool"), s["args"].alias("args"), expected(s).alias("expected_result"), from_text(F.get("done_steps", i)["output"]).alias("actual_result"), F.when(F.get("done_steps", i)["good"], "success").otherwise("failure").alias("status"), F.get("done_steps", i)["error"].alias("error_message")).cast(STEP))
+    results = F.transform("done_steps", lambda d, i: F.struct((i + 1).cast("int").alias("step"), d["good"].alias("success"), from_text(d["output"]).alias("output"), d["error"].alias("error")))
     whole = F.coalesce(F.forall("done_steps", lambda d: d["good"]), F.lit(False))
     last = F.try_element_at(F.filter("done_steps", lambda d: d["good"]), F.lit(-1))["output"]
     wrong = F.get(F.filter("done_steps", lambda d: ~d["good"]), 0)["error"]
-    result = F.struct(whole.alias("success"), last.alias("output"), wrong.alias("error"), F.coalesce(results, F.array()).alias("step_results")).cast(_RESULT)
+    result = F.struct(whole.alias("success"), from_text(last).alias("output"), wrong.alias("error"), F.coalesce(results, F.array()).alias("step_results")).cast(RESULT)
     return joined.withColumns({"reasoning_path": path, "execution_result": result}).drop("done_steps")

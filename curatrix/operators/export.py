@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import think_wrap
+from ..functions.values import plain, written
 
 #: Fixed value: the system turn that exports use by default.
 SYSTEM_PROMPT = "You are a helpful assistant that provides accurate information."
@@ -16,19 +17,9 @@ def _turn(role: str, text: Column, names: tuple[str, str] = ("role", "content"))
     return F.struct(F.lit(role).alias(names[0]), text.alias(names[1]))
 
 
-def quoted(text: Column) -> Column:
-    """A text as Python writes it: in single quotes unless it has those and no double ones, with line feeds, tabs and backslashes escaped."""
-    body = text
-    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        body = F.replace(body, F.lit(plain), F.lit(written))
-    double = F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"'))
-    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    return F.when(text.isNull(), "None").when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(single)
-
-
 def solution_text(path: str = "reasoning_path", answer: str = "final_answer") -> Column:
     """``Step n: thought``, ``Tool: name(k='v')`` and an empty line for each step, then the answer."""
-    args = lambda s: F.array_join(F.transform(F.map_entries(s["args"]), lambda e: F.concat(e["key"], F.lit("="), quoted(e["value"]))), ", ")
+    args = lambda s: F.array_join(F.transform(F.map_entries(s["args"]), lambda e: F.concat(e["key"], F.lit("="), written(e["value"]))), ", ")
     step = lambda s: F.concat(F.lit("Step "), s["step"], F.lit(": "), s["thought"], F.lit("\nTool: "), s["tool"], F.lit("("), F.coalesce(args(s), F.lit("")), F.lit(")\n"))
     return F.regexp_replace(F.array_join(F.concat(F.transform(path, step), F.array(F.coalesce(F.col(answer), F.lit("")))), "\n"), r"^\s+|\s+$", "")
 
@@ -64,12 +55,12 @@ def example_to_chatml(df: DataFrame) -> DataFrame:
     """User turn, a call and a tool turn for each step, then the answer; no system turn."""
     text = F.lit(None).cast("string")
     turn = lambda role, content, call=text, args=text: F.struct(F.lit(role).alias("role"), content.alias("content"), call.alias("tool_call"), args.alias("tool_args"))
-    steps = F.flatten(F.transform("reasoning_path", lambda s: F.array(turn("assistant", s["thought"], s["tool"], F.to_json(s["args"])), turn("tool", F.coalesce(s["actual_result"], F.lit(""))))))
+    steps = F.flatten(F.transform("reasoning_path", lambda s: F.array(turn("assistant", s["thought"], s["tool"], F.to_json(s["args"])), turn("tool", F.coalesce(plain(s["actual_result"]), F.lit(""))))))
     return df.withColumn("messages", F.concat(F.array(turn("user", F.col("instruction"))), steps, F.array(turn("assistant", F.col("final_answer")))))
 
 
 def example_to_alpaca(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    step = lambda s: F.concat(F.lit("Thought: "), s["thought"], F.lit("\nAction: "), s["tool"], F.lit("("), F.to_json(s["args"]), F.lit(")\nObservation: "), F.coalesce(s["actual_result"], F.lit("")))
+    step = lambda s: F.concat(F.lit("Thought: "), s["thought"], F.lit("\nAction: "), s["tool"], F.lit("("), F.to_json(s["args"]), F.lit(")\nObservation: "), F.coalesce(plain(s["actual_result"]), F.lit("")))
     body = F.array_join(F.concat(F.transform("reasoning_path", step), F.array(F.concat(F.lit("Final Answer: "), F.col("final_answer")))), "\n")
     return df.select(*keep, F.struct(F.col("instruction"), F.lit("").alias("input"), body.alias("output")).alias("record"))
 
@@ -97,7 +88,7 @@ def think_chat(df: DataFrame, prefixes: list[str]) -> DataFrame:
 def call_chat(df: DataFrame) -> DataFrame:
     """Chat rows with numbered calls; steps without arguments are left out."""
     steps = F.filter("reasoning_path", lambda s: F.coalesce(F.size(s["args"]), F.lit(0)) > 0)
-    calls = F.transform(steps, lambda s, i: F.struct(F.concat(F.lit("call_"), i).alias("id"), s["tool"].alias("name"), F.to_json(s["args"]).alias("arguments"), F.coalesce(s["actual_result"], F.lit("Done")).alias("output")))
+    calls = F.transform(steps, lambda s, i: F.struct(F.concat(F.lit("call_"), i).alias("id"), s["tool"].alias("name"), F.to_json(s["args"]).alias("arguments"), F.coalesce(plain(s["actual_result"]), F.lit("Done")).alias("output")))
     return df.where(F.length(F.coalesce("instruction", F.lit(""))) > 0).withColumn("calls", calls).where(F.size("calls") > 0)
 
 

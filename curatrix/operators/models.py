@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, strip_fence
+from ..functions.values import STEP
 
 
 class ModelClient(Protocol):
@@ -345,7 +346,7 @@ def category_leaders(tools: DataFrame) -> DataFrame:
     return first.select("category", "first.tool_id")
 
 
-_PATH = "array<struct<step:int,thought:string,tool:string,args:map<string,string>,actual_result:string,status:string,error_message:string>>"
+_PATH = f"array<{STEP}>"
 
 
 def annotate(instructions: DataFrame, template: str, several: bool = False, **options) -> DataFrame:

@@ -2,7 +2,7 @@
 
 An example is a row with ``instruction``, ``reasoning_path`` (array of structs
 ``step, thought, tool, args, actual_result, status, error_message``; ``args`` a
-map of texts) and ``final_answer``.  A tool is a row with ``tool_id``, ``name``,
+map of JSON values, results JSON values, see ``functions.values``) and ``final_answer``.  A tool is a row with ``tool_id``, ``name``,
 ``description``, ``category`` and ``parameters`` (array of structs ``name,
 type, description, required``).
 """
@@ -10,12 +10,15 @@ type, description, required``).
 from __future__ import annotations
 
 import ast
+import json
 import operator
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import as_json, from_text, plain
+
 #: The types that a parameter may have.
 PARAMETER_TYPES = ["string", "number", "integer", "boolean", "array", "object", "any"]
 DIFFICULTY_MIX = {"simple": 0.3, "medium": 0.5, "complex": 0.2}
@@ -141,7 +144,7 @@ def documentation() -> Column:
 def solution_summary(path: str = "reasoning_path", cut: int = 200) -> Column:
     """A path as lines ``Step n: tool(args) -> result [status] ERROR: message``."""
     args = lambda s: F.coalesce(F.when(F.size(s["args"]) > 0, F.to_json(s["args"])), F.lit("{}"))
-    result = lambda s: F.coalesce(F.when(F.length(s["actual_result"]) > 0, F.concat(F.lit(" -> "), F.substring(F.concat(F.lit('"'), s["actual_result"], F.lit('"')), 1, cut))), F.lit(""))
+    result = lambda s: F.coalesce(F.when(F.length(plain(s["actual_result"])) > 0, F.concat(F.lit(" -> "), F.substring(as_json(s["actual_result"]), 1, cut))), F.lit(""))
     tail = lambda s: F.concat(F.coalesce(F.concat(F.lit(" ["), s["status"], F.lit("]")), F.lit("")), F.coalesce(F.concat(F.lit(" ERROR: "), s["error_message"]), F.lit("")))
     return F.array_join(F.transform(path, lambda s: F.concat(F.lit("Step "), s["step"], F.lit(": "), s["tool"], F.lit("("), args(s), F.lit(")"), result(s), tail(s))), "\n")
 
@@ -191,7 +194,10 @@ def builtin(name: str):
 
 
 def run_steps(examples: DataFrame, key: str = "example_id", path: str = "reasoning_path", implementations: dict | None = None) -> DataFrame:
-    """Execute each step by its registered implementation: ``(example, position, success, output, error)``."""
+    """Execute each step by its registered implementation: ``(example, position, success, output, error)``.
+
+    Arguments and outputs keep their types; what JSON has no form for comes back as text.
+    """
     import pandas as pd
 
     known = {**BUILTINS, **(implementations or {})}
@@ -203,9 +209,10 @@ def run_steps(examples: DataFrame, key: str = "example_id", path: str = "reasoni
                 try:
                     if tool not in known:
                         raise KeyError(f"no implementation of {tool}")
-                    rows.append((k, position, True, str(known[tool](**dict(args or {}))), None))
+                    rows.append((k, position, True, json.dumps(known[tool](**json.loads(args or "{}")), default=str), None))
                 except Exception as e:  # noqa: BLE001 - a step's failure is its result
                     rows.append((k, position, False, None, str(e)))
             yield pd.DataFrame(rows, columns=[key, "position", "success", "output", "error"])
 
-    return step_rows(examples, key, path).select(key, "position", "tool", "args").mapInPandas(run, f"`{key}` {examples.schema[key].dataType.simpleString()}, position int, success boolean, output string, error string")
+    ran = step_rows(examples, key, path).select(key, "position", "tool", F.to_json("args").alias("args")).mapInPandas(run, f"`{key}` {examples.schema[key].dataType.simpleString()}, position int, success boolean, output string, error string")
+    return ran.withColumn("output", from_text(F.col("output")))

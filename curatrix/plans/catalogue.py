@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.values import ARGS, as_json, plain
 from ..operators import compare, coverage, curation, execution, export, filters, graph, models, scoring, tools
 from ..operators.order import numbered
 from ..sources import readers, sinks, tool_parsers
@@ -288,6 +289,97 @@ def sink_report(spark, sf_dir):
     return body.select(F.col("r.metrics")[0]["n"].alias("n"), F.round(F.col("r.metrics")[0]["avg_question_length"], 4).alias("avg_question_length"), "r.decision")
 
 
+# A tool graph over the parts, factored at types.
+
+_PARTS = (
+    f"{_TOOLS}, nodes AS (SELECT idx, tool_id, category, return_type AS output_type, CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS n_inputs FROM tools), "
+    "params AS (SELECT tool_id, idx, 'size' AS param, 'integer' AS param_type FROM tools UNION ALL SELECT tool_id, idx, 'label', 'string' FROM tools WHERE two), "
+    f"lattice AS ({fixtures.LATTICE_SQL}), net AS (SELECT n.tool_id AS src, p.tool_id AS dst, p.idx AS dst_place FROM nodes n JOIN lattice l ON n.output_type = l.out_type JOIN params p ON p.param_type = l.in_type WHERE n.tool_id <> p.tool_id), "
+    "adj AS (SELECT DISTINCT src, dst, dst_place FROM net)"
+)
+
+
+def _part_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return graph.from_tools(_tools(spark, sf_dir), "idx")
+
+
+@_query(f"WITH {_PARTS} SELECT l.out_type, l.in_type, l.score, n.n_sources, p.n_inputs FROM lattice l JOIN (SELECT output_type, count(*) AS n_sources FROM nodes GROUP BY 1) n ON n.output_type = l.out_type JOIN (SELECT param_type, count(*) AS n_inputs FROM params GROUP BY 1) p ON p.param_type = l.in_type")
+def graph_edges(spark, sf_dir):
+    return graph.type_edges(*_part_graph(spark, sf_dir))
+
+
+@_query(f"WITH {_PARTS}, o AS (SELECT src, count(*) AS n FROM adj GROUP BY 1), i AS (SELECT dst, count(*) AS n FROM adj GROUP BY 1) SELECT tool_id, coalesce(o.n, 0) AS out_degree, coalesce(i.n, 0) AS in_degree FROM nodes LEFT JOIN o ON src = tool_id LEFT JOIN i ON dst = tool_id")
+def graph_degrees(spark, sf_dir):
+    return graph.type_degrees(*_part_graph(spark, sf_dir))
+
+
+@_query(f"""WITH {_PARTS}, o AS (SELECT src, count(*) AS n FROM adj GROUP BY 1), i AS (SELECT dst, count(*) AS n FROM adj GROUP BY 1) SELECT count(*) AS n_nodes, count_if(n_inputs <= 1) AS n_entry_points, count(DISTINCT category) AS n_categories, (SELECT count(*) FROM net) AS n_edges,
+    round(avg(coalesce(o.n, 0)), 6) AS avg_degree, max(coalesce(i.n, 0)) AS max_in_degree, max(coalesce(o.n, 0)) AS max_out_degree FROM nodes LEFT JOIN o ON src = tool_id LEFT JOIN i ON dst = tool_id""")
+def graph_statistics(spark, sf_dir):
+    return graph.type_statistics(*_part_graph(spark, sf_dir)).withColumn("avg_degree", F.round("avg_degree", 6))
+
+
+@_query(f"WITH {_PARTS} SELECT tool_id FROM nodes WHERE n_inputs <= 1")
+def entry_points(spark, sf_dir):
+    return graph.entry_points(_part_graph(spark, sf_dir)[0])
+
+
+_GROWN = "SELECT entry, chain, path FROM (SELECT entry, list_append(chain, dst) AS chain, list_append(path, dst_place) AS path, row_number() OVER (PARTITION BY entry ORDER BY list_append(path, dst_place)) AS k FROM {} JOIN adj ON src = chain[-1] WHERE NOT list_contains(chain, dst)) WHERE k <= 10"
+
+
+@_query(f"""WITH {_PARTS}, s1 AS (SELECT tool_id AS entry, [tool_id] AS chain, CAST([] AS BIGINT[]) AS path FROM nodes WHERE n_inputs <= 1 ORDER BY idx LIMIT 5), s2 AS ({_GROWN.format('s1')}), s3 AS ({_GROWN.format('s2')}), s4 AS ({_GROWN.format('s3')}),
+    told AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY path) AS number FROM (SELECT * FROM s2 UNION ALL SELECT * FROM s3 UNION ALL SELECT * FROM s4))
+    SELECT entry, CAST(number AS INTEGER) AS number, array_to_string(chain, '>') AS chain, CAST(len(chain) AS INTEGER) AS length FROM told WHERE number <= 10""")
+def graph_chains(spark, sf_dir):
+    """The first ten chains of each of the first five entry points."""
+    return graph.first_chains(*_part_graph(spark, sf_dir)).withColumn("chain", F.array_join("chain", ">"))
+
+
+def _near_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.col("p_partkey")
+    return _table(spark, sf_dir, "part").select(F.concat(F.lit("tool_"), at).alias("src"), F.concat(F.lit("tool_"), at + 1).alias("dst"))
+
+
+@_query(f"""WITH {_PARTS}, wanted AS (SELECT a.tool_id AS src, b.tool_id AS dst FROM nodes a JOIN nodes b ON b.idx = a.idx + 1), direct AS (SELECT w.* FROM wanted w SEMI JOIN adj USING (src, dst)), open AS (SELECT w.* FROM wanted w ANTI JOIN adj USING (src, dst)),
+    after AS (SELECT DISTINCT n.output_type, p.tool_id, p.idx FROM nodes n JOIN lattice l ON n.output_type = l.out_type JOIN params p ON p.param_type = l.in_type),
+    met AS (SELECT o.src, o.dst, a.tool_id, row_number() OVER (PARTITION BY o.src, o.dst ORDER BY a.idx) AS k FROM open o JOIN nodes s ON s.tool_id = o.src JOIN (SELECT t.*, m.output_type AS out2 FROM after t JOIN nodes m USING (tool_id)) a ON a.output_type = s.output_type JOIN after b ON b.tool_id = o.dst AND b.output_type = a.out2 WHERE a.tool_id <> o.src AND a.tool_id <> o.dst)
+    SELECT src, dst, '' AS bridge FROM direct UNION ALL SELECT src, dst, tool_id FROM met WHERE k <= 3""")
+def graph_bridges(spark, sf_dir):
+    """What can stand between each part and the next, at most three tools of many."""
+    nodes, params = _part_graph(spark, sf_dir)
+    known = _near_parts(spark, sf_dir).join(nodes.select(F.col("tool_id").alias("dst")), "dst", "left_semi")
+    return graph.first_bridges(known, nodes, params, 3).withColumn("bridge", F.array_join("bridge", ">"))
+
+
+@_query(f"""WITH {_PARTS}, c AS (SELECT idx, [tool_id, 'tool_' || (idx + 1), 'tool_' || (idx + 2)] AS chain FROM nodes), e AS (SELECT idx, unnest(chain) AS tool, generate_subscripts(chain, 1) - 1 AS position, chain FROM c)
+    SELECT 'chain_' || e.idx AS chain_id, CAST(position AS INTEGER) AS position, 'unknown tool ' || tool AS issue FROM e ANTI JOIN nodes n ON n.tool_id = e.tool
+    UNION ALL SELECT 'chain_' || e.idx, CAST(position AS INTEGER), tool || ' does not feed ' || chain[position + 2] FROM e WHERE position < 2 AND NOT EXISTS (FROM adj WHERE src = tool AND dst = chain[position + 2])""")
+def chain_validate(spark, sf_dir):
+    """Chains of three parts in a row, the last ones with tools that do not exist."""
+    nodes, params = _part_graph(spark, sf_dir)
+    name = lambda k: F.concat(F.lit("tool_"), F.col("place") + k)
+    chains = nodes.select(F.concat(F.lit("chain_"), "place").alias("chain_id"), F.split(F.concat(name(0), F.lit(" -> "), name(1), F.lit(" -> "), name(2)), " -> ").alias("chain"))
+    return graph.type_chain_issues(chains, nodes, params)
+
+
+@_query("""WITH j AS (SELECT source, min(doc_id) AS idx, max(n_chars) % 11 AS s, count(*) % 10 AS t FROM documents GROUP BY source) SELECT source AS dataset, CAST(s || '.' || t AS DOUBLE) AS score FROM j WHERE idx % 5 <> 0 ORDER BY score DESC, idx LIMIT 1""")
+def verdict_winner(spark, sf_dir):
+    """A judgement of each source; some hold no verdict."""
+    j = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("dataset")).agg(F.min("doc_id").alias("idx"), (F.max("n_chars") % 11).alias("s"), (F.count("*") % 10).alias("t"))
+    said = F.when(F.col("idx") % 5 == 0, "no verdict").otherwise(F.concat(F.lit("Fine.\nSCORE: "), "s", F.lit("."), "t", F.lit("/10\nmore")))
+    return compare.winner(j.select("idx", "dataset", said.alias("judgment")))
+
+
+@_query("SELECT p_partkey AS idx, CAST((p_size % 3 = 0)::INT + (p_size % 5 = 0)::INT + (p_size % 7 = 0)::INT + 2 * (p_size % 4 = 0)::INT AS INTEGER) AS n_errors FROM part")
+def tool_validation(spark, sf_dir):
+    """Tools without id or description, of a strange type, with a parameter twice."""
+    size = F.col("p_size")
+    given = F.struct(F.lit("a").alias("name"), F.when(size % 7 == 0, "strange").otherwise("string").alias("type"), F.lit("").alias("description"), F.lit(True).alias("required"))
+    twice = F.struct(F.lit("a").alias("name"), F.lit("file").alias("type"), F.lit("").alias("description"), F.lit(False).alias("required"))
+    t = _table(spark, sf_dir, "part").select("p_partkey", F.when(size % 3 != 0, F.col("p_partkey").cast("string")).alias("tool_id"), F.col("p_name").alias("name"), F.when(size % 5 == 0, "").otherwise("d").alias("description"), F.when(size % 4 == 0, F.array(given, twice)).otherwise(F.array(given)).alias("parameters"))
+    return t.select(F.col("p_partkey").alias("idx"), F.size(tools.tool_errors()).alias("n_errors"))
+
+
 # A tool graph over the nations.
 
 _OUT_TYPES = ["string", "integer", "file_handle", "object", "any", "dataset", "number", "path"]
@@ -509,7 +601,7 @@ def run_builtin_steps(spark, sf_dir):
     tool = F.when(k == 0, "calculator").when(k == 1, "reverse_string").when(k == 2, "string_length").otherwise("nowhere")
     args = F.when(k == 0, F.create_map(F.lit("expression"), F.concat(F.col("event_id") % 100, F.lit("+"), F.col("user_id"), F.lit("*3")))).otherwise(F.create_map(F.lit("text"), F.col("event_type")))
     e = _table(spark, sf_dir, "events").select(F.col("event_id").alias("example_id"), F.array(F.struct(tool.alias("tool"), args.alias("args"))).alias("reasoning_path"))
-    return tools.run_steps(e).select("example_id", "success", "output")
+    return tools.run_steps(e).select("example_id", "success", plain(F.col("output")).alias("output"))
 
 
 @_query("SELECT event_id, event_type || '!' AS found FROM events")
@@ -768,7 +860,7 @@ def execute_examples(spark, sf_dir):
     """Each step by a model that acts as its tool; unknown tools fail."""
     listed = _tools(spark, sf_dir).withColumn("description", F.concat(F.lit("ran "), "tool_id"))
     ran = execution.execute_examples(_examples(spark, sf_dir), listed, "multi_agent", "{tool_description}", provider="echo")
-    results = F.array_join(F.transform("reasoning_path", lambda s: F.coalesce(s["actual_result"], F.lit("-"))), ";")
+    results = F.array_join(F.transform("reasoning_path", lambda s: F.coalesce(plain(s["actual_result"]), F.lit("-"))), ";")
     n_good = F.size(F.filter("execution_result.step_results", lambda s: s["success"])).cast("long")
     return ran.select("example_id", F.col("execution_result.success").alias("whole"), n_good.alias("n_good"), F.col("execution_result.error").alias("error"), results.alias("results"))
 
@@ -780,14 +872,37 @@ def execute_real(spark, sf_dir):
     e = _table(spark, sf_dir, "events").select(F.col("event_id").alias("example_id"), F.array(F.struct(F.lit(1).alias("step"), F.lit("t").alias("thought"), F.when(k == 2, "idle").otherwise("calculator").alias("tool"), args.alias("args"))).alias("reasoning_path"))
     listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "calculator", "description": "d", "parameters": [{"name": "expression", "required": True}]}, {"name": "idle", "description": "d"}]))
     ran = execution.execute_examples(e, listed, "real")
-    return ran.select("example_id", "execution_result.success", "execution_result.output", "execution_result.error")
+    return ran.select("example_id", "execution_result.success", plain(F.col("execution_result.output")).alias("output"), "execution_result.error")
+
+
+_TYPED = """'{"a":[' || event_id || ',{"b":null}],"flag":' || (event_id % 2 = 0) || ',"x":' || event_id || '.5,"s":"' || event_type || '"}'"""
+_TYPED_RESULT = """'{"a":[' || event_id || ',{"b":null}],"flag":' || (event_id % 2 = 0) || ',"s":"' || event_type || '","x":' || event_id || '.5}'"""
+_TYPED_CALL = "'echo(a=[' || event_id || ', {''b'': None}], flag=' || CASE WHEN event_id % 2 = 0 THEN 'True' ELSE 'False' END || ', x=' || event_id || '.5, s=''' || event_type || ''')'"
+
+
+@_query(f"""SELECT event_id AS example_id, {_TYPED} AS args, {_TYPED_RESULT} AS result, 'Step 1: t' || chr(10) || 'Tool: ' || {_TYPED_CALL} || chr(10) || chr(10) || 'done' AS solution,
+    '[{{"id":"call_0","name":"echo","arguments":' || CAST(to_json({_TYPED}) AS VARCHAR) || ',"output":' || CAST(to_json({_TYPED_RESULT}) AS VARCHAR) || '}}]' AS calls FROM events""")
+def typed_arguments(spark, sf_dir):
+    """Numbers, lists, nested objects and nulls through file, reader, execution, sink, reader again and exporters."""
+    text = F.concat(F.lit('{"a":['), "event_id", F.lit(',{"b":null}],"flag":'), F.col("event_id") % 2 == 0, F.lit(',"x":'), "event_id", F.lit('.5,"s":"'), "event_type", F.lit('"}'))
+    step = F.struct(F.lit(1).alias("step"), F.lit("t").alias("thought"), F.lit("echo").alias("tool"), F.from_json(text, ARGS).alias("args"))
+    e = _table(spark, sf_dir, "events").select(F.lit("i").alias("instruction"), F.struct(F.array(step).alias("reasoning_path"), F.lit("done").alias("final_answer")).alias("solution"), F.create_map(F.lit("id"), F.col("event_id").cast("string")).alias("metadata"))
+    path = scratch_dir(spark, "typed")
+    sinks.records(e, f"{path}/given")
+    given = readers.example_lines(spark, f"{path}/given")
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "echo", "description": "d"}]))
+    ran = execution.execute_examples(given, listed, "real", implementations={"echo": lambda **values: values})
+    sinks.records(ran.withColumn("solution", F.struct("instruction", "reasoning_path", "final_answer")).select("instruction", "solution", "execution_result", "metadata"), f"{path}/ran")
+    called = export.call_chat(readers.example_lines(spark, f"{path}/ran"))
+    args = F.to_json(F.col("reasoning_path")[0]["args"])
+    return called.select(F.col("metadata")["id"].cast("long").alias("example_id"), args.alias("args"), as_json(F.col("execution_result.output")).alias("result"), export.solution_text().alias("solution"), F.to_json("calls").alias("calls"))
 
 
-@_query(f"""WITH {_TOOLS}, asked AS (SELECT name, left(name || ': ' || description, 40) AS tail FROM tools WHERE idx < 200)
+@_query(f"""WITH {_TOOLS}, asked AS (SELECT name, left(name || ': ' || description, 40) AS tail FROM tools)
     SELECT 'What is said about ' || tail || '?' AS instruction, 'Step 1: Use ' || name || '.' || chr(10) || 'Tool: ' || name || '(request=''as asked'')' || chr(10) || chr(10) || name || ' answered.' AS output FROM asked""")
 def tool_pipeline_records(spark, sf_dir):
-    """Two hundred tools through generation, simulated execution, curation and export."""
-    made = pipelines.tool_pipeline(_tools(spark, sf_dir).where("idx < 200"), 1, 0.0, kind="alpaca", work=scratch_dir(spark, "tool-pipeline"))
+    """All tools through generation, simulated execution, curation and export."""
+    made = pipelines.tool_pipeline(_tools(spark, sf_dir), 1, 0.0, kind="alpaca", work=scratch_dir(spark, "tool-pipeline"))
     return made.select("record.instruction", "record.output")
 
 

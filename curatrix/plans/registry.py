@@ -250,12 +250,6 @@ def rating_counts(spark, sf_dir):
     return compare.rating_counts(_datasets(spark, sf_dir))
 
 
-@_query("SELECT 'even' AS dataset, 8.5 AS score")
-def verdict_winner(spark, sf_dir):
-    rows = spark.createDataFrame([(0, "odd", "Fine.\nSCORE: 7/10\nmore"), (1, "even", "SCORE: 8.5/10"), (2, "late", "SCORE: 8.5/10"), (3, "none", "no verdict")], "idx int, dataset string, judgment string")
-    return compare.winner(rows)
-
-
 @_query("""WITH d AS (SELECT doc_id AS idx, CASE WHEN n_chars < 1000 THEN 'simple' WHEN n_chars < 4000 THEN 'medium' ELSE 'complex' END AS difficulty, CAST(n_chars % 10 AS DOUBLE) AS rating FROM documents),
     r AS (SELECT *, row_number() OVER (PARTITION BY difficulty ORDER BY rating DESC, idx) AS k, count(*) OVER () AS total FROM d)
     SELECT idx, difficulty FROM r WHERE k <= floor(total * CASE difficulty WHEN 'simple' THEN 0.3 WHEN 'medium' THEN 0.5 ELSE 0.2 END)""")
@@ -320,62 +314,6 @@ def outcome_summary(spark, sf_dir):
     return s.select("status", "n", F.round("percent", 6).alias("percent"), F.round("avg_score", 6).alias("avg_score"))
 
 
-def _graph(spark):
-    nodes, params = fixtures.nodes(spark), fixtures.params(spark)
-    return nodes, graph.edges(nodes, params)
-
-
-@_query(fixtures.EDGES_SQL)
-def graph_edges(spark, sf_dir):
-    return _graph(spark)[1]
-
-
-_ADJ = f"adj AS (SELECT DISTINCT src, dst FROM ({fixtures.EDGES_SQL}))"
-
-
-@_query(f"WITH {_ADJ} SELECT tool_id, (SELECT count(*) FROM adj WHERE src = tool_id) AS out_degree, (SELECT count(*) FROM adj WHERE dst = tool_id) AS in_degree FROM ({fixtures.NODES_SQL})")
-def graph_degrees(spark, sf_dir):
-    return graph.degrees(*_graph(spark))
-
-
-@_query(f"WITH {_ADJ}, d AS (SELECT tool_id, n_inputs, category, (SELECT count(*) FROM adj WHERE src = tool_id) AS o, (SELECT count(*) FROM adj WHERE dst = tool_id) AS i FROM ({fixtures.NODES_SQL})) SELECT count(*) AS n_nodes, count_if(n_inputs <= 1) AS n_entry_points, count(DISTINCT category) AS n_categories, (SELECT count(*) FROM ({fixtures.EDGES_SQL})) AS n_edges, avg(o) AS avg_degree, max(i) AS max_in_degree, max(o) AS max_out_degree FROM d")
-def graph_statistics(spark, sf_dir):
-    return graph.statistics(*_graph(spark))
-
-
-@_query(f"SELECT tool_id FROM ({fixtures.NODES_SQL}) WHERE n_inputs <= 1")
-def entry_points(spark, sf_dir):
-    return graph.entry_points(fixtures.nodes(spark))
-
-
-@_query(f"WITH RECURSIVE {_ADJ}, walk AS (SELECT [tool_id] AS chain, tool_id AS last FROM ({fixtures.NODES_SQL}) WHERE tool_id = 'open_file' UNION ALL SELECT list_append(chain, dst), dst FROM walk JOIN adj ON last = src WHERE NOT list_contains(chain, dst) AND len(chain) < 4) SELECT array_to_string(chain, '>') AS chain, CAST(len(chain) AS INTEGER) AS length FROM walk WHERE len(chain) >= 2")
-def graph_chains(spark, sf_dir):
-    nodes, edge = _graph(spark)
-    found = graph.chains(edge, nodes.where("tool_id = 'open_file'").select("tool_id"))
-    return found.select(F.array_join("chain", ">").alias("chain"), "length")
-
-
-_WANTED = [("process_data", "close_file"), ("open_file", "process_data"), ("read_data", "open_file"), ("close_file", "open_file")]
-_WANTED_SQL = f"wanted AS (SELECT * FROM (VALUES {fixtures._values(_WANTED)}) AS t(src, dst))"
-
-
-@_query(f"""WITH {_ADJ}, {_WANTED_SQL}, direct AS (SELECT w.src, w.dst, '' AS bridge FROM wanted w JOIN adj USING (src, dst)), open AS (SELECT * FROM wanted ANTI JOIN adj USING (src, dst)),
-    one AS (SELECT w.src, w.dst, a.dst AS bridge FROM open w JOIN adj a ON a.src = w.src JOIN adj b ON b.src = a.dst AND b.dst = w.dst),
-    two AS (SELECT w.src, w.dst, a.dst || '>' || b.dst AS bridge FROM open w JOIN adj a ON a.src = w.src JOIN adj b ON b.src = a.dst AND b.dst <> w.src JOIN adj c ON c.src = b.dst AND c.dst = w.dst WHERE (w.src, w.dst) NOT IN (SELECT (src, dst) FROM one))
-    SELECT * FROM direct UNION ALL SELECT * FROM one UNION ALL SELECT * FROM two""")
-def graph_bridges(spark, sf_dir):
-    _, edge = _graph(spark)
-    found = graph.bridges(edge, spark.createDataFrame(_WANTED, "src string, dst string"))
-    return found.select("src", "dst", F.array_join("bridge", ">").alias("bridge"))
-
-
-@_query("SELECT * FROM (VALUES ('bad', 1, 'unknown tool nowhere'), ('bad', 0, 'open_file does not feed nowhere'), ('bad', 1, 'nowhere does not feed close_file'), ('loose', 0, 'close_file does not feed open_file')) AS t(chain_id, position, issue)")
-def chain_validate(spark, sf_dir):
-    nodes, edge = _graph(spark)
-    rows = [("good", graph.parse_chain("open_file -> read_data → save_result")), ("bad", graph.parse_chain("open_file,nowhere,close_file")), ("loose", ["close_file", "open_file"])]
-    return graph.chain_issues(spark.createDataFrame(rows, "chain_id string, chain array<string>"), nodes, edge)
-
-
 @_query("SELECT doc_id AS idx, 'a' AS part FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT * FROM (SELECT doc_id, 'b' FROM documents WHERE doc_id % 2 = 1 ORDER BY doc_id LIMIT 100)")
 def union_mix(spark, sf_dir):
     c = _chunks(spark, sf_dir).select("idx")
@@ -476,14 +414,6 @@ def result_summary(spark, sf_dir):
     return summary(_chunks(spark, sf_dir)).select("total_pairs", F.array_join("sources", ",").alias("sources"))
 
 
-@_query("SELECT * FROM (VALUES ('good_tool', 0), ('', 3), ('twice', 2)) AS t(tool_id, n_errors)")
-def tool_validation(spark, sf_dir):
-    p = "array<struct<name:string,type:string,description:string,required:boolean>>"
-    rows = [("good_tool", "good", "d", [("a", "string", "", True)]), ("", "x", "", [("a", "strange", "", True)]), ("twice", "t", "d", [("a", "string", "", True), ("a", "file", "", False)])]
-    t = spark.createDataFrame(rows, f"tool_id string, name string, description string, parameters {p}")
-    return t.select("tool_id", F.size(tools.tool_errors()).alias("n_errors"))
-
-
 @_query("SELECT coalesce(lang, 'other') AS category, count(*) AS n FROM documents GROUP BY 1")
 def category_counts(spark, sf_dir):
     return tools.category_counts(_chunks(spark, sf_dir).withColumn("category", F.col("lang")))

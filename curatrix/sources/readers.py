@@ -7,6 +7,8 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.values import STEP
+
 
 def chunks(spark: SparkSession, path: str) -> DataFrame:
     """A chunk table in Parquet; ``text`` stands in for a missing ``content``."""
@@ -78,8 +80,9 @@ TOOL_SCHEMA = (
     "category string, complexity string, documentation_url string, examples array<string>"
 )
 EXAMPLE_SCHEMA = (
-    "instruction string, solution struct<instruction:string,reasoning_path:array<struct<step:int,thought:string,tool:string,args:map<string,string>,expected_result:string,actual_result:string,status:string,error_message:string>>,"
-    "final_answer:string>, execution_result struct<success:boolean,output:string,error:string,execution_time_ms:double>, rating double, rating_breakdown map<string,double>, metadata map<string,string>"
+    f"instruction string, solution struct<instruction:string,reasoning_path:array<{STEP}>,final_answer:string>, "
+    "execution_result struct<success:boolean,output:variant,error:string,execution_time_ms:double,step_results:array<struct<step:int,success:boolean,output:variant,error:string>>>, "
+    "rating double, rating_breakdown map<string,double>, metadata map<string,string>"
 )
 
 
@@ -88,8 +91,17 @@ def tools(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("tool_id", F.coalesce("tool_id", F.replace(F.lower("name"), F.lit(" "), F.lit("_"))))
 
 
+def example_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Examples as JSON lines, keyed by a hash of the row; their files are split, unlike those of whole arrays."""
+    df = json_lines(spark, path, EXAMPLE_SCHEMA)
+    return _solved(df.withColumn("idx", F.xxhash64(F.to_json(F.struct(*df.columns)))))
+
+
 def examples(spark: SparkSession, path: str) -> DataFrame:
-    df = wrapped_array(spark, path, "examples", EXAMPLE_SCHEMA)
+    return _solved(wrapped_array(spark, path, "examples", EXAMPLE_SCHEMA))
+
+
+def _solved(df: DataFrame) -> DataFrame:
     return df.withColumns({"example_id": F.col("idx"), "reasoning_path": F.col("solution.reasoning_path"), "final_answer": F.col("solution.final_answer")})
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
+from curatrix.functions import values
 from curatrix.operators import compare, coverage, curation, export, filters, graph, models, scoring, tools
 from curatrix.plans import fixtures, pipelines
 from curatrix.sources import config, readers, sinks, tool_parsers
@@ -186,7 +187,7 @@ def test_exports(spark, pairs):
     assert len(export.example_to_chatml(ex).first().messages) == 4
     assert export.example_to_alpaca(ex).count() == export.example_to_sharegpt(ex).count() == export.call_chat(ex).count() == 1
     done = tools.run_steps(ex).first()
-    assert (done.success, done.output) == (True, "4")
+    assert done.success and done.output.toPython() == 4
     assert ex.select(filters.format_errors()).first()[0] == []
     assert "calculator" in ex.select(tools.solution_summary()).first()[0]
 
@@ -331,7 +332,7 @@ def test_first_of_each_with_null_and_repeated_orders(spark):
 @pytest.mark.parametrize("text, written", [("a", "'a'"), ("it's", '"it\'s"'), ("it's \"x\"", "'it\\'s \"x\"'"), ("a\nb\\", "'a\\nb\\\\'"), (None, "None")])
 def test_arguments_are_written_as_python_does(spark, text, written):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(export.quoted(F.col("t"))).first()[0] == written == repr(text)
+    assert df.select(values.quoted(F.col("t")), values.written(F.col("t"))).first()[:] == (written, written) == (repr(text), repr(text))
 
 
 def test_large_powers_are_refused():
@@ -417,11 +418,11 @@ def test_execution_modes(spark):
     rows = [(1, "a", [step(1, "adder", x="1"), step(2, "echoer")]), (2, "b", [step(1, "adder")]), (3, "c", [step(1, "nothing"), step(2, "adder", x="2")]), (4, "d", []), (5, "e", None)]
     df = spark.createDataFrame(rows, "example_id int, instruction string, reasoning_path array<struct<step:int,thought:string,tool:string,args:map<string,string>>>")
     real = {r.example_id: r for r in execution.execute_examples(df, listed, "real", implementations={"adder": lambda x: int(x) + 1}).collect()}
-    assert [s.status for s in real[1].reasoning_path] == ["success", "failure"] and real[1].reasoning_path[0].actual_result == "2" and not real[1].execution_result.success
+    assert [s.status for s in real[1].reasoning_path] == ["success", "failure"] and real[1].reasoning_path[0].actual_result.toPython() == 2 and not real[1].execution_result.success
     assert real[2].execution_result.error == "Missing required parameter: x" and real[3].execution_result.error == "Unknown tool: nothing"
-    assert real[3].reasoning_path[1].actual_result == "3" and not real[4].execution_result.success and not real[5].execution_result.success
+    assert real[3].reasoning_path[1].actual_result.toPython() == 3 and not real[4].execution_result.success and not real[5].execution_result.success
     told = {r.example_id: r for r in execution.execute_examples(df, listed, "simulated", "{tool_name} {args_json} {context}", provider="echo").collect()}
-    assert told[1].execution_result.success and told[1].reasoning_path[0].actual_result == 'adder {"x": "1"}' and "last_result" in told[1].reasoning_path[1].actual_result
+    assert told[1].execution_result.success and told[1].reasoning_path[0].actual_result.toPython() == 'adder {"x": "1"}' and "last_result" in told[1].reasoning_path[1].actual_result.toPython()
     with pytest.raises(ValueError):
         execution.execute_examples(df, listed, "other")
     assert execution.execute_examples(df.limit(0), listed, "simulated", provider="echo").count() == 0
@@ -462,3 +463,77 @@ def test_commands_end_to_end(spark, tmp_path, monkeypatch):
     assert spark.read.json(out("lines")).count() == 3
     cli.main(["curate", out("a.json"), "--output", out("curated"), "--threshold", "0"])
     assert spark.read.parquet(out("curated/all_rated")).count() == 4
+
+
+@pytest.mark.parametrize("value", [1, 2.5, True, None, "a", "it's", [1, {"b": None}], {"z": [True, False, []], "a": {"k": "x\ny \"q\" \\"}}, "[1]", -3, 10**20, []])
+def test_values_keep_their_types(spark, value):
+    from curatrix.operators import execution
+
+    order = lambda v: {k: order(v[k]) for k in sorted(v)} if isinstance(v, dict) else [order(x) for x in v] if isinstance(v, list) else v
+    df = spark.createDataFrame([(json.dumps({"v": value}),)], "t string").select(F.from_json("t", values.ARGS)["v"].alias("v"))
+    row = df.select(values.written(F.col("v")), values.as_json(F.col("v"))).first()
+    assert row[0] == repr(order(value)) and json.loads(row[1] or "null") == value
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "echo", "description": "d"}]))
+    step = F.struct(F.lit(1).alias("step"), F.lit("t").alias("thought"), F.lit("echo").alias("tool"), F.create_map(F.lit("v"), "v").alias("args"))
+    ran = execution.execute_examples(df.select(F.lit(1).alias("example_id"), F.array(step).alias("reasoning_path")), listed, "real", implementations={"echo": lambda v: [v]})
+    assert json.loads(ran.select(values.as_json(F.col("execution_result.output"))).first()[0]) == [value]
+    told = execution.execute_examples(df.select(F.lit(1).alias("example_id"), F.array(step).alias("reasoning_path")), listed, "simulated", "```json\n{args_json}\n```", provider="echo")
+    assert json.loads(told.select(values.as_json(F.col("reasoning_path")[0]["actual_result"])).first()[0]) == {"v": value}
+
+
+def _random_tools(rng, n):
+    types = ["string", "integer", "number", "object", "any", "path", "Odd", "dataset"]
+    nodes = [(f"t{k:03d}", f"c{k % 3}", rng.choice(types), k) for k in range(n)]
+    params = [(t, f"p{i}", rng.choice(types)) for t, *_ in nodes for i in range(rng.randrange(0, 3))]
+    counts = {t: sum(p[0] == t for p in params) for t, *_ in nodes}
+    return [(t, t, c, o, counts[t], k) for t, c, o, k in nodes], params
+
+
+def test_factored_graph_equals_the_edges(spark):
+    import random
+
+    rng = random.Random(6)
+    rows, wants = _random_tools(rng, 40)
+    nodes = spark.createDataFrame(rows, "tool_id string, name string, category string, output_type string, n_inputs int, place int")
+    params = spark.createDataFrame(wants, "tool_id string, param string, param_type string")
+    edge = graph.edges(nodes, params)
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert same(graph.type_degrees(nodes, params), graph.degrees(nodes, edge).select("tool_id", "out_degree", "in_degree"))
+    assert graph.type_statistics(nodes, params).first().asDict() == graph.statistics(nodes, edge).first().asDict()
+    chains = spark.createDataFrame([(f"c{k}", rng.choices([r[0] for r in rows] + ["none"], k=rng.randrange(1, 5))) for k in range(30)], "chain_id string, chain array<string>")
+    assert same(graph.type_chain_issues(chains, nodes, params), graph.chain_issues(chains, nodes, edge))
+    place = {r[0]: r[5] for r in rows}
+    after: dict = {}
+    for src, dst in edge.select("src", "dst").distinct().collect():
+        after.setdefault(src, set()).add(dst)
+
+    def search(chain, most):
+        for dst in sorted(after.get(chain[-1], ()), key=place.get) if len(chain) < most else ():
+            if dst not in chain:
+                yield [*chain, dst]
+                yield from search([*chain, dst], most)
+
+    for least, most, entries, each in ((2, 4, 5, 10), (3, 4, 3, 25), (2, 3, 50, 1)):
+        first = [r[0] for r in rows if r[4] <= 1][:entries]
+        want = []
+        for e in first:
+            want += [(e, k, c) for k, c in enumerate([c for c in search([e], most) if len(c) >= least][:each], 1)]
+        got = graph.first_chains(nodes, params, None, least, most, entries, each).select("entry", "number", "chain").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    wanted = spark.createDataFrame([(rng.choice(rows)[0], rng.choice(rows)[0]) for _ in range(60)], "src string, dst string").where("src <> dst").distinct()
+    all_ = {}
+    for r in graph.bridges(edge, wanted).collect():
+        if len(r.bridge) < 2:
+            all_.setdefault((r.src, r.dst), []).append(tuple(r.bridge))
+    want = sorted((s, d, b) for (s, d), found in all_.items() for b in sorted(found, key=lambda b: place[b[0]] if b else 0)[:3])
+    assert sorted((r.src, r.dst, tuple(r.bridge)) for r in graph.first_bridges(wanted, nodes, params, 3).collect()) == want
+
+
+def test_chains_of_many_tools_of_one_type(spark):
+    """Twenty thousand tools that all feed each other: no table of their pairs."""
+    tools_ = spark.range(20_000).select(F.format_string("t%05d", "id").alias("tool_id"), F.lit("n").alias("name"), F.lit("c").alias("category"), F.lit("string").alias("output_type"), F.lit(1).alias("n_inputs"), F.col("id").alias("place"))
+    params = tools_.select("tool_id", F.lit("p").alias("param"), F.lit("string").alias("param_type"))
+    got = graph.first_chains(tools_, params).collect()
+    assert len(got) == 50 and {r.entry for r in got} == {f"t0000{k}" for k in range(5)}
+    s = graph.type_statistics(tools_, params).first()
+    assert s.n_edges == 20_000 * 19_999 and s.max_out_degree == s.max_in_degree == 19_999
