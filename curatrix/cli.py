@@ -17,6 +17,7 @@ from .operators import compare, coverage, curation, execution, export, filters,
 from .plans import pipelines
 from .sources import config, readers, sinks, tool_parsers
 from .sources.templates import TEMPLATES
+from .streaming.until import until
 
 PAIR_SCHEMA = "question string, answer string, reasoning string, chunk_id string, source_file string, source string, model string, rating double, topic_relevant boolean"
 
@@ -25,8 +26,9 @@ def _session() -> SparkSession:
     return SparkSession.builder.appName("curatrix").config("spark.sql.adaptive.enabled", "true").getOrCreate()
 
 
-def _prompt(args, name: str, default: str) -> str:
+def _prompt(args, name: str, default: str | None = None) -> str:
     """The folder's template of the name, or the built-in one."""
+    default = TEMPLATES[name] if default is None else default
     return config.prompts(args.prompts).get(name, default) if getattr(args, "prompts", None) else default
 
 
@@ -70,7 +72,7 @@ def list_providers(spark, args):
 
 
 def generate(spark, args):
-    pairs = models.generate_pairs(_chunks(spark, args), _prompt(args, "qa_generation", pipelines.QA_PROMPT), raw_path=f"{args.output}/raw", **_model(args))
+    pairs = models.generate_pairs(_chunks(spark, args), _prompt(args, "qa_generation"), raw_path=f"{args.output}/raw", **_model(args))
     sinks.append(pairs.withColumn("generated_at", F.col("generated_at").cast("string")), f"{args.output}/pairs")
     sinks.result_bundle(spark.read.parquet(f"{args.output}/pairs"), args.output)
     answers = spark.read.parquet(f"{args.output}/raw/*")
@@ -78,11 +80,19 @@ def generate(spark, args):
 
 
 def generate_cot(spark, args):
-    fields = "question string, reasoning string, answer string"
-    pairs = filters.structured(models.generate_pairs(_chunks(spark, args), _prompt(args, "cot_generation", pipelines.QA_PROMPT), fields, raw_path=f"{args.output}/raw", **_model(args)))
+    """Chunk by chunk until ``--target-pairs`` is reached, if given; a second run goes on where the first was left."""
+    template, options = _prompt(args, "cot_generation"), {"fields": "question string, reasoning string, answer string", "per_chunk": (1, args.pairs_per_chunk)}
+
+    def attempt(some: DataFrame) -> DataFrame:
+        return filters.structured(models.generate_pairs(some, template, keep=("attempt_place",), **options, **_model(args))).withColumn("accepted", F.lit(True))
+
+    if args.target_pairs:
+        kept = until(_chunks(spark, args), attempt, args.target_pairs, f"{args.output}/work", "chunk_id", each=args.pairs_per_chunk)
+    else:
+        kept = filters.structured(models.generate_pairs(_chunks(spark, args), template, raw_path=f"{args.output}/raw", **options, **_model(args)))
     if args.topic_filter:
-        pairs = filters.on_topic(models.rate_pairs(pairs, _prompt(args, "topic", pipelines.RATE_PROMPT), **_model(args)))
-    sinks.records(pairs, f"{args.output}/pairs")
+        kept = filters.on_topic(models.rate_pairs(kept, _prompt(args, "qa_rating"), **_raw(args)))
+    sinks.records(kept, f"{args.output}/pairs")
 
 
 def curate(spark, args):
@@ -91,19 +101,19 @@ def curate(spark, args):
 
 
 def enhance_cot(spark, args):
-    sinks.records(models.add_reasoning(_pairs(spark, args.input), _prompt(args, "cot_enhancement", pipelines.COT_PROMPT), **_model(args)), args.output)
+    sinks.records(models.add_reasoning(_pairs(spark, args.input), _prompt(args, "cot_enhancement"), **_raw(args)), args.output)
 
 
 def resume_cot(spark, args):
     done = readers.json_lines(spark, args.done, PAIR_SCHEMA)
     rest = filters.resume(_pairs(spark, args.input), done, "question")
-    new = models.add_reasoning(rest, pipelines.COT_PROMPT, **_model(args))
+    new = models.add_reasoning(rest, _prompt(args, "cot_enhancement"), **_raw(args))
     sinks.records(done.unionByName(new, allowMissingColumns=True), args.output)
 
 
 def fix_cot(spark, args):
     pairs = _pairs(spark, args.input)
-    fixed = models.add_reasoning(filters.empty_reasoning(pairs).drop("reasoning"), pipelines.COT_PROMPT, **_model(args))
+    fixed = models.add_reasoning(filters.empty_reasoning(pairs).drop("reasoning"), _prompt(args, "cot_enhancement"), **_raw(args))
     out = curation.repair(pairs, fixed, "idx")
     sinks.records(out, args.output)
     curation.failure_counts(pairs).show()
@@ -111,7 +121,7 @@ def fix_cot(spark, args):
 
 
 def enrich(spark, args):
-    sinks.records(models.enrich(_pairs(spark, args.input), _prompt(args, "qa_enrichment", pipelines.ENRICH_PROMPT), **_model(args)), args.output)
+    sinks.records(models.enrich(_pairs(spark, args.input), _prompt(args, "qa_enrichment"), **_raw(args)), args.output)
 
 
 def multi_score(spark, args):
@@ -155,9 +165,9 @@ def compare_sets(spark, args):
     m.show(truncate=False)
     decision = None
     if args.judge:
-        judged = models.judge_datasets(sets, _prompt(args, "qa_comparison_evaluation", pipelines.COMPARE_PROMPT), args.samples, **_raw(args))
+        judged = models.judge_datasets(sets, _prompt(args, "qa_comparison_evaluation"), args.samples, **_raw(args))
         judged.select("dataset", "n", "score", "wins").show(truncate=False)
-        decision = models.decide(judged, _prompt(args, "qa_comparison_selection", pipelines.DECIDE_PROMPT), **_raw(args))
+        decision = models.decide(judged, _prompt(args, "qa_comparison_selection"), **_raw(args))
         print(f"winner: {decision}")
     compare.report(m, decision).write.mode("overwrite").text(args.output)
 
@@ -183,32 +193,45 @@ def tool_deps(spark, args):
 
 
 def tool_generate(spark, args):
-    made = models.instructions_for_tools(readers.tools(spark, args.input), _prompt(args, "tool_instruction", pipelines.TOOL_PROMPT), args.n, **_model(args))
+    made = models.instructions_for_tools(readers.tools(spark, args.input), _prompt(args, "tool_instruction_generation"), args.n, **_raw(args))
     sinks.records(made, args.output)
 
 
 def tool_generate_from_topic(spark, args):
     topic = spark.createDataFrame([(args.topic,)], "topic string")
     template = _prompt(args, "tool_from_topic", "Invent tools for {topic} as a JSON list of objects with name, description and parameters.")
-    sinks.records(models.tools_from_topics(topic, template, **_model(args)), args.output)
+    sinks.records(models.tools_from_topics(topic, template, **_raw(args)), args.output)
 
 
 def tool_generate_chain(spark, args):
-    df = readers.tools(spark, args.input)
-    nodes, params = graph.from_tools(df, "idx")
-    found = graph.first_chains(nodes, params, least=args.min_steps, most=args.max_steps, entries=args.n, each=args.n)
-    named = found.withColumn("chain_text", F.array_join("chain", " -> ")).orderBy("chain_text").limit(args.n)
-    asked = models.ask(named, models.fill("Write a request that needs these tools in order as a JSON list of one object with question.\n{chain}", chain=F.col("chain_text")), temperature=0.7, **_model(args))
-    sinks.records(asked.withColumn("difficulty", F.when(F.size("chain") >= 3, "complex").otherwise("medium")), args.output)
+    """Examples that start from chains; with ``--hybrid`` the rest starts from requests for single tools."""
+    listed = readers.tools(spark, args.input)
+    first = int(args.target_pairs * args.chain_ratio) if args.hybrid else args.target_pairs
+    work = f"{args.output.rstrip('/')}.work"
+    made = models.generate_chain_first(listed, first, f"{work}/chains", _prompt(args, "chain_generation"), _prompt(args, "query_synthesis"), args.min_steps, args.max_steps, **_model(args))
+    rest = args.target_pairs - first
+    if rest:
+        some = listed.orderBy("idx").limit(rest)
+        asked = pipelines.tool_examples(some, max(1, rest // max(1, some.count())), raw_path=f"{work}/raw", **_model(args)).withColumn("idx", F.col("example_id"))
+        made = models.hybrid(made.withColumn("idx", F.col("number").cast("long")), asked, args.target_pairs, args.chain_ratio)
+    sinks.records(made.drop("idx", "number", "category"), args.output)
 
 
 def tool_execute(spark, args):
-    """Steps by a model that acts as the tools, or by registered implementations; without ``--tools`` the registered ones run."""
+    """Steps by a model that acts as the tools, or by registered implementations; without ``--tools`` the registered ones run.
+
+    With ``--verify`` the model says whether each executed example is sound,
+    and lists what the requests ask for in a folder of its own.
+    """
     found = readers.examples(spark, args.input)
     if args.tools is None:
         sinks.records(tools.run_steps(found), args.output)
         return
-    ran = execution.execute_examples(found, readers.tools(spark, args.tools), args.mode, _prompt(args, "tool_simulation", TEMPLATES["tool_simulation"]), **_model(args))
+    ran = execution.execute_examples(found, readers.tools(spark, args.tools), args.mode, _prompt(args, "tool_simulation"), **_model(args))
+    if args.verify:
+        needs = models.requirements(found, _prompt(args, "requirements", "List what this request asks for as a JSON list of texts.\n{instruction}"), **_raw(args))
+        sinks.records(needs, f"{args.output.rstrip('/')}.requirements")
+        ran = models.verify(ran, _prompt(args, "tool_semantic_verification"), **_raw(args))
     sinks.records(ran, args.output)
 
 
@@ -218,7 +241,7 @@ def tool_curate(spark, args):
 
 
 def tool_evaluate(spark, args):
-    judged = models.judge_examples(readers.examples(spark, args.input), _prompt(args, "outcome_evaluation", pipelines.OUTCOME_PROMPT), **_model(args))
+    judged = models.judge_examples(readers.examples(spark, args.input), _prompt(args, "outcome_evaluation", pipelines.OUTCOME_PROMPT), **_raw(args))
     out = judged.withColumn("outcome", tools.outcome("overall_score", F.col("execution_result.success")))
     compare.outcome_summary(out.select("outcome.status", "outcome.score")).show()
     sinks.records(tools.satisfied(out, args.min_score), args.output)
@@ -234,9 +257,9 @@ def tool_pipeline(spark, args):
 
 COMMANDS = {
     "list-providers": (list_providers, ""), "generate": (generate, "chunks"), "curate": (curate, "io curate"), "select-coverage": (select_coverage, "io coverage"), "multi-score": (multi_score, "io score"),
-    "enrich": (enrich, "io"), "generate-cot": (generate_cot, "chunks topic"), "enhance-cot": (enhance_cot, "io"), "resume-cot": (resume_cot, "io done"), "fix-cot": (fix_cot, "io"),
+    "enrich": (enrich, "io"), "generate-cot": (generate_cot, "chunks topic early"), "enhance-cot": (enhance_cot, "io"), "resume-cot": (resume_cot, "io done"), "fix-cot": (fix_cot, "io"),
     "export": (export_lines, "io format"), "pipeline": (pipeline, "chunks curate format"), "compare": (compare_sets, "many judge"), "tool-parse": (tool_parse, "io kind"), "tool-deps": (tool_deps, "io deps"),
-    "tool-generate": (tool_generate, "io n"), "tool-generate-from-topic": (tool_generate_from_topic, "topic_text"), "tool-generate-chain": (tool_generate_chain, "io n steps"), "tool-execute": (tool_execute, "io execute"),
+    "tool-generate": (tool_generate, "io n"), "tool-generate-from-topic": (tool_generate_from_topic, "topic_text"), "tool-generate-chain": (tool_generate_chain, "io steps hybrid"), "tool-execute": (tool_execute, "io execute"),
     "tool-curate": (tool_curate, "io example"), "tool-evaluate": (tool_evaluate, "io score"), "tool-pipeline": (tool_pipeline, "io n score execute format target"),
 }
 
@@ -284,6 +307,7 @@ def parser() -> argparse.ArgumentParser:
         if "execute" in groups:
             p.add_argument("--mode", choices=execution.MODES, default="simulated")
             p.add_argument("--tools")
+            p.add_argument("--verify", action="store_true")
         if "target" in groups:
             p.add_argument("--target-pairs", type=int)
             p.add_argument("--threshold", type=float, default=7.0)
@@ -306,6 +330,13 @@ def parser() -> argparse.ArgumentParser:
         if "steps" in groups:
             p.add_argument("--min-steps", type=int, default=2)
             p.add_argument("--max-steps", type=int, default=4)
+        if "hybrid" in groups:
+            p.add_argument("--target-pairs", type=int, default=50)
+            p.add_argument("--hybrid", action="store_true")
+            p.add_argument("--chain-ratio", type=float, default=0.4)
+        if "early" in groups:
+            p.add_argument("--target-pairs", type=int, help="stop once there are so many")
+            p.add_argument("--pairs-per-chunk", type=int, default=5)
         if "n" in groups:
             p.add_argument("--n", type=int, default=2)
         if "example" in groups:

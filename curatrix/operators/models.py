@@ -17,8 +17,8 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, strip_fence
-from ..functions.values import STEP
+from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, split_reasoning, strip_fence
+from ..functions.values import ARGS, STEP
 
 
 class ModelClient(Protocol):
@@ -150,7 +150,7 @@ def ask_with_retries(model: ModelClient, prompt: str, tries: int = 3, wait: floa
 def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: float | None = None, threads: int = 8, raw_path: str | None = None, max_tokens: int | None = None, **options) -> DataFrame:
     """``df`` with ``raw`` and ``error``: a client per task, and a few calls at a time within it.
 
-    With ``raw_path`` the answers are written there before anything reads them,
+    Rows whose prompt is null are not asked.  With ``raw_path`` the answers are written there before anything reads them,
     and what follows goes on from the files: no second action asks again.
     """
     import pandas as pd
@@ -160,7 +160,9 @@ def ask(df: DataFrame, prompt: Column, provider: str = "stub", temperature: floa
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make(**options)
 
-        def one(text: str) -> tuple[str | None, str | None]:
+        def one(text: str | None) -> tuple[str | None, str | None]:
+            if not isinstance(text, str):
+                return None, None
             try:
                 return ask_with_retries(model, text, temperature=temperature, max_tokens=max_tokens), None
             except Exception as e:  # noqa: BLE001 - a failed call is a row's result
@@ -197,18 +199,24 @@ def fill_from(df: DataFrame, template: str) -> Column:
     return fill(template, **{c: F.col(f"`{c}`") for c in df.columns if "{" + c + "}" in template})
 
 
-def generate_pairs(chunks: DataFrame, template: str, fields: str = "question string, answer string", **options) -> DataFrame:
-    """Several pairs from each chunk, with ``chunk_id`` and the time and model they come from."""
-    answers = ask(chunks.select("chunk_id", "source_file", "content"), fill(template, content=sanitise_chunk("content")), **options)
-    each = answers.select("chunk_id", "source_file", F.posexplode(parse_json(strip_fence("raw"), f"array<struct<{fields.replace(' ', ':')}>>".replace(",:", ","))).alias("n", "pair"))
-    return each.select("chunk_id", "source_file", "n", "pair.*", F.current_timestamp().alias("generated_at"), F.lit(options.get("model", "offline")).alias("model"))
+def generate_pairs(chunks: DataFrame, template: str, fields: str = "question string, answer string", per_chunk: tuple[int, int] = (3, 5), keep: tuple[str, ...] = (), **options) -> DataFrame:
+    """Several pairs from each chunk, with ``chunk_id`` and the time and model they come from.
+
+    The template may name ``content`` or ``text``, ``n_pairs_min`` and
+    ``n_pairs_max``.  Columns to ``keep`` come with each pair.
+    """
+    text = sanitise_chunk("content")
+    answers = ask(chunks.select("chunk_id", "source_file", "content", *keep), fill(template, n_pairs_min=F.lit(per_chunk[0]), n_pairs_max=F.lit(per_chunk[1]), content=text, text=text), **options)
+    each = answers.select("chunk_id", "source_file", *keep, F.posexplode(parse_json(strip_fence("raw"), f"array<struct<{fields.replace(' ', ':')}>>".replace(",:", ","))).alias("n", "pair"))
+    return each.select("chunk_id", "source_file", *keep, "n", "pair.*", F.current_timestamp().alias("generated_at"), F.lit(options.get("model", "offline")).alias("model"))
 
 
 def rate_pairs(pairs: DataFrame, template: str, **options) -> DataFrame:
     """Pairs with a judge's fields; what cannot be read has the defaults."""
     from .curation import DEFAULTS
 
-    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.1, **options)
+    shown = F.to_json(F.array(F.struct("question", "answer")))
+    answers = ask(pairs, fill(template, pairs=shown, question=F.col("question"), answer=F.col("answer")), temperature=0.1, **options)
     fields = "array<struct<rating:double,clarity:double,accuracy:double,usefulness:double,difficulty:double,topic_relevant:boolean>>"
     verdict = F.get(parse_json(strip_fence("raw"), fields), 0)
     out = answers.withColumn("verdict", verdict)
@@ -224,17 +232,38 @@ def enrich(pairs: DataFrame, template: str, **options) -> DataFrame:
 
 
 def add_reasoning(pairs: DataFrame, template: str, **options) -> DataFrame:
-    """Pairs with ``reasoning``; a failed call leaves it empty.  All columns are carried along, so rows keep their keys."""
-    answers = ask(pairs, fill(template, question=F.col("question"), answer=F.col("answer")), temperature=0.2, **options)
-    first = F.get(parse_json(strip_fence("raw"), "array<struct<reasoning:string>>"), 0)["reasoning"]
-    return answers.withColumn("reasoning", F.coalesce(first, F.lit(""))).drop("raw", "error")
+    """Pairs with ``reasoning``; a failed call leaves it empty.  All columns are carried along, so rows keep their keys.
+
+    The template may name ``question``, ``answer`` and ``conversations``, the
+    pair as a list of one conversation.  The model answers with objects with
+    ``reasoning``, or with conversations whose assistant gives it in a field of
+    its own or before the answer.
+    """
+    turn = lambda role, column: F.struct(F.lit(role).alias("role"), F.col(column).alias("content"))
+    given = F.to_json(F.array(F.struct(F.array(turn("user", "question"), turn("assistant", "answer")).alias("conversations"))))
+    answers = ask(pairs, fill(template, conversations=given, question=F.col("question"), answer=F.col("answer")), temperature=0.2, **options)
+    first = F.get(parse_json(strip_fence("raw"), "array<struct<reasoning:string,conversations:array<struct<role:string,content:string,reasoning:string>>>>"), 0)
+    said = F.get(F.filter(first["conversations"], lambda t: t["role"].isin("assistant", "gpt", "model")), 0)
+    marked = F.nullif(split_reasoning(said["content"])["reasoning"], F.lit(""))
+    before = F.when(F.endswith(said["content"], F.col("answer")) & (F.length(said["content"]) > F.length("answer")), F.trim(F.substring(said["content"], F.lit(1), F.length(said["content"]) - F.length("answer"))))
+    found = F.coalesce(first["reasoning"], said["reasoning"], before, marked)
+    return answers.withColumn("reasoning", F.coalesce(found, F.lit(""))).drop("raw", "error")
+
+
+def _example_places(examples: DataFrame) -> dict[str, Column]:
+    """What templates on whole examples may name."""
+    from .tools import solution_summary
+
+    path = examples.schema["reasoning_path"].dataType.elementType.names
+    calls = F.to_json(F.transform("reasoning_path", lambda s: F.struct(s["tool"].alias("name"), s["args"].alias("args"))))
+    result = F.to_json("execution_result") if "execution_result" in examples.columns else F.lit("N/A")
+    summary = solution_summary() if {"actual_result", "status", "error_message"} <= set(path) else calls
+    return {"solution_summary": summary, "steps_summary": summary, "tool_calls": calls, "result": result, "instruction": F.col("instruction"), "final_output": F.col("final_answer"), "final_answer": F.col("final_answer"), "answer": F.col("final_answer")}
 
 
 def judge_examples(examples: DataFrame, template: str, **options) -> DataFrame:
     """Examples with the model's ``overall_score`` (null if it cannot be read)."""
-    from .tools import solution_summary
-
-    answers = ask(examples, fill(template, instruction=F.col("instruction"), solution_summary=solution_summary(), final_output=F.col("final_answer")), temperature=0.1, **options)
+    answers = ask(examples, fill(template, **_example_places(examples)), temperature=0.1, **options)
     score = F.get(parse_json(strip_fence("raw"), "array<struct<overall_score:double>>"), 0)["overall_score"]
     return answers.withColumn("overall_score", score).drop("raw", "error")
 
@@ -242,9 +271,8 @@ def judge_examples(examples: DataFrame, template: str, **options) -> DataFrame:
 def rate_examples(examples: DataFrame, template: str, **options) -> DataFrame:
     """Examples with the judge's ``rating`` and its four parts as ``rating_breakdown``; defaults where it gave none."""
     from .curation import DEFAULTS
-    from .tools import solution_summary
 
-    answers = ask(examples.drop("rating", "rating_breakdown"), fill(template, instruction=F.col("instruction"), solution_summary=solution_summary(), final_output=F.col("final_answer")), temperature=0.1, **options)
+    answers = ask(examples.drop("rating", "rating_breakdown"), fill(template, **_example_places(examples)), temperature=0.1, **options)
     parts = ("clarity", "accuracy", "usefulness", "difficulty")
     verdict = F.get(parse_json(strip_fence("raw"), "array<struct<rating:double," + ",".join(f"{p}:double" for p in parts) + ">>"), 0)
     breakdown = F.struct(*[F.coalesce(F.col("example_verdict")[p], F.lit(DEFAULTS[p])).alias(p) for p in parts])
@@ -266,8 +294,8 @@ def score_pairs(pairs: DataFrame, complexity_template: str, quality_template: st
 def judge_datasets(sets: DataFrame, template: str, samples: int = 5, order: str = "idx", **options) -> DataFrame:
     """A row for each dataset with its metrics, the judge's ``score`` and whether it ``wins`` (best score, of equals the first).
 
-    The template may name ``dataset``, ``n``, ``metrics`` and ``samples``: the
-    first few pairs by ``order``.  Only these rows of metrics reach the model.
+    The template may name ``dataset`` or ``dataset_name``, ``n``, ``metrics``,
+    ``sample_count`` and ``samples``: the first few pairs by ``order``.  Only these rows of metrics reach the model.
     """
     from pyspark.sql import Window
 
@@ -277,11 +305,11 @@ def judge_datasets(sets: DataFrame, template: str, samples: int = 5, order: str
     metrics = dataset_metrics(sets)
     ranked = sets.select("dataset", F.row_number().over(Window.partitionBy("dataset").orderBy(order)).alias("k"), F.concat(F.lit("Q: "), "question", F.lit("\nA: "), "answer").alias("shown")).where(F.col("k") <= samples)
     shown = ranked.groupBy("dataset").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "shown"))), lambda s: s["shown"]), "\n\n").alias("samples"))
-    rows = metrics.withColumn("metrics", F.to_json(F.struct(*metrics.columns))).join(shown, "dataset")
+    rows = metrics.withColumn("metrics", F.to_json(F.struct(*metrics.columns))).join(shown, "dataset").withColumns({"dataset_name": F.col("dataset"), "sample_count": F.least(F.lit(samples).cast("long"), "n")})
     answers = ask(rows, fill_from(rows, template), temperature=0.1, **options)
     scored = answers.withColumn("score", F.coalesce(verdict_score("raw"), F.lit(0.0)))
     best = scored.agg(F.min(F.struct(-F.col("score"), F.col("dataset"))).getField("dataset").alias("best"))
-    return scored.crossJoin(F.broadcast(best)).withColumn("wins", F.col("dataset") == F.col("best")).drop("raw", "error", "best", "samples")
+    return scored.crossJoin(F.broadcast(best)).withColumn("wins", F.col("dataset") == F.col("best")).drop("raw", "error", "best", "samples", "dataset_name", "sample_count")
 
 
 def decide(judged: DataFrame, template: str, **options) -> str | None:
@@ -308,11 +336,21 @@ def tools_from_topics(topics: DataFrame, template: str, **options) -> DataFrame:
 
 
 def rate_steps(examples: DataFrame, template: str, key: str = "example_id", **options) -> DataFrame:
-    """``step_ratings`` of each example, in the order of its path, within [0, 1]; 0.5 where the model gave none."""
-    from .tools import step_rows
+    """``step_ratings`` of each example, in the order of its path, within [0, 1]; 0.5 where the model gave none.
 
-    steps = step_rows(examples, key)
-    answers = ask(steps.select(key, "position", "thought", "tool"), fill(template, thought=F.col("thought"), tool=F.col("tool")), temperature=0.1, **options)
+    The template may name the example's ``instruction``, the step's
+    ``step_number``, ``thought``, ``tool``, ``args`` and ``result``, and
+    ``total_steps`` and ``previous_context``, the calls before it.
+    """
+    from ..functions.values import as_json
+
+    path = examples.schema["reasoning_path"].dataType.elementType.names
+    result = (lambda s: F.coalesce(as_json(s["actual_result"]), F.lit("N/A"))) if "actual_result" in path else (lambda s: F.lit("N/A"))
+    call = lambda s, i: F.concat(F.lit("Step "), i + 1, F.lit(": Used "), s["tool"], F.lit("("), F.coalesce(F.to_json(s["args"]), F.lit("{}")), F.lit(") -> "), result(s))
+    each = examples.select(key, "instruction" if "instruction" in examples.columns else F.lit("").alias("instruction"), F.size("reasoning_path").alias("total_steps"), F.transform("reasoning_path", call).alias("calls"), F.posexplode("reasoning_path").alias("position", "s"))
+    before = F.array_join(F.slice("calls", F.lit(1), F.col("position")), "\n")
+    steps = each.select(key, "position", (F.col("position") + 1).alias("step_number"), "total_steps", F.col("s.thought").alias("thought"), F.col("s.tool").alias("tool"), F.to_json("s.args").alias("args"), result(F.col("s")).alias("result"), before.alias("previous_context"), "instruction")
+    answers = ask(steps, fill_from(steps, template), temperature=0.1, **options)
     score = F.get(parse_json(strip_fence("raw"), "array<struct<overall_score:double>>"), 0)["overall_score"]
     rated = answers.select(key, F.struct("position", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(score, F.lit(0.5)))).alias("r")).alias("s"))
     lists = rated.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"]).alias("step_ratings"))
@@ -320,8 +358,16 @@ def rate_steps(examples: DataFrame, template: str, key: str = "example_id", **op
 
 
 def instructions_for_tools(tools: DataFrame, template: str, n: int, **options) -> DataFrame:
-    """At most ``n`` instructions for each tool."""
-    answers = ask(tools.select("tool_id", "name", "description"), fill(template, name=F.col("name"), description=F.col("description")), temperature=0.8, **options)
+    """At most ``n`` instructions for each tool.
+
+    The template may name ``name`` or ``tool_name``, ``description`` or
+    ``tool_description``, ``parameters``, ``examples`` and the numbers
+    ``n_instructions_min`` and ``n_instructions_max``.
+    """
+    shown = {c: F.to_json(c) if c in tools.columns else F.lit("[]") for c in ("parameters", "examples")}
+    places = {"n_instructions_min": F.lit(n), "n_instructions_max": F.lit(n), "name": F.col("name"), "tool_name": F.col("name"), "description": F.col("description"), "tool_description": F.col("description")}
+    asked = tools.select("tool_id", fill(template, **places, **shown).alias("filled"))
+    answers = ask(asked, F.col("filled"), temperature=0.8, **options)
     each = F.slice(parse_json(strip_fence("raw"), "array<struct<question:string>>"), 1, n)
     return answers.select("tool_id", F.posexplode(each).alias("n", "e")).select("tool_id", "n", F.col("e.question").alias("instruction"))
 
@@ -366,6 +412,62 @@ def chain_first(chains: DataFrame, template: str, n: int, least_steps: int = 2,
     return made.where(F.length(F.coalesce("instruction", F.lit(""))) > 0).orderBy("chain_text").limit(n)
 
 
+def chain_attempts(tools: DataFrame, n: int, least: int = 2, most: int = 4, shown: int = 50) -> DataFrame:
+    """``n`` candidates for a chain of calls: the categories of at least ``least`` tools in turn, with their first ``shown`` tools."""
+    from pyspark.sql import Window
+
+    category = F.coalesce("category", F.lit("other"))
+    ranked = tools.select(category.alias("category"), "tool_id", "name", "description", "parameters", F.row_number().over(Window.partitionBy(category).orderBy("idx")).alias("k")).where(F.col("k") <= shown)
+    definition = F.struct("k", "name", "description", "parameters")
+    listed = ranked.groupBy("category").agg(F.to_json(F.array_sort(F.collect_list(definition))).alias("tools_json"), F.collect_set("tool_id").alias("ids"), F.collect_set("name").alias("names"))
+    turns = listed.where(F.size("ids") >= least).withColumns({"turn": F.row_number().over(Window.orderBy("category")) - 1, "n_turns": F.count("*").over(Window.partitionBy(F.lit(1)))})
+    each = turns.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(0, n - 1)))).alias("round")).where(F.col("round") * F.col("n_turns") + F.col("turn") < n)
+    place = (F.col("round") * F.col("n_turns") + F.col("turn")).alias("number")
+    return each.select(place, "category", "tools_json", F.array_union("ids", "names").alias("known"), F.lit(least).alias("min_steps"), F.lit(most).alias("max_steps"))
+
+
+def chain_examples(candidates: DataFrame, chain_template: str, query_template: str, **options) -> DataFrame:
+    """Examples made from chains of calls: the model gives a chain, then the request that it serves.
+
+    ``accepted``: the chain has as many steps as asked, all of known tools, and
+    there is a request.  The first template may name ``tools_json``,
+    ``min_steps`` and ``max_steps``, the second ``chain_steps``, ``tools_used``
+    and ``final_result``.  Answers may be a list of steps or an object with
+    ``steps`` or ``reasoning_path``, and for the request a list of one object
+    or an object with ``query``, ``question`` or ``instruction``.
+    """
+    answers = ask(candidates, fill_from(candidates, chain_template), temperature=0.7, **options).withColumnsRenamed({"raw": "chain_raw", "error": "chain_error"})
+    told = F.from_json(F.regexp_extract("chain_raw", r"(?s)\{.*\}", 0), f"steps {_PATH}, reasoning_path {_PATH}, final_answer string")
+    bare = parse_json(strip_fence("chain_raw"), f"array<struct<tool:string,thought:string,args:{ARGS},expected_result:variant>>")
+    listed = F.filter(F.transform(bare, lambda s, i: F.struct((i + 1).cast("int").alias("step"), s["thought"].alias("thought"), s["tool"].alias("tool"), s["args"].alias("args"), s["expected_result"].alias("expected_result"), F.lit(None).alias("actual_result"), F.lit(None).alias("status"), F.lit(None).alias("error_message")).cast(STEP)), lambda s: s["tool"].isNotNull())
+    some = lambda c: F.when(F.size(c) > 0, c)
+    path = F.coalesce(some(F.col("told.steps")), some(F.col("told.reasoning_path")), some(listed), F.array().cast(_PATH))
+    read = answers.withColumn("told", told).withColumn("reasoning_path", path).withColumn("final_answer", F.coalesce("told.final_answer", F.lit("The task is complete."))).drop("told")
+    used = F.transform("reasoning_path", lambda s: s["tool"])
+    sound = F.size("reasoning_path").between(F.col("min_steps"), F.col("max_steps")) & (F.size(F.array_except(used, "known")) == 0)
+    steps = F.array_join(F.transform("reasoning_path", lambda s, i: F.concat(i + 1, F.lit(". "), s["tool"], F.lit("("), F.coalesce(F.to_json(s["args"]), F.lit("{}")), F.lit(")"))), "\n")
+    marked = read.withColumns({"sound": F.coalesce(sound, F.lit(False)), "chain_steps": steps, "tools_used": F.array_join(used, ", "), "final_result": F.col("final_answer")})
+    # A request is asked for sound chains only.
+    good = ask(marked, F.when(F.col("sound"), fill_from(marked, query_template)), temperature=0.6, **options)
+    body, text = F.regexp_extract("raw", r"(?s)\{.*\}", 0), F.trim("raw")
+    request = F.coalesce(*[F.get_json_object(body, f"$.{k}") for k in ("query", "question", "instruction")], F.when((F.length(text) < 500) & (F.contains(text, F.lit("?")) | F.contains(F.lower(text), F.lit("please"))), text))
+    made = good.withColumn("instruction", request).withColumn("accepted", F.length(F.coalesce("instruction", F.lit(""))) > 0)
+    kept = [c for c in candidates.columns if c not in ("tools_json", "known", "min_steps", "max_steps")]
+    out = [*kept, "instruction", "reasoning_path", "final_answer", F.lit("chain_first").alias("generation_method"), F.when(F.size("reasoning_path") >= 3, "complex").otherwise("medium").alias("difficulty"), "accepted"]
+    return made.select(*out)
+
+
+def generate_chain_first(tools: DataFrame, n: int, path: str, chain_template: str, query_template: str, least: int = 2, most: int = 4, factor: int = 3, **options) -> DataFrame:
+    """``n`` examples that start from chains, of at most ``factor`` times as many attempts.
+
+    Asking stops at the target; attempts are kept below ``path``, and another
+    call goes on from them.
+    """
+    from ..streaming.until import until
+
+    return until(chain_attempts(tools, factor * n, least, most), lambda some: chain_examples(some, chain_template, query_template, **options), n, path, "number", factor * n)
+
+
 def model_chains(tools: DataFrame, template: str, least: int = 2, most: int = 4, shown: int = 50, **options) -> DataFrame:
     """``(chain, length)``: for each category, an order of its tools that the model proposes.
 
@@ -395,9 +497,10 @@ def simulate_steps(examples: DataFrame, template: str, key: str = "example_id",
 
 
 def verify(examples: DataFrame, template: str, **options) -> DataFrame:
-    """``verified``: whether the model finds the answer sound; true where it fails to say."""
-    answers = ask(examples, fill(template, instruction=F.col("instruction"), answer=F.col("final_answer")), temperature=0.1, **options)
-    said = F.get_json_object(F.regexp_extract("raw", r"(?s)\{.*\}", 0), "$.valid")
+    """``verified``: whether the model finds the answer sound (``valid`` or ``correct``); true where it fails to say."""
+    answers = ask(examples, fill(template, **_example_places(examples)), temperature=0.1, **options)
+    body = F.regexp_extract("raw", r"(?s)\{.*\}", 0)
+    said = F.coalesce(F.get_json_object(body, "$.valid"), F.get_json_object(body, "$.correct"))
     return answers.withColumn("verified", F.coalesce(F.lower(said) == "true", F.lit(True))).drop("raw", "error")
 
 

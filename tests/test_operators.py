@@ -537,3 +537,113 @@ def test_chains_of_many_tools_of_one_type(spark):
     assert len(got) == 50 and {r.entry for r in got} == {f"t0000{k}" for k in range(5)}
     s = graph.type_statistics(tools_, params).first()
     assert s.n_edges == 20_000 * 19_999 and s.max_out_degree == s.max_in_degree == 19_999
+
+
+@pytest.mark.parametrize("target, most", [(1, 100), (5, 100), (7, 9), (60, 100), (0, 10)])
+def test_asking_stops_at_the_target_and_resumes(spark, tmp_path, target, most):
+    from curatrix.streaming.until import until
+
+    log = str(tmp_path / "log")
+    open(log, "w").close()
+
+    class EveryOther:
+        """Notes each call in a file and fails on every second one."""
+
+        def generate(self, prompt, temperature=None, max_tokens=None):
+            with open(log, "a") as f:
+                f.write(prompt + "\n")
+            number = int(prompt[1:])
+            if number % 2:
+                raise RuntimeError("down")
+            return f"answer {number}"
+
+    models.register_provider("every other", lambda **_: EveryOther())
+    rows = spark.range(100).select(F.col("id").alias("number")).repartition(5)
+    attempt = lambda some: models.ask(some, F.concat(F.lit("#"), "number"), provider="every other").withColumn("accepted", F.col("raw").isNotNull())
+    # Asked one after the other: the call that reaches the target is the last.
+    calls = min(most, next((k + 1 for k in range(100) if k // 2 + 1 >= target), 100)) if target else 0
+    for _ in range(2):
+        got = until(rows, attempt, target, str(tmp_path / "work"), "number", most)
+        assert [r.raw for r in got.orderBy("number").collect()] == [f"answer {k}" for k in range(0, calls, 2)][:target]
+        asked = open(log).read().split()
+        assert sorted(asked) == sorted(f"#{k}" for k in range(calls))
+    # A half-written batch is tried again, whole ones are not.
+    if calls > 1:
+        last = max(p for p in (tmp_path / "work").iterdir() if p.name.startswith("attempts"))
+        (last / "_SUCCESS").unlink()
+        again = int(last.name.rpartition("-")[2])
+        assert until(rows, attempt, target, str(tmp_path / "work"), "number", most).count() == len(range(0, calls, 2)[:target])
+        assert sorted(open(log).read().split()[calls:]) == sorted(f"#{k}" for k in range(again, calls))
+
+
+def test_chain_first_by_command(spark, tmp_path, monkeypatch):
+    from curatrix import cli
+
+    monkeypatch.setattr(cli, "_session", lambda: spark)
+    log = str(tmp_path / "log")
+    open(log, "w").close()
+
+    class Chains:
+        """Gives a chain of the first two tools it is shown, as a list or an object, and a request for it; some chains have unknown tools."""
+
+        def generate(self, prompt, temperature=None, max_tokens=None):
+            import json
+
+            with open(log, "a") as f:
+                f.write(prompt.split(" ")[0] + "\n")
+            if prompt.startswith("CHAIN"):
+                names = [t["name"] for t in json.loads(prompt[prompt.index("[") :])]
+                steps = [{"tool": n, "thought": "t", "args": {"n": k, "from": [k - 1]}} for k, n in enumerate(names[:2], 1)]
+                if "c1" in names[0]:
+                    steps[1]["tool"] = "unknown"
+                return json.dumps(steps) if "c0" in names[0] else "Here: " + json.dumps({"steps": steps, "final_answer": "ok"})
+            return json.dumps({"query": "Please " + prompt.split(" ", 1)[1]})
+
+    models.register_provider("chains", lambda **_: Chains())
+    names = [f"c{c}_tool{k}" for c in range(3) for k in range(3)]
+    (tmp_path / "tools.json").write_text(json.dumps([{"name": n, "description": "d", "category": n[:2], "parameters": [{"name": "n", "type": "integer", "required": True}]} for n in names]))
+    (tmp_path / "prompts").mkdir()
+    (tmp_path / "prompts" / "p.json").write_text(json.dumps({"chain_generation": "CHAIN {min_steps}-{max_steps} {tools_json}", "query_synthesis": "ASK {tools_used}: {chain_steps} {final_result}", "tool_instruction_generation": "[{\"question\": \"Use {tool_name}\"}]"}))
+    cli.main(["tool-generate-chain", str(tmp_path / "tools.json"), "--output", str(tmp_path / "out"), "--target-pairs", "4", "--provider", "chains", "--prompts", str(tmp_path / "prompts")])
+    made = spark.read.json(str(tmp_path / "out")).collect()
+    # Of the three categories in turn, c1 never gives a sound chain.
+    assert sorted(r.instruction for r in made) == sorted(f'Please {c}_tool0, {c}_tool1: 1. {c}_tool0({{"n":1,"from":[0]}})\n2. {c}_tool1({{"n":2,"from":[1]}}) {a}' for c, a in (("c0", "The task is complete."), ("c2", "ok")) for _ in range(2))
+    assert {r.generation_method for r in made} == {"chain_first"} and {r.difficulty for r in made} == {"medium"} and made[0].reasoning_path[1].args.n == 2
+    assert sorted(open(log).read().split()) == ["ASK"] * 4 + ["CHAIN"] * 6
+
+
+def test_templates_are_filled_by_their_callers(spark):
+    from curatrix.sources.templates import TEMPLATES
+
+    p = spark.createDataFrame([(1, "c", "f", "some text", "q", "a", "ds", 5.0, "s")], "idx long, chunk_id string, source_file string, content string, question string, answer string, dataset string, rating double, source string")
+    path = f"array<{values.STEP}>"
+    ex = spark.createDataFrame([(1, 1, "do it", "done")], "example_id long, idx long, instruction string, final_answer string").withColumn("reasoning_path", F.from_json(F.lit('[{"step": 1, "thought": "t", "tool": "x", "args": {"k": [1]}, "actual_result": 3, "status": "success"}]'), path))
+    listed = tool_parsers.frame(spark, tool_parsers.json_tools([{"name": "x", "description": "d", "category": "c", "parameters": [{"name": "k"}]}])).withColumn("idx", F.lit(1))
+    seen = []
+    original = models.ask
+
+    def watch(df, prompt, *args, **kw):
+        seen.extend(r[0] for r in df.select(prompt.alias("p")).collect())
+        return original(df, prompt, *args, **kw)
+
+    models.ask, kept = watch, models.ask
+    try:
+        calls = {
+            "qa_generation": lambda t: models.generate_pairs(p, t), "code_qa_generation": lambda t: models.generate_pairs(p, t), "cot_generation": lambda t: models.generate_pairs(p, t), "qa_rating": lambda t: models.rate_pairs(p, t),
+            "qa_enrichment": lambda t: models.enrich(p, t), "cot_enhancement": lambda t: models.add_reasoning(p, t), "qa_comparison_evaluation": lambda t: models.judge_datasets(p, t),
+            "qa_comparison_selection": lambda t: models.decide(spark.createDataFrame([("a", 3.0, "{}", True)], "dataset string, score double, metrics string, wins boolean"), t),
+            "tool_instruction_generation": lambda t: models.instructions_for_tools(listed, t, 2), "tool_quality_rating": lambda t: models.rate_examples(ex, t), "step_quality_rating": lambda t: models.rate_steps(ex, t),
+            "tool_semantic_verification": lambda t: models.verify(ex, t), "chain_generation": lambda t: models.chain_examples(models.chain_attempts(listed, 1, 1), t, TEMPLATES["query_synthesis"]),
+            "tool_solution_single": lambda t: pipelines.tool_examples(listed, 1),
+        }
+        for name, call in calls.items():
+            seen.clear()
+            call(TEMPLATES[name])
+            assert seen and seen[0], name
+            import re
+
+            for text in seen:
+                left = set(re.findall(r"\{(\w+)\}", text or ""))
+                assert not left, (name, left)
+    finally:
+        models.ask = kept
