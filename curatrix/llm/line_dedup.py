@@ -11,7 +11,10 @@ meet.  A line is seen as one of ``m`` characters (its own length, or one less,
 so that it can meet a shorter line) and cut into blocks; an edit falls into one
 block, and all else is equal.  Lines that share no half with another line are
 left out first, then those that share no all-but-one-block; what remains emits
-the variants of the one block, keyed together with the rest of the line.
+the variants of the one block, keyed together with the rest of the line.  A
+block that is still long is cut in the same way first, so variants are short
+however long a line is, and the edit distance is verified in the block, all
+else having to be equal.
 
 Groups are never expanded into pairs: lines that lose the same character at the
 same place are all within one edit of each other, and lines that lose one to
@@ -28,7 +31,9 @@ from .common import materialise
 
 #: Shorter lines must be equal.
 NEAR_CHARS = 16
-BLOCK_CHARS, MOST_BLOCKS = 24, 256
+BLOCK_CHARS, MOST_BLOCKS = 24, 64
+#: Longer blocks are cut again.
+LONG_BLOCK = 96
 #: So many candidate lines are broadcast (about 100 bytes each) at most; beyond, they are joined by shuffles.
 BROADCAST_LINES = 500_000
 _WHITE = " \t\r\v\f"
@@ -60,38 +65,62 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """``rest`` and ``block`` of lines seen as one of ``m`` characters, for block number ``b``."""
-    cut = rows.withColumns({"start": F.floor(F.col("b") * F.col("m") / F.col("blocks")).cast("int"), "end": F.floor((F.col("b") + 1) * F.col("m") / F.col("blocks")).cast("int")})
-    line, tail = F.col("line"), F.col("m") - F.col("end")
-    rest = F.xxhash64("m", "b", F.xxhash64(_left(line, F.col("start"))), F.xxhash64(_right(line, F.col("size"), tail)))
-    block = F.substring(line, F.col("start") + 1, F.col("size") - tail - F.col("start"))
-    return cut.withColumns({"rest": rest, "block": block}).drop("start", "end", "blocks")
+    """Block number ``b`` of each ``line``, seen as one of ``m`` characters, as a line of its own.
+
+    ``rest`` is a hash of all that is outside of it, ``at`` and ``tail`` count the characters before and after it.
+    """
+    start, end = (F.floor((F.col("b") + k) * F.col("m") / F.col("blocks")).cast("int") for k in (0, 1))
+    cut = rows.withColumns({"start": start, "end": end, "last": F.col("m") - end})
+    line = F.col("line")
+    rest = F.xxhash64("rest", "m", "b", F.xxhash64(_left(line, F.col("start"))), F.xxhash64(_right(line, F.col("size"), F.col("last"))))
+    size = F.col("size") - F.col("last") - F.col("start")
+    inner = {"rest": rest, "line": F.substring(line, F.col("start") + 1, size), "at": F.col("at") + F.col("start"), "tail": F.col("tail") + F.col("last"), "size": size, "m": F.col("end") - F.col("start")}
+    return cut.withColumns(inner).drop("start", "end", "last", "blocks")
 
 
-def _rest_keys(lines: DataFrame) -> DataFrame:
-    """``(rest, h1, m, b)`` for each line, length it is seen as, and block: the key of all but the block."""
-    seen = _seen(lines).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return _cut(seen).select("rest", "h1", "m", "b")
+def _numbered(rows: DataFrame) -> DataFrame:
+    """A row for each block of a line."""
+    blocks = F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(2), F.floor(F.col("m") / BLOCK_CHARS))).cast("int")
+    return rows.withColumn("blocks", blocks).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
 
 def _seen(lines: DataFrame) -> DataFrame:
-    seen = lines.withColumn("size", F.length("line")).withColumn("m", F.explode(F.array(F.col("size"), F.col("size") - 1)))
-    return seen.withColumn("blocks", F.least(F.lit(MOST_BLOCKS), F.greatest(F.lit(2), F.floor(F.col("m") / BLOCK_CHARS))).cast("int"))
+    seen = lines.withColumn("size", F.length("line")).withColumn("seen_as", F.explode(F.array(F.col("size"), F.col("size") - 1)))
+    return seen.withColumns({"m": F.col("seen_as"), "rest": F.lit(0).cast("long"), "at": F.lit(0), "tail": F.lit(0)})
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """The ``rest`` of more than one line."""
+    return keys.groupBy("rest").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("rest")
+
+
+def _short_blocks(candidates: DataFrame) -> DataFrame:
+    """``(h1, order, rest, at, tail, line, size, m)``: the blocks of lines that share all else with another line's, none long."""
+    keys = _cut(_numbered(_seen(candidates)).withColumn("number", F.col("b"))).select("rest", "h1", "seen_as", "number")
+    places = keys.join(_shared(keys), "rest", "left_semi").select("h1", "seen_as", F.col("number").alias("b"))
+    columns = ["h1", "order", "rest", "at", "tail", "line", "size", "m"]
+    now = materialise(_cut(_numbered(_seen(candidates)).join(places, ["h1", "seen_as", "b"])).select(*columns), "blocks")
+    done = now.where(F.col("m") <= LONG_BLOCK)
+    while not now.where(F.col("m") > LONG_BLOCK).isEmpty():
+        inner = _cut(_numbered(now.where(F.col("m") > LONG_BLOCK))).select(*columns)
+        now = materialise(inner.join(_shared(inner), "rest", "left_semi").select(*columns), "blocks")
+        done = done.union(now.where(F.col("m") <= LONG_BLOCK))
+    return done
 
 
 def _variants(rows: DataFrame) -> DataFrame:
-    """Hashed deletion variants ``(key, side, h1, order)`` of the blocks.
+    """Hashed deletion variants ``(key, side)`` of the blocks, with where they are.
 
     Side 0 meets side 0: the same character is lost at the same place.  Side 1
     is a whole line, side 2 a longer one that has lost a character.
     """
-    n = F.length("block")
-    lost = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("i"), F.concat(F.substring(F.col("block"), F.lit(1), i - 1), F.substring(F.col("block"), i + 1, n)).alias("v")))
-    whole = F.xxhash64(F.lit(1), "rest", "block")
+    n = F.length("line")
+    lost = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("i"), F.concat(F.substring(F.col("line"), F.lit(1), i - 1), F.substring(F.col("line"), i + 1, n)).alias("v")))
+    whole = F.xxhash64(F.lit(1), "rest", "line")
     same = F.transform(lost, lambda x: F.struct(F.xxhash64(F.lit(0), F.col("rest"), x["i"], x["v"]).alias("key"), F.lit(0).alias("side")))
     longer = F.transform(lost, lambda x: F.struct(F.xxhash64(F.lit(1), F.col("rest"), x["v"]).alias("key"), F.lit(2).alias("side")))
     own = F.when(F.col("size") == F.col("m"), F.concat(same, F.array(F.struct(whole.alias("key"), F.lit(1).alias("side"))))).otherwise(longer)
-    return rows.where(n > 0).select("h1", "order", F.inline(F.array_distinct(own)))
+    return rows.where(n > 0).select("h1", "order", "at", "tail", F.inline(F.array_distinct(own)))
 
 
 def near_lines(candidates: DataFrame) -> DataFrame:
@@ -99,16 +128,15 @@ def near_lines(candidates: DataFrame) -> DataFrame:
 
     Keys travel without the lines' texts; these are joined again where they are needed.
     """
-    rows = _rest_keys(candidates)
-    shared = rows.groupBy("rest").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("rest")
-    places = rows.join(shared, "rest", "left_semi").select("h1", "m", "b")
-    variants = _variants(_cut(_seen(candidates).join(places, ["h1", "m"])))
+    variants = _variants(_short_blocks(candidates))
     least = variants.groupBy("key", "side").agg(F.min(F.struct("order", "h1")).alias("seen"))
     meets = least.select("key", F.when(F.col("side") == 0, 0).otherwise(3 - F.col("side")).alias("side"), "seen")
-    met = variants.join(meets, ["key", "side"]).where(F.col("seen.order") < F.col("order")).select("order", "h1", F.col("seen.h1").alias("other")).distinct()
+    met = variants.join(meets, ["key", "side"]).where(F.col("seen.order") < F.col("order")).select("order", "h1", "at", "tail", F.col("seen.h1").alias("other")).distinct()
     texts = candidates.select("h1", "line")
     both = met.join(texts, "h1").join(texts.select(F.col("h1").alias("other"), F.col("line").alias("earlier")), "other")
-    return both.where(F.levenshtein("line", "earlier", 1) >= 0).select("order").distinct()
+    block = lambda c: F.substring(F.col(c), F.col("at") + 1, F.length(c) - F.col("at") - F.col("tail"))
+    outside = lambda c: F.struct(_left(F.col(c), F.col("at")), _right(F.col(c), F.length(c), F.col("tail")))
+    return both.where(F.levenshtein(block("line"), block("earlier"), 1) >= 0).where(outside("line") == outside("earlier")).select("order").distinct()
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

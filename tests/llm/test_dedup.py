@@ -79,6 +79,38 @@ def test_lines_by_brute_force(spark):
     assert sum(r.n_near for r in got) > 10
 
 
+@pytest.mark.parametrize("blocks,chars,long", [(2, 2, 3), (3, 4, 8), (64, 24, 96)])
+def test_long_lines_are_cut_again(spark, monkeypatch, blocks, chars, long):
+    monkeypatch.setattr(ld, "MOST_BLOCKS", blocks)
+    monkeypatch.setattr(ld, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(ld, "LONG_BLOCK", long)
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abé ") for _ in range(n)).strip() + "x" for n in (16, 17, 40, 90, 150)]
+    rows = []
+    for i in range(50):
+        s = rng.choice(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            p, k = rng.randrange(len(s)), rng.randrange(3)
+            s = s[:p] + ["", "z", "z" + s[p]][k] + s[p + 1 :]
+        rows.append((i, s))
+    got = ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {(r.doc_id, r.text) for r in got.collect()} == {(k[0], v) for k, v in _lines_by_hand(rows).items()}
+
+
+def test_very_long_lines(spark):
+    import time
+
+    rng = random.Random(2)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(1_000_000)).strip() + "end"
+    other = line[:700_001] + "X" + line[700_002:]
+    rows = [(1, line), (2, other), (3, line[:10] + line[11:]), (4, other[:5] + "Y" + other[6:]), (5, line[:-1])]
+    began = time.time()
+    got = {r.doc_id: (r.n_removed, r.n_near, r.text) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # The fourth is within one edit of the second, and two of the first.
+    assert got == {1: (0, 0, line), 2: (1, 1, ""), 3: (1, 1, ""), 4: (1, 1, ""), 5: (1, 1, "")}
+    assert time.time() - began < 60
+
+
 def test_lines_without_broadcast(spark, monkeypatch):
     rows = _line_rows(random.Random(6))[:30]
     df = spark.createDataFrame(rows, "doc_id long, text string")
