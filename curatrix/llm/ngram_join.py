@@ -44,7 +44,7 @@ from .components import components
 
 SIZE, PERCENT = 4, 85
 #: Documents are listed by their grams of hashes below this share of the range, as long as they have enough of them.
-LOWER = 0.4
+LOWER = 0.3
 #: A gram is common if this part of all documents, or this part of all grams' places, has it.
 COMMON_DOCS, MOST_COMMON = 200, 1_000_000
 #: A slice of a batch tells of grams that so many of its documents have.
@@ -57,6 +57,8 @@ LEAST_BITS, MOST_BITS = 256, 8192
 COMPARE_WORDS = 4 << 20
 #: Weight of merging against probing (DivideSkip's constant).
 MU = 0.01
+#: Bits of the filter that spares the texts of documents which are in no list.
+FILTER_BITS = 1 << 23
 _NO_ID = (1 << 63) - 1
 _UPPER, _COMMON = 1 << 61, 1 << 62
 
@@ -88,19 +90,19 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return small_batches(df).select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def _per_text(df: DataFrame, work, kind: pa.Schema, names: str) -> DataFrame:
-    """``work(docs, sets)`` of slices of the texts, as rows."""
+def _per_text(df: DataFrame, work, kind: pa.Schema, names: str, size: int, chosen=None) -> DataFrame:
+    """``work(docs, sets)`` of slices of the texts, as rows; of those only that ``chosen`` takes, if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, 1):
-                sets = [gram_set((t or "").encode()) for t in part.column(1).to_pylist()]
+            for part in steps(batch if chosen is None else batch.filter(chosen(batch)), 1):
+                sets = [gram_set((t or "").encode(), size) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_pydict(work(part.column(0), sets), schema=kind)
 
     return df.mapInArrow(run, names)
 
 
-def _marks(texts: DataFrame) -> DataFrame:
+def _marks(texts: DataFrame, size: int) -> DataFrame:
     """For every text its number of grams and a 128-bit key of their set; and grams of many texts of a slice, with a count."""
     from xxhash import xxh3_128_digest
 
@@ -115,10 +117,10 @@ def _marks(texts: DataFrame) -> DataFrame:
             "gram": none * len(sets) + grams[told].view(np.int64).tolist(), "count": none * len(sets) + counts[told].tolist(),
         }
 
-    return _per_text(texts, work, kind, "doc bigint, n bigint, key binary, gram bigint, count bigint")
+    return _per_text(texts, work, kind, "doc bigint, n bigint, key binary, gram bigint, count bigint", size)
 
 
-def _postings(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+def _postings(texts: DataFrame, common: np.ndarray, percent: int, size: int) -> DataFrame:
     """``(doc, gram, kind)``: grams by which a text may be listed.
 
     Kind 0: to be ordered by count; kinds -1 and -2: upper and common grams,
@@ -153,12 +155,12 @@ def _postings(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
         n = sum(map(len, gram))
         return {"doc": np.concatenate([*doc, np.array(heads, np.int64)]), "gram": pa.array(np.concatenate([*gram, np.zeros(len(heads), np.int64)]), mask=np.arange(n + len(heads)) >= n), "kind": np.concatenate([*kinds, np.array(counts, np.int64)])}
 
-    return _per_text(texts, work, kind, "doc bigint, gram bigint, kind bigint")
+    return _per_text(texts, work, kind, "doc bigint, gram bigint, kind bigint", size)
 
 
-def _listed(texts: DataFrame, nodes: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
+def _listed(texts: DataFrame, nodes: DataFrame, common: np.ndarray, percent: int, size: int) -> DataFrame:
     """``(gram, doc, n)``: every document under the grams of its short lists."""
-    posts = _postings(texts, common, percent)
+    posts = _postings(texts, common, percent, size)
     # Grams of the last kinds are not counted, so they and the rows without a gram are dealt by document.
     salt = F.when(F.col("gram").isNull() | (F.col("kind") < 0), F.col("doc")).otherwise(0)
     counted = posts.withColumn("salt", salt).withColumn("docs", F.count("*").over(Window.partitionBy("gram", "salt"))).where((F.col("docs") > 1) | F.col("gram").isNull() | (F.col("kind") < 0))
@@ -342,11 +344,36 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return cut.join(sides, ["list", "block"]).select("part", "doc", "side", "root")
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def _sets(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """``(doc, n, grams, bits)`` of the texts of members.
+
+    A filter of bounded size leaves out most other texts before they are worked on; what it lets pass by chance goes by a join.
+    """
+    spark = texts.sparkSession
+    place = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    words = members.select("doc").distinct().select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits"))
+    known = np.zeros(FILTER_BITS // 64, np.int64)
+    for word, bits in words.collect():
+        known[word] = bits
+    shared = spark.sparkContext.broadcast(known)
+    kind = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("bits", pa.binary())])
+
+    def chosen(batch: pa.RecordBatch) -> pa.Array:
+        at = batch.column(2).to_numpy()
+        return pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    def packed(docs: pa.Array, sets: list[np.ndarray]) -> dict:
+        return {"doc": docs, "n": [len(s) for s in sets], "grams": [s.tobytes() for s in sets], "bits": [bitmap(s) for s in sets]}
+
+    found = _per_text(texts.withColumn("place", place), packed, kind, "doc bigint, n bigint, grams binary, bits binary", size, chosen)
+    return found.join(members.select("doc").distinct(), "doc", "left_semi")
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, size: int = SIZE) -> DataFrame:
     """``(id, n_shingles, component_id)`` of every row.
 
     Documents link when ``100 * intersection >= percent * union`` of their sets
-    of four-word shingles; ``component_id`` is the smallest id reachable.
+    of shingles of ``size`` words; ``component_id`` is the smallest id reachable.
     Texts without words (null, empty, white space) link with nothing, except
     rows of their own id: rows of one id are one document, whatever their texts,
     and so are all rows without an id, whose component is the smallest id they
@@ -354,7 +381,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows, other columns are not looked at.
     """
     texts = _texts(df, id_col, text_col)
-    marks = materialise(_marks(texts), "marks")
+    marks = materialise(_marks(texts, size), "marks")
     rows = marks.where("n IS NOT NULL").select("doc", "n", "key")
     total = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     bound = max(2 * TELL, total[0] // COMMON_DOCS, total[1] // MOST_COMMON)
@@ -366,18 +393,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     placed = materialise(rows.where("n > 0").join(classes, ["key", "n"]).select("doc", "n", "least"), "placed")
     nodes = placed.groupBy("doc").agg(F.max("n").alias("n"), (F.min("least") < F.max("least")).alias("versions"), F.max(F.col("doc") == F.col("least")).alias("first"))
 
-    listed = materialise(_listed(texts, nodes, common, percent), "listed")
+    listed = materialise(_listed(texts, nodes, common, percent, size), "listed")
     hashed = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     lists = listed.groupBy("gram").agg(F.count("*").alias("held"), F.sum("n").alias("total"), *hashed).where("held > 1")
     lists = lists.groupBy("held", "total", "x1", "x2").agg(F.min("gram").alias("gram"))
     members = materialise(listed.join(lists.select("gram", "held"), "gram").select(F.col("gram").alias("list"), "doc", "n", "held"), "members")
 
-    def packed(docs: pa.Array, sets: list[np.ndarray]) -> dict:
-        return {"doc": docs, "n": [len(s) for s in sets], "grams": [s.tobytes() for s in sets], "bits": [bitmap(s) for s in sets]}
-
-    wanted = texts.join(members.select("doc").distinct(), "doc", "left_semi")
-    sets = _per_text(wanted, packed, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("bits", pa.binary())]), "doc bigint, n bigint, grams binary, bits binary")
-    sets = materialise(sets, "sets")
+    sets = materialise(_sets(texts, members, size), "sets")
     home = members.groupBy("doc").agg(F.max(F.struct("held", "list"))["list"].alias("list"), F.max("n").alias("n"))
     blocks = home.groupBy("list").agg(F.ceil(F.sum("n") * 8 / BLOCK_BYTES).alias("blocks"), F.count("*").alias("met")).where("met > 1")
     alone = home.join(blocks, "list").select(F.xxhash64("list", F.pmod(F.xxhash64("doc"), F.col("blocks"))).alias("part"), "doc")

@@ -214,11 +214,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return marked.join(table, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+def keep_first_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 80, words: int = 5) -> DataFrame:
     """The rows of ``df`` without those that are near copies of a document with a smaller id.
 
-    Rows that repeat the kept id stay; so do rows without id.
+    Near copies are linked by fingerprints, and, as few pairs of a similarity
+    near ``percent`` are within three bits, by the exact join over shingles of
+    ``words`` words; a group is what both kinds of links connect.  Rows that
+    repeat the kept id stay; so do rows without id.
     """
-    found = near_duplicates(df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias(text_col)).where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, size)
-    away = found.where(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return df.join(away.withColumnRenamed(id_col, "simhash_away"), F.col(f"`{id_col}`") == F.col("simhash_away"), "left_anti")
+    from .ngram_join import jaccard_components
+
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    alike = [found.where("component_id <> doc_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")) for found in (near_duplicates(docs, size=size), jaccard_components(docs, percent=percent, size=words))]
+    roots = components(materialise(alike[0].union(alike[1]).distinct(), "alike"))
+    away = roots.where("node <> root").select(F.col("node").alias("simhash_away")).distinct()
+    return df.join(away, F.col(f"`{id_col}`").cast("long") == F.col("simhash_away"), "left_anti")
