@@ -27,7 +27,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies."""
+    """The document of the smallest id of each group of near copies, by fingerprints and by five-word shingles of similarity 0.8 or more."""
     from curatrix.llm.simhash import keep_first_of_each
 
     return keep_first_of_each(docs)
