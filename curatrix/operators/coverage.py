@@ -170,19 +170,58 @@ def cluster_stats(df: DataFrame, selected: DataFrame, cluster: str = "label") ->
     return df.groupBy(cluster).agg(F.count("*").alias("n_rows")).join(chosen, cluster, "left").fillna(0, ["n_selected"])
 
 
+def _nearest(rows: np.ndarray, picks: np.ndarray) -> np.ndarray:
+    """Each row's distance to the nearest pick, a slice of the rows at a time."""
+    out, square = np.empty(len(rows)), (picks * picks).sum(axis=1)
+    step = max(1, 4_000_000 // max(1, len(picks)))
+    for at in range(0, len(rows), step):
+        some = rows[at : at + step]
+        far = square[None, :] - 2 * some @ picks.T
+        nearest = picks[far.argmin(axis=1)]
+        # The product only says which is nearest; its distance is taken anew, without cancellation.
+        out[at : at + step] = np.sqrt(((some - nearest) ** 2).sum(axis=1))
+    return out
+
+
 def coverage_score(df: DataFrame, selected: DataFrame, vector: str = "embedding") -> DataFrame:
     """``1 / (1 + mean distance to the nearest selected row)``; 0 if either side is empty.
 
-    The selection is grouped into blocks; each row meets each block once and
-    keeps its least distance.
+    A selection of up to ``BROADCAST_VECTORS`` vectors is sent to the tasks,
+    which give a sum and a count each.  A larger one is packed, and so are the
+    distinct vectors; each two packs are compared as a matrix product.
     """
-    picks = selected.select(doubles(vector).alias("s"), F.lit(0).alias("one"))
-    packed = picks.groupBy(F.pmod(F.xxhash64("s"), F.lit(64)).alias("part")).agg(F.collect_list("s").alias("picks"))
-    small = selected.limit(BROADCAST_VECTORS + 1).count() <= BROADCAST_VECTORS
-    rows = df.select(F.monotonically_increasing_id().alias("row"), doubles(vector).alias("v"))
-    met = rows.crossJoin(F.broadcast(packed) if small else packed)
-    nearest = met.select("row", F.array_min(F.transform("picks", lambda s: euclidean(F.col("v"), s))).alias("d")).groupBy("row").agg(F.min("d").alias("d"))
-    return nearest.agg(F.coalesce(1 / (1 + F.avg("d")), F.lit(0.0)).alias("coverage"))
+    import pyarrow as pa
+
+    # One more row than may be sent, so that nothing unbounded is brought to the driver.
+    found = selected.select(doubles(vector).alias("s")).where("s IS NOT NULL").limit(BROADCAST_VECTORS + 1).collect() if selected.limit(BROADCAST_VECTORS + 1).count() <= BROADCAST_VECTORS else None
+    rows = df.select(doubles(vector).alias("v")).where("v IS NOT NULL")
+    score = F.when(F.sum("n") > 0, 1 / (1 + F.sum("d") / F.sum("n"))).otherwise(0.0)
+    if found is not None:
+        sent = df.sparkSession.sparkContext.broadcast(np.array([r[0] for r in found], float))
+
+        def run(batches):
+            for batch in batches:
+                if batch.num_rows and len(sent.value):
+                    v = batch.column(0)
+                    yield pa.RecordBatch.from_pydict({"d": [float(_nearest(v.flatten().to_numpy().reshape(len(v), -1), sent.value).sum())], "n": [len(v)]})
+
+        return rows.mapInArrow(run, "d double, n bigint").agg(F.coalesce(score, F.lit(0.0)).alias("coverage"))
+    keys = [F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2")]
+    each = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.any_value("v").alias("v"))
+    packs = lambda frame, key, name: frame.groupBy(F.pmod(key, F.lit(max(1, frame.count() // 2048))).alias(f"{name}_pack")).agg(F.collect_list(F.struct(*frame.columns)).alias(name))
+    picks = selected.select(doubles(vector).alias("s")).where("s IS NOT NULL").distinct()
+
+    def compared(frames):
+        import pandas as pd
+
+        for frame in frames:
+            for left, right in zip(frame["left"], frame["right"], strict=True):
+                d = _nearest(np.array([r["v"] for r in left], float), np.array([r["s"] for r in right], float))
+                yield pd.DataFrame({"k1": [r["k1"] for r in left], "k2": [r["k2"] for r in left], "n": [r["n"] for r in left], "d": d})
+
+    met = packs(each, F.col("k1"), "left").crossJoin(packs(picks, F.xxhash64("s"), "right")).select("left", "right")
+    nearest = met.mapInPandas(compared, "k1 long, k2 long, n long, d double").groupBy("k1", "k2", "n").agg(F.min("d").alias("least"))
+    return nearest.select("n", (F.col("n") * F.col("least")).alias("d")).agg(F.coalesce(score, F.lit(0.0)).alias("coverage"))
 
 
 def embedding_text(df: DataFrame) -> DataFrame:

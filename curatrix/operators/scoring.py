@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import complexity, quality
-from ..functions.vectors import cosine_distance, doubles
+from ..functions.vectors import cosine_distance, doubles, euclidean
 from .order import numbered
 
 WEIGHTS = {"complexity": 0.3, "quality": 0.5, "diversity": 0.2}
@@ -47,38 +47,142 @@ def score_summary(df: DataFrame) -> DataFrame:
     return df.select(F.expr(f"stack(4, {pairs}) as (dimension, value)")).groupBy("dimension").agg(F.min("value").alias("least"), F.avg("value").alias("mean"), F.max("value").alias("greatest"))
 
 
-def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512) -> DataFrame:
+#: Rows of smaller norm are compared with all others; the distances of the rest differ from those of unit vectors by less than the slack.
+SMALL_NORM, SLACK = 1e-2, 5e-4
+
+
+def _blocks(df: DataFrame, vector: str, order: str, block: int, pivots: int) -> DataFrame:
+    """Blocks of rows that are near each other: ``(block, center, radius, low, high, worst, rows)``.
+
+    The first ``pivots`` rows are known to all tasks.  A row's distance to the
+    nearest of those before it is the first bound on its least distance, and
+    rows of the same nearest pivot make blocks of their own, near pivots side by
+    side.  ``worst`` is the
+    greatest of the rows' bounds once they have met within the block.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from ..sources.scratch import scratch_dir
+
+    spark = df.sparkSession
+    rows = numbered(df.select(F.col(order).cast("long").alias("at"), doubles(vector).alias("v")).where("at IS NOT NULL AND v IS NOT NULL"), "at")
+    path = scratch_dir(spark, "places")
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    first = rows.where(F.col("place") < pivots).orderBy("place").select("at", "v").collect()
+    sent = spark.sparkContext.broadcast((np.array([r["at"] for r in first], np.int64), np.array([r["v"] for r in first], float)))
+
+    def toured(unit):
+        """Each pivot's place on a tour that goes on to the nearest pivot that is left."""
+        place, left, at = np.zeros(len(unit), np.int64), np.ones(len(unit), bool), 0
+        for k in range(len(unit)):
+            place[at], left[at] = k, False
+            at = int(np.where(left, unit @ unit[at], -np.inf).argmax())
+        return place
+
+    def near_pivots(frames):
+        (known, p), tour = sent.value, None
+        for frame in frames:
+            if not len(frame):
+                continue
+            length = np.linalg.norm(p, axis=1)
+            unit = p / np.maximum(length, 1e-300)[:, None]
+            v, at = np.array(frame["v"].tolist(), float), frame["at"].to_numpy()
+            norm = np.linalg.norm(v, axis=1)
+            product = v @ p.T
+            far = 1 - product / (norm[:, None] * length[None, :] + 1e-8)
+            far[known[None, :] >= at[:, None]] = np.inf
+            tour = toured(unit) if tour is None else tour
+            cell = np.where(norm < SMALL_NORM, -1, tour[(v / np.maximum(norm, 1e-300)[:, None] @ unit.T).argmax(axis=1)])
+            yield frame.assign(cell=cell, least=far.min(axis=1))
+
+    marked = rows.mapInPandas(near_pivots, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema.fields)}, cell long, least double")
+    laid = numbered(marked, "cell", "place", name="lay").withColumn("block", F.floor(F.col("lay") / block) * (pivots + 1) + F.col("cell") + 1)
+    packed = laid.groupBy("block").agg(F.collect_list(F.struct("place", "at", "least", "v")).alias("rows"))
+
+    def within(frames):
+        for frame in frames:
+            out = []
+            for number, held in zip(frame["block"], frame["rows"], strict=True):
+                held = sorted(held, key=lambda r: r["place"])
+                place, at, v = np.array([r["place"] for r in held]), np.array([r["at"] for r in held]), np.array([r["v"] for r in held], float)
+                norm = np.linalg.norm(v, axis=1)
+                far = 1 - v @ v.T / (norm[:, None] * norm[None, :] + 1e-8)
+                far[at[None, :] >= at[:, None]] = np.inf
+                least = np.minimum(far.min(axis=1), [r["least"] for r in held])
+                unit = v / np.maximum(norm, 1e-300)[:, None]
+                center = unit.mean(axis=0)
+                radius = 4.0 if (norm < SMALL_NORM).any() else float(np.linalg.norm(unit - center, axis=1).max())
+                told = [{"place": int(q), "at": r["at"], "least": float(x), "v": r["v"]} for q, r, x in zip(place, held, least, strict=True)]
+                out.append({"block": number, "center": center.tolist(), "radius": radius, "low": int(place.min()), "high": int(place.max()), "worst": float(least.max()), "rows": told})
+            yield pd.DataFrame(out, columns=["block", "center", "radius", "low", "high", "worst", "rows"])
+
+    row = "struct<place:long,at:long,least:double,v:array<double>>"
+    made = packed.mapInPandas(within, f"block long, center array<double>, radius double, low long, high long, worst double, rows array<{row}>")
+    path = scratch_dir(spark, "blocks")
+    made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
+def _near_blocks(blocks: DataFrame, pivots: int) -> DataFrame:
+    """``(a, b)``: blocks whose rows may have a nearer earlier row in another block, and that one.
+
+    Unit vectors obey the triangle inequality: rows of two blocks are at least
+    as far apart as their centers less both radii.  Blocks are bundled by
+    hundreds first, so that few pairs of blocks are looked at.
+    """
+    stats = blocks.select("block", "center", "radius", "low", "high", "worst", F.floor(F.col("block") / (128 * (pivots + 1))).alias("bundle"))
+    middle = stats.groupBy("bundle").agg(F.min_by("center", "block").alias("middle"))
+    span = stats.join(middle, "bundle").groupBy("bundle", "middle").agg(F.max(euclidean(F.col("center"), F.col("middle")) + F.col("radius")).alias("radius"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("worst").alias("worst"))
+    side = lambda frame, mark: frame.select(*[F.col(c).alias(f"{c}_{mark}") for c in frame.columns])
+
+    def apart(center: str) -> Column:
+        gap = euclidean(F.col(f"{center}_a"), F.col(f"{center}_b")) - F.col("radius_a") - F.col("radius_b")
+        return (F.col("low_b") < F.col("high_a")) & ~((gap > 0) & (gap * gap / 2 > F.col("worst_a") + SLACK))
+
+    bundles = side(span, "a").join(side(span, "b"), apart("middle")).select("bundle_a", "bundle_b")
+    return bundles.join(side(stats, "a"), "bundle_a").join(side(stats, "b"), "bundle_b").where((F.col("block_a") != F.col("block_b")) & apart("center")).select(F.col("block_a").alias("a"), F.col("block_b").alias("b"))
+
+
+def compared_share(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512, pivots: int = 256) -> DataFrame:
+    """``(blocks, pairs, compared, share)``: how many pairs of blocks ``diversity_before`` compares, of all."""
+    blocks = _blocks(df, vector, order, block, pivots)
+    n = blocks.agg(F.count("*").alias("blocks"))
+    pairs = F.col("blocks") * (F.col("blocks") - 1)
+    return n.crossJoin(_near_blocks(blocks, pivots).agg(F.count("*").alias("compared"))).select("blocks", pairs.alias("pairs"), "compared", F.coalesce(F.try_divide("compared", pairs), F.lit(0.0)).alias("share"))
+
+
+def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512, pivots: int = 256) -> DataFrame:
     """``diversity``: ten times the least cosine distance to all rows before, at most 10; the first row is neutral.
 
-    Exact, so every row meets every earlier one: the work grows with the square
-    of the rows, by its definition.  Rows are numbered densely in their order,
-    packed into blocks of ``block``, pairs of blocks are compared as matrix
-    products, and only the least distance of each row leaves a pair.
+    Exact.  Rows near each other lie in one block and meet there first; of the
+    other blocks only those are compared, as matrix products, that may hold a
+    nearer row for one of the block's, by the triangle inequality.
     """
     import numpy as np
     import pandas as pd
 
-    rows = numbered(df.select(F.col(order).cast("long").alias("at"), doubles(vector).alias("v")), "at")
-    packed = rows.withColumn("block", F.floor(F.col("place") / block)).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("rows"))
-    left = packed.select(F.col("block").alias("a"), F.col("rows").alias("later"))
-    right = packed.select(F.col("block").alias("b"), F.col("rows").alias("earlier"))
-    pairs = left.join(right, F.col("b") <= F.col("a"))
+    blocks = _blocks(df, vector, order, block, pivots)
+    left = blocks.select(F.col("block").alias("a"), F.col("rows").alias("later"))
+    right = blocks.select(F.col("block").alias("b"), F.col("rows").alias("earlier"))
+    pairs = _near_blocks(blocks, pivots).join(left, "a").join(right, "b").select("later", "earlier")
 
     def run(frames):
         for frame in frames:
-            out = []
             for later, earlier in zip(frame["later"], frame["earlier"], strict=True):
                 ai, bi = np.array([r["at"] for r in later]), np.array([r["at"] for r in earlier])
-                a, b = np.array([r["v"] for r in later]), np.array([r["v"] for r in earlier])
+                a, b = np.array([r["v"] for r in later], float), np.array([r["v"] for r in earlier], float)
                 far = 1 - a @ b.T / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :] + 1e-8)
                 far[bi[None, :] >= ai[:, None]] = np.inf
-                least = far.min(axis=1)
-                out.append(pd.DataFrame({"at": ai[np.isfinite(least)], "least": least[np.isfinite(least)]}))
-            yield pd.concat(out) if out else pd.DataFrame({"at": [], "least": []})
+                least, known = far.min(axis=1), np.array([r["least"] for r in later])
+                nearer = least < known
+                yield pd.DataFrame({"at": ai[nearer], "least": least[nearer]})
 
-    least = pairs.mapInPandas(run, "at long, least double").groupBy("at").agg(F.min("least").alias("least"))
+    own = blocks.select(F.inline("rows")).select("at", "least")
+    least = own.union(pairs.mapInPandas(run, "at long, least double")).where(F.col("least") < float("inf")).groupBy("at").agg(F.min("least").alias("least"))
     joined = df.join(least, F.col(order) == F.col("at"), "left").drop("at")
-    return joined.withColumn("diversity", F.coalesce(F.least(F.lit(10.0), F.col("least") * 10), F.lit(NEUTRAL))).drop("least")
+    return joined.withColumn("diversity", F.when(F.col("least").isNull(), NEUTRAL).otherwise(F.least(F.lit(10.0), F.col("least") * 10))).drop("least")
 
 
 def cosine_between(a: str, b: str) -> Column:
@@ -106,18 +210,15 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 def first_of_each(df: DataFrame, column: str, order: str) -> DataFrame:
     """One row of each lower-cased, trimmed text: that of the least order, null orders last.
 
-    Only digests are ranked, so texts are not shuffled twice: the least
-    ``(order, row digest)`` of each text is joined back, and rows that are the
-    same in every column are counted once.
+    Rows are ranked by digests of the text; each task keeps its first row of a
+    text before anything is shuffled.  Of rows of one text and order the least
+    digest of the row counts, so that reruns agree.
     """
     norm = F.lower(F.regexp_replace(F.coalesce(column, F.lit("")), r"^\s+|\s+$", ""))
-    texts = F.struct(F.xxhash64(norm).alias("a"), F.xxhash64(F.lit(1), norm).alias("b"))
-    place = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("at"), F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("row"))
-    marked = df.withColumns({"first_text": texts, "first_place": place})
-    firsts = marked.groupBy("first_text").agg(F.min("first_place").alias("first_place"))
-    kept = marked.join(firsts.withColumnRenamed("first_place", "least_place"), "first_text")
-    kept = kept.where(F.col("first_place").eqNullSafe(F.col("least_place")))
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns], F.col("first_text").alias("first_text")).dropDuplicates(["first_text"]).drop("first_text")
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    marked = df.withColumns({"first_a": F.xxhash64(norm), "first_b": F.xxhash64(F.lit(1), norm)})
+    best = Window.partitionBy("first_a", "first_b").orderBy(F.col(order).asc_nulls_last(), F.xxhash64(*plain))
+    return marked.withColumn("first_rank", F.row_number().over(best)).where(F.col("first_rank") == 1).drop("first_a", "first_b", "first_rank")
 
 
 def balance(df: DataFrame, ratios: dict[str, float], difficulty: str = "difficulty", rating: str = "rating", order: str = "idx") -> DataFrame:

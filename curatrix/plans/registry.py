@@ -174,7 +174,7 @@ def score_summary(spark, sf_dir):
     return s.select("dimension", *[F.round(c, 6).alias(c) for c in ("least", "mean", "greatest")])
 
 
-@_query("WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), d AS (SELECT a.vec_id, min(1 - list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8)) AS m FROM v a JOIN v b ON b.vec_id < a.vec_id GROUP BY a.vec_id) SELECT v.vec_id, round(coalesce(least(10.0, m * 10), 5.0), 5) AS diversity FROM v LEFT JOIN d USING (vec_id)")
+@_query("WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), d AS (SELECT a.vec_id, min(1 - list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)) + 1e-8)) AS m FROM v a JOIN v b ON b.vec_id < a.vec_id GROUP BY a.vec_id) SELECT v.vec_id, round(CASE WHEN m IS NULL THEN 5.0 ELSE least(10.0, m * 10) END, 5) AS diversity FROM v LEFT JOIN d USING (vec_id)")
 def diversity_incremental(spark, sf_dir):
     found = scoring.diversity_before(_vectors(spark, sf_dir), order="vec_id")
     return found.select("vec_id", F.round("diversity", 5).alias("diversity"))

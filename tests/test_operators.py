@@ -647,3 +647,56 @@ def test_templates_are_filled_by_their_callers(spark):
                 assert not left, (name, left)
     finally:
         models.ask = kept
+
+
+def _clustered(rng, n, groups, dim=12):
+    centers = rng.normal(size=(groups, dim)) * 5
+    v = centers[rng.integers(0, groups, n)] + rng.normal(size=(n, dim)) * 0.05
+    v[::17] *= 1e-7
+    v[5] = 0
+    v[8] = v[3]
+    return v
+
+
+@pytest.mark.parametrize("block, pivots", [(16, 4), (40, 30), (512, 256)])
+def test_nearest_earlier_rows_with_pruning_by_brute_force(spark, block, pivots):
+    rng = np.random.default_rng(4)
+    v = _clustered(rng, 300, 7)
+    at = rng.permutation(300)
+    at[::50] = 3
+    df = spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(at, v, strict=True)], "idx long, embedding array<double>").repartition(3)
+    norm = np.linalg.norm(v, axis=1)
+    far = 1 - v @ v.T / (norm[:, None] * norm[None, :] + 1e-8)
+    far[at[None, :] >= at[:, None]] = np.inf
+    # Rows of one place share what is found for any of them.
+    least: dict = {}
+    for k, x in zip(at.tolist(), far.min(axis=1).tolist(), strict=True):
+        least[k] = min(least.get(k, np.inf), x)
+    got = sorted((r.idx, r.diversity) for r in scoring.diversity_before(df, block=block, pivots=pivots).collect())
+    want = sorted((k, min(10.0, 10 * least[k]) if least[k] < np.inf else 5.0) for k in at.tolist())
+    assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=1e-9)
+    assert scoring.diversity_before(df.limit(0)).count() == 0
+
+
+def test_fewer_blocks_are_compared_as_the_table_grows(spark):
+    rng = np.random.default_rng(5)
+    share = []
+    for n in (400, 1600, 6400):
+        centers = rng.normal(size=(n // 40, 12)) * 5
+        v = centers[rng.integers(0, n // 40, n)] + rng.normal(size=(n, 12)) * 0.02
+        df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "idx long, embedding array<double>")
+        share.append(scoring.compared_share(df, block=32, pivots=512).first().share)
+    assert share[0] > share[1] > share[2] and share[2] < 0.1
+
+
+@pytest.mark.parametrize("most", [125_000, 3])
+def test_coverage_by_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(coverage, "BROADCAST_VECTORS", most)
+    rng = np.random.default_rng(6)
+    v, p = rng.normal(size=(200, 5)), rng.normal(size=(20, 5))
+    v[3:6] = p[0]
+    df = spark.createDataFrame([(x.tolist(),) for x in v], "embedding array<double>").repartition(3)
+    picks = spark.createDataFrame([(x.tolist(),) for x in p], "embedding array<double>")
+    mean = np.linalg.norm(v[:, None] - p[None], axis=2).min(axis=1).mean()
+    assert coverage.coverage_score(df, picks).first().coverage == pytest.approx(1 / (1 + mean), abs=1e-12)
+    assert coverage.coverage_score(df.limit(0), picks).first().coverage == coverage.coverage_score(df, picks.limit(0)).first().coverage == 0.0
