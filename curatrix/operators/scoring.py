@@ -51,8 +51,8 @@ def score_summary(df: DataFrame) -> DataFrame:
 SMALL_NORM, SLACK = 1e-2, 5e-4
 
 
-def _blocks(df: DataFrame, vector: str, order: str, block: int, pivots: int) -> DataFrame:
-    """Blocks of rows that are near each other: ``(block, center, radius, low, high, worst, rows)``.
+def _blocks(df: DataFrame, vector: str, order: str, block: int, pivots: int) -> tuple[DataFrame, int]:
+    """Blocks of rows that are near each other: ``(block, center, radius, low, high, worst, rows)``; and how far apart numbers of blocks are in a bundle of a hundred or so.
 
     The first ``pivots`` rows are known to all tasks.  A row's distance to the
     nearest of those before it is the first bound on its least distance, and
@@ -70,6 +70,8 @@ def _blocks(df: DataFrame, vector: str, order: str, block: int, pivots: int) ->
     path = scratch_dir(spark, "places")
     rows.write.parquet(path)
     rows = spark.read.schema(rows.schema).parquet(path)
+    # So many that their cells fill blocks.
+    pivots = max(1, min(pivots, rows.count() // block))
     first = rows.where(F.col("place") < pivots).orderBy("place").select("at", "v").collect()
     sent = spark.sparkContext.broadcast((np.array([r["at"] for r in first], np.int64), np.array([r["v"] for r in first], float)))
 
@@ -122,17 +124,17 @@ def _blocks(df: DataFrame, vector: str, order: str, block: int, pivots: int) ->
     made = packed.mapInPandas(within, f"block long, center array<double>, radius double, low long, high long, worst double, rows array<{row}>")
     path = scratch_dir(spark, "blocks")
     made.write.parquet(path)
-    return spark.read.schema(made.schema).parquet(path)
+    return spark.read.schema(made.schema).parquet(path), 128 * (pivots + 1)
 
 
-def _near_blocks(blocks: DataFrame, pivots: int) -> DataFrame:
+def _near_blocks(blocks: DataFrame, bundle: int) -> DataFrame:
     """``(a, b)``: blocks whose rows may have a nearer earlier row in another block, and that one.
 
     Unit vectors obey the triangle inequality: rows of two blocks are at least
     as far apart as their centers less both radii.  Blocks are bundled by
     hundreds first, so that few pairs of blocks are looked at.
     """
-    stats = blocks.select("block", "center", "radius", "low", "high", "worst", F.floor(F.col("block") / (128 * (pivots + 1))).alias("bundle"))
+    stats = blocks.select("block", "center", "radius", "low", "high", "worst", F.floor(F.col("block") / bundle).alias("bundle"))
     middle = stats.groupBy("bundle").agg(F.min_by("center", "block").alias("middle"))
     span = stats.join(middle, "bundle").groupBy("bundle", "middle").agg(F.max(euclidean(F.col("center"), F.col("middle")) + F.col("radius")).alias("radius"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("worst").alias("worst"))
     side = lambda frame, mark: frame.select(*[F.col(c).alias(f"{c}_{mark}") for c in frame.columns])
@@ -147,10 +149,10 @@ def _near_blocks(blocks: DataFrame, pivots: int) -> DataFrame:
 
 def compared_share(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512, pivots: int = 256) -> DataFrame:
     """``(blocks, pairs, compared, share)``: how many pairs of blocks ``diversity_before`` compares, of all."""
-    blocks = _blocks(df, vector, order, block, pivots)
+    blocks, bundle = _blocks(df, vector, order, block, pivots)
     n = blocks.agg(F.count("*").alias("blocks"))
     pairs = F.col("blocks") * (F.col("blocks") - 1)
-    return n.crossJoin(_near_blocks(blocks, pivots).agg(F.count("*").alias("compared"))).select("blocks", pairs.alias("pairs"), "compared", F.coalesce(F.try_divide("compared", pairs), F.lit(0.0)).alias("share"))
+    return n.crossJoin(_near_blocks(blocks, bundle).agg(F.count("*").alias("compared"))).select("blocks", pairs.alias("pairs"), "compared", F.coalesce(F.try_divide("compared", pairs), F.lit(0.0)).alias("share"))
 
 
 def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx", block: int = 512, pivots: int = 256) -> DataFrame:
@@ -163,13 +165,14 @@ def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx
     import numpy as np
     import pandas as pd
 
-    blocks = _blocks(df, vector, order, block, pivots)
+    blocks, bundle = _blocks(df, vector, order, block, pivots)
     left = blocks.select(F.col("block").alias("a"), F.col("rows").alias("later"))
     right = blocks.select(F.col("block").alias("b"), F.col("rows").alias("earlier"))
-    pairs = _near_blocks(blocks, pivots).join(left, "a").join(right, "b").select("later", "earlier")
+    pairs = _near_blocks(blocks, bundle).join(left, "a").join(right, "b").select("later", "earlier")
 
     def run(frames):
         for frame in frames:
+            found = [pd.DataFrame({"at": np.zeros(0, np.int64), "least": np.zeros(0)})]
             for later, earlier in zip(frame["later"], frame["earlier"], strict=True):
                 ai, bi = np.array([r["at"] for r in later]), np.array([r["at"] for r in earlier])
                 a, b = np.array([r["v"] for r in later], float), np.array([r["v"] for r in earlier], float)
@@ -177,7 +180,9 @@ def diversity_before(df: DataFrame, vector: str = "embedding", order: str = "idx
                 far[bi[None, :] >= ai[:, None]] = np.inf
                 least, known = far.min(axis=1), np.array([r["least"] for r in later])
                 nearer = least < known
-                yield pd.DataFrame({"at": ai[nearer], "least": least[nearer]})
+                if nearer.any():
+                    found.append(pd.DataFrame({"at": ai[nearer], "least": least[nearer]}))
+            yield pd.concat(found)
 
     own = blocks.select(F.inline("rows")).select("at", "least")
     least = own.union(pairs.mapInPandas(run, "at long, least double")).where(F.col("least") < float("inf")).groupBy("at").agg(F.min("least").alias("least"))

@@ -685,7 +685,7 @@ def test_fewer_blocks_are_compared_as_the_table_grows(spark):
         centers = rng.normal(size=(n // 40, 12)) * 5
         v = centers[rng.integers(0, n // 40, n)] + rng.normal(size=(n, 12)) * 0.02
         df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "idx long, embedding array<double>")
-        share.append(scoring.compared_share(df, block=32, pivots=512).first().share)
+        share.append(scoring.compared_share(df, block=16, pivots=512).first().share)
     assert share[0] > share[1] > share[2] and share[2] < 0.1
 
 
