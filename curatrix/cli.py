@@ -141,6 +141,9 @@ def multi_score(spark, args):
 
 def select_coverage(spark, args):
     v = spark.read.parquet(args.input)
+    if args.encoder:
+        v = coverage.embed_cached(coverage.embedding_text(v), coverage.ENCODERS[args.encoder](), args.cache or f"{args.output.rstrip('/')}.vectors", model=args.encoder)
+        v = v.withColumnRenamed("embedding", args.vector) if args.vector != "embedding" else v
     n = coverage.target_size(v.count(), args.target, args.ratio)
     clustered = coverage.kmeans(v, coverage.cluster_count(v.count(), args.clusters), args.vector)
     pick = coverage.select_diverse if args.strategy == "diverse" else coverage.select_centroid
@@ -160,7 +163,9 @@ def pipeline(spark, args):
 
 
 def compare_sets(spark, args):
-    sets = readers.datasets(spark, args.input, PAIR_SCHEMA)
+    good, wrong = readers.split_errors(readers.checked_array(spark, args.input, PAIR_SCHEMA), f"{args.output.rstrip('/')}.read")
+    sets = good.withColumn("dataset", readers.dataset_name())
+    wrong.write.mode("overwrite").json(f"{args.output.rstrip('/')}.errors")
     m = compare.dataset_metrics(sets)
     m.show(truncate=False)
     decision = None
@@ -319,6 +324,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--ratio", type=float, default=0.2)
             p.add_argument("--clusters", type=int)
             p.add_argument("--strategy", choices=("centroid", "diverse"), default="centroid")
+            p.add_argument("--encoder", choices=sorted(coverage.ENCODERS), help="make the vectors of the rows' texts")
+            p.add_argument("--cache", help="table of vectors that is kept from run to run")
             p.add_argument("--vector", default="embedding")
             p.add_argument("--key", default="vec_id")
         if "deps" in groups:

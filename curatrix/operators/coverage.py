@@ -257,3 +257,54 @@ def embed(df: DataFrame, encoder, column: str = "embedding_text") -> DataFrame:
 
     vectors = df.select(column).where(F.col(column).isNotNull()).distinct().mapInPandas(run, f"`{column}` string, embedding array<float>")
     return df.join(vectors, column, "left")
+
+
+def hash_encoder(size: int = 64):
+    """An encoder that needs no model: a text's words, counted in buckets by their CRC, at unit length."""
+
+    def make():
+        import zlib
+
+        def encode(texts: list[str]) -> list[list[float]]:
+            out = np.zeros((len(texts), size))
+            for k, text in enumerate(texts):
+                for word in text.lower().split():
+                    out[k, zlib.crc32(word.encode()) % size] += 1
+            return (out / np.maximum(np.linalg.norm(out, axis=1), 1e-12)[:, None]).tolist()
+
+        return encode
+
+    return make
+
+
+#: Encoders by name; ``ENCODERS[name]()`` is what ``embed`` takes.
+ENCODERS = {"hash": hash_encoder}
+
+
+def embed_cached(df: DataFrame, encoder, path: str, column: str = "embedding_text", model: str = "default", buckets: int = 64) -> DataFrame:
+    """As ``embed``, with a table of vectors at ``path`` that is kept from run to run.
+
+    The table is bucketed by a hash of model and text, so neither the search
+    for new texts nor the join moves it; only texts that it lacks are encoded,
+    each once, and appended.
+    """
+    import hashlib
+
+    spark = df.sparkSession
+    name = f"embeddings_{hashlib.md5(f'{path}:{buckets}'.encode()).hexdigest()}"  # noqa: S324
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (text_key STRING, embedding ARRAY<FLOAT>) USING parquet CLUSTERED BY (text_key) SORTED BY (text_key) INTO {buckets} BUCKETS LOCATION '{path}'")
+    keyed = df.withColumn("text_key", F.when(F.col(column).isNotNull(), F.sha2(F.concat(F.lit(f"{model}:"), column), 256)))
+    texts = keyed.where("text_key IS NOT NULL").groupBy("text_key").agg(F.any_value(column).alias(column))
+    new = texts.join(spark.table(name), "text_key", "left_anti")
+
+    def run(frames):
+        import pandas as pd
+
+        encode = encoder()
+        for frame in frames:
+            if len(frame):
+                yield pd.DataFrame({"text_key": frame["text_key"], "embedding": [[float(x) for x in v] for v in encode(frame[column].tolist())]})
+
+    new.mapInPandas(run, "text_key string, embedding array<float>").write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    return keyed.join(spark.table(name), "text_key", "left").drop("text_key")

@@ -86,6 +86,46 @@ def detect_format(df: DataFrame) -> str:
     return "conversation" if names & {"conversations", "messages"} else "qa"
 
 
+#: What curation adds to a row of any shape.
+RATING_KEYS = ("rating", "clarity", "accuracy", "usefulness", "difficulty")
+
+
+def read_any(lines: DataFrame, value: str = "value") -> DataFrame:
+    """JSON lines of pairs of any shape: ``original`` (a VARIANT), ``shape``, ``question``, ``answer``, ``reasoning``.
+
+    Shapes are ``conversation``, ``cot`` and ``qa``, told row by row.  Lines
+    that are no objects are left out.
+    """
+    rows = lines.withColumn("original", F.try_parse_json(value)).where(F.startswith(F.schema_of_variant("original"), F.lit("OBJECT")))
+    get = lambda name: F.try_variant_get("original", f"$.{name}", "string")
+    turns = F.coalesce(*[F.try_variant_get("original", f"$.{c}", "array<map<string,string>>") for c in ("conversations", "messages")])
+    last = lambda roles: F.try_element_at(F.filter(turns, lambda m: F.coalesce(F.try_element_at(m, F.lit("role")), F.try_element_at(m, F.lit("from"))).isin(roles)), F.lit(-1))
+    said = lambda roles: F.coalesce(F.try_element_at(last(roles), F.lit("content")), F.try_element_at(last(roles), F.lit("value")))
+    sides = {name: F.coalesce(*[get(c) for c in names]) for name, names in SIDES.items()}
+    shape = F.when(turns.isNotNull(), "conversation").when(sides["reasoning"].isNotNull(), "cot").otherwise("qa")
+    return rows.withColumns({"shape": shape, "question": F.coalesce(said(["user", "human"]), sides["question"], F.lit("")), "answer": F.coalesce(said(["assistant", "gpt"]), sides["answer"], F.lit("")), "reasoning": sides["reasoning"]})
+
+
+def restored(rated: DataFrame) -> DataFrame:
+    """``value``: each row of ``read_any`` in its own shape, as a JSON line with the rating merged in.
+
+    All keys of the original stay; those of the rating replace what it had of
+    the same name.  Rows of pairs get their question and answer under the names
+    ``question`` and ``answer``; a conversation stays as it was.
+    """
+    from ..functions.values import as_json
+
+    keys = [k for k in RATING_KEYS if k in rated.columns]
+    entry = lambda name, column: F.struct(F.lit(name).alias("key"), F.col(column).cast("variant").alias("value"))
+    pair = F.when(F.col("shape") != "conversation", F.array(entry("question", "question"), entry("answer", "answer"))).otherwise(F.array().cast("array<struct<key:string,value:variant>>"))
+    new = F.concat(pair, F.array(*[entry(k, k) for k in keys]).cast("array<struct<key:string,value:variant>>"))
+    own = F.map_entries(F.col("original").cast("map<string,variant>"))
+    names = F.transform(new, lambda e: e["key"])
+    kept = F.concat(F.filter(own, lambda e: ~F.array_contains(names, e["key"])), new)
+    line = F.array_join(F.transform(kept, lambda e: F.concat(as_json(e["key"]), F.lit(":"), F.coalesce(as_json(e["value"]), F.lit("null")))), ",")
+    return rated.withColumn("value", F.concat(F.lit("{"), line, F.lit("}")))
+
+
 def repair(originals: DataFrame, repaired: DataFrame, key: str, column: str = "reasoning") -> DataFrame:
     """Originals with the repaired column where it was blank, joined on a stable key."""
     new = repaired.select(key, F.col(column).alias("repaired_value"))

@@ -231,6 +231,57 @@ def parse_docstrings(spark, sf_dir):
     return spark.createDataFrame([(k, p["description"], p["args"]["a"], p["args"]["b"], p["returns"]) for k, p in parts], "k int, description string, a string, b string, returns string")
 
 
+_SOUND = "CASE r_regionkey WHEN 1 THEN 'no JSON' WHEN 2 THEN 'no array' ELSE CASE WHEN n_nationkey // 5 = 1 THEN 'no object' WHEN n_nationkey // 5 = 2 THEN 'does not fit the schema' END END"
+
+
+@_query(f"""WITH n AS (SELECT r_regionkey AS r, n_nationkey AS k, {_SOUND} AS cause FROM nation JOIN region ON n_regionkey = r_regionkey), w AS (SELECT 'r' || r AS dataset, cause, CASE WHEN r IN (1, 2) THEN 1 ELSE count(*) END AS n FROM n WHERE cause IS NOT NULL GROUP BY r, cause)
+    SELECT 'r' || r AS dataset, 'read' AS cause, count(*) AS n FROM n WHERE cause IS NULL GROUP BY r UNION ALL SELECT * FROM w UNION ALL SELECT 'gone', 'no such file', 1""")
+def read_errors(spark, sf_dir):
+    """A file for each region: one cut off, one without a list, the others with entries of other kinds; and one that is not there."""
+    base = scratch_dir(spark, "doubtful")
+    n = _table(spark, sf_dir, "nation").join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    k = F.col("n_nationkey")
+    entry = F.when(F.floor(k / 5) == 1, '"' + "just a text" + '"').when(F.floor(k / 5) == 2, F.concat(F.lit('{"question": "q", "size": "'), "n_name", F.lit('"}'))).otherwise(F.concat(F.lit('{"question": "'), "n_name", F.lit('", "size": '), k, F.lit("}")))
+    bodies = n.groupBy("r_regionkey").agg(F.array_join(F.array_sort(F.collect_list(entry)), ", ").alias("all"))
+    body = F.when(F.col("r_regionkey") == 1, F.concat(F.lit("["), "all")).when(F.col("r_regionkey") == 2, F.concat(F.lit('{"pairs": ['), "all", F.lit("]}"))).otherwise(F.concat(F.lit("["), "all", F.lit("]")))
+    bodies.select(F.concat(F.lit("r"), "r_regionkey").alias("name"), body.alias("value")).repartition("name").write.partitionBy("name").text(base)
+    checked = readers.checked_array(spark, [f"{base}/name=*", f"{base}/gone"], "question string, size long")
+    good, wrong = readers.split_errors(checked, scratch_dir(spark, "checked"))
+    name = lambda c: F.regexp_extract(c, r"(?:name=|/)(r\d|gone)", 1)
+    both = good.select(name("source_path").alias("dataset"), F.lit("read").alias("cause")).union(wrong.select(name("path"), "cause"))
+    return both.groupBy("dataset", "cause").agg(F.count("*").alias("n"))
+
+
+_Q, _A = "CAST(to_json(question) AS VARCHAR)", "CAST(to_json(answer) AS VARCHAR)"
+
+
+@_query(f"""WITH {_PAIRS} SELECT idx, CASE idx % 3 WHEN 0 THEN '{{"extra":[' || idx || ',{{"k":null}}],"question":' || {_Q} || ',"answer":' || {_A}
+    WHEN 1 THEN '{{"id":' || idx || ',"reasoning":"why ' || idx || '","question":' || {_Q} || ',"answer":' || {_A}
+    ELSE '{{"conversations":[{{"content":' || {_Q} || ',"role":"user"}},{{"content":' || {_A} || ',"role":"assistant"}}],"id":' || idx END || ',"rating":' || (idx % 11) || ',"clarity":' || (idx % 3) || '}}' AS value FROM pairs""")
+def restore_shapes(spark, sf_dir):
+    """Lines of three shapes, rated, and written back in their own shapes with all their keys."""
+    p = _pairs(spark, sf_dir)
+    q, a = as_json(F.col("question")), as_json(F.col("answer"))
+    qa = F.concat(F.lit('{"answer":'), a, F.lit(',"extra":['), "idx", F.lit(',{"k":null}],"rating":3,"question":'), q, F.lit("}"))
+    cot = F.concat(F.lit('{"question":'), q, F.lit(',"reasoning":"why '), "idx", F.lit('","answer":'), a, F.lit(',"id":'), "idx", F.lit("}"))
+    talk = F.concat(F.lit('{"conversations":[{"role":"user","content":'), q, F.lit('},{"role":"assistant","content":'), a, F.lit('}],"id":'), "idx", F.lit("}"))
+    lines = p.select("idx", F.when(F.col("idx") % 3 == 0, qa).when(F.col("idx") % 3 == 1, cot).otherwise(talk).alias("value"))
+    rated = curation.read_any(lines).withColumns({"rating": F.col("idx") % 11, "clarity": F.col("idx") % 3})
+    return curation.restored(rated).select("idx", "value")
+
+
+@_query("WITH d AS (SELECT count(DISTINCT text) AS n, count(text) AS k FROM documents) SELECT n AS first_run, n AS second_run, k AS with_vector FROM d")
+def embedding_cache(spark, sf_dir):
+    """Vectors of all texts, made by a first run and only read by a second."""
+    path, docs = scratch_dir(spark, "vectors"), _table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("embedding_text"))
+    coverage.embed_cached(docs, coverage.ENCODERS["hash"](), path)
+    first = spark.read.schema("text_key string").parquet(path).agg(F.count("*").alias("first_run"))
+    first.write.parquet(f"{path}-count")
+    again = coverage.embed_cached(docs, coverage.ENCODERS["hash"](), path)
+    second = spark.read.schema("text_key string").parquet(path).agg(F.count("*").alias("second_run"))
+    return spark.read.schema("first_run long").parquet(f"{path}-count").crossJoin(second).crossJoin(again.agg(F.count("embedding").alias("with_vector")))
+
+
 # Sinks.
 
 
@@ -702,16 +753,27 @@ def export_sampled(spark, sf_dir):
     return export.to_format(half, "alpaca", keep=("idx",)).select("idx", "record.instruction", "record.output")
 
 
-@_query("SELECT format, format IN ('chatml', 'alpaca', 'sharegpt', 'jsonl') AS known FROM (VALUES ('chatml'), ('alpaca'), ('sharegpt'), ('jsonl'), ('parquet'), ('')) t(format)")
+@_query(f"WITH {_PAIRS} SELECT kind, count(*) AS n, CAST(sum(length(question)) AS BIGINT) AS asked, CAST(sum(length(answer)) AS BIGINT) AS answered FROM pairs, (VALUES ('chatml'), ('alpaca'), ('sharegpt'), ('jsonl')) t(kind) GROUP BY kind")
 def export_formats(spark, sf_dir):
-    """Unknown formats are refused before anything runs."""
-    rows = []
-    for kind in ("chatml", "alpaca", "sharegpt", "jsonl", "parquet", ""):
+    """All pairs in every known format, read back from JSON lines; unknown formats are refused before anything runs."""
+    for unknown in ("parquet", ""):
         try:
-            rows.append((kind, export.to_format(_pairs(spark, sf_dir), kind) is not None))
+            export.to_format(_pairs(spark, sf_dir), unknown)
         except ValueError:
-            rows.append((kind, False))
-    return spark.createDataFrame(rows, "format string, known boolean")
+            continue
+        raise AssertionError(f"{unknown!r} was taken for a format")
+    sides = {
+        "chatml": ("messages array<struct<role:string,content:string>>", lambda r: (r["messages"][1]["content"], r["messages"][2]["content"])),
+        "alpaca": ("instruction string, output string", lambda r: (r["instruction"], r["output"])),
+        "sharegpt": ("conversations array<struct<from:string,value:string>>", lambda r: (r["conversations"][1]["value"], r["conversations"][2]["value"])),
+        "jsonl": ("question string, answer string", lambda r: (r["question"], r["answer"])),
+    }
+    out = None
+    for kind, (schema, pick) in sides.items():
+        asked, answered = pick(F.from_json("value", schema))
+        one = export.as_lines(export.to_format(_pairs(spark, sf_dir).select("question", "answer"), kind)).agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.sum(F.length(asked)).alias("asked"), F.sum(F.length(answered)).alias("answered"))
+        out = one if out is None else out.union(one)
+    return out
 
 
 @_query(f"WITH {_PAIRS} SELECT idx, '<start_of_turn>user' || chr(10) || question || '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10) || answer || '<end_of_turn>' || chr(10) AS text FROM pairs")

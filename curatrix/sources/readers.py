@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import STEP
@@ -45,10 +45,51 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return each.select(F.col("idx").cast("long").alias("idx"), "source_path", "entry.*")
 
 
+def checked_array(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
+    """As ``json_array``, in one scan with rows for what cannot be read: ``error`` is null, or ``(path, place, cause)``.
+
+    A file that is no JSON, or no array, is one row without a place; an entry
+    that is no object, or does not fit the schema, has its place in the file;
+    a path that is not there is a row too.
+    """
+    listed, there, unread = [paths] if isinstance(paths, str) else list(paths), [], []
+    for given in listed:
+        path = spark._jvm.org.apache.hadoop.fs.Path(given)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        # Files of no bytes have no splits, so no scan tells of them.
+        unread += [(f.getPath().toString(), "no JSON") for f in found if f.isFile() and not f.getLen()] if len(found) else [(given, "no such file")]
+        there += [given] if len(found) else []
+    missing = spark.createDataFrame(unread, "source_path string, missing string").withColumn("body", F.lit(None).cast("variant"))
+    raw = spark.read.format("binaryFile").load(there).select(F.col("path").alias("source_path"), F.lit(None).cast("string").alias("missing"), F.try_parse_json(F.col("content").cast("string")).alias("body")) if there else missing.limit(0)
+    raw = raw.unionByName(missing)
+    each = raw.select("*", F.posexplode_outer(F.try_variant_get("body", "$", "array<variant>")).alias("idx", "value"))
+    text = F.to_json("value")
+    read = each.withColumn("entry", F.from_json(text, f"{schema}, unread_entry string", {"columnNameOfCorruptRecord": "unread_entry"}))
+    whole = F.when(F.col("missing").isNotNull(), F.col("missing")).when(F.col("body").isNull(), "no JSON").when(~F.startswith(F.schema_of_variant("body"), F.lit("ARRAY")), "no array")
+    single = F.when(F.col("idx").isNotNull(), F.when(~F.coalesce(F.startswith(F.schema_of_variant("value"), F.lit("OBJECT")), F.lit(False)), "no object").when(F.col("entry.unread_entry").isNotNull(), "does not fit the schema"))
+    cause = F.coalesce(whole, single)
+    told = read.withColumn("error", F.when(cause.isNotNull(), F.struct(F.col("source_path").alias("path"), F.col("idx").cast("long").alias("place"), cause.alias("cause"))))
+    kept = told.where("idx IS NOT NULL OR error IS NOT NULL")
+    names = [f.name for f in kept.schema["entry"].dataType.fields if f.name != "unread_entry"]
+    return kept.select(F.col("idx").cast("long").alias("idx"), "source_path", *[F.when(F.col("error").isNull(), F.col("entry")[n]).alias(n) for n in names], "error")
+
+
+def split_errors(checked: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """The good rows and the errors of ``checked_array``, both written below ``path`` by one job."""
+    checked.withColumn("failed", F.col("error").isNotNull()).write.mode("overwrite").partitionBy("failed").parquet(path)
+    both = checked.sparkSession.read.schema(checked.schema.add("failed", "boolean")).parquet(path)
+    return both.where("NOT failed").drop("failed", "error"), both.where("failed").select("error.*")
+
+
 def datasets(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """Pairs of several files, ``dataset`` being a file's stem; unreadable entries are left out."""
     df = json_array(spark, paths, schema)
-    return df.withColumn("dataset", F.regexp_extract("source_path", r"([^/]+?)(?:\.[^./]*)?$", 1))
+    return df.withColumn("dataset", dataset_name())
+
+
+def dataset_name() -> Column:
+    """The stem of a row's file."""
+    return F.regexp_extract("source_path", r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
 def json_lines(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

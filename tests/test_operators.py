@@ -700,3 +700,55 @@ def test_coverage_by_brute_force(spark, monkeypatch, most):
     mean = np.linalg.norm(v[:, None] - p[None], axis=2).min(axis=1).mean()
     assert coverage.coverage_score(df, picks).first().coverage == pytest.approx(1 / (1 + mean), abs=1e-12)
     assert coverage.coverage_score(df.limit(0), picks).first().coverage == coverage.coverage_score(df, picks.limit(0)).first().coverage == 0.0
+
+
+def test_errors_come_next_to_what_was_read(spark, tmp_path):
+    (tmp_path / "good.json").write_text(json.dumps([{"question": "q", "size": 1}, "text", {"question": "r"}, {"question": "s", "size": "x"}, 3, {"size": 4, "more": 1}]))
+    (tmp_path / "cut.json").write_text('[{"question": "q"}')
+    (tmp_path / "object.json").write_text('{"a": []}')
+    (tmp_path / "none.json").write_text("[]")
+    (tmp_path / "empty.json").write_text("")
+    paths = [str(tmp_path / f"{n}.json") for n in ("good", "cut", "object", "none", "empty", "gone")]
+    good, wrong = readers.split_errors(readers.checked_array(spark, paths, "question string, size long"), str(tmp_path / "out"))
+    assert sorted((r.idx, r.question, r["size"]) for r in good.collect()) == [(0, "q", 1), (2, "r", None), (5, None, 4)]
+    told = [(readers.stem(r.path), r.place, r.cause) for r in wrong.collect()]
+    assert set(told) == {("cut", None, "no JSON"), ("empty", None, "no JSON"), ("object", None, "no array"), ("gone", None, "no such file"), ("good", 1, "no object"), ("good", 3, "does not fit the schema"), ("good", 4, "no object")} and len(told) == 7
+    none = readers.checked_array(spark, [paths[-1]], "question string")
+    assert [r.error.cause for r in none.collect()] == ["no such file"]
+
+
+def test_rows_get_their_own_shape_back(spark):
+    rows = [
+        {"prompt": "p", "response": "r", "tags": ["x", {"y": None}]}, {"question": "q", "answer": "a", "rating": 1, "n": 2.5}, {"question": "q", "reasoning": "why", "answer": "a"},
+        {"messages": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}], "id": "z"}, {"conversations": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "c"}]}, {}, "text", 3, [1],
+    ]
+    df = spark.createDataFrame([(json.dumps(r),) for r in rows] + [("no json",), (None,)], "value string")
+    read = curation.read_any(df)
+    assert sorted((r["shape"], r.question, r.answer, r.reasoning) for r in read.where("shape = 'conversation'").collect()) == [("conversation", "h", "g", None), ("conversation", "u", "c", None)]
+    got = [json.loads(r.value) for r in curation.restored(read.withColumns({"rating": F.lit(7.5), "clarity": F.lit(None).cast("int")})).collect()]
+    new = {"rating": 7.5, "clarity": None}
+    want = [{**rows[0], "question": "p", "answer": "r", **new}, {**rows[1], **new}, {**rows[2], **new}, {**rows[3], **new}, {**rows[4], **new}, {"question": "", "answer": "", **new}]
+    assert sorted(map(str, [dict(sorted(r.items())) for r in got])) == sorted(map(str, [dict(sorted(r.items())) for r in want]))
+
+
+def test_second_run_encodes_nothing(spark, tmp_path):
+    log = str(tmp_path / "log")
+    open(log, "w").close()
+
+    def make():
+        def encode(texts):
+            with open(log, "a") as f:
+                f.write("".join(t + "\n" for t in texts))
+            return [[float(len(t)), 1.0] for t in texts]
+
+        return encode
+
+    texts = ["one", "two words", "one", None, ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, embedding_text string")
+    for more in ([], [], ["three"]):
+        now = df.union(spark.createDataFrame([(9, t) for t in more], df.schema))
+        got = {r.id: r.embedding for r in coverage.embed_cached(now, make, str(tmp_path / "vectors"), buckets=4).collect()}
+        assert got == {k: None if t is None else [float(len(t)), 1.0] for k, t in [*enumerate(texts), *((9, t) for t in more)]}
+    assert sorted(open(log).read().split("\n")) == sorted(["one", "two words", "", "three", ""])
+    other = coverage.embed_cached(df, make, str(tmp_path / "vectors"), model="other", buckets=4)
+    assert other.where("embedding IS NOT NULL").count() == 4 and len(open(log).read().split("\n")) == 8
