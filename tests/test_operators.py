@@ -728,7 +728,7 @@ def test_rows_get_their_own_shape_back(spark):
     got = [json.loads(r.value) for r in curation.restored(read.withColumns({"rating": F.lit(7.5), "clarity": F.lit(None).cast("int")})).collect()]
     new = {"rating": 7.5, "clarity": None}
     want = [{**rows[0], "question": "p", "answer": "r", **new}, {**rows[1], **new}, {**rows[2], **new}, {**rows[3], **new}, {**rows[4], **new}, {"question": "", "answer": "", **new}]
-    assert sorted(map(str, [dict(sorted(r.items())) for r in got])) == sorted(map(str, [dict(sorted(r.items())) for r in want]))
+    assert sorted(json.dumps(r, sort_keys=True) for r in got) == sorted(json.dumps(r, sort_keys=True) for r in want)
 
 
 def test_second_run_encodes_nothing(spark, tmp_path):
