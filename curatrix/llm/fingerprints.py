@@ -6,7 +6,9 @@ is found by binary search.  A fingerprint is the whole text's hash and the
 ``SKETCH`` smallest mixed hashes of its distinct ``WINDOW``-character spans,
 all read off the prefix arrays.  Where both prefix arrays are at hand, the
 likeness is the exact share of distinct spans in common (Jaccard); of two bare
-fingerprints ``likeness`` estimates it.
+fingerprints ``likeness`` estimates it.  Long texts are worked on in pieces:
+prefix arrays of one piece at a time, and spans of one range of hashes at a
+time, so that memory does not grow with the text.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ PRIME = (1 << 31) - 1
 BASES = (911_382_323, 1_972_663_139)
 WINDOW = 32
 SKETCH = 64
+#: Longer texts are worked on in pieces of so many characters, and so many spans at a time.
+LONG_TEXT = 1 << 20
+#: Characters of edited texts that wait to be handed on.
+HELD_CHARS = 1 << 20
 _LOWEST = -(1 << 63)
 
 
@@ -59,7 +65,7 @@ class PrefixHash:
 
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-        self.size = len(codes)
+        self.text, self.size = text, len(codes)
         self.prefix, self.inverse = [], []
         self.distinct: np.ndarray | None = None
         for powers in _POWERS:
@@ -110,16 +116,20 @@ class PrefixHash:
         if self.size == 0:
             return np.zeros(0, np.uint64)
         if self.distinct is None:
-            x = self.windows(window) if self.size >= window else self.spans(0, self.size)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-            x ^= x >> np.uint64(31)
+            x = _mixed(self.windows(window) if self.size >= window else self.spans(0, self.size))
             x.sort()
             self.distinct = x[np.concatenate([[True], x[1:] != x[:-1]])]
         return self.distinct
 
-    def share(self, other: PrefixHash) -> float:
+    def spans_between(self, low: int, high: int) -> np.ndarray:
+        """The distinct spans whose mixed hashes are at least ``low`` and below ``high``."""
+        mine = self.distinct_spans()
+        return mine[np.searchsorted(mine, np.uint64(low)) : len(mine) if high >> 64 else np.searchsorted(mine, np.uint64(high))]
+
+    def share(self, other: PrefixHash | PiecewiseHash) -> float:
         """From 0 to 1: the share of the two texts' distinct spans that both have; 1 for equal texts."""
+        if isinstance(other, PiecewiseHash):
+            return other.share(self)
         if self.size == other.size and self.common_extension(0, other, 0) == self.size:
             return 1.0
         mine, its = self.distinct_spans(), other.distinct_spans()
@@ -130,6 +140,79 @@ class PrefixHash:
         return both / (len(mine) + len(its) - both)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class PiecewiseHash:
+    """As ``PrefixHash``, for a long text: the same values from prefix arrays of a piece at a time."""
+
+    def __init__(self, text: str):
+        self.text, self.size = text, len(text)
+
+    def whole(self) -> np.ndarray:
+        """The hash of the whole text, put together from those of its pieces."""
+        totals = [0] * len(BASES)
+        for at in range(0, self.size, LONG_TEXT):
+            piece = PrefixHash(self.text[at : at + LONG_TEXT])
+            for k, base in enumerate(BASES):
+                totals[k] = (totals[k] + int(piece.prefix[k][-1]) * pow(base, at, PRIME)) % PRIME
+        out = 0
+        for total in totals:
+            out = (out << 31) | total
+        return np.array([out], np.uint64)
+
+    def pieces(self, window: int = WINDOW) -> Iterator[np.ndarray]:
+        """Mixed hashes of all spans, piece after piece."""
+        for at in range(0, self.size - window + 1, LONG_TEXT):
+            yield _mixed(PrefixHash(self.text[at : at + LONG_TEXT + window - 1]).windows(window))
+
+    def fingerprint(self, window: int = WINDOW, sketch: int = SKETCH) -> np.ndarray:
+        least = np.zeros(0, np.uint64)
+        for spans in self.pieces(window):
+            least = np.unique(np.concatenate([least, np.unique(spans)[:sketch]]))[:sketch]
+        return np.concatenate([self.whole(), least])
+
+    def spans_between(self, low: int, high: int) -> np.ndarray:
+        found = [np.zeros(0, np.uint64)]
+        for spans in self.pieces():
+            some = spans[spans >= np.uint64(low)]
+            found.append(np.unique(some if high >> 64 else some[some < np.uint64(high)]))
+        return np.unique(np.concatenate(found))
+
+    def common_extension(self, at: int, other: PrefixHash | PiecewiseHash, there: int) -> int:
+        """Length of the longest common run from the two places: piece after piece, and by binary search in the first that differs."""
+        done = 0
+        while n := min(LONG_TEXT, self.size - at - done, other.size - there - done):
+            mine, its = (PrefixHash(h.text[k + done : k + done + n]) for h, k in ((self, at), (other, there)))
+            got = mine.common_extension(0, its, 0)
+            done += got
+            if got < n:
+                break
+        return done
+
+    def share(self, other: PrefixHash | PiecewiseHash) -> float:
+        if self.size == other.size and self.common_extension(0, other, 0) == self.size:
+            return 1.0
+        if not other.size:
+            return 0.0
+        # Spans of one range of hashes at a time.
+        ranges, both, all_ = -(-max(self.size, other.size) // LONG_TEXT), 0, 0
+        for k in range(ranges):
+            low, high = (k << 64) // ranges, ((k + 1) << 64) // ranges
+            mine, its = self.spans_between(low, high), other.spans_between(low, high)
+            same = len(np.intersect1d(mine, its, assume_unique=True))
+            both, all_ = both + same, all_ + len(mine) + len(its) - same
+        return both / all_
+
+
+def hashed_text(text: str) -> PrefixHash | PiecewiseHash:
+    return PrefixHash(text) if len(text) <= LONG_TEXT else PiecewiseHash(text)
+
+
 def likeness(a: np.ndarray, b: np.ndarray, sketch: int = SKETCH) -> float:
     """From 0 to 1: the share of spans in common, estimated; 1 for equal texts."""
     if a[0] == b[0] and len(a) == len(b):
@@ -188,12 +271,13 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     both texts have; ``common_prefix`` is the longest common extension of the
     starts of a text and its edited one.
     Null texts are empty, an only document is its own next one, repeated rows
-    follow one another, and an empty table gives no rows.
+    follow one another, and an empty table gives no rows.  A long text takes
+    memory for its characters and a piece of its arrays.
     """
     kind = pa.schema([(id_col, pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("common_prefix", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, out = None, []
+        held, out, waiting = None, [], 0
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
@@ -202,17 +286,19 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
         for batch in batches:
             for key, text, bucket, halo in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashed = PrefixHash(text)
+                hashed = hashed_text(text)
                 mark = hashed.fingerprint()
                 if held and held[0] == bucket and not held[1]:
                     _, _, k, mine, its_hash, its_mark = held
                     half = len(mine) // 2
                     edited = mine[: len(mine) - half] + text[:half]
-                    changed = PrefixHash(edited)
+                    changed = hashed_text(edited)
                     its_edit = changed.fingerprint()
                     out.append((None if k == _LOWEST else k, len(mine), edited, as_text(its_mark), as_text(its_edit), its_hash.share(changed), its_hash.share(hashed), its_hash.common_extension(0, changed, 0)))
-                    if len(out) >= 128:
+                    waiting += len(edited)
+                    if len(out) >= 128 or waiting >= HELD_CHARS:
                         yield flush()
+                        waiting = 0
                 held = (bucket, halo, key, text, hashed, mark)
         if out:
             yield flush()

@@ -255,3 +255,42 @@ def test_digest_crc(spark):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(F.crc32(F.lit(b"\x01\x00\x00\x00"))).first()[0] == zlib.crc32(b"\x01\x00\x00\x00")
+
+
+def test_pieces_of_long_texts_give_the_same_fingerprints(monkeypatch):
+    import random
+
+    from curatrix.llm import fingerprints as fp
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abé日") for _ in range(n)) for n in (70, 71, 128, 200, 333, 900)] + ["ab" * 300, "x" * 500, "short", ""]
+    texts += [texts[4] + "tail", texts[5][:450] + texts[4], texts[5]]
+    whole = [fp.PrefixHash(t) for t in texts]
+    want = [[(a.share(b), a.common_extension(0, b, 0)) for b in whole] for a in whole]
+    for piece in (50, 150):
+        monkeypatch.setattr(fp, "LONG_TEXT", piece)
+        again = [fp.hashed_text(t) for t in texts]
+        assert sum(isinstance(h, fp.PiecewiseHash) for h in again) >= 8
+        assert [h.fingerprint().tolist() for h in again] == [h.fingerprint().tolist() for h in whole]
+        for a, row in zip(again, want, strict=True):
+            for b, (share, common) in zip(again, row, strict=True):
+                assert a.share(b) == share
+                if isinstance(a, fp.PiecewiseHash):
+                    assert a.common_extension(0, b, 0) == common
+
+
+def test_memory_of_a_very_long_text():
+    import subprocess
+    import sys
+
+    code = (
+        "import resource, random; from curatrix.llm import fingerprints as fp\n"
+        "text = ''.join(random.Random(1).choices('abcdefgh ', k=1_000_000)) * 8\n"
+        "text = text[:7_000_000] + text[3:1_000_003]\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "a, b = fp.hashed_text(text), fp.hashed_text(text[:4_000_000] + text[5:4_000_005])\n"
+        "a.fingerprint(); a.share(b)\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)"
+    )
+    took = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()[-1])
+    assert took < 350_000
