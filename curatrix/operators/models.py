@@ -17,7 +17,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, split_reasoning, strip_fence
+from ..functions.text import complexity, parse_json, quality, rescue_enriched, sanitise_chunk, strip_fence
 from ..functions.values import ARGS, STEP
 
 
@@ -243,11 +243,13 @@ def add_reasoning(pairs: DataFrame, template: str, **options) -> DataFrame:
     given = F.to_json(F.array(F.struct(F.array(turn("user", "question"), turn("assistant", "answer")).alias("conversations"))))
     answers = ask(pairs, fill(template, conversations=given, question=F.col("question"), answer=F.col("answer")), temperature=0.2, **options)
     first = F.get(parse_json(strip_fence("raw"), "array<struct<reasoning:string,conversations:array<struct<role:string,content:string,reasoning:string>>>>"), 0)
-    said = F.get(F.filter(first["conversations"], lambda t: t["role"].isin("assistant", "gpt", "model")), 0)
-    marked = F.nullif(split_reasoning(said["content"])["reasoning"], F.lit(""))
-    before = F.when(F.endswith(said["content"], F.col("answer")) & (F.length(said["content"]) > F.length("answer")), F.trim(F.substring(said["content"], F.lit(1), F.length(said["content"]) - F.length("answer"))))
-    found = F.coalesce(first["reasoning"], said["reasoning"], before, marked)
-    return answers.withColumn("reasoning", F.coalesce(found, F.lit(""))).drop("raw", "error")
+    said = F.get(F.filter("told.conversations", lambda t: t["role"].isin("assistant", "gpt", "model")), 0)
+    # Columns of their own, so that the answer is read once.
+    read = answers.withColumn("told", first).withColumn("said", said)
+    content = F.col("said.content")
+    before = F.when(F.endswith(content, F.col("answer")) & (F.length(content) > F.length("answer")), F.trim(F.substring(content, F.lit(1), F.length(content) - F.length("answer"))))
+    found = F.coalesce(F.col("told.reasoning"), F.col("said.reasoning"), before)
+    return read.withColumn("reasoning", F.coalesce(found, F.lit(""))).drop("raw", "error", "told", "said")
 
 
 def _example_places(examples: DataFrame) -> dict[str, Column]:
