@@ -287,7 +287,7 @@ def test_model_operators_on_examples(spark):
     models.register_provider("solver", lambda **_: Solver())
     df = spark.createDataFrame([(1, "how long is abc")], "example_id long, instruction string")
     solved = models.annotate(df, "solve {instruction}", provider="solver")
-    assert solved.first().final_answer == "3" and tools.run_steps(solved).first().output == "3"
+    assert solved.first().final_answer == "3" and tools.run_steps(solved).first().output.toPython() == 3
     assert models.simulate_steps(solved, "run {tool} {args}", provider="solver").first().success
     assert models.verify(solved, "check {answer}", provider="solver").first().verified is False
     assert models.requirements(df, "check {instruction}", provider="solver").first().requirement == "needs a number"
