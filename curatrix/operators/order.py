@@ -12,11 +12,18 @@ def numbered(df: DataFrame, *order: Column | str, name: str = "place") -> DataFr
     """``df`` with its rows' places from 0, as a long.
 
     Rows are sorted over ranges, one range for each partition; the places
-    before a range come from the counts of the ranges, a row each.
+    before a range come from the counts of the ranges, a row each.  The sorted
+    rows are written first: sorted once for the counts and again for the rows,
+    the ranges would differ.
     """
+    from ..sources.scratch import scratch_dir
+
+    spark = df.sparkSession
     marked = df.orderBy(*order).withColumn("order_mark", F.monotonically_increasing_id())
-    part = F.shiftright("order_mark", _PART_BITS)
-    marked = marked.withColumn("order_part", part)
+    marked = marked.withColumn("order_part", F.shiftright("order_mark", _PART_BITS))
+    path = scratch_dir(spark, "sorted")
+    marked.write.parquet(path)
+    marked = spark.read.schema(marked.schema).parquet(path)
     sizes = marked.groupBy("order_part").agg(F.count("*").alias("n"))
     parts = sizes.agg(F.array_sort(F.collect_list(F.struct("order_part", "n"))).alias("parts"))
     before = parts.select(F.inline(F.transform("parts", lambda p: F.struct(p["order_part"].alias("order_part"), F.aggregate(F.filter("parts", lambda q: q["order_part"] < p["order_part"]), F.lit(0).cast("long"), lambda s, q: s + q["n"]).alias("before")))))

@@ -752,3 +752,12 @@ def test_second_run_encodes_nothing(spark, tmp_path):
     assert sorted(open(log).read().split("\n")) == sorted(["one", "two words", "", "three", ""])
     other = coverage.embed_cached(df, make, str(tmp_path / "vectors"), model="other", buckets=4)
     assert other.where("embedding IS NOT NULL").count() == 4 and len(open(log).read().split("\n")) == 8
+
+
+def test_places_of_wide_rows_are_whole(spark):
+    """The counts of the ranges and the rows come from the same ranges, however few bytes the counts need."""
+    from curatrix.operators.order import numbered
+
+    wide = spark.range(30_000).select("id", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.rand(1) + i).alias("v"))
+    got = numbered(wide, F.desc("id")).select("id", "place", F.size("v").alias("n")).collect()
+    assert sorted((r.place, r.id, r.n) for r in got) == [(k, 29_999 - k, 64) for k in range(30_000)]
