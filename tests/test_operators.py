@@ -761,3 +761,12 @@ def test_places_of_wide_rows_are_whole(spark):
     wide = spark.range(30_000).select("id", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.rand(1) + i).alias("v"))
     got = numbered(wide, F.desc("id")).select("id", "place", F.size("v").alias("n")).collect()
     assert sorted((r.place, r.id, r.n) for r in got) == [(k, 29_999 - k, 64) for k in range(30_000)]
+
+
+def test_chains_may_name_tools_that_are_not_shown(spark):
+    rows = [(i, f"t{i}", f"n{i}", "d", "c" if i < 6 else None) for i in range(8)]
+    tools = spark.createDataFrame(rows, "idx int, tool_id string, name string, description string, category string")
+    found = lambda template: [(r.category, r.chain, r.length) for r in models.model_chains(tools, template, 2, 3, shown=2, provider="echo").collect()]
+    assert found('[{"chain": ["t5", "t0", "t5"]}]') == [("c", ["t5", "t0", "t5"], 3)]
+    assert found('[{"chain": ["t6", "t7"]}]') == [("other", ["t6", "t7"], 2)]
+    assert found('[{"chain": ["t5", "t6"]}]') == found('[{"chain": ["t5", "gone"]}]') == found('[{"chain": ["t5", null]}]') == []
