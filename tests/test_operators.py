@@ -770,3 +770,17 @@ def test_chains_may_name_tools_that_are_not_shown(spark):
     assert found('[{"chain": ["t5", "t0", "t5"]}]') == [("c", ["t5", "t0", "t5"], 3)]
     assert found('[{"chain": ["t6", "t7"]}]') == [("other", ["t6", "t7"], 2)]
     assert found('[{"chain": ["t5", "t6"]}]') == found('[{"chain": ["t5", "gone"]}]') == found('[{"chain": ["t5", null]}]') == []
+
+
+def test_graph_edges_holds_every_edge(spark, tmp_path):
+    from curatrix.plans import catalogue
+
+    sizes = [k * 5 % 23 for k in range(40)]
+    parts = [(k, f"part {k}", "b", "t", size, 1.0) for k, size in enumerate(sizes)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = sorted(tuple(r) for r in catalogue.QUERIES["graph_edges"](spark, str(tmp_path)).collect())
+    inputs = [(k, "size", "integer") for k in range(40)] + [(k, "label", "string") for k in range(40) if sizes[k] % 2 == 0]
+    gives = [catalogue._TYPES[size % 7] for size in sizes]
+    score = lambda o, w: 1.0 if o == w else 0.8 if w == "any" else 0.6
+    want = sorted((f"tool_{a}", f"tool_{b}", p, score(gives[a], w)) for a in range(40) for b, p, w in inputs if a != b and w in graph.LATTICE[gives[a]])
+    assert got == want
