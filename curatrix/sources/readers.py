@@ -107,13 +107,20 @@ def domain_documents(spark: SparkSession, path: str, most: int = 50, shown: int
 
 
 def wrapped_array(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
-    """Entries of a JSON file that is a list, or an object with the list under ``name``; otherwise ``ValueError``."""
-    raw = spark.read.text(path, wholetext=True)
-    kinds = raw.select(F.regexp_extract("value", r"^\s*(.)", 1).alias("k"), F.get_json_object("value", f"$.{name}").alias("inner"), "value")
+    """Entries of a JSON file that is a list, or an object with the list under ``name``; otherwise ``ValueError``.
+
+    Of a folder, the files' entries are one list, in the order of the files' names.
+    """
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("source_path"), "value")
+    kinds = raw.select("source_path", F.regexp_extract("value", r"^\s*(.)", 1).alias("k"), F.get_json_object("value", f"$.{name}").alias("inner"), "value")
     if kinds.where("k != '[' and (k != '{' or inner is null)").limit(1).count():
         raise ValueError(f"neither a list nor an object with {name}")
-    each = kinds.select(F.posexplode(F.from_json(F.when(F.col("k") == "[", F.col("value")).otherwise(F.col("inner")), f"array<struct<{schema}>>")).alias("idx", "entry"))
-    return each.select(F.col("idx").cast("long").alias("idx"), "entry.*")
+    lists = kinds.select("source_path", F.when(F.col("k") == "[", F.col("value")).otherwise(F.col("inner")).alias("list"))
+    # One window over a row for each file.
+    sizes = lists.select("source_path", F.coalesce(F.json_array_length("list"), F.lit(0)).alias("n"))
+    before = sizes.select("source_path", F.coalesce(F.sum("n").over(Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    each = lists.select("source_path", F.posexplode(F.from_json("list", f"array<struct<{schema}>>")).alias("idx", "entry"))
+    return each.join(F.broadcast(before), "source_path").select((F.col("before") + F.col("idx")).cast("long").alias("idx"), "entry.*")
 
 
 TOOL_SCHEMA = (

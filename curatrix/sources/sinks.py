@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import curation, export, graph
+from ..operators.order import numbered
+
+#: Numbers of files have as many digits each, so that names are in order; numbers, as texts would be sorted again when written.
+_FIRST_FILE = 1_000_000_000
 
 
 def summary(pairs: DataFrame) -> DataFrame:
@@ -83,6 +87,29 @@ def json_array(df: DataFrame, path: str, order: str, name: str | None = None, he
     return path
 
 
+def json_arrays(df: DataFrame, path: str, order: str, name: str | None = None, head: dict[str, str] | None = None, per_file: int = 20_000) -> str:
+    """As ``json_array``, as a folder of files of ``per_file`` rows each, the next rows in the next file by name.
+
+    Each file is whole JSON with the object's other fields.  Rows are written
+    as lines of sorted partitions, so no task holds all of them, nor a file.
+    """
+    spark = df.sparkSession
+    before = "{" + "".join(f"{json.dumps(k)}: {json.dumps(v)}, " for k, v in (head or {}).items()) + f"{json.dumps(name)}: [" if name else "["
+    after = "]}" if name else "]"
+    placed = numbered(df, order, name="array_place")
+    total = placed.count()
+    if not total:
+        lines = spark.createDataFrame([(before + after, _FIRST_FILE)], "value string, file long")
+    else:
+        at = F.col("array_place")
+        first, last = at % per_file == 0, (at % per_file == per_file - 1) | (at == total - 1)
+        line = F.concat(F.when(first, before).otherwise(","), F.to_json(F.struct(*df.columns)), F.when(last, after).otherwise(""))
+        dealt = placed.withColumn("file", F.floor(at / per_file) + _FIRST_FILE).repartition("file").sortWithinPartitions("file", "array_place")
+        lines = dealt.select(line.alias("value"), "file")
+    lines.write.mode("overwrite").partitionBy("file").text(path)
+    return path
+
+
 def merged(parts: list[DataFrame], path: str, key: str, seed: int = 42) -> DataFrame:
     """Several sets one after the other, in seeded order."""
     from ..operators.scoring import shuffled

@@ -784,3 +784,13 @@ def test_graph_edges_holds_every_edge(spark, tmp_path):
     score = lambda o, w: 1.0 if o == w else 0.8 if w == "any" else 0.6
     want = sorted((f"tool_{a}", f"tool_{b}", p, score(gives[a], w)) for a in range(40) for b, p, w in inputs if a != b and w in graph.LATTICE[gives[a]])
     assert got == want
+
+
+def test_catalogues_of_several_files_are_one_list(spark, tmp_path):
+    rows = spark.range(40).select((99 - F.col("id")).alias("at"), F.concat(F.lit("Tool\n"), "id").alias("name"))
+    path = sinks.json_arrays(rows.repartition(3), str(tmp_path / "tools.yaml"), "at", "tools", {"version": "1"}, per_file=7)
+    files = sorted(tmp_path.glob("tools.yaml/file=*/part-*"))
+    assert [len(d["tools"]) for d in (json.loads(f.read_text()) for f in files) if d["version"] == "1"] == [7] * 5 + [5]
+    assert sorted((r.idx, r.name) for r in readers.tools(spark, path).collect()) == [(k, f"Tool\n{39 - k}") for k in range(40)]
+    bare = sinks.json_arrays(rows.limit(0), str(tmp_path / "none.json"), "at")
+    assert [f.read_text().strip() for f in tmp_path.glob("none.json/*/part-*")] == ["[]"] and readers.tools(spark, bare).count() == 0
