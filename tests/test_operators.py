@@ -794,3 +794,11 @@ def test_catalogues_of_several_files_are_one_list(spark, tmp_path):
     assert sorted((r.idx, r.name) for r in readers.tools(spark, path).collect()) == [(k, f"Tool\n{39 - k}") for k in range(40)]
     bare = sinks.json_arrays(rows.limit(0), str(tmp_path / "none.json"), "at")
     assert [f.read_text().strip() for f in tmp_path.glob("none.json/*/part-*")] == ["[]"] and readers.tools(spark, bare).count() == 0
+
+
+def test_generated_pairs_hold_the_text_as_it_is(spark):
+    texts = ["a,]b, ,c ,}", 'of"him" said ["k"] ("q")', "the {text} of {content} {n_pairs_min}", "a\x0bb\x85c d\x1c", "first\r\nlast\xa0", ""]
+    chunks = spark.createDataFrame([(k, "s", t) for k, t in enumerate(texts)], "chunk_id int, source_file string, content string")
+    got = [r.answer for r in models.generate_pairs(chunks, "Ask about:\n{content}", sanitise=False).orderBy("chunk_id").collect()]
+    assert got == [*texts[:4], "last\xa0", "Ask about:"]
+    assert models.generate_pairs(chunks.where("chunk_id = 1"), "{content}").first().answer == "of'him' said ['k'] ('q')"
