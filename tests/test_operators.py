@@ -802,3 +802,12 @@ def test_generated_pairs_hold_the_text_as_it_is(spark):
     got = [r.answer for r in models.generate_pairs(chunks, "Ask about:\n{content}", sanitise=False).orderBy("chunk_id").collect()]
     assert got == [*texts[:4], "last\xa0", "Ask about:"]
     assert models.generate_pairs(chunks.where("chunk_id = 1"), "{content}").first().answer == "of'him' said ['k'] ('q')"
+
+
+def test_answers_about_tools_are_not_broadcast(spark, tmp_path):
+    # A file of known small size.
+    spark.createDataFrame([(k, f"t{k}", f"n{k}", "d") for k in range(20)], "idx int, tool_id string, name string, description string").write.parquet(f"{tmp_path}/tools")
+    tools_ = spark.read.parquet(f"{tmp_path}/tools")
+    made = pipelines.tool_examples(tools_, 1)
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.tool_id for r in made.collect()) == sorted(f"t{k}" for k in range(20))
