@@ -200,6 +200,86 @@ def test_runs_are_counted_over_whole_hosts(spark, monkeypatch):
         assert [r.text for r in ht.extract_text(df).orderBy("page_id").collect()] == want
 
 
+def _brute_force_repeated(rows):
+    """How many words of each page are in runs of eight words on three distinct pages of a host."""
+    parsed = [(i, re.match("[a-z]+://([^/?#]*)", u)[1], tuple(w for _, t in ht.blocks(h) for w in t.split(" ")), h) for i, u, h in rows]
+    least, on = {}, {}
+    for i, host, _, html in parsed:
+        least[host, html] = min(i, least.get((host, html), i))
+    for _, host, words, html in parsed:
+        for k in range(len(words) - 7):
+            on.setdefault((host, words[k : k + 8]), set()).add(least[host, html])
+    covered = [[any(j + 8 <= len(w) and len(on[host, w[j : j + 8]]) >= 3 for j in range(max(0, k - 7), k + 1)) for k in range(len(w))] for _, host, w, _ in parsed]
+    return sorted((i, sum(c)) for (i, *_), c in zip(parsed, covered, strict=True))
+
+
+@pytest.mark.parametrize("most", [500, 3])
+def test_arrays_judge_pages_with_articles_on_hosts_of_any_size(spark, monkeypatch, most):
+    rng = np.random.default_rng(12)
+    words = [f"w{k}" for k in range(300)]
+    menus = [" ".join(rng.choice(words, 9)) for _ in range(12)]
+    own = [" ".join(rng.choice(words, 30)) for _ in range(40)]
+    htmls = [f"<nav>{rng.choice(menus)}</nav><article>{rng.choice(own)} {rng.choice(menus)}</article><footer>{rng.choice(menus)}</footer>" for _ in range(90)]
+    rows = [(i - i % 7 // 6, f"http://h{i % 3 // 2}/p", h) for i, h in enumerate(htmls + htmls[:9])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    monkeypatch.setattr(ht, "SHARD_PAGES", most)
+    got = ht.extract_text(df).collect()
+    assert sorted((r.page_id, r.n_repeated) for r in got) == _brute_force_repeated(rows)
+    assert sum(r.n_repeated for r in got) > 500
+    assert sorted(r.text for r in got) == sorted(re.search("<article>(.*)</article>", h)[1] for *_, h in rows)
+
+
+def test_runs_of_contexts_come_from_the_suffix_order(monkeypatch):
+    rng = np.random.default_rng(3)
+    pages = {}
+    for _ in range(300):
+        begin = int(rng.integers(0, 12))
+        pages.setdefault(b" ".join(b"%d" % (k % 17 if rng.random() < 0.97 else 99) for k in range(begin, begin + int(rng.integers(8, 13)))), set()).add(f"p{rng.integers(0, 9)}")
+    on = {}
+    for context, some in pages.items():
+        words = context.split(b" ")
+        for k in range(len(words) - 7):
+            on.setdefault(tuple(words[k : k + 8]), set()).update(some)
+    want = {}
+    for context in pages:
+        words = context.split(b" ")
+        if bits := sum(1 << k for k in range(len(words) - 7) if len(on[tuple(words[k : k + 8])]) >= 3):
+            want[context] = bits
+    assert 0 < len(want) < len(pages)
+    assert ht.repeated_in_contexts(pages) == want
+    monkeypatch.setattr(ht, "suffix_order", lambda ids: np.arange(len(ids)))
+    assert ht.repeated_in_contexts(pages) != want
+
+
+def test_equal_runs_of_a_host_have_equal_anchors():
+    rng = np.random.default_rng(6)
+    pages = [rng.integers(0, 3, int(n)).tolist() for n in rng.integers(0, 60, 80)]
+    hosts = np.arange(80) % 2
+    at, hashes = ht.anchors(np.array(sum(pages, []), np.uint64), np.array(list(map(len, pages))), hosts)
+    found = dict(zip(at.tolist(), hashes.tolist(), strict=True))
+    assert len(found) < sum(map(len, pages)) / 2
+    anchors, begin = {}, 0
+    for host, page in zip(hosts.tolist(), pages, strict=True):
+        for k in range(len(page) - 7):
+            own = {(j, found[begin + k + j]) for j in range(5) if begin + k + j in found}
+            key = (host, tuple(page[k : k + 8]))
+            anchors[key] = anchors.get(key, own) & own
+        begin += len(page)
+    assert anchors and all(anchors.values())
+
+
+def test_word_ids_tell_words_apart():
+    rng = np.random.default_rng(2)
+    pages = [[], [""], ["a"], ["x" * 1_500_000, "b"], ["\u00e9", "a", "x" * 1_500_000, "x" * 1_499_999]] + [["ab"[int(k) % 2] * (int(k) // 2 + 1) for k in rng.integers(0, 40, 9)] for _ in range(30)]
+    part = pa.record_batch({"blocks": pa.array([["left", "out"], *([" ".join(p[:2]), *p[2:]] if p else [] for p in pages)], pa.list_(pa.string()))}).slice(1)
+    *words, sizes = ht._words(part)
+    flat = [w for p in pages for w in p or [""]]
+    assert sizes.tolist() == [len(p) or 1 for p in pages]
+    assert [words[0][a:b].tobytes().decode() for a, b in zip(words[1], words[2], strict=True)] == flat
+    ids = ht.word_ids(*words).tolist()
+    assert len(set(ids)) == len(set(flat)) == len(set(zip(ids, flat, strict=True)))
+
+
 def test_copies_and_repeated_rows_of_a_page_are_one_page(spark, monkeypatch):
     story = "a story of well over eight words that only this page tells"
     assert ht.host_texts([ht.blocks(f"<div>{story}</div>")] * 4) == [story] * 4
