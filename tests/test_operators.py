@@ -811,3 +811,20 @@ def test_answers_about_tools_are_not_broadcast(spark, tmp_path):
     made = pipelines.tool_examples(tools_, 1)
     assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.tool_id for r in made.collect()) == sorted(f"t{k}" for k in range(20))
+
+
+def test_edges_meet_in_shares_and_are_not_broadcast(spark, tmp_path):
+    # A file of known small size.
+    rows = [(f"t{k}", f"n{k}", "c", ["integer", "Any", "odd", "string", None][k % 5], 1, k) for k in range(30)]
+    spark.createDataFrame(rows, "tool_id string, name string, category string, output_type string, n_inputs int, place int").write.parquet(f"{tmp_path}/nodes")
+    wanted = [(f"t{k}", "p", ["Integer", "any", "ODD", "array"][k % 4]) for k in range(30)]
+    spark.createDataFrame(wanted, "tool_id string, param string, param_type string").write.parquet(f"{tmp_path}/params")
+    nodes, params = spark.read.parquet(f"{tmp_path}/nodes"), spark.read.parquet(f"{tmp_path}/params")
+    takes = lambda o, w: o is not None and w.lower() in graph.LATTICE.get(o.lower(), [o.lower()])
+    want = sorted((r[0], d) for r in rows for d, _, w in wanted if r[0] != d and takes(r[3], w))
+    for spread in ({}, {"spread": 1}, {"spread": 3}):
+        found = graph.edges(nodes, params, **spread)
+        shown = found._jdf.queryExecution().executedPlan().toString()
+        # Only the lattice is broadcast.
+        assert shown.count("BroadcastExchange") == 1 and shown.count("SortMergeJoin") == 1
+        assert sorted((r.src, r.dst) for r in found.collect()) == want
