@@ -828,3 +828,28 @@ def test_edges_meet_in_shares_and_are_not_broadcast(spark, tmp_path):
         # Only the lattice is broadcast.
         assert shown.count("BroadcastExchange") == 1 and shown.count("SortMergeJoin") == 1
         assert sorted((r.src, r.dst) for r in found.collect()) == want
+
+
+def test_results_of_steps_are_not_broadcast(spark, tmp_path):
+    from curatrix.operators import execution
+
+    # Files of known small size.
+    spark.createDataFrame([(k, f"t{k}", f"n{k}", "d") for k in range(20)], "idx int, tool_id string, name string, description string").write.parquet(f"{tmp_path}/tools")
+    tools_ = spark.read.parquet(f"{tmp_path}/tools").withColumns({"returns": F.lit(None).cast("struct<type:string>"), "parameters": F.lit(None).cast("array<struct<name:string,required:boolean>>")})
+    made = pipelines.tool_examples(tools_, 1)
+    made.write.parquet(f"{tmp_path}/made")
+    given = spark.read.schema(made.schema).parquet(f"{tmp_path}/made")
+    for mode in ("simulated", "multi_agent"):
+        ran = execution.execute_examples(given, tools_, mode)
+        assert "Broadcast" not in ran._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.tool_id, r.good) for r in ran.select("tool_id", F.col("execution_result.success").alias("good")).collect()) == sorted((f"t{k}", True) for k in range(20))
+
+
+def test_asking_leaves_other_columns_as_they_are(spark):
+    rows = [(2**60 + 1, float("nan"), [1, None], None), (None, 1.5, None, "b"), (7, None, [], "")]
+    given = spark.createDataFrame(rows, "id long, x double, v array<long>, t string").withColumn("w", F.parse_json(F.lit('{"a": [1, null]}')))
+    got = {r.t: r for r in models.ask(given, F.col("t"), provider="echo").withColumn("w", F.to_json("w")).collect()}
+    assert [(r.id, str(r.x), r.v, r.w, r.raw, r.error) for r in (got[None], got["b"], got[""])] == [
+        (2**60 + 1, "nan", [1, None], '{"a":[1,null]}', None, None), (None, "1.5", None, '{"a":[1,null]}', "b", None), (7, "None", [], '{"a":[1,null]}', "", None),
+    ]
+    assert models.ask(given.where("false"), F.col("t")).count() == 0
